@@ -72,14 +72,18 @@ def classify_lines(lines: DataFrame) -> DataFrame:
 
 
 def records_from_lines(classified: DataFrame) -> DataFrame:
-    """Records (text fields + presence flags) from the RECORD lines of ``classify_lines``."""
-    recs = classified.where(F.col("kind") == RECORD)
-    cols = [F.col("_ord")]
+    """Records (text fields + presence flags) for every line of ``classify_lines``.
+
+    Lines that are not records keep their kind in ``_kind`` (``validate`` turns it
+    into the status), instead of being filtered out here: a filter on a derived
+    column would be pushed below the parse and make Spark parse each line twice.
+    """
+    cols = [F.col("_ord"), F.col("kind").alias("_kind")]
     for field in rules.CSV_COLUMNS:
         cols.append(F.col("doc").getItem(field).alias(field))
         cols.append(F.coalesce(F.map_contains_key("doc", F.lit(field)), F.lit(False))
                     .alias(f"_has_{field}"))
-    return recs.select(*cols)
+    return classified.select(*cols)
 
 
 def _values(df: DataFrame) -> DataFrame:
@@ -99,8 +103,10 @@ def validate(records: DataFrame) -> DataFrame:
     df = _values(records)
     vp, vf, vt = F.col("_v_chamber_pressure"), F.col("_v_fuel_flow"), F.col("_v_temperature")
     bad = {f: F.col(f"_has_{f}") & F.col(f"_v_{f}").isNull() for f in rules.MEASURE_FIELDS}
+    first = (F.when(F.col("_kind") != RECORD, F.col("_kind")) if "_kind" in records.columns
+             else F.when(F.lit(False), F.lit(None).cast("string")))
     status = (
-        F.when(~(F.col("_has_timestamp") & F.col("_has_engine_id")), MISSING_REQUIRED)
+        first.when(~(F.col("_has_timestamp") & F.col("_has_engine_id")), MISSING_REQUIRED)
         .when(iso_timestamp_text(F.col("timestamp")).isNull(), BAD_TIMESTAMP)
         .when(bad["chamber_pressure"], BAD_PRESSURE)
         .when(bad["fuel_flow"], BAD_FUEL)
@@ -119,20 +125,34 @@ def validate(records: DataFrame) -> DataFrame:
 
 
 def valid_records(validated: DataFrame) -> DataFrame:
+    """Only the valid records (for diagnostics; the pipeline itself never filters
+    before deduplicating, see ``dedup_first``)."""
     return validated.where(F.col("_status").isNull())
 
 
-def dedup_first(valid: DataFrame, order_col: str = "_ord") -> DataFrame:
-    """One record per raw ``(timestamp, engine_id)`` text, the first in input order.
+def dedup_first(records: DataFrame, order_col: str = "_ord") -> DataFrame:
+    """One record per raw ``(timestamp, engine_id)`` text, the first valid one
+    in input order.
 
-    ``min_by`` is combined map-side, so a key with a huge number of copies is
-    reduced inside every input partition before the shuffle.
+    Invalid records (``_status`` not NULL) take part with a NULL ordering value,
+    which ``min_by`` ignores; keys with no valid record are removed *after* the
+    aggregate. Filtering first would let the optimizer push the validation
+    expressions below the parse and evaluate them twice. ``min_by`` is combined
+    map-side, so a key with a huge number of copies is reduced inside every input
+    partition before the shuffle.
     """
-    payload = [c for c in valid.columns if c not in ("timestamp", "engine_id")]
-    firsts = (valid.groupBy("timestamp", "engine_id")
-              .agg(F.min_by(F.struct(*payload), F.col(order_col)).alias("_first"),
-                   F.count(F.lit(1)).alias("_copies")))
-    return firsts.select("timestamp", "engine_id", "_first.*", "_copies")
+    order = F.col(order_col)
+    valid = F.lit(True)
+    if "_status" in records.columns:
+        valid = F.col("_status").isNull()
+        order = F.when(valid, order)
+    payload = [c for c in records.columns
+               if c not in ("timestamp", "engine_id", "_kind") and not c.startswith(("_has_", "_v_"))
+               and c not in ("_status", "_corrected")]
+    firsts = (records.groupBy("timestamp", "engine_id")
+              .agg(F.min_by(F.struct(*payload), order).alias("_first"),
+                   F.count_if(valid).alias("_copies")))
+    return firsts.where(F.col("_copies") > 0).select("timestamp", "engine_id", "_first.*", "_copies")
 
 
 def clean_output(deduped: DataFrame) -> DataFrame:
@@ -179,6 +199,9 @@ def audit_records(records: DataFrame) -> DataFrame:
                "temperature", F.col("temperature"), None),
     )
     with_raw = df.withColumn("_events", events)
+    if "_kind" in df.columns:
+        with_raw = with_raw.withColumn(
+            "_events", F.when(F.col("_kind") == RECORD, F.col("_events")))
     return (with_raw.select("_ord", F.explode(F.filter("_events", lambda x: x.isNotNull())).alias("e"))
             .select("_ord", "e.*"))
 
@@ -197,7 +220,7 @@ def audit(lines: DataFrame) -> DataFrame:
                      F.col("line").alias("old_value"), F.lit(None).cast("string").alias("new_value")))
     records = records_from_lines(classified)
     rec_events = audit_records(records)
-    dups = duplicate_rows(valid_records(validate(records)))
+    dups = duplicate_rows(validate(records))
     dup_events = dups.select("_ord", F.lit(10).alias("step"), F.lit(DUPLICATE_REMOVED).alias("rule"),
                              F.lit(None).cast("string").alias("field"),
                              F.concat_ws(" - ", "timestamp", "engine_id").alias("old_value"),
@@ -205,8 +228,9 @@ def audit(lines: DataFrame) -> DataFrame:
     return parse.unionByName(rec_events).unionByName(dup_events)
 
 
-def duplicate_rows(valid: DataFrame) -> DataFrame:
+def duplicate_rows(validated: DataFrame) -> DataFrame:
     """The valid records that dedup removes (every copy but the first of a key)."""
+    valid = validated.where(F.col("_status").isNull())
     firsts = valid.groupBy("timestamp", "engine_id").agg(F.min("_ord").alias("_first_ord"))
     return (valid.join(firsts, ["timestamp", "engine_id"], "inner")
             .where(F.col("_ord") != F.col("_first_ord")).drop("_first_ord"))
@@ -214,7 +238,7 @@ def duplicate_rows(valid: DataFrame) -> DataFrame:
 
 def clean_records(records: DataFrame) -> DataFrame:
     """Records -> cleaned, deduplicated CSV-shaped rows."""
-    return clean_output(dedup_first(valid_records(validate(records))))
+    return clean_output(dedup_first(validate(records)))
 
 
 def clean_lines(lines: DataFrame) -> DataFrame:
@@ -229,30 +253,27 @@ def summary_from_lines(lines: DataFrame) -> DataFrame:
     parsing errors excluded); ``valid_records`` is before dedup;
     ``dropped = total - valid``; ``corrected`` counts surviving records only;
     ``duplicate_records = valid - distinct keys``. Rates are exact, 1 decimal,
-    half-up, NULL when total is 0.
+    half-up, NULL when total is 0. Two aggregate passes, no filter.
     """
-    classified = classify_lines(lines)
-    records = validate(records_from_lines(classified))
-    line_stats = classified.agg(
-        F.count_if(F.col("kind") == RECORD).cast("bigint").alias("total_records"),
-        F.count_if(F.col("kind") == PARSE_ERROR).cast("bigint").alias("parsing_errors"))
-    return _summary(line_stats, records)
+    return _summary(validate(records_from_lines(classify_lines(lines))))
 
 
 def summary_from_records(records: DataFrame) -> DataFrame:
-    validated = validate(records)
-    line_stats = records.agg(F.count(F.lit(1)).cast("bigint").alias("total_records"),
-                             F.lit(0).cast("bigint").alias("parsing_errors"))
-    return _summary(line_stats, validated)
-
-
-def _summary(line_stats: DataFrame, validated: DataFrame) -> DataFrame:
-    valid = valid_records(validated)
-    rec_stats = valid.agg(F.count(F.lit(1)).cast("bigint").alias("valid_records"),
-                          F.count_if("_corrected").cast("bigint").alias("corrected_records"))
-    keys = (valid.groupBy("timestamp", "engine_id").agg(F.count(F.lit(1)).alias("n"))
-            .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_records")))
-    out = line_stats.crossJoin(rec_stats).crossJoin(keys)
+    return _summary(validate(records))
+
+
+def _summary(validated: DataFrame) -> DataFrame:
+    kind = F.col("_kind") if "_kind" in validated.columns else F.lit(RECORD)
+    valid = F.col("_status").isNull()
+    stats = validated.agg(
+        F.count_if(kind == RECORD).cast("bigint").alias("total_records"),
+        F.count_if(kind == PARSE_ERROR).cast("bigint").alias("parsing_errors"),
+        F.count_if(valid).cast("bigint").alias("valid_records"),
+        F.count_if(valid & F.col("_corrected")).cast("bigint").alias("corrected_records"))
+    keys = (validated.groupBy("timestamp", "engine_id").agg(F.count_if(valid).alias("n"))
+            .agg(F.coalesce(F.sum(F.greatest(F.col("n") - 1, F.lit(0))), F.lit(0)).cast("bigint")
+                 .alias("duplicate_records")))
+    out = stats.crossJoin(keys)
     total = F.col("total_records")
 
     def rate(n: Column) -> Column:
@@ -272,4 +293,5 @@ def _summary(line_stats: DataFrame, validated: DataFrame) -> DataFrame:
 def drop_reasons(lines: DataFrame) -> DataFrame:
     """The dropped records with the rule that dropped them (``_ord``, ``reason``)."""
     recs = validate(records_from_lines(classify_lines(lines)))
-    return recs.where(F.col("_status").isNotNull()).select("_ord", F.col("_status").alias("reason"))
+    return (recs.where((F.col("_kind") == RECORD) & F.col("_status").isNotNull())
+            .select("_ord", F.col("_status").alias("reason")))

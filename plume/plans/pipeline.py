@@ -25,6 +25,19 @@ from plume.sources.raw import raw_load
 AS_OF = _dt.datetime(2024, 2, 1, 0, 0, 0)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition an input that has fewer splits than the cluster has cores.
+
+    A single large file with one row group is read by one task; the per-row
+    cleaning work after it would then run on one core. On a cluster reading many
+    files the input already has more splits than cores and nothing is added.
+    """
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        return df.repartition(parallelism, key)
+    return df
+
+
 class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, as_of=AS_OF, workdir: str | None = None):
         self.spark = spark
@@ -38,7 +51,7 @@ class Pipeline:
     # ---------------------------------------------------------------- sources
     @cached_property
     def events(self) -> DataFrame:
-        return self.table("events")
+        return spread(self.table("events"), "event_id")
 
     @cached_property
     def records(self) -> DataFrame:
@@ -69,7 +82,7 @@ class Pipeline:
     @cached_property
     def clean(self) -> DataFrame:
         """Validated, corrected, deduplicated records (keeps ``raw_id``)."""
-        return ingest.dedup_first(ingest.valid_records(ingest.validate(self.records)))
+        return ingest.dedup_first(ingest.validate(self.records))
 
     @cached_property
     def raw(self) -> DataFrame:

@@ -100,7 +100,7 @@ def q_raw_load(spark, sf_dir):
 
 def q_dedup_first(spark, sf_dir):
     recs = ingest.records_from_lines(ingest.classify_lines(_lines(spark, sf_dir)))
-    d = ingest.dedup_first(ingest.valid_records(ingest.validate(recs)))
+    d = ingest.dedup_first(ingest.validate(recs))
     return d.where(F.col("_copies") > 1).select(
         "timestamp", "engine_id", F.col("_ord").alias("kept_ord"),
         F.col("_copies").cast("bigint").alias("copies"),

@@ -55,17 +55,20 @@ def get_spark(app: str = "plume", master: str | None = None, shuffle_partitions:
 def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Reads the session setting; only when it is unset (tests, local runs) a
-    fallback is installed as the session's checkpoint folder.
+    Reads the session setting. Only when it is unset *and* Spark runs in local
+    mode (tests) a local folder is installed as the context's checkpoint folder;
+    on a cluster an unset value is an error, never a machine-local folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if fallback is None:
-        raise RuntimeError("spark.checkpoint.dir is not set; pass a shared folder explicitly")
-    spark.conf.set("spark.checkpoint.dir", fallback)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
+        import tempfile
+        fallback = tempfile.mkdtemp(prefix="plume-checkpoints-")
     spark.sparkContext.setCheckpointDir(fallback)
-    return fallback.rstrip("/")
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -34,9 +34,10 @@ def readings_from_events(events: DataFrame) -> DataFrame:
     The measures are ``decimal(8,3)`` and may be NULL (an absent sensor value).
     """
     eid = F.col("event_id")
-    h = (eid * 7919) % 1000
-    m = eid % 197
-    e = eid % 5
+    # small ints keep the decimal arithmetic below 18 digits (compact, no BigDecimal)
+    h = ((eid * 7919) % 1000).cast("int")
+    m = (eid % 197).cast("int")
+    e = (eid % 5).cast("int")
     d = F.dayofmonth("ts")
     burst = d.isin(5, 20) & (eid % 50 == 13)
     sag = d.between(25, 28) & (eid % 2 == 0)
