@@ -1,10 +1,136 @@
-"""Registered queries without a SQL oracle (random generator, streaming, materialisation).
+"""Registered queries without a SQL oracle: random generator, streaming, materialisation.
 
-They are checked rows-only by the driver and in depth by ``tests/``.
+They are checked rows-only by the driver and in depth by ``tests/``. Each one
+reads ``events`` and writes only under the shared folder (``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from plume import rules
+from plume.operators import marts
+from plume.operators.materialize import materialize_models
+from plume.plans.pipeline import Pipeline
+from plume.session import shared_dir
+from plume.sources import fixtures, generator
+from plume.streaming import streams
+
+# event time spanned by the driver's events (30 days) fits inside this watermark
+STREAM_WATERMARK = "40 days"
+
+
+def _work(spark: SparkSession, what: str) -> str:
+    return f"{shared_dir(spark)}/plume-{what}-{uuid.uuid4().hex}"
+
+
+def q_gen_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One generated reading per event id (JSON Lines, duplicates appended)."""
+    events = Pipeline(spark, sf_dir).events
+    return generator.to_jsonl(generator.generate_readings(events.select(F.col("event_id").alias("id"))))
+
+
+def _land(spark: SparkSession, sf_dir: str, base: str) -> str:
+    """Write the dirty lines of ``events`` as text files, originals then duplicates.
+
+    Two writes, so the duplicate copies arrive after the originals (a later file
+    modification time, a later micro-batch with ``maxFilesPerTrigger``).
+    """
+    lines = Pipeline(spark, sf_dir).lines
+    landing = f"{base}/landing"
+    first = lines.where(F.col("_ord") < fixtures.DUP_ORD_OFFSET)
+    later = lines.where(F.col("_ord") >= fixtures.DUP_ORD_OFFSET)
+    first.orderBy("_ord").select("value").write.mode("overwrite").text(f"{landing}/a")
+    later.orderBy("_ord").select("value").write.mode("overwrite").text(f"{landing}/b")
+    return landing
+
+
+def _run_stream(spark, sf_dir, build, mode="append", files_per_trigger=None) -> DataFrame:
+    base = _work(spark, "stream")
+    landing = _land(spark, sf_dir, base)
+    src = spark.readStream.format("text").option("recursiveFileLookup", "true")
+    if files_per_trigger:
+        src = src.option("maxFilesPerTrigger", files_per_trigger)
+    lines = src.load(landing).select("value", F.lit(0).cast("long").alias("_ord"))
+    out = build(lines)
+    q = streams.start_to_table(out, f"{base}/sink", f"{base}/checkpoint", mode=mode)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/sink")
+
+
+def _measures_double(df: DataFrame) -> DataFrame:
+    for c in rules.MEASURE_FIELDS:
+        df = df.withColumn(c, F.trim(c).cast("double"))
+    return df
+
+
+def q_stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: streaming parse + validate + correct (no dedup)."""
+    return _measures_double(_run_stream(
+        spark, sf_dir, lambda lines: streams.valid_stream(streams.clean_stream(lines))))
+
+
+def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: streaming dedup within the watermark."""
+    return _measures_double(_run_stream(
+        spark, sf_dir,
+        lambda lines: streams.dedup_stream(streams.clean_stream(lines), STREAM_WATERMARK).drop("_event_time"),
+        files_per_trigger=1))
+
+
+def q_stream_hourly_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: hourly anomaly windows; windows still open at the end are not emitted (append mode)."""
+    return _run_stream(
+        spark, sf_dir,
+        lambda lines: streams.hourly_anomalies_stream(
+            streams.dedup_stream(streams.clean_stream(lines), "2 hours")),
+        files_per_trigger=1)
+
+
+def q_stream_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: daily mart kept current by ``foreachBatch``."""
+    base = _work(spark, "marts")
+    landing = _land(spark, sf_dir, base)
+    p = Pipeline(spark, sf_dir)
+    refresher = streams.MartRefresher(spark, f"{base}/tables", p.engines, p.metrics)
+    lines = (spark.readStream.format("text").option("recursiveFileLookup", "true")
+             .option("maxFilesPerTrigger", 1).load(landing)
+             .select("value", F.lit(0).cast("long").alias("_ord")))
+    deduped = streams.dedup_stream(streams.clean_stream(lines), STREAM_WATERMARK)
+    q = (deduped.writeStream.foreachBatch(refresher)
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/tables/daily_trends")
+
+
+def q_materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store fact and marts as analysed tables; rows per stored table."""
+    p = Pipeline(spark, sf_dir)
+    base = _work(spark, "tables")
+    prefix = "plume_" + uuid.uuid4().hex[:8]
+    fact = p.fact()
+    stored_fact = materialize_models(spark, fact, p.engine_summary, p.daily_trends, base, prefix)["fact"]
+    # marts recomputed from the stored fact (what a scheduled refresh would do)
+    es = marts.engine_summary(stored_fact.drop("reading_date"), p.as_of)
+    counts = [spark.table(f"{prefix}_{t}").agg(F.count(F.lit(1)).alias("row_count"))
+              .select(F.lit(t).alias("table_name"), "row_count")
+              for t in ("fact", "engine_summary", "daily_trends")]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out.unionByName(es.agg(F.count(F.lit(1)).alias("row_count"))
+                           .select(F.lit("engine_summary_from_stored_fact").alias("table_name"), "row_count"))
+
 
 def queries() -> dict:
-    return {}
+    return {
+        "gen_telemetry": q_gen_telemetry,
+        "stream_clean": q_stream_clean,
+        "stream_dedup": q_stream_dedup,
+        "stream_hourly_anomalies": q_stream_hourly_anomalies,
+        "stream_marts": q_stream_marts,
+        "materialize": q_materialize,
+    }

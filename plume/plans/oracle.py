@@ -434,6 +434,10 @@ def oracles() -> dict[str, str]:
       CAST(t AS DOUBLE) AS temperature
     FROM lv WHERE kind = 'record' AND status IS NULL AND NOT dup"""
     o["clean_readings"] = with_lines(clean_sel)
+    # streaming K2 keeps the same rows as the batch cleaner (duplicates arrive in a later micro-batch)
+    o["stream_dedup"] = with_lines(clean_sel)
+    # streaming K1: every valid record, duplicates included
+    o["stream_clean"] = with_lines(clean_sel.replace("AND NOT dup", ""))
     o["clean_csv_roundtrip"] = with_lines(clean_sel)
     o["raw_load"] = with_lines(f"""SELECT sha256(concat_ws('#', ts_text, eng_out)) AS _airbyte_raw_id,
       {AS_OF_SQL} AS _airbyte_extracted_at, CAST(1 AS BIGINT) AS _airbyte_generation_id,
