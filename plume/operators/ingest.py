@@ -149,7 +149,12 @@ def dedup_first(records: DataFrame, order_col: str = "_ord") -> DataFrame:
     payload = [c for c in records.columns
                if c not in ("timestamp", "engine_id", "_kind") and not c.startswith(("_has_", "_v_"))
                and c not in ("_status", "_corrected")]
-    firsts = (records.groupBy("timestamp", "engine_id")
+    # The struct buffer of min_by needs a sort-based aggregate. Timestamp texts share
+    # their first bytes, which defeats the sort's 8-byte key prefix; a leading
+    # 64-bit hash of the key (same groups, the texts still decide equality)
+    # gives the sort a prefix that separates almost every pair.
+    key_hash = F.xxhash64("timestamp", "engine_id").alias("_key_hash")
+    firsts = (records.groupBy(key_hash, "timestamp", "engine_id")
               .agg(F.min_by(F.struct(*payload), order).alias("_first"),
                    F.count_if(valid).alias("_copies")))
     return firsts.where(F.col("_copies") > 0).select("timestamp", "engine_id", "_first.*", "_copies")
