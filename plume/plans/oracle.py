@@ -488,6 +488,9 @@ def oracles() -> dict[str, str]:
     o["anomaly_flag"] = with_staging("SELECT _airbyte_raw_id, is_anomaly FROM stg")
     o["anomaly_type"] = with_staging("SELECT _airbyte_raw_id, anomaly_type FROM stg")
     # ---- fact
+    o["dim_engine_current"] = with_fact(
+        "SELECT CAST(engine_key AS INTEGER) AS engine_key, engine_id FROM eng "
+        "WHERE engine_id IN (SELECT engine_id FROM stg)")
     o["fact_engine_lookup"] = with_fact(
         "SELECT airbyte_raw_id, engine_id, CAST(engine_key AS INTEGER) AS engine_key FROM fact")
     o["fact_metric_lookup"] = with_fact("""SELECT airbyte_raw_id,

@@ -136,6 +136,14 @@ def _fact_cols(*cols):
     return q
 
 
+def q_dim_engine_current(spark, sf_dir):
+    """the current engine versions the readings resolve to (old versions never match)."""
+    from plume.operators.dims import current_engines
+    p = _p(spark, sf_dir)
+    seen = p.staging.select("engine_id").distinct()
+    return current_engines(p.engines).join(seen, "engine_id", "left_semi").select("engine_key", "engine_id")
+
+
 def q_fact_reading_key(spark, sf_dir):
     return _p(spark, sf_dir).fact().select("airbyte_raw_id", "reading_key")
 
@@ -247,6 +255,7 @@ _RAW = {
     "anomaly_flag": _stg_cols("is_anomaly"),
     "anomaly_type": _stg_cols("anomaly_type"),
     # F: fact
+    "dim_engine_current": q_dim_engine_current,
     "fact_engine_lookup": _fact_cols("engine_id", "engine_key"),
     "fact_metric_lookup": _fact_cols("pressure_metric_key", "fuel_flow_metric_key", "temperature_metric_key"),
     "fact_time_key": _fact_cols("time_key"),

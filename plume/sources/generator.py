@@ -72,9 +72,9 @@ def _timeline(ids: DataFrame, seed: int, start: _dt.datetime) -> DataFrame:
     offsets = totals.select("_block", F.coalesce(F.sum("_total").over(earlier), F.lit(0.0)).alias("_offset"))
     df = df.join(offsets, "_block")
     micros = F.round((F.col("_offset") + F.col("_run")) * 1_000_000).cast("long")
-    return df.withColumn("timestamp", F.timestamp_micros(
-        F.lit(int(start.replace(tzinfo=_dt.timezone.utc).timestamp() * 1_000_000)) + micros)
-        .cast("timestamp_ntz")).drop("_step", "_block", "_run", "_offset")
+    # wall-clock arithmetic on timestamp_ntz: independent of the session time zone
+    return df.withColumn("timestamp", F.timestamp_add("MICROSECOND", micros, F.lit(start).cast("timestamp_ntz"))) \
+        .drop("_step", "_block", "_run", "_offset")
 
 
 def generate_readings(ids: DataFrame, seed: int = 42, start: _dt.datetime | None = None) -> DataFrame:

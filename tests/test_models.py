@@ -201,3 +201,20 @@ def test_q3_equals_literal_cross_join(spark):
     for k in fast:
         for a, b in zip(fast[k], slow[k]):
             assert (a is None and b is None) or abs(float(a) - float(b)) < 1e-6
+
+
+def test_dimension_defaults_and_bridge(spark):
+    from plume.operators.dims import current_engines, metric_lookup, with_engine_defaults
+    from plume.schemas import DIM_ENGINES_SCHEMA
+    bare = spark.createDataFrame([(9, "TRE-009") + (None,) * 15], DIM_ENGINES_SCHEMA)
+    r = with_engine_defaults(bare).collect()[0]
+    assert (r["engine_type"], r["max_chamber_pressure_psi"], r["max_fuel_flow_kg_per_sec"],
+            r["max_temperature_fahrenheit"], r["operational_status"], r["is_current"],
+            r["source_system"]) == ("Rocket Engine", 350, 200, 4000, "ACTIVE", True, "MANUAL")
+    assert str(r["effective_to_date"]) == "2999-12-31"
+    eng = fixtures.dim_engines(spark)
+    assert sorted(r["engine_key"] for r in current_engines(eng).collect()) == [1, 2, 3, 4, 5]
+    bridge = fixtures.bridge_engine_metrics(eng, fixtures.dim_metrics(spark)).collect()
+    assert len(bridge) == 15 and {float(b["calibration_factor"]) for b in bridge} == {1.0}
+    lk = metric_lookup(fixtures.dim_metrics(spark)).collect()
+    assert len(lk) == 1 and lk[0]["pressure_metric_key"] == 1 and float(lk[0]["temperature_normal_max"]) == 4000
