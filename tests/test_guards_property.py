@@ -8,6 +8,7 @@ compact ISO forms).
 
 import datetime as dt
 import math
+import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -32,7 +33,7 @@ def _python_float(s):
     return v
 
 
-@settings(max_examples=1, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(st.lists(number_like, min_size=300, max_size=300))
 def test_numbers_agree_with_python(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
@@ -57,14 +58,14 @@ def _python_ts(s):
     return v.replace(tzinfo=None)          # wall clock kept, offset dropped
 
 
-@settings(max_examples=1, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(st.lists(ts_like, min_size=300, max_size=300))
 def test_timestamps_agree_with_python(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = {r["t"]: r["v"] for r in df.select("t", iso_timestamp_text(F.col("t")).alias("v")).collect()}
     for t in texts:
         py = _python_ts(t)
-        if ".1" in t and ":" in t.split("T")[-1].split(" ")[-1] and py is not None and t.count(":") == 1:
+        if re.search(r"[T ]\d{2}:\d{2}\.", t):
             continue  # Python 3.13 also takes "HH:MM.f"; the decided grammar needs seconds before a fraction
         assert got[t] == py, t
 
