@@ -10,7 +10,7 @@ import datetime as dt
 import math
 import re
 
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -33,7 +33,7 @@ def _python_float(s):
     return v
 
 
-@settings(max_examples=5, deadline=None)
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(number_like, min_size=300, max_size=300))
 def test_numbers_agree_with_python(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
@@ -58,7 +58,7 @@ def _python_ts(s):
     return v.replace(tzinfo=None)          # wall clock kept, offset dropped
 
 
-@settings(max_examples=5, deadline=None)
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(ts_like, min_size=300, max_size=300))
 def test_timestamps_agree_with_python(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
