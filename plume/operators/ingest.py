@@ -48,27 +48,37 @@ def classify_lines(lines: DataFrame) -> DataFrame:
     """Strip lines, mark blank/comment lines, parse JSON strictly.
 
     Adds ``line`` (stripped text), ``kind`` and ``doc`` (``map<string,string>`` of
-    a JSON object, NULL otherwise). A line is a JSON object when it is exactly one
-    JSON value, that value parses as an object and nothing trails it; exactly one
-    JSON value that is not an object is a record without keys (later dropped);
-    everything else is a parsing error.
+    a JSON object, NULL otherwise).
+
+    A line starting with ``{`` is parsed once, wrapped as ``[line]`` into
+    ``array<map<string,string>>``: inside the brackets trailing text, a second
+    object without a comma, single quotes or NaN make the whole parse fail, and
+    a comma-separated second object gives two elements. It is an object line when
+    exactly one element parses and the line ends with ``}``. Any other line is
+    probed with ``json_array_length``: exactly one JSON value that is not an
+    object is a record without keys (later dropped), everything else a parsing
+    error.
     """
-    stripped = (lines.select("_ord", F.btrim(F.col("value"), F.lit(_BLANKS)).alias("line"))
-                .withColumn("_parsed", F.from_json("line", "map<string,string>",
-                                                   {"allowSingleQuotes": "false",
-                                                    "allowNonNumericNumbers": "false"}))
-                .withColumn("_nvalues", F.json_array_length(F.concat(F.lit("["), "line", F.lit("]")))))
-    line, doc = F.col("line"), F.col("_parsed")
-    one_value = F.col("_nvalues") == 1
-    is_object = one_value & doc.isNotNull() & line.endswith("}")
-    is_scalar = one_value & doc.isNull() & ~line.startswith("{")
+    opts = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    stripped = lines.select("_ord", F.btrim(F.col("value"), F.lit(_BLANKS)).alias("line"))
+    line = F.col("line")
+    wrapped = F.concat(F.lit("["), line, F.lit("]"))
+    is_brace = line.startswith("{")
+    stripped = (stripped
+                .withColumn("_objs", F.when(is_brace, F.from_json(wrapped, "array<map<string,string>>", opts)))
+                .withColumn("_nvalues", F.when(~is_brace & (line != "") & ~line.startswith("#"),
+                                               F.json_array_length(wrapped))))
+    objs = F.col("_objs")
+    is_object = (F.size(objs) == 1) & objs.getItem(0).isNotNull() & line.endswith("}")
+    is_scalar = F.col("_nvalues") == 1
     kind = (F.when(line == "", BLANK)
             .when(line.startswith("#"), COMMENT)
             .when(F.coalesce(is_object, F.lit(False)), RECORD)
             .when(F.coalesce(is_scalar, F.lit(False)), RECORD)
             .otherwise(PARSE_ERROR))
     return (stripped.withColumn("kind", kind)
-            .select("_ord", "line", "kind", F.when(F.col("kind") == RECORD, doc).alias("doc")))
+            .select("_ord", "line", "kind",
+                    F.when(F.col("kind") == RECORD, objs.getItem(0)).alias("doc")))
 
 
 def records_from_lines(classified: DataFrame) -> DataFrame:

@@ -48,6 +48,18 @@ def test_line_kinds(spark):
     assert c[13] == "record" and c[14] == "record"
 
 
+def test_more_line_kinds(spark):
+    lines = ['{"a": 1},{"b": 2}', "{}", '{"a": [1, 2], "b": {"c": 1}}', '{"a": 1', "[1] x", "1, 2", "{ }",
+             '{"timestamp": "2025-01-01T00:00:00", "engine_id": "TRE-001", "engine_id": "TRE-002"}']
+    c = {r["_ord"]: (r["kind"], r["doc"]) for r in ingest.classify_lines(lines_df(spark, lines)).collect()}
+    assert c[0][0] == "parse_error"
+    assert c[1] == ("record", {})
+    assert c[2][0] == "record" and c[2][1]["a"] == "[1,2]"
+    assert c[3][0] == "parse_error" and c[4][0] == "parse_error" and c[5][0] == "parse_error"
+    assert c[6] == ("record", {})
+    assert c[7][1]["engine_id"] == "TRE-002"          # duplicate key: the last one wins
+
+
 def test_validation_rules(spark):
     lines = [
         obj(0, engine_id=...),                      # 0 missing engine_id -> dropped
