@@ -206,3 +206,25 @@ def test_no_filter_below_dedup(spark):
     below = plan.split("Aggregate")[-1]
     assert "Filter" not in below
     assert F is not None
+
+
+def test_input_order_survives_file_splits(spark, tmp_dir):
+    """A file read as many splits (and two files): the first copy in file order still wins."""
+    src = os.path.join(tmp_dir, "split")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.jsonl"), "w") as f:
+        for i in range(3000):                       # keys repeat every 100 lines; first copy = i < 100
+            f.write(obj(i % 10, engine_id=f"E{i % 100:03d}", chamber_pressure=float(i)) + "\n")
+    with open(os.path.join(src, "b.jsonl"), "w") as f:
+        for i in range(100):                        # later file: never wins
+            f.write(obj(i % 10, engine_id=f"E{i:03d}", chamber_pressure=-1.0) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        lines = read_jsonl(spark, src)
+        assert lines.rdd.getNumPartitions() > 10
+        out = {r["engine_id"]: float(r["chamber_pressure"]) for r in ingest.clean_lines(lines).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(out) == 100
+    assert out == {f"E{i:03d}": float(i) for i in range(100)}
