@@ -268,7 +268,7 @@ def summary_from_lines(lines: DataFrame) -> DataFrame:
     parsing errors excluded); ``valid_records`` is before dedup;
     ``dropped = total - valid``; ``corrected`` counts surviving records only;
     ``duplicate_records = valid - distinct keys``. Rates are exact, 1 decimal,
-    half-up, NULL when total is 0. Two aggregate passes, no filter.
+    half-up, NULL when total is 0. One pass over the lines, no filter.
     """
     return _summary(validate(records_from_lines(classify_lines(lines))))
 
@@ -278,17 +278,22 @@ def summary_from_records(records: DataFrame) -> DataFrame:
 
 
 def _summary(validated: DataFrame) -> DataFrame:
+    """One pass over the lines: counts per dedup key (partial aggregation; lines
+    that are not records share the NULL key), then totals over the keys."""
     kind = F.col("_kind") if "_kind" in validated.columns else F.lit(RECORD)
     valid = F.col("_status").isNull()
-    stats = validated.agg(
-        F.count_if(kind == RECORD).cast("bigint").alias("total_records"),
-        F.count_if(kind == PARSE_ERROR).cast("bigint").alias("parsing_errors"),
-        F.count_if(valid).cast("bigint").alias("valid_records"),
-        F.count_if(valid & F.col("_corrected")).cast("bigint").alias("corrected_records"))
-    keys = (validated.groupBy("timestamp", "engine_id").agg(F.count_if(valid).alias("n"))
-            .agg(F.coalesce(F.sum(F.greatest(F.col("n") - 1, F.lit(0))), F.lit(0)).cast("bigint")
-                 .alias("duplicate_records")))
-    out = stats.crossJoin(keys)
+    per_key = validated.groupBy("timestamp", "engine_id").agg(
+        F.count_if(kind == RECORD).alias("n_rec"),
+        F.count_if(kind == PARSE_ERROR).alias("n_err"),
+        F.count_if(valid).alias("n_valid"),
+        F.count_if(valid & F.col("_corrected")).alias("n_corr"))
+    out = per_key.agg(
+        F.coalesce(F.sum("n_rec"), F.lit(0)).cast("bigint").alias("total_records"),
+        F.coalesce(F.sum("n_err"), F.lit(0)).cast("bigint").alias("parsing_errors"),
+        F.coalesce(F.sum("n_valid"), F.lit(0)).cast("bigint").alias("valid_records"),
+        F.coalesce(F.sum("n_corr"), F.lit(0)).cast("bigint").alias("corrected_records"),
+        F.coalesce(F.sum(F.greatest(F.col("n_valid") - 1, F.lit(0))), F.lit(0)).cast("bigint")
+        .alias("duplicate_records"))
     total = F.col("total_records")
 
     def rate(n: Column) -> Column:

@@ -18,7 +18,6 @@ from plume import rules
 from plume.operators import ingest, quality, serving
 from plume.plans.pipeline import AS_OF, Pipeline
 from plume.session import shared_dir
-from plume.sources import fixtures
 from plume.sources.csv import read_clean_csv, write_clean_csv
 from plume.sources.raw import raw_load
 
