@@ -35,10 +35,11 @@ def _timestamp(c: str, dtype) -> Column:
     return iso_timestamp_text(F.col(c))
 
 
-def staging(raw: DataFrame, as_of=None) -> DataFrame:
+def staging(raw: DataFrame, as_of=None, passthrough=()) -> DataFrame:
     """Raw table -> the 14 staging columns (rows with any NULL business field removed).
 
-    ``as_of`` fills ``processed_at`` (default: the query's current time).
+    ``as_of`` fills ``processed_at`` (default: the query's current time);
+    ``passthrough`` columns (e.g. a stream's watermarked event time) are kept.
     """
     src = raw.select(
         "_airbyte_raw_id", "_airbyte_extracted_at", "_airbyte_generation_id",
@@ -47,6 +48,7 @@ def staging(raw: DataFrame, as_of=None) -> DataFrame:
         _measure("chamber_pressure").alias("chamber_pressure_psi"),
         _measure("fuel_flow").alias("fuel_flow_kg_per_sec"),
         _measure("temperature").alias("temperature_fahrenheit"),
+        *passthrough,
     )
     src = src.where(
         F.col("engine_id").isNotNull() & F.col("reading_timestamp").isNotNull()
@@ -63,5 +65,6 @@ def staging(raw: DataFrame, as_of=None) -> DataFrame:
         anomaly_type(p, f, t).alias("anomaly_type"),
         F.lit(rules.SOURCE_SYSTEM).alias("source_system"),
         _as_of(as_of).alias("processed_at"),
+        *passthrough,
     )
-    return out.select(*STAGING_COLUMNS)
+    return out.select(*STAGING_COLUMNS, *passthrough)

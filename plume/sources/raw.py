@@ -20,11 +20,12 @@ def raw_id(timestamp: Column, engine_id: Column) -> Column:
 
 
 def raw_load(clean: DataFrame, extracted_at, generation_id: int = 1,
-             id_col: str | None = None) -> DataFrame:
+             id_col: str | None = None, passthrough=()) -> DataFrame:
     """Clean CSV-shaped rows -> raw table (``RAW_SCHEMA`` column order).
 
     ``extracted_at`` is a parameter (a ``datetime`` or a Column) so that loads are
-    reproducible; ``id_col`` takes an existing unique id instead of the hash.
+    reproducible; ``id_col`` takes an existing unique id instead of the hash;
+    ``passthrough`` columns are carried along after the raw columns.
     """
     ext = extracted_at if isinstance(extracted_at, Column) else F.lit(
         extracted_at if isinstance(extracted_at, _dt.datetime) else _dt.datetime.fromisoformat(str(extracted_at)))
@@ -38,4 +39,5 @@ def raw_load(clean: DataFrame, extracted_at, generation_id: int = 1,
         F.col("chamber_pressure").cast("string"),
         F.col("fuel_flow").cast("string"),
         F.col("temperature").cast("string"),
-    ).select(*[f.name for f in RAW_SCHEMA.fields])
+        *passthrough,
+    ).select(*[f.name for f in RAW_SCHEMA.fields], *passthrough)

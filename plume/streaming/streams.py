@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plume import rules
-from plume.functions.columns import (day_of_week_sun0, engine_health, is_anomaly, iso_timestamp_text,
-                                     pct_half_up, to_double)
+from plume.functions.columns import (day_of_week_sun0, engine_health, iso_timestamp_text, pct_half_up,
+                                     to_double)
 from plume.operators import ingest, marts
 from plume.operators.fact import fact_unkeyed
 from plume.operators.staging import staging
@@ -69,17 +69,14 @@ def dedup_stream(validated: DataFrame, watermark: str = DEFAULT_WATERMARK) -> Da
 
 
 def hourly_anomalies_stream(deduped: DataFrame) -> DataFrame:
-    """K3: anomaly count and total per one-hour event-time window (append mode)."""
-    scored = deduped.select(
-        "_event_time",
-        F.trim("chamber_pressure").try_cast("decimal(8,3)").alias("p"),
-        F.trim("fuel_flow").try_cast("decimal(8,3)").alias("f"),
-        F.trim("temperature").try_cast("decimal(8,3)").alias("t"),
-        F.col("engine_id"))
-    scored = scored.where(F.col("p").isNotNull() & F.col("f").isNotNull() & F.col("t").isNotNull()
-                          & F.col("engine_id").isNotNull())
-    scored = scored.withColumn("is_anomaly", is_anomaly("p", "f", "t"))
-    agg = (scored.groupBy(F.window("_event_time", "1 hour").alias("w"))
+    """K3: anomaly count and total per one-hour event-time window (append mode).
+
+    The readings go through the batch staging unchanged; the watermarked event
+    time is carried along and drives the tumbling window.
+    """
+    stg = staging(raw_load(deduped, F.current_timestamp(), passthrough=("_event_time",)),
+                  passthrough=("_event_time",))
+    agg = (stg.groupBy(F.window("_event_time", "1 hour").alias("w"))
            .agg(F.count_if("is_anomaly").cast("bigint").alias("anomaly_count"),
                 F.count(F.lit(1)).cast("bigint").alias("total_readings")))
     return agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
@@ -154,6 +151,21 @@ class MartRefresher:
         daily_trends_from_partials(p).write.mode("overwrite").parquet(f"{self.base}/daily_trends")
 
 
+def _moments(col: str, tag: str):
+    """Mean and M2 (sum of squared deviations) of one partial, both computed stably."""
+    x = to_double(col)
+    return [F.avg(x).alias(f"mean_{tag}"), (F.var_pop(x) * F.count(x)).alias(f"m2_{tag}")]
+
+
+def _merged_stddev(p: DataFrame, group: str, tag: str) -> DataFrame:
+    """Sample stddev of the union of partials (Chan et al. pairwise combination):
+    M2 = sum(M2_i) + sum(n_i * (mean_i - mean)^2), var = M2 / (N - 1)."""
+    w = Window.partitionBy(group)
+    mean_all = F.sum(F.col("n") * F.col(f"mean_{tag}")).over(w) / F.sum("n").over(w)
+    return p.withColumn(f"_dev_{tag}", F.col(f"m2_{tag}")
+                        + F.col("n") * F.pow(F.col(f"mean_{tag}") - mean_all, 2))
+
+
 def partials(fact: DataFrame) -> DataFrame:
     """Mergeable per-(engine, date) aggregates of the fact table."""
     p, f, t = "chamber_pressure_psi", "fuel_flow_kg_per_sec", "temperature_fahrenheit"
@@ -161,11 +173,10 @@ def partials(fact: DataFrame) -> DataFrame:
     return fact.groupBy("engine_id", F.to_date("reading_timestamp").alias("date_actual")).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(p).alias("sum_p"), F.sum(f).alias("sum_f"), F.sum(t).alias("sum_t"),
-        F.sum(to_double(p) * to_double(p)).alias("sq_p"), F.sum(to_double(f) * to_double(f)).alias("sq_f"),
-        F.sum(to_double(t) * to_double(t)).alias("sq_t"),
+        *_moments(p, "p"), *_moments(f, "f"), *_moments(t, "t"),
         F.sum("fuel_efficiency_ratio").alias("sum_eff"), F.count("fuel_efficiency_ratio").alias("n_eff"),
         F.sum("performance_score").alias("sum_score"),
-        F.sum(to_double("performance_score") * to_double("performance_score")).alias("sq_score"),
+        *_moments("performance_score", "score"),
         F.min(p).alias("min_p"), F.max(p).alias("max_p"), F.min(f).alias("min_f"), F.max(f).alias("max_f"),
         F.min(t).alias("min_t"), F.max(t).alias("max_t"),
         F.min("performance_score").alias("min_score"), F.max("performance_score").alias("max_score"),
@@ -180,17 +191,18 @@ def partials(fact: DataFrame) -> DataFrame:
     )
 
 
-def _stddev(n, s, sq):
-    # sample variance from n, sum, sum of squares (double); NULL for one row
-    n, s, sq = F.col(n), to_double(F.col(s)), F.col(sq)
-    var = (sq - s * s / n) / (n - 1)
-    return F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
+def _stddev(n: str, dev: str):
+    """Sample stddev from a total count and a merged M2; NULL for one row."""
+    n, dev = F.col(n), F.col(dev)
+    return F.when(n > 1, F.sqrt(F.greatest(dev / (n - 1), F.lit(0.0))))
 
 
 def engine_summary_from_partials(p: DataFrame, as_of=None) -> DataFrame:
     """The engine mart rebuilt from partials (no pass over the fact table)."""
+    for tag in ("p", "f", "t"):
+        p = _merged_stddev(p, "engine_id", tag)
     g = p.groupBy("engine_id").agg(
-        *[F.sum(c).alias(c) for c in ("n", "sum_p", "sum_f", "sum_t", "sq_p", "sq_f", "sq_t", "sum_eff",
+        *[F.sum(c).alias(c) for c in ("n", "sum_p", "sum_f", "sum_t", "_dev_p", "_dev_f", "_dev_t", "sum_eff",
                                       "n_eff", "sum_score", "anomalies", "pressure_anomalies",
                                       "fuel_anomalies", "temperature_anomalies", "with_id")],
         *[F.min(c).alias(c) for c in ("min_p", "min_f", "min_t", "first_created")],
@@ -205,9 +217,9 @@ def engine_summary_from_partials(p: DataFrame, as_of=None) -> DataFrame:
         avg("sum_t").alias("avg_temperature_fahrenheit"),
         (F.col("sum_eff") / F.col("n_eff")).alias("avg_fuel_efficiency_ratio"),
         avg("sum_score").alias("avg_performance_score"),
-        _stddev("n", "sum_p", "sq_p").alias("stddev_chamber_pressure"),
-        _stddev("n", "sum_f", "sq_f").alias("stddev_fuel_flow"),
-        _stddev("n", "sum_t", "sq_t").alias("stddev_temperature"),
+        _stddev("n", "_dev_p").alias("stddev_chamber_pressure"),
+        _stddev("n", "_dev_f").alias("stddev_fuel_flow"),
+        _stddev("n", "_dev_t").alias("stddev_temperature"),
         F.col("min_p").alias("min_chamber_pressure_psi"), F.col("max_p").alias("max_chamber_pressure_psi"),
         F.col("min_f").alias("min_fuel_flow_kg_per_sec"), F.col("max_f").alias("max_fuel_flow_kg_per_sec"),
         F.col("min_t").alias("min_temperature_fahrenheit"), F.col("max_t").alias("max_temperature_fahrenheit"),
@@ -230,9 +242,10 @@ def daily_trends_from_partials(p: DataFrame) -> DataFrame:
     """The daily mart (counts, rates, windows, alerts) rebuilt from partials."""
     counts = ([a.lower() + "_anomalies" for a in rules.ANOMALY_TYPES]
               + [h.lower() + "_readings" for h in rules.READING_HEALTH_VALUES])
+    p = _merged_stddev(p, "date_actual", "score")
     g = p.groupBy("date_actual").agg(
         F.sum("n").alias("total_readings"), F.sum("anomalies").alias("total_anomalies"),
-        F.sum("sum_score").alias("_ss"), F.sum("sq_score").alias("_sq"),
+        F.sum("sum_score").alias("_ss"), F.sum("_dev_score").alias("_dev"),
         F.min("min_score").alias("min_daily_performance_score"),
         F.max("max_score").alias("max_daily_performance_score"),
         F.count_distinct("engine_id").alias("active_engines"),
@@ -244,7 +257,7 @@ def daily_trends_from_partials(p: DataFrame) -> DataFrame:
         pct_half_up("total_anomalies", n).alias("daily_anomaly_rate_percent"),
         (F.col("_ss") / n).alias("avg_daily_performance_score"),
         "min_daily_performance_score", "max_daily_performance_score",
-        _stddev("total_readings", "_ss", "_sq").alias("stddev_daily_performance"),
+        _stddev("total_readings", "_dev").alias("stddev_daily_performance"),
         F.col("active_engines").cast("bigint"), *[F.col(c).cast("bigint").alias(c) for c in counts])
     by_day = Window.orderBy("date_actual")
     last7 = by_day.rowsBetween(-(rules.MOVING_WINDOW_ROWS - 1), 0)

@@ -91,5 +91,9 @@ def test_foreach_batch_marts(spark, tmp_dir):
         for c in ("total_readings", "anomaly_rate_percent", "health_status", "performance_rank"):
             assert engines[e][c] == be[e][c], (e, c)
         assert abs(float(engines[e]["avg_chamber_pressure_psi"]) - float(be[e]["avg_chamber_pressure_psi"])) < 1e-6
-        if be[e]["stddev_temperature"] is not None:
-            assert abs(engines[e]["stddev_temperature"] - be[e]["stddev_temperature"]) < 1e-6
+        for c in ("stddev_temperature", "stddev_chamber_pressure", "stddev_fuel_flow"):
+            if be[e][c] is not None:
+                assert abs(engines[e][c] - be[e][c]) < 1e-9 * max(1.0, be[e][c]), (e, c)
+    for d in bd:
+        if bd[d]["stddev_daily_performance"] is not None:
+            assert abs(daily[d]["stddev_daily_performance"] - bd[d]["stddev_daily_performance"]) < 1e-9
