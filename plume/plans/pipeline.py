@@ -21,6 +21,9 @@ from plume.session import shared_dir
 from plume.sources import fixtures
 from plume.sources.raw import raw_load
 
+# landed fixture tables per (application, table folder, workdir)
+_LANDED: dict = {}
+
 # Processing time used by registered queries so results are reproducible.
 AS_OF = _dt.datetime(2024, 2, 1, 0, 0, 0)
 
@@ -64,10 +67,15 @@ class Pipeline:
 
         The lines are written to the shared folder and read back, as a landing
         zone would hold them: ingest then starts from stored text, not from the
-        expression that generated it.
+        expression that generated it. They are a pure function of ``events``, so
+        one landing per application and table folder serves every query.
         """
-        path = f"{self.workdir or shared_dir(self.spark)}/plume-lines-{uuid.uuid4().hex}"
-        fixtures.jsonl_from_events(self.events).write.mode("overwrite").parquet(path)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.workdir)
+        path = _LANDED.get(key)
+        if path is None:
+            path = f"{self.workdir or shared_dir(self.spark)}/plume-lines-{uuid.uuid4().hex}"
+            fixtures.jsonl_from_events(self.events).write.mode("overwrite").parquet(path)
+            _LANDED[key] = path
         return self.spark.read.parquet(path)
 
     @cached_property
