@@ -33,11 +33,13 @@ def q_gen_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generator.to_jsonl(generator.generate_readings(events.select(F.col("event_id").alias("id"))))
 
 
-def _land(spark: SparkSession, sf_dir: str, base: str) -> str:
+def _land(spark: SparkSession, sf_dir: str, base: str) -> tuple[str, int]:
     """Write the dirty lines of ``events`` as text files, originals then duplicates.
 
     Two writes, so the duplicate copies arrive after the originals (a later file
-    modification time, a later micro-batch with ``maxFilesPerTrigger``).
+    modification time). Returns the landing folder and the number of files of
+    the first write: with that many files per trigger, the originals form the
+    first micro-batch and the late copies the next ones.
     """
     lines = Pipeline(spark, sf_dir).lines
     landing = f"{base}/landing"
@@ -45,15 +47,22 @@ def _land(spark: SparkSession, sf_dir: str, base: str) -> str:
     later = lines.where(F.col("_ord") >= fixtures.DUP_ORD_OFFSET)
     first.orderBy("_ord").select("value").write.mode("overwrite").text(f"{landing}/a")
     later.orderBy("_ord").select("value").write.mode("overwrite").text(f"{landing}/b")
-    return landing
+    return landing, _count_files(spark, f"{landing}/a")
 
 
-def _run_stream(spark, sf_dir, build, mode="append", files_per_trigger=None) -> DataFrame:
+def _count_files(spark: SparkSession, path: str) -> int:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sum(1 for st in fs.listStatus(p) if st.isFile() and not st.getPath().getName().startswith(("_", ".")))
+
+
+def _run_stream(spark, sf_dir, build, mode="append", split_batches=False) -> DataFrame:
     base = _work(spark, "stream")
-    landing = _land(spark, sf_dir, base)
+    landing, n_first = _land(spark, sf_dir, base)
     src = spark.readStream.format("text").option("recursiveFileLookup", "true")
-    if files_per_trigger:
-        src = src.option("maxFilesPerTrigger", files_per_trigger)
+    if split_batches:
+        src = src.option("maxFilesPerTrigger", max(n_first, 1))
     lines = src.load(landing).select("value", F.lit(0).cast("long").alias("_ord"))
     out = build(lines)
     q = streams.start_to_table(out, f"{base}/sink", f"{base}/checkpoint", mode=mode)
@@ -78,7 +87,7 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _measures_double(_run_stream(
         spark, sf_dir,
         lambda lines: streams.dedup_stream(streams.clean_stream(lines), STREAM_WATERMARK).drop("_event_time"),
-        files_per_trigger=1))
+        split_batches=True))
 
 
 def q_stream_hourly_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,17 +96,17 @@ def q_stream_hourly_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir,
         lambda lines: streams.hourly_anomalies_stream(
             streams.dedup_stream(streams.clean_stream(lines), "2 hours")),
-        files_per_trigger=1)
+        split_batches=True)
 
 
 def q_stream_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: daily mart kept current by ``foreachBatch``."""
     base = _work(spark, "marts")
-    landing = _land(spark, sf_dir, base)
+    landing, n_first = _land(spark, sf_dir, base)
     p = Pipeline(spark, sf_dir)
     refresher = streams.MartRefresher(spark, f"{base}/tables", p.engines, p.metrics)
     lines = (spark.readStream.format("text").option("recursiveFileLookup", "true")
-             .option("maxFilesPerTrigger", 1).load(landing)
+             .option("maxFilesPerTrigger", max(n_first, 1)).load(landing)
              .select("value", F.lit(0).cast("long").alias("_ord")))
     deduped = streams.dedup_stream(streams.clean_stream(lines), STREAM_WATERMARK)
     q = (deduped.writeStream.foreachBatch(refresher)
