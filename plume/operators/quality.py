@@ -153,3 +153,32 @@ def run_declared_tests(models: dict, tests=DECLARED_TESTS) -> DataFrame:
 def store_failures(failing: DataFrame, path: str) -> None:
     """Keep the failing rows of a check as a table (parquet) for inspection."""
     failing.write.mode("overwrite").parquet(path)
+
+
+def failing_rows(df: DataFrame, t: Test) -> DataFrame:
+    """The rows (or duplicated keys, with counts) that fail test ``t`` on ``df``."""
+    if t.kind == "not_null":
+        return not_null(df, t.column)
+    if t.kind == "accepted_values":
+        return accepted_values(df, t.column, t.values)
+    if t.kind == "unique":
+        return unique(df, t.column)
+    if t.kind == "grain":
+        return fact_grain(df)
+    return unique_combination(df, t.column.split(","))
+
+
+def store_test_failures(models: dict, base: str, tests=DECLARED_TESTS) -> dict:
+    """Write the failing rows of every declared test under ``base/<test>``.
+
+    Returns ``{test name: path}``. Each test writes its own (usually empty)
+    table, like a warehouse keeping one failures table per test.
+    """
+    paths = {}
+    for t in tests:
+        if t.model not in models:
+            continue
+        path = f"{base.rstrip('/')}/{t.name.replace(':', '__').replace(',', '_')}"
+        store_failures(failing_rows(models[t.model], t), path)
+        paths[t.name] = path
+    return paths

@@ -187,7 +187,8 @@ es AS (
     CASE WHEN rate_k <= 500 THEN 'EXCELLENT' WHEN rate_k <= 1500 THEN 'GOOD'
          WHEN rate_k <= 3000 THEN 'FAIR' ELSE 'NEEDS_ATTENTION' END AS health_status,
     {AS_OF_SQL} AS report_generated_at
-  FROM em)"""
+  FROM em),
+es_k AS (SELECT es.*, em.score_k, em.rate_k FROM es JOIN em USING (engine_id))"""
 
 
 def engine_mart(select: str) -> str:
@@ -575,6 +576,10 @@ def oracles() -> dict[str, str]:
     o["serve_engine_performance"] = engine_mart("""SELECT engine_id, engine_name, avg_performance_score,
       anomaly_rate_percent, health_status, total_readings, last_processed_at FROM es
       ORDER BY avg_performance_score DESC""")
+    o["serve_engine_display"] = engine_mart(f"""SELECT engine_id, engine_name,
+      {half_up('score_k', '100000', 1)} AS avg_performance_score,
+      {half_up('rate_k', '100', 1)} AS anomaly_rate_percent, health_status, total_readings, last_processed_at
+      FROM es_k""")
     o["serve_daily_trends"] = daily_mart("""SELECT date_actual, total_readings, total_anomalies,
       daily_anomaly_rate_percent, avg_daily_performance_score, alert_flag FROM dt
       ORDER BY date_actual DESC LIMIT 7""")

@@ -187,6 +187,11 @@ def q_serve_engine_performance(spark, sf_dir):
     return serving.engine_performance(_p(spark, sf_dir).engine_summary)
 
 
+def q_serve_engine_display(spark, sf_dir):
+    """The engine table as displayed (score and rate to one decimal)."""
+    return serving.display_rounding(serving.engine_performance(_p(spark, sf_dir).engine_summary))
+
+
 def q_serve_daily_trends(spark, sf_dir):
     return serving.recent_days(_p(spark, sf_dir).daily_trends)
 
@@ -315,6 +320,7 @@ _RAW = {
     "q2_hourly_anomalies": q_q2,
     "q3_metric_matrix": q_q3,
     "serve_engine_performance": q_serve_engine_performance,
+    "serve_engine_display": q_serve_engine_display,
     "serve_daily_trends": q_serve_daily_trends,
     "serve_latest_readings": q_serve_latest_readings,
     "serve_kpis": q_serve_kpis,

@@ -218,3 +218,18 @@ def test_dimension_defaults_and_bridge(spark):
     assert len(bridge) == 15 and {float(b["calibration_factor"]) for b in bridge} == {1.0}
     lk = metric_lookup(fixtures.dim_metrics(spark)).collect()
     assert len(lk) == 1 and lk[0]["pressure_metric_key"] == 1 and float(lk[0]["temperature_normal_max"]) == 4000
+
+
+def test_store_test_failures(spark, tmp_dir):
+    import os
+    df = spark.createDataFrame([(1, "EXCELLENT"), (1, "BAD"), (None, "GOOD")],
+                               "engine_id int, health_status string")
+    tests = [quality.Test("engine_summary", "not_null", "engine_id"),
+             quality.Test("engine_summary", "unique", "engine_id"),
+             quality.Test("engine_summary", "accepted_values", "health_status", ("EXCELLENT", "GOOD"))]
+    paths = quality.store_test_failures({"engine_summary": df}, os.path.join(tmp_dir, "failures"), tests)
+    counts = {k: spark.read.parquet(v).count() for k, v in paths.items()}
+    assert counts == {"not_null:engine_summary:engine_id": 1, "unique:engine_summary:engine_id": 1,
+                      "accepted_values:engine_summary:health_status": 1}
+    summary = {r["test_name"]: r["failures"] for r in quality.run_declared_tests({"engine_summary": df}, tests).collect()}
+    assert summary == counts
