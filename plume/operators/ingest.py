@@ -315,3 +315,44 @@ def drop_reasons(lines: DataFrame) -> DataFrame:
     recs = validate(records_from_lines(classify_lines(lines)))
     return (recs.where((F.col("_kind") == RECORD) & F.col("_status").isNotNull())
             .select("_ord", F.col("_status").alias("reason")))
+
+
+def observed_clean(lines: DataFrame):
+    """C13 without an extra pass: the cleaned rows plus two ``Observation``s.
+
+    The counters ride along the action that consumes the result (typically the
+    CSV write): ``before`` sees every line once (kinds, validity, corrections),
+    ``after`` counts the deduplicated rows. Read them with
+    :func:`summary_from_observations` once the action has run.
+    """
+    from pyspark.sql import Observation
+
+    before, after = Observation("plume_ingest_lines"), Observation("plume_ingest_output")
+    validated = validate(records_from_lines(classify_lines(lines)))
+    valid = F.col("_status").isNull()
+    observed = validated.observe(
+        before,
+        F.count_if(F.col("_kind") == RECORD).alias("total_records"),
+        F.count_if(F.col("_kind") == PARSE_ERROR).alias("parsing_errors"),
+        F.count_if(valid).alias("valid_records"),
+        F.count_if(valid & F.col("_corrected")).alias("corrected_records"))
+    out = clean_output(dedup_first(observed)).observe(after, F.count(F.lit(1)).alias("unique_records"))
+    return out, before, after
+
+
+def summary_from_observations(before, after) -> dict:
+    """The C13 statistics from the observations of :func:`observed_clean`."""
+    b, a = before.get, after.get
+    total, valid = b["total_records"], b["valid_records"]
+    unique = a["unique_records"]
+
+    def rate(n):
+        if not total:
+            return None
+        from decimal import ROUND_HALF_UP, Decimal
+        return (Decimal(n) * 100 / Decimal(total)).quantize(Decimal("0.1"), rounding=ROUND_HALF_UP)
+
+    return {"total_records": total, "valid_records": valid, "dropped_records": total - valid,
+            "corrected_records": b["corrected_records"], "duplicate_records": valid - unique,
+            "parsing_errors": b["parsing_errors"], "success_rate_percent": rate(valid),
+            "output_rate_percent": rate(unique), "unique_records": unique}

@@ -228,3 +228,14 @@ def test_input_order_survives_file_splits(spark, tmp_dir):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert len(out) == 100
     assert out == {f"E{i:03d}": float(i) for i in range(100)}
+
+
+def test_observed_summary_equals_aggregate_summary(spark, tmp_dir):
+    lines = ["", "# c", "{bad", obj(0), obj(0), obj(1, chamber_pressure=-5), obj(2, engine_id=...),
+             obj(3, fuel_flow=0), obj(4, temperature=-400), obj(5)]
+    df = lines_df(spark, lines)
+    out, before, after = ingest.observed_clean(df)
+    write_clean_csv(out, os.path.join(tmp_dir, "obs_csv"))          # the one action
+    observed = ingest.summary_from_observations(before, after)
+    agg = ingest.summary_from_lines(df).collect()[0].asDict()
+    assert observed == agg
