@@ -1,6 +1,7 @@
 """The end-to-end batch job: landing folder of JSON Lines -> tables and test results.
 
-    spark-submit -m plume.plans.jobs --input <landing> --output <base> [--as-of ISO]
+    python -m plume.plans.jobs --input <landing> --output <base> [--as-of ISO]
+    spark-submit --py-files plume.zip plume/plans/jobs.py --input <landing> --output <base>
 
 Steps (each a Spark job over the whole input; lineage is cut by the tables it
 writes under ``--output``):
