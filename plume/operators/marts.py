@@ -166,12 +166,16 @@ def daily_aggregates(fact: DataFrame) -> DataFrame:
 
 
 def daily_trends(fact: DataFrame, as_of=None) -> DataFrame:
-    """``daily_anomaly_trends``, newest day first.
+    """``daily_anomaly_trends``, newest day first."""
+    return daily_trend_windows(daily_aggregates(fact), as_of)
+
+
+def daily_trend_windows(d: DataFrame, as_of=None) -> DataFrame:
+    """H8-H15 over the per-day aggregates (the output shape of ``daily_aggregates``).
 
     Moving averages and lags are ROW based (a missing day shifts "a week ago"),
     as in the reference. The windows run over one row per day.
     """
-    d = daily_aggregates(fact)
     by_day = Window.orderBy("date_actual")
     last7 = by_day.rowsBetween(-(rules.MOVING_WINDOW_ROWS - 1), 0)
     rate, score = F.col("daily_anomaly_rate_percent"), F.col("avg_daily_performance_score")

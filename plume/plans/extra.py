@@ -104,7 +104,7 @@ def q_stream_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _work(spark, "marts")
     landing, n_first = _land(spark, sf_dir, base)
     p = Pipeline(spark, sf_dir)
-    refresher = streams.MartRefresher(spark, f"{base}/tables", p.engines, p.metrics)
+    refresher = streams.MartRefresher(spark, f"{base}/tables", p.engines, p.metrics, as_of=p.as_of)
     lines = (spark.readStream.format("text").option("recursiveFileLookup", "true")
              .option("maxFilesPerTrigger", max(n_first, 1)).load(landing)
              .select("value", F.lit(0).cast("long").alias("_ord")))

@@ -312,6 +312,20 @@ lv AS (
   FROM lk)"""
 
 
+CLEAN_FROM_LINES = """
+cl AS (
+  SELECT sha256(concat_ws('#', ts_text, eng_out)) AS raw_id, ts, eng_out AS engine_id,
+    CAST(abs(p) AS DECIMAL(8,3)) AS p,
+    CAST(CASE WHEN f = 0 THEN 0.1 ELSE f END AS DECIMAL(8,3)) AS f,
+    CAST(t AS DECIMAL(8,3)) AS t
+  FROM lv WHERE kind = 'record' AND status IS NULL AND NOT dup)"""
+
+
+def lines_daily_mart(select: str) -> str:
+    """The daily mart over the cleaned dirty lines (what the streaming marts see)."""
+    return "WITH " + ",".join([READINGS, LINES, CLEAN_FROM_LINES, STAGING, ENGINES, FACT, DAILY_MART]) + "\n" + select
+
+
 def with_lines(select: str) -> str:
     return "WITH " + ",".join([READINGS, LINES]) + "\n" + select
 
@@ -439,6 +453,25 @@ def oracles() -> dict[str, str]:
     o["stream_dedup"] = with_lines(clean_sel)
     # streaming K1: every valid record, duplicates included
     o["stream_clean"] = with_lines(clean_sel.replace("AND NOT dup", ""))
+    # streaming K4: the daily mart maintained by foreachBatch equals the batch mart of the clean lines
+    o["stream_marts"] = lines_daily_mart("SELECT * FROM dt")
+    # streaming K3: hourly windows of the clean lines, emitted once the watermark (latest parsed
+    # event time of any record minus 2 hours) has passed the window end
+    o["stream_hourly_anomalies"] = (
+        "WITH " + ",".join([READINGS, LINES, CLEAN_FROM_LINES, STAGING]) + """
+        , wm AS (SELECT max(ts) - INTERVAL 2 HOUR AS w FROM lv
+                 WHERE kind = 'record' AND NOT dup AND q NOT IN (5, 12, 13, 14))
+        SELECT date_trunc('hour', reading_timestamp) AS window_start,
+               date_trunc('hour', reading_timestamp) + INTERVAL 1 HOUR AS window_end,
+               CAST(count(CASE WHEN is_anomaly THEN 1 END) AS BIGINT) AS anomaly_count,
+               CAST(count(*) AS BIGINT) AS total_readings
+        FROM stg GROUP BY 1, 2
+        HAVING date_trunc('hour', reading_timestamp) + INTERVAL 1 HOUR <= (SELECT w FROM wm)""")
+    o["materialize"] = with_fact("""
+        SELECT 'fact' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM fact
+        UNION ALL SELECT 'engine_summary', CAST(count(DISTINCT engine_id) AS BIGINT) FROM fact
+        UNION ALL SELECT 'daily_trends', CAST(count(DISTINCT CAST(reading_timestamp AS DATE)) AS BIGINT) FROM fact
+        UNION ALL SELECT 'engine_summary_from_stored_fact', CAST(count(DISTINCT engine_id) AS BIGINT) FROM fact""")
     o["clean_csv_roundtrip"] = with_lines(clean_sel)
     o["raw_load"] = with_lines(f"""SELECT sha256(concat_ws('#', ts_text, eng_out)) AS _airbyte_raw_id,
       {AS_OF_SQL} AS _airbyte_extracted_at, CAST(1 AS BIGINT) AS _airbyte_generation_id,

@@ -103,11 +103,12 @@ class MartRefresher:
     to the dates it touches, not to the whole history.
     """
 
-    def __init__(self, spark: SparkSession, base: str, engines: DataFrame, metrics: DataFrame):
+    def __init__(self, spark: SparkSession, base: str, engines: DataFrame, metrics: DataFrame, as_of=None):
         self.spark = spark
         self.base = base.rstrip("/")
         self.engines = engines
         self.metrics = metrics
+        self.as_of = as_of          # processing time; None = the time each batch runs
 
     @property
     def fact_path(self):
@@ -123,8 +124,9 @@ class MartRefresher:
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        raw = raw_load(batch.select(*rules.CSV_COLUMNS), _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
-        fact = (fact_unkeyed(staging(raw), self.engines, self.metrics)
+        now = self.as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        raw = raw_load(batch.select(*rules.CSV_COLUMNS), now)
+        fact = (fact_unkeyed(staging(raw, now), self.engines, self.metrics)
                 .withColumn("reading_date", F.to_date("reading_timestamp"))
                 .withColumn("_batch", F.lit(batch_id)))
         # (date, batch) partitions replaced dynamically: a retried batch rewrites
@@ -148,7 +150,7 @@ class MartRefresher:
         self.spark.read.parquet(version).write.mode("overwrite").parquet(self.partials_path)
         p = self.spark.read.parquet(self.partials_path)
         engine_summary_from_partials(p).write.mode("overwrite").parquet(f"{self.base}/engine_summary")
-        daily_trends_from_partials(p).write.mode("overwrite").parquet(f"{self.base}/daily_trends")
+        daily_trends_from_partials(p, now).write.mode("overwrite").parquet(f"{self.base}/daily_trends")
 
 
 def _moments(col: str, tag: str):
@@ -238,8 +240,9 @@ def engine_summary_from_partials(p: DataFrame, as_of=None) -> DataFrame:
         engine_health(F.col("anomaly_rate_percent")).alias("health_status"))
 
 
-def daily_trends_from_partials(p: DataFrame) -> DataFrame:
-    """The daily mart (counts, rates, windows, alerts) rebuilt from partials."""
+def daily_trends_from_partials(p: DataFrame, as_of=None) -> DataFrame:
+    """The daily mart rebuilt from partials: the per-day aggregates in the shape of
+    ``marts.daily_aggregates``, then the batch mart's own window and alert logic."""
     counts = ([a.lower() + "_anomalies" for a in rules.ANOMALY_TYPES]
               + [h.lower() + "_readings" for h in rules.READING_HEALTH_VALUES])
     p = _merged_stddev(p, "date_actual", "score")
@@ -249,31 +252,22 @@ def daily_trends_from_partials(p: DataFrame) -> DataFrame:
         F.min("min_score").alias("min_daily_performance_score"),
         F.max("max_score").alias("max_daily_performance_score"),
         F.count_distinct("engine_id").alias("active_engines"),
-        *[F.sum(c).alias(c) for c in counts])
+        *[F.sum(c).alias(c) for c in counts],
+        F.min("first_created").alias("earliest_processing_time"),
+        F.max("last_created").alias("latest_processing_time"))
     n = F.col("total_readings")
+    # AVG of decimal(5,1): exact quotient, half-up at 5 places
+    avg_score = F.round(F.col("_ss").cast("decimal(20,1)") / n.cast("decimal(20,0)"), 5).cast("decimal(9,5)")
     d = g.select(
-        "date_actual", day_of_week_sun0(F.col("date_actual").cast("timestamp")).alias("day_of_week"),
+        "date_actual", day_of_week_sun0(F.col("date_actual").cast("timestamp_ntz")).alias("day_of_week"),
+        day_of_week_sun0(F.col("date_actual").cast("timestamp_ntz")).isin(0, 6).alias("is_weekend"),
         n.cast("bigint").alias("total_readings"), F.col("total_anomalies").cast("bigint"),
         pct_half_up("total_anomalies", n).alias("daily_anomaly_rate_percent"),
-        (F.col("_ss") / n).alias("avg_daily_performance_score"),
+        *[F.col(c).cast("bigint").alias(c) for c in counts[:6]],
+        avg_score.alias("avg_daily_performance_score"),
         "min_daily_performance_score", "max_daily_performance_score",
         _stddev("total_readings", "_dev").alias("stddev_daily_performance"),
-        F.col("active_engines").cast("bigint"), *[F.col(c).cast("bigint").alias(c) for c in counts])
-    by_day = Window.orderBy("date_actual")
-    last7 = by_day.rowsBetween(-(rules.MOVING_WINDOW_ROWS - 1), 0)
-    rate, score = F.col("daily_anomaly_rate_percent"), F.col("avg_daily_performance_score")
-    out = d.select(
-        "*", F.col("day_of_week").isin(0, 6).alias("is_weekend"),
-        F.avg(rate).over(last7).alias("seven_day_avg_anomaly_rate"),
-        F.avg(score).over(last7).alias("seven_day_avg_performance"),
-        F.lag(rate, 1).over(by_day).alias("prev_day_anomaly_rate"),
-        F.lag(rate, rules.WEEK_LAG_ROWS).over(by_day).alias("week_ago_anomaly_rate"))
-    dod = F.round(rate - F.col("prev_day_anomaly_rate"), 2)
-    avg7 = F.col("seven_day_avg_anomaly_rate")
-    return out.select(
-        "*", dod.alias("day_over_day_anomaly_change"),
-        F.when(rate > avg7 * F.lit(1.2), "DETERIORATING").when(rate < avg7 * F.lit(0.8), "IMPROVING")
-        .otherwise("STABLE").alias("anomaly_trend"),
-        F.when(rate > rules.HIGH_ANOMALY_RATE, rules.ALERTS[0])
-        .when(F.col("critical_readings") > 0, rules.ALERTS[1])
-        .when(dod > rules.RAPID_CHANGE, rules.ALERTS[2]).alias("alert_flag"))
+        F.col("active_engines").cast("bigint"),
+        *[F.col(c).cast("bigint").alias(c) for c in counts[6:]],
+        "earliest_processing_time", "latest_processing_time")
+    return marts.daily_trend_windows(d, as_of)
