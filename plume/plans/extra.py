@@ -1,7 +1,8 @@
-"""Registered queries without a SQL oracle: random generator, streaming, materialisation.
+"""Registered queries that run writes or streams: generator, streaming, materialisation.
 
-They are checked rows-only by the driver and in depth by ``tests/``. Each one
-reads ``events`` and writes only under the shared folder (``spark.checkpoint.dir``).
+Each one reads ``events`` and writes only under the shared folder
+(``spark.checkpoint.dir``). All but the generator have DuckDB oracles; the
+generator is checked in depth by ``tests/test_generator.py``.
 """
 
 from __future__ import annotations
