@@ -17,7 +17,7 @@ ISO_TIMESTAMP_PATTERN = (
 )
 # A number text accepted by the cleaner (decimal or exponent form, optional sign,
 # surrounding blanks allowed). Underscores, booleans, NaN and infinities are not.
-NUMERIC_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+NUMERIC_PATTERN = r"^[ \t\n\r\f\x0B]*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[ \t\n\r\f\x0B]*$"
 
 
 def _col(c) -> Column:
@@ -40,10 +40,13 @@ def numeric_text(text) -> Column:
     return _col(text).rlike(NUMERIC_PATTERN)
 
 
+_WHITESPACE = " \t\n\r\f\u000b"
+
+
 def measure_text_value(text) -> Column:
     """The double value of a measure text, NULL when it is not a finite number."""
     t = _col(text)
-    v = F.trim(t).try_cast("double")
+    v = F.btrim(t, F.lit(_WHITESPACE)).try_cast("double")
     return F.when(numeric_text(t) & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), v)
 
 

@@ -128,7 +128,7 @@ def validate(records: DataFrame) -> DataFrame:
     return (df.withColumn("_status", status)
             .withColumn("_corrected", F.col("_status").isNull() & (neg_p | zero_f))
             .withColumn("chamber_pressure",
-                        F.when(neg_p, F.regexp_replace(F.trim("chamber_pressure"), "^-", ""))
+                        F.when(neg_p, F.regexp_replace(F.btrim("chamber_pressure", F.lit(_BLANKS)), "^-", ""))
                         .otherwise(F.col("chamber_pressure")))
             .withColumn("fuel_flow", F.when(zero_f, F.lit(rules.MIN_FUEL_FLOW))
                         .otherwise(F.col("fuel_flow"))))

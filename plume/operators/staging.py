@@ -26,7 +26,7 @@ def _as_of(as_of) -> Column:
 def _measure(c: str) -> Column:
     """``x::numeric(8,3)``: text is trimmed; values that do not fit become NULL."""
     col = F.col(c)
-    return F.trim(col.cast("string")).try_cast("decimal(8,3)")
+    return F.btrim(col.cast("string"), F.lit(" \t\n\r\f\u000b")).try_cast("decimal(8,3)")
 
 
 def _timestamp(c: str, dtype) -> Column:

@@ -19,8 +19,8 @@ from plume.functions.columns import iso_timestamp_text, measure_text_value
 digits = st.text(alphabet="0123456789", min_size=0, max_size=6)
 number_like = st.builds(
     lambda pad1, sign, a, dot, b, exp, pad2: f"{pad1}{sign}{a}{dot}{b}{exp}{pad2}",
-    st.sampled_from(["", " "]), st.sampled_from(["", "+", "-"]), digits, st.sampled_from(["", "."]), digits,
-    st.sampled_from(["", "e5", "E-2", "e", "e+", "x"]), st.sampled_from(["", " "]))
+    st.sampled_from(["", " ", "\t", " \n"]), st.sampled_from(["", "+", "-"]), digits, st.sampled_from(["", "."]),
+    digits, st.sampled_from(["", "e5", "E-2", "e", "e+", "x"]), st.sampled_from(["", " ", "\t"]))
 
 
 def _python_float(s):
