@@ -23,4 +23,4 @@ def test_run_batch_end_to_end(spark, tmp_dir):
     assert res["failed_tests"] == []
     assert spark.table("e2e_fact").count() == spark.read.parquet(os.path.join(out, "tables", "fact")).count()
     assert spark.table("e2e_engine_summary").count() == 5
-    assert os.path.isdir(os.path.join(out, "test_failures"))
+    assert os.path.isdir(os.path.join(out, "test_results"))
