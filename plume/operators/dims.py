@@ -19,8 +19,11 @@ def checked_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     Beyond the bound the DataFrame is returned unhinted, so Spark plans a
     shuffle (sort-merge) join instead, with AQE still free to convert it at run time.
     """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    verdict = getattr(dim, "_plume_small", {})
+    if max_rows not in verdict:
+        verdict[max_rows] = dim.limit(max_rows + 1).count() <= max_rows
+        dim._plume_small = verdict            # a DataFrame is immutable: the answer stays valid
+    return F.broadcast(dim) if verdict[max_rows] else dim
 
 
 def with_engine_defaults(engines: DataFrame) -> DataFrame:

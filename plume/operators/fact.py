@@ -29,7 +29,10 @@ def fact_unkeyed(stg: DataFrame, engines: DataFrame, metrics: DataFrame) -> Data
     * F3: one cross join with the one-row metric lookup (size 1 by construction).
     * F4-F8: time key, normal-range flag, reading health, renamed columns.
     """
-    eng = checked_broadcast(current_engines(engines))
+    eng = getattr(engines, "_plume_current", None)
+    if eng is None:
+        eng = engines._plume_current = current_engines(engines)
+    eng = checked_broadcast(eng)
     lookup = F.broadcast(metric_lookup(metrics))
     joined = stg.join(eng, "engine_id", "left").crossJoin(lookup)
     out_of_range = F.coalesce(

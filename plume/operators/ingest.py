@@ -97,9 +97,7 @@ def records_from_lines(classified: DataFrame) -> DataFrame:
 
 
 def _values(df: DataFrame) -> DataFrame:
-    for field in rules.MEASURE_FIELDS:
-        df = df.withColumn(f"_v_{field}", measure_text_value(F.col(field)))
-    return df
+    return df.select("*", *[measure_text_value(F.col(f)).alias(f"_v_{f}") for f in rules.MEASURE_FIELDS])
 
 
 def validate(records: DataFrame) -> DataFrame:
@@ -125,13 +123,15 @@ def validate(records: DataFrame) -> DataFrame:
     )
     neg_p = F.coalesce(vp < 0, F.lit(False))
     zero_f = F.coalesce(vf == 0, F.lit(False))
-    return (df.withColumn("_status", status)
-            .withColumn("_corrected", F.col("_status").isNull() & (neg_p | zero_f))
-            .withColumn("chamber_pressure",
-                        F.when(neg_p, F.regexp_replace(F.btrim("chamber_pressure", F.lit(_BLANKS)), "^-", ""))
-                        .otherwise(F.col("chamber_pressure")))
-            .withColumn("fuel_flow", F.when(zero_f, F.lit(rules.MIN_FUEL_FLOW))
-                        .otherwise(F.col("fuel_flow"))))
+    corrected = {
+        "chamber_pressure": F.when(neg_p, F.regexp_replace(F.btrim("chamber_pressure", F.lit(_BLANKS)), "^-", ""))
+        .otherwise(F.col("chamber_pressure")),
+        "fuel_flow": F.when(zero_f, F.lit(rules.MIN_FUEL_FLOW)).otherwise(F.col("fuel_flow")),
+    }
+    with_status = df.select("*", status.alias("_status"))
+    return with_status.select(
+        *[corrected[c].alias(c) if c in corrected else F.col(c) for c in with_status.columns],
+        (F.col("_status").isNull() & (neg_p | zero_f)).alias("_corrected"))
 
 
 def valid_records(validated: DataFrame) -> DataFrame:

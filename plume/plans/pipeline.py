@@ -28,6 +28,17 @@ _LANDED: dict = {}
 AS_OF = _dt.datetime(2024, 2, 1, 0, 0, 0)
 
 
+_DIMS: dict = {}
+
+
+def _per_app(spark: SparkSession, name: str, build):
+    """One dimension DataFrame per application (its size check then runs once)."""
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _DIMS:
+        _DIMS[key] = build(spark)
+    return _DIMS[key]
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-partition an input that has fewer splits than the cluster has cores.
 
@@ -80,11 +91,11 @@ class Pipeline:
 
     @cached_property
     def engines(self) -> DataFrame:
-        return fixtures.dim_engines(self.spark)
+        return _per_app(self.spark, "engines", fixtures.dim_engines)
 
     @cached_property
     def metrics(self) -> DataFrame:
-        return fixtures.dim_metrics(self.spark)
+        return _per_app(self.spark, "metrics", fixtures.dim_metrics)
 
     # ---------------------------------------------------------------- models
     @cached_property

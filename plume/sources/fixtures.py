@@ -100,9 +100,7 @@ def records_from_events(events: DataFrame) -> DataFrame:
         F.col("engine_id"),
     ] + [F.col(c).cast("string").alias(c) for c in rules.MEASURE_FIELDS]
     out = r.select(*cols)
-    for c in rules.CSV_COLUMNS:
-        out = out.withColumn(f"_has_{c}", F.col(c).isNotNull())
-    return out
+    return out.select("*", *[F.col(c).isNotNull().alias(f"_has_{c}") for c in rules.CSV_COLUMNS])
 
 
 # ---------------------------------------------------------------------------
