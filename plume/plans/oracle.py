@@ -480,9 +480,13 @@ def oracles() -> dict[str, str]:
       CASE WHEN f = 0 THEN 0.1 ELSE CAST(f AS DOUBLE) END AS fuel_flow,
       CAST(t AS DOUBLE) AS temperature
     FROM lv WHERE kind = 'record' AND status IS NULL AND NOT dup""")
-    o["dedup_first"] = with_lines("""SELECT ts_text AS timestamp, eng_out AS engine_id, ord AS kept_ord,
-      CAST(2 AS BIGINT) AS copies, CAST(abs(p) AS DOUBLE) AS chamber_pressure
-    FROM lv WHERE NOT dup AND status IS NULL AND kind = 'record' AND ord % 25 = 0 AND q >= 24""")
+    o["dedup_first"] = with_lines("""
+      , v AS (SELECT * FROM lv WHERE kind = 'record' AND status IS NULL),
+      k AS (SELECT ts_text, eng_out, count(*) AS copies, min(ord) AS kept_ord FROM v
+            GROUP BY ts_text, eng_out HAVING count(*) > 1)
+      SELECT k.ts_text AS timestamp, k.eng_out AS engine_id, k.kept_ord, CAST(k.copies AS BIGINT) AS copies,
+             CAST(abs(v.p) AS DOUBLE) AS chamber_pressure
+      FROM k JOIN v ON v.ord = k.kept_ord""")
     o["clean_audit"] = with_lines("""
       SELECT ord, 0 AS step, 'parse_error' AS rule, CAST(NULL AS VARCHAR) AS field FROM lv WHERE kind = 'parse_error'
       UNION ALL SELECT ord, 1, 'missing_required', NULL FROM lv WHERE status = 'missing_required'
