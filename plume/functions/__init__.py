@@ -17,7 +17,6 @@ from plume.functions.columns import (  # noqa: F401
     pct_half_up,
     performance_score,
     reading_health,
-    round_half_up,
     score_band,
     time_key,
     to_double,

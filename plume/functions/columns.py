@@ -150,7 +150,3 @@ def pct_half_up(numer, denom, scale: int = 2) -> Column:
     n = _col(numer).cast("decimal(20,0)")
     d = _col(denom).cast("decimal(20,0)")
     return F.round(n * F.lit(100) / d, scale).cast(f"decimal(10,{scale})")
-
-
-def round_half_up(c, scale: int) -> Column:
-    return F.round(_col(c), scale)

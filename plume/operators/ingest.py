@@ -273,10 +273,6 @@ def summary_from_lines(lines: DataFrame) -> DataFrame:
     return _summary(validate(records_from_lines(classify_lines(lines))))
 
 
-def summary_from_records(records: DataFrame) -> DataFrame:
-    return _summary(validate(records))
-
-
 def _summary(validated: DataFrame) -> DataFrame:
     """One pass over the lines: counts per dedup key (partial aggregation; lines
     that are not records share the NULL key), then totals over the keys."""

@@ -69,11 +69,3 @@ def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
         fallback = tempfile.mkdtemp(prefix="plume-checkpoints-")
     spark.sparkContext.setCheckpointDir(fallback)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint()`` usable: point the context at the shared folder."""
-    path = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
-    return path

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_jsonl(spark: SparkSession, paths, streaming: bool = False) -> DataFrame:
+def read_jsonl(spark: SparkSession, paths) -> DataFrame:
     """Read JSON Lines text as ``(value, _ord)``.
 
     ``_ord`` orders lines as they appear in the input: by file path, then by the
@@ -16,12 +16,6 @@ def read_jsonl(spark: SparkSession, paths, streaming: bool = False) -> DataFrame
     """
     if isinstance(paths, str):
         paths = [paths]
-    if streaming:
-        df = spark.readStream.format("text").load(paths[0])
-        # a streaming source has no stable split order; file name + arrival order
-        return df.select("value", F.struct(F.col("_metadata.file_path").alias("path"),
-                                           F.col("_metadata.file_block_start").alias("block"),
-                                           F.monotonically_increasing_id().alias("row")).alias("_ord"))
     df = spark.read.text(paths)
     return df.select(
         "value",
@@ -29,11 +23,3 @@ def read_jsonl(spark: SparkSession, paths, streaming: bool = False) -> DataFrame
                  F.col("_metadata.file_block_start").alias("block"),
                  F.monotonically_increasing_id().alias("row")).alias("_ord"),
     )
-
-
-def scan_lines(lines: DataFrame) -> DataFrame:
-    """The non-blank, non-comment lines (stripped) with their order column."""
-    from plume.operators.ingest import BLANK, COMMENT, classify_lines
-
-    c = classify_lines(lines)
-    return c.where(~F.col("kind").isin(BLANK, COMMENT)).select("_ord", "line")
