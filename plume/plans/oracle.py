@@ -284,7 +284,8 @@ ln AS (
   SELECT event_id AS ord, q, engine_id, ts, FALSE AS dup,
     CASE WHEN q = 6 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z'
          ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS ts_text,
-    CASE WHEN q = 19 THEN CAST(-1 AS DECIMAL(9,3)) ELSE CAST(p AS DECIMAL(9,3)) END AS p,
+    CASE WHEN q = 19 THEN CAST(-1 AS DECIMAL(9,3)) WHEN q = 7 THEN NULL  -- "chamber_pressure": null
+         ELSE CAST(p AS DECIMAL(9,3)) END AS p,
     CASE WHEN q = 19 THEN CAST(0 AS DECIMAL(8,3)) ELSE f END AS f,
     CASE WHEN q = 16 THEN CAST(6000 + hh AS DECIMAL(8,3)) WHEN q = 17 THEN CAST(-273.15 AS DECIMAL(8,3))
          WHEN q = 18 THEN CAST(-273.16 AS DECIMAL(8,3)) ELSE t END AS t
