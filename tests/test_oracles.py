@@ -9,6 +9,9 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SF001
 
+# PLUME_ORACLE_SF=/root/testdata/sf0.1 runs the same gate at a larger scale
+SF_DIR = os.environ.get("PLUME_ORACLE_SF", SF001)
+
 TABLES = ("events",)
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
@@ -28,13 +31,13 @@ def _norm(v):
 def con():
     c = duckdb.connect()
     for t in TABLES:
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF001, t)}.parquet')")
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF_DIR, t)}.parquet')")
     return c
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
-    df = QUERIES[name](spark, SF001)
+    df = QUERIES[name](spark, SF_DIR)
     cols = sorted(df.columns)
     srows = sorted(tuple(_norm(r[c]) for c in cols) for r in df.collect())
     cur = con.execute(ORACLES[name])
@@ -48,7 +51,7 @@ def test_query_matches_oracle(spark, con, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_rows_only_queries_run(spark, name):
-    assert QUERIES[name](spark, SF001).count() > 0
+    assert QUERIES[name](spark, SF_DIR).count() > 0
 
 
 def test_every_query_has_a_name_and_entry_runs(spark):
