@@ -233,3 +233,38 @@ def test_store_test_failures(spark, tmp_dir):
                       "accepted_values:engine_summary:health_status": 1}
     summary = {r["test_name"]: r["failures"] for r in quality.run_declared_tests({"engine_summary": df}, tests).collect()}
     assert summary == counts
+
+
+def test_recent_anomalies_filter_after_limit(spark):
+    # 60 readings, one per minute; only the 10 oldest are anomalous
+    rows = [(f"2025-01-01T{i // 60:02d}:{i % 60:02d}:00", "TRE-001", "50" if i < 10 else "200", "100", "3000")
+            for i in range(60)]
+    fact = _fact(spark, rows)
+    latest = serving.latest_readings(fact)
+    assert latest.count() == 50
+    assert serving.recent_anomalies(latest).count() == 0          # not "the 10 latest anomalies"
+    rows2 = rows + [("2025-01-01T02:00:00", "TRE-002", "50", "100", "3000")]
+    got = serving.recent_anomalies(serving.latest_readings(_fact(spark, rows2))).collect()
+    assert [r["engine_id"] for r in got] == ["TRE-002"]
+
+
+def test_q1_pre_aggregation_equals_join_then_aggregate_with_fan_out(spark):
+    from pyspark.sql import functions as F
+    rows = [(f"2025-01-0{1 + i % 3}T00:00:{i:02d}", f"TRE-00{1 + i % 3}", str(100 + i), str(40 + i), "3000")
+            for i in range(40)]
+    fact = _fact(spark, rows)
+    eng = fixtures.dim_engines(spark)
+    # a second row for engine key 2 (a duplicated dimension key fans the join out)
+    dup = eng.where("engine_key = 2").withColumn("engine_id", F.lit("TRE-002-dup"))
+    dims = eng.unionByName(dup)
+    fast = {r["engine_id"]: (r["avg_pressure"], r["avg_efficiency"], r["total_readings"])
+            for r in serving.q1_engine_comparison(fact, dims).collect()}
+    lit = (fact.join(dims, "engine_key").groupBy(dims["engine_id"])
+           .agg(F.avg("chamber_pressure_psi").alias("p"), F.avg("fuel_efficiency_ratio").alias("e"),
+                F.count(F.lit(1)).alias("n")))
+    slow = {r[0]: (r[1], r[2], r[3]) for r in lit.collect()}
+    assert fast.keys() == slow.keys()
+    for k in slow:
+        assert abs(float(fast[k][0]) - float(slow[k][0])) < 1e-6
+        assert abs(fast[k][1] - slow[k][1]) < 1e-12
+        assert fast[k][2] == slow[k][2]
