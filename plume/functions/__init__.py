@@ -13,6 +13,7 @@ from plume.functions.columns import (  # noqa: F401
     is_anomaly,
     iso_timestamp_text,
     measure_text_value,
+    ntz_literal,
     numeric_text,
     pct_half_up,
     performance_score,

@@ -24,6 +24,19 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ntz_literal(value) -> Column:
+    """A ``timestamp_ntz`` literal from a ``datetime`` or ISO text.
+
+    Built from text, so it means the same wall clock whatever the session time
+    zone (a Python ``datetime`` literal would pass through the session zone).
+    """
+    import datetime as _dt
+
+    if isinstance(value, _dt.datetime):
+        value = value.replace(tzinfo=None).isoformat(sep=" ")
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
 def iso_timestamp_text(text) -> Column:
     """Parsed wall-clock ``timestamp_ntz`` of an ISO text, NULL when invalid.
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plume import rules
-from plume.functions.columns import day_of_week_sun0, engine_health, pct_half_up, to_double
+from plume.functions.columns import day_of_week_sun0, engine_health, ntz_literal, pct_half_up, to_double
 
 
 def _now(as_of) -> Column:
@@ -26,9 +26,7 @@ def _now(as_of) -> Column:
         return F.current_timestamp().cast("timestamp_ntz")
     if isinstance(as_of, Column):
         return as_of
-    if not isinstance(as_of, _dt.datetime):
-        as_of = _dt.datetime.fromisoformat(str(as_of))
-    return F.lit(as_of).cast("timestamp_ntz")
+    return ntz_literal(as_of)
 
 
 def engine_name(engine_id: Column) -> Column:

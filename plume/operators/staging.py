@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plume import rules
 from plume.functions.columns import (anomaly_type, fuel_efficiency_ratio, is_anomaly,
-                                     iso_timestamp_text, performance_score)
+                                     iso_timestamp_text, ntz_literal, performance_score)
 from plume.schemas import STAGING_COLUMNS
 
 
@@ -18,9 +16,7 @@ def _as_of(as_of) -> Column:
         return F.current_timestamp().cast("timestamp_ntz")
     if isinstance(as_of, Column):
         return as_of.cast("timestamp_ntz")
-    if not isinstance(as_of, _dt.datetime):
-        as_of = _dt.datetime.fromisoformat(str(as_of))
-    return F.lit(as_of).cast("timestamp_ntz")
+    return ntz_literal(as_of)
 
 
 def _measure(c: str) -> Column:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plume import rules
+from plume.functions.columns import ntz_literal
 
 # FIXED VALUES: engine configuration (performance factor, failure rate)
 ENGINES = (
@@ -73,7 +74,7 @@ def _timeline(ids: DataFrame, seed: int, start: _dt.datetime) -> DataFrame:
     df = df.join(offsets, "_block")
     micros = F.round((F.col("_offset") + F.col("_run")) * 1_000_000).cast("long")
     # wall-clock arithmetic on timestamp_ntz: independent of the session time zone
-    return df.withColumn("timestamp", F.timestamp_add("MICROSECOND", micros, F.lit(start).cast("timestamp_ntz"))) \
+    return df.withColumn("timestamp", F.timestamp_add("MICROSECOND", micros, ntz_literal(start))) \
         .drop("_step", "_block", "_run", "_offset")
 
 

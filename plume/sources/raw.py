@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plume.functions.columns import ntz_literal
+
 from plume.schemas import RAW_SCHEMA
 
 
@@ -27,8 +27,7 @@ def raw_load(clean: DataFrame, extracted_at, generation_id: int = 1,
     reproducible; ``id_col`` takes an existing unique id instead of the hash;
     ``passthrough`` columns are carried along after the raw columns.
     """
-    ext = extracted_at if isinstance(extracted_at, Column) else F.lit(
-        extracted_at if isinstance(extracted_at, _dt.datetime) else _dt.datetime.fromisoformat(str(extracted_at)))
+    ext = extracted_at if isinstance(extracted_at, Column) else ntz_literal(extracted_at)
     rid = F.col(id_col) if id_col else raw_id(F.col("timestamp"), F.col("engine_id"))
     return clean.select(
         rid.cast("string").alias("_airbyte_raw_id"),

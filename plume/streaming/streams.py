@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plume import rules
-from plume.functions.columns import (day_of_week_sun0, engine_health, iso_timestamp_text, pct_half_up,
-                                     to_double)
+from plume.functions.columns import (day_of_week_sun0, engine_health, iso_timestamp_text, ntz_literal,
+                                     pct_half_up, to_double)
 from plume.operators import ingest, marts
 from plume.operators.fact import fact_unkeyed
 from plume.operators.staging import staging
@@ -61,8 +61,9 @@ def dedup_stream(validated: DataFrame, watermark: str = DEFAULT_WATERMARK) -> Da
     """
     keyed = (validated
              .withColumn("_valid", F.col("_status").isNull())
-             .withColumn("_event_time", F.coalesce("_event_time", F.lit(_dt.datetime(1970, 1, 1))
-                                                   .cast("timestamp_ntz")).cast("timestamp"))
+             # watermarks need TIMESTAMP: the wall clock is read in the session time zone
+             .withColumn("_event_time", F.coalesce("_event_time", ntz_literal("1970-01-01 00:00:00"))
+                         .cast("timestamp"))
              .withWatermark("_event_time", watermark)
              .dropDuplicatesWithinWatermark(["timestamp", "engine_id", "_valid"]))
     return keyed.where("_valid").select(*rules.CSV_COLUMNS, "_event_time")

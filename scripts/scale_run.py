@@ -27,6 +27,7 @@ def main() -> None:
     from plume.session import get_spark
     spark = get_spark("plume-scale", master=f"local[{os.environ.get('BENCH_CPUS', '8')}]", shuffle_partitions=64,
                       extra={"spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"})
+    from plume.functions.columns import ntz_literal
     from plume.sources import generator
 
     t = {}
@@ -35,7 +36,7 @@ def main() -> None:
     r = generator.generate_readings(spark.range(n).repartition(64), seed=1, start=start)
     hot = F.col("id") < n // 3
     r = (r.withColumn("timestamp", F.when(hot, F.timestamp_add("MICROSECOND", F.col("id"),
-                                                                F.lit(start).cast("timestamp_ntz")))
+                                                                ntz_literal(start)))
                       .otherwise(F.col("timestamp")))
           .withColumn("engine_id", F.when(hot, F.lit("TRE-001")).otherwise(F.col("engine_id"))))
     copies = (spark.range(n // 20).select((F.lit(1 << 41).cast("long") + F.col("id")).alias("_ord"))
