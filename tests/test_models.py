@@ -268,3 +268,24 @@ def test_q1_pre_aggregation_equals_join_then_aggregate_with_fan_out(spark):
         assert abs(float(fast[k][0]) - float(slow[k][0])) < 1e-6
         assert abs(fast[k][1] - slow[k][1]) < 1e-12
         assert fast[k][2] == slow[k][2]
+
+
+def test_batch_models_ignore_session_time_zone(spark):
+    rows = [("2025-03-04T05:06:07", "TRE-001", "200", "100", "3000"),
+            ("2025-03-04T23:59:59.5", "TRE-002", "50", "100", "3000")]
+
+    def snapshot():
+        f = _fact(spark, rows).collect()
+        d = marts.daily_trends(_fact(spark, rows), AS_OF).collect()
+        return (sorted((r["reading_timestamp"], r["time_key"], r["created_at"]) for r in f),
+                sorted((r["date_actual"], r["day_of_week"], r["report_generated_at"]) for r in d))
+
+    base = snapshot()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("Asia/Kolkata", "America/Los_Angeles", "Pacific/Chatham"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert snapshot() == base, tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert base[0][0][2] == AS_OF
