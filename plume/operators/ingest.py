@@ -81,14 +81,14 @@ def classify_lines(lines: DataFrame) -> DataFrame:
                     F.when(F.col("kind") == RECORD, objs.getItem(0)).alias("doc")))
 
 
-def records_from_lines(classified: DataFrame) -> DataFrame:
+def records_from_lines(classified: DataFrame, keep_line: bool = False) -> DataFrame:
     """Records (text fields + presence flags) for every line of ``classify_lines``.
 
     Lines that are not records keep their kind in ``_kind`` (``validate`` turns it
     into the status), instead of being filtered out here: a filter on a derived
     column would be pushed below the parse and make Spark parse each line twice.
     """
-    cols = [F.col("_ord"), F.col("kind").alias("_kind")]
+    cols = [F.col("_ord"), F.col("kind").alias("_kind")] + ([F.col("line").alias("_line")] if keep_line else [])
     for field in rules.CSV_COLUMNS:
         cols.append(F.col("doc").getItem(field).alias(field))
         cols.append(F.coalesce(F.map_contains_key("doc", F.lit(field)), F.lit(False))
@@ -215,8 +215,11 @@ def audit_records(records: DataFrame) -> DataFrame:
     )
     with_raw = df.withColumn("_events", events)
     if "_kind" in df.columns:
+        parse_error = F.array(_event(F.lit(True), 0, PARSE_ERROR, None,
+                                     F.col("_line") if "_line" in df.columns else None, None))
         with_raw = with_raw.withColumn(
-            "_events", F.when(F.col("_kind") == RECORD, F.col("_events")))
+            "_events", F.when(F.col("_kind") == RECORD, F.col("_events"))
+            .when(F.col("_kind") == PARSE_ERROR, parse_error))
     return (with_raw.select("_ord", F.explode(F.filter("_events", lambda x: x.isNotNull())).alias("e"))
             .select("_ord", "e.*"))
 
@@ -227,20 +230,19 @@ def with_raw_measures(records: DataFrame) -> DataFrame:
 
 
 def audit(lines: DataFrame) -> DataFrame:
-    """C11: the full audit log of a lines input: parse errors, record events, duplicates."""
-    classified = classify_lines(lines)
-    parse = (classified.where(F.col("kind") == PARSE_ERROR)
-             .select("_ord", F.lit(0).alias("step"), F.lit(PARSE_ERROR).alias("rule"),
-                     F.lit(None).cast("string").alias("field"),
-                     F.col("line").alias("old_value"), F.lit(None).cast("string").alias("new_value")))
-    records = records_from_lines(classified)
-    rec_events = audit_records(records)
+    """C11: the full audit log of a lines input: parse errors, record events, duplicates.
+
+    Parse errors and record events come from one pass over the lines; the
+    duplicates need the dedup grouping (a second pass).
+    """
+    records = records_from_lines(classify_lines(lines), keep_line=True)
+    events = audit_records(records)
     dups = duplicate_rows(validate(records))
     dup_events = dups.select("_ord", F.lit(10).alias("step"), F.lit(DUPLICATE_REMOVED).alias("rule"),
                              F.lit(None).cast("string").alias("field"),
                              F.concat_ws(" - ", "timestamp", "engine_id").alias("old_value"),
                              F.lit(None).cast("string").alias("new_value"))
-    return parse.unionByName(rec_events).unionByName(dup_events)
+    return events.unionByName(dup_events)
 
 
 def duplicate_rows(validated: DataFrame) -> DataFrame:
