@@ -77,7 +77,8 @@ def hourly_anomalies_stream(deduped: DataFrame) -> DataFrame:
     """
     stg = staging(raw_load(deduped, F.current_timestamp(), passthrough=("_event_time",)),
                   passthrough=("_event_time",))
-    agg = (stg.groupBy(F.window("_event_time", "1 hour").alias("w"))
+    start = _hour_start_offset(deduped.sparkSession)
+    agg = (stg.groupBy(F.window("_event_time", "1 hour", startTime=start).alias("w"))
            .agg(F.count_if("is_anomaly").cast("bigint").alias("anomaly_count"),
                 F.count(F.lit(1)).cast("bigint").alias("total_readings")))
     return agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
@@ -85,6 +86,23 @@ def hourly_anomalies_stream(deduped: DataFrame) -> DataFrame:
                       "anomaly_count", "total_readings")
 
 
+def _hour_start_offset(spark: SparkSession) -> str:
+    """``startTime`` that puts hourly windows on wall-clock hours of the session zone.
+
+    Windows are aligned to UTC; a zone whose offset is not a whole hour (+05:30,
+    +05:45, ...) needs the windows shifted by the sub-hour part of its offset.
+    """
+    from zoneinfo import ZoneInfo
+
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        offset = ZoneInfo(tz).utcoffset(_dt.datetime(2024, 1, 1))
+    except Exception:  # noqa: BLE001 - offsets like "+05:30" or unknown names: no shift
+        return "0 minutes"
+    minutes = int((-offset.total_seconds() // 60) % 60)
+    return f"{minutes} minutes"
+
+
 def start_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
                    available_now: bool = True, fmt: str = "parquet"):
     w = df.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
