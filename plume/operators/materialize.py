@@ -33,9 +33,9 @@ def fact_layout(fact: DataFrame) -> DataFrame:
     """Rows of one date together, sorted by (time_key, engine_key) inside each file.
 
     The reading key already range-partitions the fact on (time_key, engine_key,
-    ...), so each task holds a contiguous slice of time and writes few date
-    folders; the sort inside partitions gives tight min/max statistics per row
-    group for time-range filters. Distributing by the engine (the reference's
+    ...): every file of the key table covers one contiguous slice of time, so a
+    write task touches few date folders, and the sort inside partitions gives
+    tight min/max statistics per row group for time-range filters. Distributing by the engine (the reference's
     distribution key) would put a whole engine in one task — five engines, five
     busy tasks — so time is the distribution key here.
     """
