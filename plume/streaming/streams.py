@@ -47,6 +47,21 @@ def clean_stream(lines: DataFrame) -> DataFrame:
     return v.withColumn("_event_time", iso_timestamp_text(F.col("timestamp")))
 
 
+def observe_counts(validated: DataFrame, name: str = "plume_ingest") -> DataFrame:
+    """C13 on a stream: per-micro-batch counters without an extra pass.
+
+    They are reported in ``query.lastProgress["observedMetrics"][name]``
+    (``total_records``, ``parsing_errors``, ``valid_records``, ``corrected_records``).
+    """
+    valid = F.col("_status").isNull()
+    return validated.observe(
+        name,
+        F.count_if(F.col("_kind") == ingest.RECORD).alias("total_records"),
+        F.count_if(F.col("_kind") == ingest.PARSE_ERROR).alias("parsing_errors"),
+        F.count_if(valid).alias("valid_records"),
+        F.count_if(valid & F.col("_corrected")).alias("corrected_records"))
+
+
 def valid_stream(validated: DataFrame) -> DataFrame:
     return validated.where(F.col("_status").isNull()).select(*rules.CSV_COLUMNS)
 

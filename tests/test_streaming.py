@@ -97,3 +97,19 @@ def test_foreach_batch_marts(spark, tmp_dir):
     for d in bd:
         if bd[d]["stddev_daily_performance"] is not None:
             assert abs(daily[d]["stddev_daily_performance"] - bd[d]["stddev_daily_performance"]) < 1e-9
+
+
+def test_stream_observed_counts(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "landing")
+    os.makedirs(src)
+    lines = ['{"timestamp": "2025-01-01T00:00:00", "engine_id": "TRE-001", "chamber_pressure": -5, '
+             '"fuel_flow": 100, "temperature": 3000}',
+             '{"timestamp": "bad", "engine_id": "TRE-001"}', "{oops", "", "# c"]
+    with open(os.path.join(src, "a.jsonl"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    v = streams.observe_counts(streams.clean_stream(streams.read_lines_stream(spark, src)))
+    q = streams.start_to_table(streams.valid_stream(v), os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"))
+    q.awaitTermination(120)
+    progress = [p for p in q.recentProgress if p.get("observedMetrics")]
+    m = progress[-1]["observedMetrics"]["plume_ingest"]
+    assert (m["total_records"], m["parsing_errors"], m["valid_records"], m["corrected_records"]) == (2, 1, 1, 1)
