@@ -10,8 +10,8 @@ import os
 
 from pyspark.sql import SparkSession
 
-# Settings we want on every session. They are applied with ``setIfMissing``
-# semantics, so a cluster's spark-defaults keep precedence.
+# Settings we want on every session, applied only where the launcher (spark-submit,
+# spark-defaults.conf) has not set them, so a cluster's configuration keeps precedence.
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -41,7 +41,14 @@ def get_spark(app: str = "plume", master: str | None = None, shuffle_partitions:
         master = f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     if master:
         builder = builder.master(master)
-    conf = dict(_DEFAULTS)
+    # settings already given by the launcher (spark-submit, spark-defaults.conf)
+    # win over our defaults; explicit arguments win over both
+    try:
+        from pyspark import SparkConf
+        launched = SparkConf()
+    except Exception:  # noqa: BLE001 - no launcher configuration available
+        launched = None
+    conf = {k: v for k, v in _DEFAULTS.items() if launched is None or not launched.contains(k)}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
