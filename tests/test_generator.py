@@ -52,3 +52,23 @@ def test_generated_lines_clean(spark):
         clean.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
         .withColumn("_ord", F.monotonically_increasing_id())))
     assert again.count() == clean.count()
+
+
+def test_anomaly_value_ranges(spark):
+    r = generator.generate_readings(spark.range(60000), seed=9).where(F.col("_ord") < (1 << 40))
+    p, f, t = F.col("chamber_pressure"), F.col("fuel_flow"), F.col("temperature")
+    s = r.agg(
+        F.count_if(p.between(400, 600) & (p > 350)).alias("spike"),        # critical pressure spike
+        F.count_if(p < 0).alias("neg_p"),                                   # instability / out of range
+        F.count_if(p > 600).alias("over_p"),                                # out of range 500-1000
+        F.count_if(f == 0).alias("zero_f"),
+        F.count_if(f >= 300).alias("high_f"),
+        F.count_if(t < 0).alias("neg_t"),
+        F.count_if(t >= 8000).alias("hot_t"),
+        F.count_if(t.between(5000, 8000)).alias("runaway_t"),
+        F.min(p).alias("min_p"), F.max(p).alias("max_p"), F.min(t).alias("min_t"), F.max(t).alias("max_t"),
+    ).collect()[0]
+    for k in ("spike", "neg_p", "over_p", "zero_f", "high_f", "neg_t", "hot_t", "runaway_t"):
+        assert s[k] > 0, k
+    assert -100 <= s["min_p"] and s["max_p"] <= 1000
+    assert -300 <= s["min_t"] and s["max_t"] <= 12000

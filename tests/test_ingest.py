@@ -239,3 +239,16 @@ def test_observed_summary_equals_aggregate_summary(spark, tmp_dir):
     observed = ingest.summary_from_observations(before, after)
     agg = ingest.summary_from_lines(df).collect()[0].asDict()
     assert observed == agg
+
+
+def test_crlf_lines_and_csv_quoting(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "crlf")
+    os.makedirs(src)
+    with open(os.path.join(src, "w.jsonl"), "w", newline="") as f:
+        f.write(obj(0) + "\r\n" + obj(1, engine_id='TRE, "001"') + "\r\n\r\n" + obj(2) + "\r\n")
+    clean = ingest.clean_lines(read_jsonl(spark, src))
+    out = os.path.join(tmp_dir, "q_csv")
+    write_clean_csv(clean, out)
+    back = {r["engine_id"]: r for r in read_clean_csv(spark, out).collect()}
+    assert set(back) == {"TRE-001", 'TRE, "001"', "TRE-003"}
+    assert float(back['TRE, "001"']["chamber_pressure"]) == 200.0
