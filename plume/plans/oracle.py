@@ -31,10 +31,6 @@ def half_up_int(num: str, den: str, scale: int) -> str:
             f"ELSE -((CAST(-({num}) AS HUGEINT) * {m} + ({den})) // (2 * CAST(({den}) AS HUGEINT))) END)")
 
 
-def r4(expr: str) -> str:
-    return f"round({expr}, 4)"
-
-
 def d(expr: str) -> str:
     return f"CAST({expr} AS DOUBLE)"
 
@@ -399,10 +395,6 @@ def dq_sql(kinds) -> str:
 
 # ---------------------------------------------------------------------------- registry
 
-def _cols(*names: str) -> str:
-    return ", ".join(names)
-
-
 STAGING_SELECT_ALL = """SELECT _airbyte_raw_id, _airbyte_extracted_at, _airbyte_generation_id, engine_id,
   reading_timestamp, CAST(chamber_pressure_psi AS DOUBLE) AS chamber_pressure_psi,
   CAST(fuel_flow_kg_per_sec AS DOUBLE) AS fuel_flow_kg_per_sec,
