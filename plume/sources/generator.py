@@ -5,10 +5,10 @@ Every random draw is a function of ``(seed, reading id, draw name)`` through
 ids are partitioned, and after any task retry. No driver loop, no Python UDF.
 
 The time line (each reading 1-5 s after the previous one) is a global running
-sum. It is computed in blocks of ``BLOCK`` ids: a running sum inside each block
-(one window partition per block, never larger than ``BLOCK`` rows), plus the
-total of all earlier blocks (a running sum over one row per block), joined back
-on the block number.
+sum. It is computed in blocks of ids: a running sum inside each block (one
+window partition per block), plus the total of all earlier blocks (a running
+sum over one row per block, at most ``MAX_BLOCKS`` rows), joined back on the
+block number.
 """
 
 from __future__ import annotations
@@ -41,7 +41,8 @@ CRITICAL_FACTOR = 0.02
 PRESSURE_NOISE, FUEL_NOISE, TEMPERATURE_NOISE = 10.0, 8.0, 50.0
 MIN_TEMPERATURE = 500
 
-BLOCK = 10_000
+BLOCK = 10_000           # smallest block of ids for the running time line
+MAX_BLOCKS = 100_000     # the block-offset window never sees more rows than this
 _MASK53 = (1 << 53) - 1
 
 
@@ -62,10 +63,16 @@ def _between(u: Column, lo: float, hi: float) -> Column:
     return F.lit(lo) + u * F.lit(hi - lo)
 
 
-def _timeline(ids: DataFrame, seed: int, start: _dt.datetime) -> DataFrame:
-    """Add ``timestamp``: start + sum of U(1,5) s steps for all earlier ids (first step 0)."""
+def _timeline(ids: DataFrame, seed: int, start: _dt.datetime, n: int | None = None) -> DataFrame:
+    """Add ``timestamp``: start + sum of U(1,5) s steps for all earlier ids (first step 0).
+
+    With ``n`` (the number of ids) the block size grows so that there are at most
+    ``MAX_BLOCKS`` blocks: the window over block totals stays bounded, and each
+    block's own window holds ``n / MAX_BLOCKS`` rows at most.
+    """
+    block = BLOCK if n is None else max(BLOCK, -(-n // MAX_BLOCKS))
     step = F.when(F.col("id") > 0, _between(uniform(seed, "step"), 1.0, 5.0)).otherwise(F.lit(0.0))
-    df = ids.withColumn("_step", step).withColumn("_block", F.floor(F.col("id") / BLOCK))
+    df = ids.withColumn("_step", step).withColumn("_block", F.floor(F.col("id") / block))
     in_block = Window.partitionBy("_block").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumn("_run", F.sum("_step").over(in_block))
     totals = df.groupBy("_block").agg(F.sum("_step").alias("_total"))
@@ -78,8 +85,10 @@ def _timeline(ids: DataFrame, seed: int, start: _dt.datetime) -> DataFrame:
         .drop("_step", "_block", "_run", "_offset")
 
 
-def generate_readings(ids: DataFrame, seed: int = 42, start: _dt.datetime | None = None) -> DataFrame:
-    """Synthetic readings for ``ids`` (a DataFrame with a long ``id`` column, 0..n-1).
+def generate_readings(ids: DataFrame, seed: int = 42, start: _dt.datetime | None = None,
+                      n: int | None = None) -> DataFrame:
+    """Synthetic readings for ``ids`` (a DataFrame with a long ``id`` column, 0..n-1;
+    pass ``n`` when known so the time-line blocks scale with it).
 
     Returns ``id, _ord, timestamp, engine_id, chamber_pressure, fuel_flow, temperature``
     (NULL = key removed), duplicates included (``_ord`` after all originals).
@@ -89,7 +98,7 @@ def generate_readings(ids: DataFrame, seed: int = 42, start: _dt.datetime | None
         [(i, e, p, f) for i, (e, p, f) in enumerate(ENGINES)],
         "_engine_ix int, engine_id string, _perf double, _fail double")
     u = lambda name: uniform(seed, name)
-    df = _timeline(ids.select(F.col("id").cast("long")), seed, start)
+    df = _timeline(ids.select(F.col("id").cast("long")), seed, start, n)
     df = df.withColumn("_engine_ix", F.floor(u("engine") * len(ENGINES)).cast("int"))
     # a 5-row table: broadcasting it is bounded by construction
     df = df.join(F.broadcast(cfg), "_engine_ix")
@@ -151,4 +160,4 @@ def to_jsonl(readings: DataFrame) -> DataFrame:
 
 def generate_jsonl(spark, n: int, seed: int = 42, start: _dt.datetime | None = None) -> DataFrame:
     """B1: ``n`` readings (default in the reference: 100) as JSON Lines."""
-    return to_jsonl(generate_readings(spark.range(n), seed, start))
+    return to_jsonl(generate_readings(spark.range(n), seed, start, n=n))

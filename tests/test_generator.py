@@ -72,3 +72,12 @@ def test_anomaly_value_ranges(spark):
         assert s[k] > 0, k
     assert -100 <= s["min_p"] and s["max_p"] <= 1000
     assert -300 <= s["min_t"] and s["max_t"] <= 12000
+
+
+def test_timeline_independent_of_block_size(spark):
+    from plume.sources import generator as g
+    a = g.generate_readings(spark.range(25000), seed=4).select("_ord", "timestamp")
+    b = g.generate_readings(spark.range(25000), seed=4, n=25000 * 100_000).select("_ord", "timestamp")  # 1 block
+    diff = a.join(b.withColumnRenamed("timestamp", "t2"), "_ord").where(
+        F.abs(F.unix_micros(F.col("timestamp").cast("timestamp")) - F.unix_micros(F.col("t2").cast("timestamp"))) > 1)
+    assert diff.count() == 0
