@@ -30,8 +30,9 @@ def _work(spark: SparkSession, what: str) -> str:
 
 def q_gen_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One generated reading per event id (JSON Lines, duplicates appended)."""
-    events = Pipeline(spark, sf_dir).events
-    n = events.count()              # answered from parquet footers; sizes the time-line blocks
+    p = Pipeline(spark, sf_dir)
+    events = p.events
+    n = p.table("events").count()   # answered from parquet footers; sizes the time-line blocks
     return generator.to_jsonl(generator.generate_readings(events.select(F.col("event_id").alias("id")), n=n))
 
 
