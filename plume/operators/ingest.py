@@ -44,6 +44,20 @@ HIGH_TEMPERATURE = "high_temperature_warning"
 DUPLICATE_REMOVED = "duplicate_removed"
 
 
+def emit_rows(df: DataFrame, cond: Column, *cols) -> DataFrame:
+    """The ``cols`` of the rows of ``df`` where ``cond`` holds, produced by a generator.
+
+    A plain ``where`` on a column derived from the JSON parse is pushed by
+    Catalyst below the projections that compute it, so the filter gets its own
+    copies of the parse and the validation. Rows that come out of ``inline``
+    are generator output: no filter on them can move below the generator, and
+    the parse stays single.
+    """
+    named = [F.col(c) if isinstance(c, str) else c for c in cols]
+    picked = F.filter(F.array(F.when(cond, F.struct(*named))), lambda x: x.isNotNull())
+    return df.select(F.inline(picked))
+
+
 def classify_lines(lines: DataFrame) -> DataFrame:
     """Strip lines, mark blank/comment lines, parse JSON strictly.
 
@@ -137,7 +151,7 @@ def validate(records: DataFrame) -> DataFrame:
 def valid_records(validated: DataFrame) -> DataFrame:
     """Only the valid records (for diagnostics; the pipeline itself never filters
     before deduplicating, see ``dedup_first``)."""
-    return validated.where(F.col("_status").isNull())
+    return emit_rows(validated, F.col("_status").isNull(), *validated.columns)
 
 
 def dedup_first(records: DataFrame, order_col: str = "_ord") -> DataFrame:
@@ -246,8 +260,9 @@ def audit(lines: DataFrame) -> DataFrame:
 
 
 def duplicate_rows(validated: DataFrame) -> DataFrame:
-    """The valid records that dedup removes (every copy but the first of a key)."""
-    valid = validated.where(F.col("_status").isNull())
+    """The valid records that dedup removes (every copy but the first of a key):
+    ``(timestamp, engine_id, _ord)``."""
+    valid = emit_rows(validated, F.col("_status").isNull(), "timestamp", "engine_id", "_ord")
     firsts = valid.groupBy("timestamp", "engine_id").agg(F.min("_ord").alias("_first_ord"))
     return (valid.join(firsts, ["timestamp", "engine_id"], "inner")
             .where(F.col("_ord") != F.col("_first_ord")).drop("_first_ord"))
@@ -311,8 +326,8 @@ def _summary(validated: DataFrame) -> DataFrame:
 def drop_reasons(lines: DataFrame) -> DataFrame:
     """The dropped records with the rule that dropped them (``_ord``, ``reason``)."""
     recs = validate(records_from_lines(classify_lines(lines)))
-    return (recs.where((F.col("_kind") == RECORD) & F.col("_status").isNotNull())
-            .select("_ord", F.col("_status").alias("reason")))
+    return emit_rows(recs, (F.col("_kind") == RECORD) & F.col("_status").isNotNull(),
+                     "_ord", F.col("_status").alias("reason"))
 
 
 def observed_clean(lines: DataFrame):

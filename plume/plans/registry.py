@@ -57,13 +57,13 @@ def _measures_double(df: DataFrame) -> DataFrame:
 
 def q_ingest_scan(spark, sf_dir):
     c = ingest.classify_lines(_lines(spark, sf_dir))
-    return c.where(~F.col("kind").isin(ingest.BLANK, ingest.COMMENT)).select(
-        F.col("_ord").alias("ord"), "kind")
+    return ingest.emit_rows(c, ~F.col("kind").isin(ingest.BLANK, ingest.COMMENT),
+                            F.col("_ord").alias("ord"), "kind")
 
 
 def q_ingest_parse_errors(spark, sf_dir):
     c = ingest.classify_lines(_lines(spark, sf_dir))
-    return c.where(F.col("kind") == ingest.PARSE_ERROR).select(F.col("_ord").alias("ord"), "kind")
+    return ingest.emit_rows(c, F.col("kind") == ingest.PARSE_ERROR, F.col("_ord").alias("ord"), "kind")
 
 
 def _reasons(spark, sf_dir, cond):

@@ -63,7 +63,9 @@ def observe_counts(validated: DataFrame, name: str = "plume_ingest") -> DataFram
 
 
 def valid_stream(validated: DataFrame) -> DataFrame:
-    return validated.where(F.col("_status").isNull()).select(*rules.CSV_COLUMNS)
+    """The valid records of a validated stream, as CSV columns (parse stays single,
+    see ``ingest.emit_rows``)."""
+    return ingest.emit_rows(validated, F.col("_status").isNull(), *rules.CSV_COLUMNS)
 
 
 def dedup_stream(validated: DataFrame, watermark: str = DEFAULT_WATERMARK) -> DataFrame:

@@ -252,3 +252,17 @@ def test_crlf_lines_and_csv_quoting(spark, tmp_dir):
     back = {r["engine_id"]: r for r in read_clean_csv(spark, out).collect()}
     assert set(back) == {"TRE-001", 'TRE, "001"', "TRE-003"}
     assert float(back['TRE, "001"']["chamber_pressure"]) == 200.0
+
+
+def test_diagnostics_parse_each_line_once(spark):
+    """Rows picked by a derived condition come from a generator, so no filter copies the parse."""
+    df = lines_df(spark, [obj(0), obj(0), "{bad", obj(1, fuel_flow="x")])
+
+    def parses(d):
+        return d._jdf.queryExecution().optimizedPlan().toString().count("from_json")
+
+    assert parses(ingest.clean_lines(df)) == 1
+    assert parses(ingest.summary_from_lines(df)) == 1
+    assert parses(ingest.drop_reasons(df).where(F.col("reason") == "bad_timestamp")) == 1
+    assert parses(ingest.audit(df)) <= 3
+    assert sorted(r["reason"] for r in ingest.drop_reasons(df).collect()) == ["bad_numeric_fuel_flow"]
