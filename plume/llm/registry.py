@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from plume.llm import simhash
+from pyspark.sql import functions as F
+
+from plume.llm import packing, simhash, tokencount, topk, warc
 from plume.llm.common import table
 
 
@@ -10,9 +12,52 @@ def op1_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "status")
+
+
+def op3_topk(spark, sf_dir):
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+def op5_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op7_tokencount(spark, sf_dir):
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash,)}
+    return {f.__name__: f for f in (op1_simhash, op2_warc, op3_topk, op5_packing, op7_tokencount)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_warc": _WARC_SQL, "op3_topk": _TOPK_SQL}
+
+
+_WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+     k AS (SELECT h, max(page_id) AS kept FROM p GROUP BY h)
+SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(8), lambda g: array_to_string(list_transform([15, 10, 5, 0], lambda s:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  (((('0x' || substr(p.h, (g * 5 + 1)::BIGINT, 5))::BIGINT >> s::INTEGER) & 31) + 1)::BIGINT, 1)), '')), '')
+           AS payload_digest,
+       CASE WHEN page_id = kept OR kept IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = kept THEN NULL ELSE kept END AS refers_to, 'ok' AS status
+FROM p JOIN k USING (h)
+"""
+
+_TOPK_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT q.vec_id AS query_id, c.vec_id,
+                  list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+           FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
+     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
