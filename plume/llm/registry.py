@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plume.llm import packing, simhash, tokencount, topk, warc
+from plume.llm import decontam, license, linededup, packing, quality, simhash, tokencount, topk, urlfilter, warc
 from plume.llm.common import table
 
 
@@ -22,20 +22,46 @@ def op3_topk(spark, sf_dir):
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0))
 
 
+#: verdict, host, path
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def op4_urlfilter(spark, sf_dir):
+    return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op5_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_license(spark, sf_dir):
+    return license.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_tokencount(spark, sf_dir):
     return tokencount.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_linededup(spark, sf_dir):
+    return linededup.duplicate_lines(table(spark, sf_dir, "documents"))
+
+
+def op10_decontam(spark, sf_dir):
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash, op2_warc, op3_topk, op5_packing, op7_tokencount)}
+    return {f.__name__: f for f in (op1_simhash, op2_warc, op3_topk, op4_urlfilter, op5_packing, op6_license,
+                                    op7_tokencount, op8_quality, op9_linededup, op10_decontam)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": _WARC_SQL, "op3_topk": _TOPK_SQL}
+    return {"op2_warc": _WARC_SQL, "op3_topk": _TOPK_SQL, "op4_urlfilter": _URL_SQL}
 
 
 _WARC_SQL = """
@@ -61,3 +87,18 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DO
      r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+_URL_SQL = """
+WITH u AS (SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS mark FROM pages),
+     r AS (SELECT page_id, CASE WHEN mark = 0 THEN '' ELSE substr(url, mark + 3) END AS rest FROM u),
+     s AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM r),
+     p AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                  regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM s),
+     rules(verdict, rhost, rpath) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+         ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+     m AS (SELECT p.page_id, p.host, p.path, rhost || rpath AS rule, verdict,
+                  row_number() OVER (PARTITION BY p.page_id, p.host, p.path ORDER BY length(rhost || rpath) DESC NULLS LAST) AS n
+           FROM p LEFT JOIN rules ON (p.host = rhost OR suffix(p.host, '.' || rhost)) AND starts_with(p.path, rpath))
+SELECT p.page_id, p.host, p.path, m.rule, coalesce(m.verdict, 'allow') AS verdict
+FROM p JOIN m ON m.n = 1 AND m.page_id IS NOT DISTINCT FROM p.page_id AND m.host = p.host AND m.path = p.path
+"""
