@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from plume.session import shared_dir
@@ -36,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def text_slices(batch: pa.RecordBatch, column: int, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of about ``limit`` bytes of one text column (one row at least)."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start = total = 0
     for i, n in enumerate(sizes.tolist()):
         if i > start and total + n > limit:

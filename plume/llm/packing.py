@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -101,7 +102,7 @@ def _level(level: int, capacity: int, full: int, items: int):
             order = pa.array([i for x in bins for i in x], pa.int64())
             members = t.column("members").take(order).combine_chunks()
             members = members.chunk(0) if isinstance(members, pa.ChunkedArray) else members
-            ends = np.cumsum(pa.compute.list_value_length(members).to_numpy(zero_copy_only=False))
+            ends = np.cumsum(pc.list_value_length(members).to_numpy(zero_copy_only=False))
             ends = np.r_[0, ends[np.cumsum([len(x) for x in bins]) - 1]]
             merged = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _placed(members.flatten(), ends))
             total = [sum(used[i] for i in x) for x in bins]

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ def _tiles(rows: DataFrame, size: int, extra: list[str]) -> DataFrame:
         held: dict[int, list] = {}
         for b in batches:
             cols = [b.column(0).to_numpy(), *(b.column(i).to_numpy() for i in range(2, b.num_columns))]
-            counts = pa.compute.list_value_length(b.column(1)).to_numpy()
+            counts = pc.list_value_length(b.column(1)).to_numpy()
             flat = b.column(1).flatten().to_numpy()
             at = np.cumsum(counts) - counts
             for dim in np.unique(counts).tolist():
