@@ -167,7 +167,8 @@ def duplicate_lines(docs: DataFrame, unit: str = "word", min_tokens: int = MIN_T
     named). The earliest line of any group of neighbours always stays. Lines without tokens
     never go; lines under ``min_tokens`` tokens have no near-copies, only copies. Null and empty
     texts have no lines with tokens. Documents with a null id are not looked at: their lines
-    could not be named. Documents that repeat an id name one line per place, the first by text.
+    could not be named. Rows that repeat an id share their places: a place comes out once for each
+    row whose line there goes.
     """
     if unit not in ("word", "char"):
         raise ValueError("unit must be word or char")

@@ -144,8 +144,8 @@ def _forward(weights, x, doc_of):
     return p, h, t, g, alpha, z
 
 
-def fit(x: np.ndarray, doc_of: np.ndarray, y: np.ndarray, hidden: int = 16, gate: int = 8, epochs: int = 40,
-        batch: int = 256, rate: float = 0.01, decay: float = 1e-4, seed: int = 7) -> Model:
+def fit(x: np.ndarray, doc_of: np.ndarray, y: np.ndarray, hidden: int = 16, gate: int = 8, steps: int = 800,
+        batch: int = 256, rate: float = 0.01, decay: float = 1e-3, seed: int = 7) -> Model:
     """Adam on the log loss of document labels. ``doc_of`` runs 0, 0, .., 1, .. without gaps."""
     rng = np.random.default_rng(seed)
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-3
@@ -157,7 +157,7 @@ def fit(x: np.ndarray, doc_of: np.ndarray, y: np.ndarray, hidden: int = 16, gate
     starts = np.searchsorted(doc_of, np.arange(len(y)))
     counts = np.diff(np.r_[starts, len(doc_of)])
     step = 0
-    for _ in range(epochs):
+    while step < steps:
         order = rng.permutation(len(y))
         for pick in (order[i:i + batch] for i in range(0, len(order), batch)):
             n = counts[pick]
