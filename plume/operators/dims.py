@@ -1,4 +1,4 @@
-"""Dimension helpers (current-version filter, metric lookup, broadcast check)."""
+"""Dimension helpers (defaults, current-version filter, metric lookup)."""
 
 from __future__ import annotations
 
@@ -8,23 +8,6 @@ from pyspark.sql import functions as F
 from plume import rules
 from plume.schemas import DIM_ENGINE_DEFAULTS, DIM_ENGINES_SCHEMA
 
-# Rows a dimension may have and still be broadcast. A broadcast side is shipped
-# to every executor, so its size must be bounded by a check, never assumed.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def checked_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint ``broadcast`` only after counting at most ``max_rows + 1`` rows of ``dim``.
-
-    Beyond the bound the DataFrame is returned unhinted, so Spark plans a
-    shuffle (sort-merge) join instead, with AQE still free to convert it at run time.
-    """
-    verdict = getattr(dim, "_plume_small", {})
-    if max_rows not in verdict:
-        verdict[max_rows] = dim.limit(max_rows + 1).count() <= max_rows
-        dim._plume_small = verdict            # a DataFrame is immutable: the answer stays valid
-    return F.broadcast(dim) if verdict[max_rows] else dim
-
 
 def with_engine_defaults(engines: DataFrame) -> DataFrame:
     """Fill the DDL defaults of ``dim_engines`` for NULL attributes."""
@@ -37,6 +20,31 @@ def with_engine_defaults(engines: DataFrame) -> DataFrame:
     return out.select(*[f.name for f in DIM_ENGINES_SCHEMA.fields])
 
 
+def checked_engines(engines: DataFrame) -> DataFrame:
+    """Engines with their defaults (absent columns included), after a check that each key and each
+    current engine id occurs once: a second one would multiply readings."""
+    for f in DIM_ENGINES_SCHEMA.fields:
+        if f.name not in engines.columns:
+            engines = engines.withColumn(f.name, F.lit(None).cast(f.dataType))
+    engines = with_engine_defaults(engines)
+    _once(engines, "engine_key", "engine dimension")
+    _once(current_engines(engines), "engine_id", "current engines")
+    return engines
+
+
+def checked_metrics(metrics: DataFrame) -> DataFrame:
+    """Metrics, after a check that each key and each name occurs once."""
+    _once(metrics, "metric_key", "metric dimension")
+    _once(metrics, "metric_name", "metric dimension")
+    return metrics
+
+
+def _once(df: DataFrame, column: str, what: str) -> None:
+    again = df.groupBy(column).count().where("count > 1").first()
+    if again:
+        raise ValueError(f"{what}: {column} {again[0]!r} occurs {again[1]} times")
+
+
 def current_engines(engines: DataFrame) -> DataFrame:
     """current SCD-2 versions, ``(engine_key, engine_id)``."""
     return engines.where(F.col("is_current") == F.lit(True)).select("engine_key", "engine_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plume import rules
 from plume.functions.columns import reading_health, time_key
-from plume.operators.dims import checked_broadcast, current_engines, metric_lookup
+from plume.operators.dims import current_engines, metric_lookup
 from plume.operators.keys import global_row_number
 from plume.schemas import FACT_COLUMNS
 
@@ -25,14 +25,11 @@ def fact_unkeyed(stg: DataFrame, engines: DataFrame, metrics: DataFrame) -> Data
     """Staging -> fact rows without ``reading_key`` (lazy; no materialisation).
 
     * F2: LEFT join to the current engine versions on ``engine_id``; no match ->
-      ``engine_key = -1``. The dimension is broadcast only after its size check.
+      ``engine_key = -1``. Spark broadcasts the dimension while its size statistics allow it.
     * F3: one cross join with the one-row metric lookup (size 1 by construction).
     * F4-F8: time key, normal-range flag, reading health, renamed columns.
     """
-    eng = getattr(engines, "_plume_current", None)
-    if eng is None:
-        eng = engines._plume_current = current_engines(engines)
-    eng = checked_broadcast(eng)
+    eng = current_engines(engines)
     lookup = F.broadcast(metric_lookup(metrics))
     joined = stg.join(eng, "engine_id", "left").crossJoin(lookup)
     out_of_range = F.coalesce(

@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plume import rules
-from plume.functions.columns import day_of_week_sun0, engine_health, ntz_literal, pct_half_up, to_double
+from plume.functions.columns import (day_of_week_sun0, engine_health, exact_avg, ntz_literal, pct_half_up, ratio_half_up,
+                                     to_double, wide_sum)
 
 
 def _now(as_of) -> Column:
@@ -36,10 +37,10 @@ def engine_name(engine_id: Column) -> Column:
     return out.otherwise(F.concat(engine_id, F.lit(rules.UNKNOWN_ENGINE_SUFFIX)))
 
 
-def _util(avg_sum: Column, n: Column, limit: int) -> Column:
+def utilisation(total: Column, n: Column, limit: int) -> Column:
     """ROUND(AVG(x) * 100.0 / limit, 2), exact: sum * 100 / (n * limit), half-up."""
-    num = avg_sum.cast("decimal(38,3)") * F.lit(100)
-    return F.round(num / (n * F.lit(limit)).cast("decimal(38,0)"), 2).cast("decimal(12,2)")
+    thousandths = (total * F.lit(1000)).cast("decimal(38,0)")
+    return ratio_half_up(thousandths * F.lit(100), n.cast("decimal(30,0)") * F.lit(1000 * limit), 2, 12)
 
 
 def engine_aggregates(fact: DataFrame) -> DataFrame:
@@ -49,11 +50,7 @@ def engine_aggregates(fact: DataFrame) -> DataFrame:
     atype = F.col("anomaly_type")
     agg = fact.groupBy("engine_id").agg(
         F.count(F.lit(1)).alias("total_readings"),
-        F.avg(p).alias("avg_chamber_pressure_psi"),
-        F.avg(f).alias("avg_fuel_flow_kg_per_sec"),
-        F.avg(t).alias("avg_temperature_fahrenheit"),
         F.avg("fuel_efficiency_ratio").alias("avg_fuel_efficiency_ratio"),
-        F.avg("performance_score").alias("avg_performance_score"),
         F.stddev_samp(to_double(p)).alias("stddev_chamber_pressure"),
         F.stddev_samp(to_double(f)).alias("stddev_fuel_flow"),
         F.stddev_samp(to_double(t)).alias("stddev_temperature"),
@@ -67,14 +64,23 @@ def engine_aggregates(fact: DataFrame) -> DataFrame:
         F.count_if(atype.like("%PRESSURE%")).alias("pressure_anomalies"),
         F.count_if(atype.like("%FUEL%")).alias("fuel_anomalies"),
         F.count_if(atype.like("%TEMPERATURE%")).alias("temperature_anomalies"),
-        F.sum(p).alias("_sum_p"), F.sum(f).alias("_sum_f"), F.sum(t).alias("_sum_t"),
+        wide_sum(p).alias("_sum_p"), wide_sum(f).alias("_sum_f"), wide_sum(t).alias("_sum_t"),
+        wide_sum("performance_score", 1).alias("_sum_s"),
+        F.count(p).alias("_n_p"), F.count(f).alias("_n_f"), F.count(t).alias("_n_t"),
+        F.count("performance_score").alias("_n_s"),
         F.min(F.to_date("reading_timestamp")).alias("earliest_reading_date"),
         F.max(F.to_date("reading_timestamp")).alias("latest_reading_date"),
         F.count("airbyte_raw_id").alias("records_with_source_id"),
         F.min("created_at").alias("first_processed_at"),
         F.max("created_at").alias("last_processed_at"),
     )
+    return engine_rows(agg)
+
+
+def engine_rows(agg: DataFrame) -> DataFrame:
+    """The engine mart's columns from per-engine sums, counts, extremes and deviations."""
     n = F.col("total_readings")
+    score = exact_avg("_sum_s", "_n_s", 5, 9, 1)
     return agg.select(
         "engine_id",
         engine_name(F.col("engine_id")).alias("engine_name"),
@@ -83,8 +89,10 @@ def engine_aggregates(fact: DataFrame) -> DataFrame:
         F.lit(rules.OPERATIONAL_STATUS).alias("operational_status"),
         F.lit(_dt.date.fromisoformat(rules.INSTALLATION_DATE)).alias("installation_date"),
         n.cast("bigint").alias("total_readings"),
-        "avg_chamber_pressure_psi", "avg_fuel_flow_kg_per_sec", "avg_temperature_fahrenheit",
-        "avg_fuel_efficiency_ratio", "avg_performance_score",
+        exact_avg("_sum_p", "_n_p").alias("avg_chamber_pressure_psi"),
+        exact_avg("_sum_f", "_n_f").alias("avg_fuel_flow_kg_per_sec"),
+        exact_avg("_sum_t", "_n_t").alias("avg_temperature_fahrenheit"),
+        "avg_fuel_efficiency_ratio", score.alias("avg_performance_score"),
         "stddev_chamber_pressure", "stddev_fuel_flow", "stddev_temperature",
         "min_chamber_pressure_psi", "max_chamber_pressure_psi",
         "min_fuel_flow_kg_per_sec", "max_fuel_flow_kg_per_sec",
@@ -94,12 +102,12 @@ def engine_aggregates(fact: DataFrame) -> DataFrame:
         F.col("pressure_anomalies").cast("bigint").alias("pressure_anomalies"),
         F.col("fuel_anomalies").cast("bigint").alias("fuel_anomalies"),
         F.col("temperature_anomalies").cast("bigint").alias("temperature_anomalies"),
-        _util(F.col("_sum_p"), n, rules.PRESSURE_LIMIT).alias("pressure_utilization_percent"),
-        _util(F.col("_sum_f"), n, rules.FUEL_LIMIT).alias("fuel_flow_utilization_percent"),
-        _util(F.col("_sum_t"), n, rules.TEMPERATURE_LIMIT).alias("temperature_utilization_percent"),
+        utilisation(F.col("_sum_p"), F.col("_n_p"), rules.PRESSURE_LIMIT).alias("pressure_utilization_percent"),
+        utilisation(F.col("_sum_f"), F.col("_n_f"), rules.FUEL_LIMIT).alias("fuel_flow_utilization_percent"),
+        utilisation(F.col("_sum_t"), F.col("_n_t"), rules.TEMPERATURE_LIMIT).alias("temperature_utilization_percent"),
         "earliest_reading_date", "latest_reading_date",
         n.cast("bigint").alias("burn_phase_readings"),
-        F.col("avg_performance_score").alias("burn_phase_avg_performance"),
+        score.alias("burn_phase_avg_performance"),
         F.col("records_with_source_id").cast("bigint").alias("records_with_source_id"),
         "first_processed_at", "last_processed_at",
     )
@@ -113,7 +121,11 @@ def engine_summary(fact: DataFrame, as_of=None) -> DataFrame:
     DESC ranks put NULLs first (the warehouse default); the efficiency average is
     a double, so it is ranked on its value rounded to 6 places.
     """
-    agg = engine_aggregates(fact)
+    return engine_ranks(engine_aggregates(fact), as_of)
+
+
+def engine_ranks(agg: DataFrame, as_of=None) -> DataFrame:
+    """G12-G14 over the rows of :func:`engine_rows`."""
     eff6 = F.round("avg_fuel_efficiency_ratio", 6)
     out = agg.select(
         "*",
@@ -137,7 +149,7 @@ def daily_aggregates(fact: DataFrame) -> DataFrame:
            .agg(F.count(F.lit(1)).alias("total_readings"),
                 F.count_if("is_anomaly").alias("total_anomalies"),
                 *[F.count_if(at == a).alias(a.lower() + "_anomalies") for a in rules.ANOMALY_TYPES],
-                F.avg("performance_score").alias("avg_daily_performance_score"),
+                wide_sum("performance_score", 1).alias("_sum_s"), F.count("performance_score").alias("_n_s"),
                 F.min("performance_score").alias("min_daily_performance_score"),
                 F.max("performance_score").alias("max_daily_performance_score"),
                 F.stddev_samp(to_double("performance_score")).alias("stddev_daily_performance"),
@@ -155,7 +167,7 @@ def daily_aggregates(fact: DataFrame) -> DataFrame:
         F.col("total_anomalies").cast("bigint").alias("total_anomalies"),
         pct_half_up("total_anomalies", n).alias("daily_anomaly_rate_percent"),
         *[F.col(c).cast("bigint").alias(c) for c in counts[:6]],
-        "avg_daily_performance_score", "min_daily_performance_score",
+        exact_avg("_sum_s", "_n_s", 5, 9, 1).alias("avg_daily_performance_score"), "min_daily_performance_score",
         "max_daily_performance_score", "stddev_daily_performance",
         F.col("active_engines").cast("bigint").alias("active_engines"),
         *[F.col(c).cast("bigint").alias(c) for c in counts[6:]],

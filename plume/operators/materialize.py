@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plume.operators import marts
+
 
 def _name(name: str) -> str:
     if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", name):
@@ -45,15 +47,16 @@ def fact_layout(fact: DataFrame) -> DataFrame:
             .sortWithinPartitions("reading_date", "time_key", "engine_key"))
 
 
-def materialize_models(spark: SparkSession, fact: DataFrame, engine_summary: DataFrame,
-                       daily_trends: DataFrame, base: str, prefix: str = "plume") -> dict:
-    """Write fact + marts under ``base`` as tables ``<prefix>_fact`` etc."""
+def materialize_models(spark: SparkSession, fact: DataFrame, as_of, base: str, prefix: str = "plume") -> dict:
+    """Write the fact under ``base`` as table ``<prefix>_fact``, then both marts, which are
+    aggregated from that stored table."""
     base = base.rstrip("/")
     out = {}
     out["fact"] = save_table(spark, fact_layout(fact), f"{prefix}_fact", f"{base}/fact",
                              partition_by=["reading_date"])
-    # the marts are read from the stored fact, not recomputed from raw data
-    out["engine_summary"] = save_table(spark, engine_summary, f"{prefix}_engine_summary",
+    rows = out["fact"].drop("reading_date")
+    out["engine_summary"] = save_table(spark, marts.engine_summary(rows, as_of), f"{prefix}_engine_summary",
                                        f"{base}/engine_summary")
-    out["daily_trends"] = save_table(spark, daily_trends, f"{prefix}_daily_trends", f"{base}/daily_trends")
+    out["daily_trends"] = save_table(spark, marts.daily_trends(rows, as_of), f"{prefix}_daily_trends",
+                                     f"{base}/daily_trends")
     return out

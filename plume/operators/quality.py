@@ -41,9 +41,9 @@ def unique_combination(df: DataFrame, columns) -> DataFrame:
             .where(F.col("n_records") > 1))
 
 
-def fact_grain(fact: DataFrame) -> DataFrame:
+def fact_grain(fact: DataFrame, column: str = "airbyte_raw_id") -> DataFrame:
     """``airbyte_raw_id`` values with more than one fact row."""
-    return (fact.groupBy("airbyte_raw_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_records"))
+    return (fact.groupBy(column).agg(F.count(F.lit(1)).cast("bigint").alias("n_records"))
             .where(F.col("n_records") > 1))
 
 
@@ -98,6 +98,20 @@ DECLARED_TESTS = (
 )
 
 
+MODELS = ("raw", "staging", "fact", "engine_summary", "daily_trends")
+
+#: The declared kinds on inputs that break them (records before cleaning and deduplication).
+DIRTY_TESTS = (
+    *_nn("raw", "_airbyte_raw_id", "engine_id", "timestamp"),
+    Test("raw", "unique", "_airbyte_raw_id"),
+    Test("staging", "unique", "_airbyte_raw_id"),
+    Test("staging", "unique_combination", "engine_id,reading_timestamp"),
+    Test("staging", "accepted_values", "engine_id", tuple(e for e, _ in rules.ENGINE_NAMES)),
+    *_nn("staging", "anomaly_type"),
+    Test("staging", "grain", "_airbyte_raw_id"),
+)
+
+
 def _row_level_failures(df: DataFrame, tests) -> DataFrame:
     """One aggregate pass over ``df`` counting failures of all row-level tests."""
     aggs = []
@@ -116,7 +130,7 @@ def _group_failures(df: DataFrame, t: Test) -> DataFrame:
     if t.kind == "unique":
         failing = unique(df, t.column)
     elif t.kind == "grain":
-        failing = fact_grain(df)
+        failing = fact_grain(df, t.column)
     else:
         failing = unique_combination(df, t.column.split(","))
     return failing.agg(F.count(F.lit(1)).cast("bigint").alias("failures")).select(
@@ -164,10 +178,30 @@ def failing_rows(df: DataFrame, t: Test) -> DataFrame:
     if t.kind == "unique":
         return unique(df, t.column)
     if t.kind == "grain":
-        return fact_grain(df)
+        return fact_grain(df, t.column)
     return unique_combination(df, t.column.split(","))
 
 
+def stored_failures(spark, paths: dict, tests) -> DataFrame:
+    """The stored failing rows of ``tests`` as ``test_name, failing, n_records``: the offending
+    value (the row id for NULLs) and, for duplicates, how often it occurs."""
+    parts = []
+    for t in tests:
+        df = spark.read.parquet(paths[t.name])
+        if t.kind in ("not_null", "accepted_values"):
+            shown = F.col("_airbyte_raw_id") if t.kind == "not_null" else F.col(t.column)
+            counted = F.lit(1)
+        else:
+            shown = F.concat_ws("|", *[F.col(c).cast("string") for c in t.column.split(",")])
+            counted = F.col("n_records")
+        parts.append(df.select(F.lit(t.name).alias("test_name"), shown.cast("string").alias("failing"),
+                               counted.cast("bigint").alias("n_records")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def store_test_failures(models: dict, base: str, tests=DECLARED_TESTS) -> dict:
     """Write the failing rows of every declared test under ``base/<test>``.
 

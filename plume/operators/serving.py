@@ -2,18 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plume import rules
-from plume.functions.columns import score_band
-from plume.operators.dims import checked_broadcast
-
-
-def exact_avg(sum_col: Column, cnt_col: Column, scale: int = 7) -> Column:
-    """sum / count as an exact decimal, half-up at ``scale`` places (like AVG of a decimal)."""
-    q = sum_col.cast("decimal(20,3)") / cnt_col.cast("decimal(10,0)")
-    return F.round(q, scale).cast(f"decimal({12 + scale - 7},{scale})")
+from plume.functions.columns import exact_avg, score_band, wide_sum
 
 
 def q1_engine_comparison(fact: DataFrame, engines: DataFrame) -> DataFrame:
@@ -26,16 +19,16 @@ def q1_engine_comparison(fact: DataFrame, engines: DataFrame) -> DataFrame:
     per ``engine_id``: the join input is tiny whatever the fact size.
     """
     per_key = fact.groupBy("engine_key").agg(
-        F.sum("chamber_pressure_psi").alias("_sp"), F.count("chamber_pressure_psi").alias("_np"),
+        wide_sum("chamber_pressure_psi").alias("_sp"), F.count("chamber_pressure_psi").alias("_np"),
         F.sum("fuel_efficiency_ratio").alias("_se"), F.count("fuel_efficiency_ratio").alias("_ne"),
         F.count(F.lit(1)).alias("_n"))
-    dim = checked_broadcast(engines.select("engine_key", "engine_id"))
+    dim = engines.select("engine_key", "engine_id")
     merged = per_key.join(dim, "engine_key", "inner").groupBy("engine_id").agg(
-        F.sum("_sp").alias("_sp"), F.sum("_np").alias("_np"),
+        wide_sum("_sp").alias("_sp"), F.sum("_np").alias("_np"),
         F.sum("_se").alias("_se"), F.sum("_ne").alias("_ne"), F.sum("_n").alias("_n"))
     return merged.select(
         "engine_id",
-        F.when(F.col("_np") > 0, exact_avg(F.col("_sp"), F.col("_np"))).alias("avg_pressure"),
+        F.when(F.col("_np") > 0, exact_avg("_sp", "_np")).alias("avg_pressure"),
         (F.col("_se") / F.col("_ne")).alias("avg_efficiency"),
         F.col("_n").cast("bigint").alias("total_readings"),
     )
@@ -61,21 +54,21 @@ def q3_metric_matrix(fact: DataFrame, engines: DataFrame, metrics: DataFrame) ->
     """
     day = F.to_date("reading_timestamp").alias("reading_date")
     per_key = fact.groupBy("engine_key", day).agg(
-        F.sum("chamber_pressure_psi").alias("_sp"), F.count("chamber_pressure_psi").alias("_np"),
-        F.sum("fuel_flow_kg_per_sec").alias("_sf"), F.count("fuel_flow_kg_per_sec").alias("_nf"))
-    dim = checked_broadcast(engines.select("engine_key", "engine_id"))
+        wide_sum("chamber_pressure_psi").alias("_sp"), F.count("chamber_pressure_psi").alias("_np"),
+        wide_sum("fuel_flow_kg_per_sec").alias("_sf"), F.count("fuel_flow_kg_per_sec").alias("_nf"))
+    dim = engines.select("engine_key", "engine_id")
     per_engine = per_key.join(dim, "engine_key", "inner").groupBy("engine_id", "reading_date").agg(
-        F.sum("_sp").alias("_sp"), F.sum("_np").alias("_np"),
-        F.sum("_sf").alias("_sf"), F.sum("_nf").alias("_nf"))
+        wide_sum("_sp").alias("_sp"), F.sum("_np").alias("_np"),
+        wide_sum("_sf").alias("_sf"), F.sum("_nf").alias("_nf"))
     cats = metrics.groupBy("metric_category").agg(
         F.max(F.col("metric_name") == "chamber_pressure").alias("_has_p"),
         F.max(F.col("metric_name") == "fuel_flow").alias("_has_f"))
-    grid = per_engine.crossJoin(checked_broadcast(cats))
+    grid = per_engine.crossJoin(cats)
     return grid.select(
         "engine_id", "reading_date", "metric_category",
-        F.when(F.col("_has_p") & (F.col("_np") > 0), exact_avg(F.col("_sp"), F.col("_np")))
+        F.when(F.col("_has_p") & (F.col("_np") > 0), exact_avg("_sp", "_np"))
         .alias("avg_pressure"),
-        F.when(F.col("_has_f") & (F.col("_nf") > 0), exact_avg(F.col("_sf"), F.col("_nf")))
+        F.when(F.col("_has_f") & (F.col("_nf") > 0), exact_avg("_sf", "_nf"))
         .alias("avg_fuel_flow"),
     )
 
@@ -110,17 +103,22 @@ LATEST_COLUMNS = ("reading_timestamp", "engine_id", "chamber_pressure_psi", "fue
 
 def latest_readings(fact: DataFrame, limit: int = rules.LATEST_READINGS_LIMIT) -> DataFrame:
     """The newest ``limit`` readings (TakeOrderedAndProject: a per-partition top-k)."""
-    return (fact.orderBy(F.col("reading_timestamp").desc(), F.col("airbyte_raw_id").asc())
-            .limit(limit).select(*LATEST_COLUMNS))
+    return newest(fact, limit).select(*LATEST_COLUMNS)
+
+
+def newest(fact: DataFrame, limit: int = rules.LATEST_READINGS_LIMIT) -> DataFrame:
+    """The newest ``limit`` fact rows; equal times go by record id."""
+    return fact.orderBy(F.col("reading_timestamp").desc(), F.col("airbyte_raw_id").asc()).limit(limit)
 
 
 def recent_anomalies(latest: DataFrame, limit: int = rules.RECENT_ANOMALIES_LIMIT) -> DataFrame:
     """Anomalies among the latest readings, first ``limit`` of them.
 
-    The filter runs *after* the latest-N limit, as in the dashboard.
+    The filter runs *after* the latest-N limit, as in the dashboard. ``latest`` comes from
+    :func:`newest` and still has the record id, which breaks ties.
     """
     return (latest.where(F.col("is_anomaly"))
-            .orderBy(F.col("reading_timestamp").desc()).limit(limit)
+            .orderBy(F.col("reading_timestamp").desc(), F.col("airbyte_raw_id").asc()).limit(limit)
             .select("reading_timestamp", "engine_id", "anomaly_type", "chamber_pressure_psi",
                     "fuel_flow_kg_per_sec", "temperature_fahrenheit"))
 

@@ -1,15 +1,14 @@
-"""Registered queries that run writes or streams: generator, streaming, materialisation.
+"""Registered queries that run writes or streams: streaming, materialisation.
 
 Each one reads ``events`` and writes only under the shared folder
-(``spark.checkpoint.dir``). All but the generator have DuckDB oracles; the
-generator is checked in depth by ``tests/test_generator.py``.
+(``spark.checkpoint.dir``). All have DuckDB oracles.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plume import rules
@@ -17,7 +16,7 @@ from plume.operators import marts
 from plume.operators.materialize import materialize_models
 from plume.plans.pipeline import Pipeline
 from plume.session import shared_dir
-from plume.sources import fixtures, generator
+from plume.sources import fixtures
 from plume.streaming import streams
 
 # event time spanned by the driver's events (30 days) fits inside this watermark
@@ -28,14 +27,6 @@ def _work(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/plume-{what}-{uuid.uuid4().hex}"
 
 
-def q_gen_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One generated reading per event id (JSON Lines, duplicates appended)."""
-    p = Pipeline(spark, sf_dir)
-    events = p.events
-    n = p.table("events").count()   # answered from parquet footers; sizes the time-line blocks
-    return generator.to_jsonl(generator.generate_readings(events.select(F.col("event_id").alias("id")), n=n))
-
-
 def _land(spark: SparkSession, sf_dir: str, base: str) -> tuple[str, int]:
     """Write the dirty lines of ``events`` as text files, originals then duplicates.
 
@@ -44,12 +35,10 @@ def _land(spark: SparkSession, sf_dir: str, base: str) -> tuple[str, int]:
     the first write: with that many files per trigger, the originals form the
     first micro-batch and the late copies the next ones.
     """
-    lines = Pipeline(spark, sf_dir).lines
+    lines = fixtures.jsonl_from_events(Pipeline(spark, sf_dir).events)
     landing = f"{base}/landing"
-    first = lines.where(F.col("_ord") < fixtures.DUP_ORD_OFFSET)
-    later = lines.where(F.col("_ord") >= fixtures.DUP_ORD_OFFSET)
-    first.orderBy("_ord").select("value").write.mode("overwrite").text(f"{landing}/a")
-    later.orderBy("_ord").select("value").write.mode("overwrite").text(f"{landing}/b")
+    for folder, rows in (("a", lines.where("part = 0")), ("b", lines.where("part > 0"))):
+        rows.orderBy("part", "event_id").select("value").write.mode("overwrite").text(f"{landing}/{folder}")
     return landing, _count_files(spark, f"{landing}/a")
 
 
@@ -102,8 +91,7 @@ def q_stream_hourly_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
         split_batches=True)
 
 
-def q_stream_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K4: daily mart kept current by ``foreachBatch``."""
+def _streamed(spark: SparkSession, sf_dir: str, mart: str) -> DataFrame:
     base = _work(spark, "marts")
     landing, n_first = _land(spark, sf_dir, base)
     p = Pipeline(spark, sf_dir)
@@ -115,34 +103,52 @@ def q_stream_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = (deduped.writeStream.foreachBatch(refresher)
          .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/tables/daily_trends")
+    return refresher.read(mart)
+
+
+def q_stream_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: daily mart kept current by ``foreachBatch``."""
+    return _streamed(spark, sf_dir, "daily_trends")
+
+
+def q_stream_engine_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: engine mart kept current by ``foreachBatch``, with all columns of the batch mart."""
+    return _streamed(spark, sf_dir, "engine_summary")
 
 
 def q_materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store fact and marts as analysed tables; rows per stored table."""
+    """Store fact and marts as analysed tables; rows per stored table, by its contents, by
+    its statistics, and (fact) as far as its files keep the layout."""
     p = Pipeline(spark, sf_dir)
     base = _work(spark, "tables")
     prefix = "plume_" + uuid.uuid4().hex[:8]
-    fact = p.fact()
-    stored_fact = materialize_models(spark, fact, p.engine_summary, p.daily_trends, base, prefix)["fact"]
-    # marts recomputed from the stored fact (what a scheduled refresh would do)
+    stored_fact = materialize_models(spark, p.fact(), p.as_of, base, prefix)["fact"]
     es = marts.engine_summary(stored_fact.drop("reading_date"), p.as_of)
+    known = spark.sql(f"DESCRIBE EXTENDED {prefix}_fact").where("col_name = 'Statistics'")
+    analysed = known.select(F.lit("fact_statistics").alias("table_name"),
+                            F.regexp_extract("data_type", r"(\d+) rows", 1).cast("bigint").alias("row_count"))
+    # rows in the folder of their own date, and not below an earlier row of their file
+    by_file = Window.partitionBy(F.input_file_name()).orderBy("reading_key")
+    kept = (stored_fact.withColumn("before", F.lag("time_key").over(by_file))
+            .where("reading_date = to_date(reading_timestamp) AND (before IS NULL OR before <= time_key)")
+            .agg(F.count(F.lit(1)).alias("row_count")).select(F.lit("fact_layout").alias("table_name"), "row_count"))
     counts = [spark.table(f"{prefix}_{t}").agg(F.count(F.lit(1)).alias("row_count"))
               .select(F.lit(t).alias("table_name"), "row_count")
               for t in ("fact", "engine_summary", "daily_trends")]
     out = counts[0]
     for c in counts[1:]:
         out = out.unionByName(c)
+    out = out.unionByName(analysed).unionByName(kept)
     return out.unionByName(es.agg(F.count(F.lit(1)).alias("row_count"))
                            .select(F.lit("engine_summary_from_stored_fact").alias("table_name"), "row_count"))
 
 
 def queries() -> dict:
     return {
-        "gen_telemetry": q_gen_telemetry,
         "stream_clean": q_stream_clean,
         "stream_dedup": q_stream_dedup,
         "stream_hourly_anomalies": q_stream_hourly_anomalies,
         "stream_marts": q_stream_marts,
+        "stream_engine_mart": q_stream_engine_mart,
         "materialize": q_materialize,
     }

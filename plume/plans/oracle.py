@@ -48,7 +48,7 @@ rd AS (
   SELECT event_id, CAST(event_id AS VARCHAR) AS raw_id, ts,
    CASE WHEN event_id%11=10 THEN ' tre-099 ' ELSE 'TRE-00' || CAST(e+1 AS VARCHAR) END AS engine_id,
    CAST(CASE WHEN m=23 THEN NULL WHEN m=3 AND e<>2 THEN 30+h*0.04 WHEN m=11 AND e<>2 THEN 410+h*0.1
-     WHEN m=17 THEN -(10+h*0.02) WHEN m=59 THEN 0 WHEN burst THEN 410 WHEN dd=10 AND event_id%3=0 THEN 450
+     WHEN m=17 THEN -(10+h*0.02) WHEN m=59 THEN 0 WHEN burst THEN 410 WHEN dd IN (10,30) AND event_id%3=0 THEN 450
      WHEN dd=15 AND event_id%8=0 THEN 450 WHEN e=1 AND event_id%7 IN (0,1) THEN 420
      WHEN e=3 AND event_id%7=0 THEN 60 WHEN sag THEN 100 ELSE 200+h*0.1 END AS DECIMAL(8,3)) AS p,
    CAST(CASE WHEN m=61 THEN NULL WHEN m=29 OR burst THEN 0 WHEN m=31 AND e<>2 THEN 300+h*0.1
@@ -277,9 +277,11 @@ LINES = """
 ln0 AS (
   SELECT rd.*, event_id % 89 AS q, (event_id*7919)%1000 AS hh FROM rd),
 ln AS (
-  SELECT event_id AS ord, q, engine_id, ts, FALSE AS dup,
-    CASE WHEN q = 6 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z'
-         ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS ts_text,
+  SELECT 0 AS part, event_id, q, CASE WHEN q = 25 THEN 'TRE-001' || chr(10) || '"x",\\y' ELSE engine_id END AS engine_id,
+    ts, FALSE AS dup,
+    CASE WHEN q = 9 THEN '2999-01-01T00:00:00'
+         ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || CASE q WHEN 6 THEN 'Z' WHEN 21 THEN '+0000' WHEN 22 THEN '000'
+           WHEN 23 THEN '+99:99' ELSE '' END END AS ts_text,
     CASE WHEN q = 19 THEN CAST(-1 AS DECIMAL(9,3)) WHEN q = 7 THEN NULL  -- "chamber_pressure": null
          ELSE CAST(p AS DECIMAL(9,3)) END AS p,
     CASE WHEN q = 19 THEN CAST(0 AS DECIMAL(8,3)) ELSE f END AS f,
@@ -287,9 +289,13 @@ ln AS (
          WHEN q = 18 THEN CAST(-273.16 AS DECIMAL(8,3)) ELSE t END AS t
   FROM ln0
   UNION ALL
-  SELECT event_id + 1099511627776 AS ord, q, engine_id, ts, TRUE AS dup,
+  SELECT 1, event_id, q, CASE WHEN q = 25 THEN 'TRE-001' || chr(10) || '"x",\\y' ELSE engine_id END, ts, TRUE,
     strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts_text, CAST(p AS DECIMAL(9,3)) + 1 AS p, f, t
-  FROM ln0 WHERE event_id % 25 = 0 AND q >= 24),
+  FROM ln0 WHERE (event_id % 25 = 0 AND q >= 24) OR (q = 4 AND event_id % 2 = 0)
+  UNION ALL
+  SELECT 2, event_id, 50, 'HOT-1', TIMESTAMP '2024-01-05 00:00:00',
+    event_id <> (SELECT min(event_id) FROM rd WHERE event_id % 2 = 0), '2024-01-05T00:00:00.000000', 200, 100, 3000
+  FROM rd WHERE event_id % 2 = 0),
 lk AS (
   SELECT *,
     CASE WHEN q IN (0, 1) AND NOT dup THEN 'ignored'
@@ -297,15 +303,15 @@ lk AS (
     CASE WHEN dup THEN NULL
          WHEN q IN (0, 1, 2, 10, 11, 15) THEN NULL
          WHEN q IN (3, 12, 13) THEN 'missing_required'
-         WHEN q IN (5, 14) THEN 'bad_timestamp'
+         WHEN q IN (5, 14, 23) THEN 'bad_timestamp'
          WHEN q = 7 THEN 'bad_numeric_chamber_pressure'
          WHEN q = 9 THEN 'bad_numeric_fuel_flow'
          WHEN CAST(t AS DOUBLE) < -273.15 THEN 'below_absolute_zero' END AS status0
   FROM ln),
 lv AS (
-  SELECT *,
+  SELECT *, row_number() OVER (ORDER BY part, event_id) AS ord,
     CASE WHEN dup AND CAST(t AS DOUBLE) < -273.15 THEN 'below_absolute_zero' ELSE status0 END AS status,
-    CASE WHEN NOT dup AND q = 4 THEN NULL ELSE engine_id END AS eng_out
+    CASE WHEN q = 4 THEN NULL ELSE engine_id END AS eng_out
   FROM lk)"""
 
 
@@ -393,6 +399,43 @@ def dq_sql(kinds) -> str:
             f"CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({body})")
 
 
+# records as they arrive: raw of every record line, staging of every valid one, nothing deduplicated
+DIRTY = """
+rawd AS (
+  SELECT CASE WHEN q IN (12, 13) AND NOT dup THEN sha256('')
+              ELSE sha256(concat_ws('#', ts_in, eng_in)) END AS _airbyte_raw_id, eng_in AS engine_id, ts_in AS timestamp
+  FROM (SELECT *, CASE WHEN NOT dup AND q IN (12, 13) THEN NULL WHEN NOT dup AND q = 14 THEN '5' WHEN NOT dup AND q = 5 THEN 'yesterday' ELSE ts_text END AS ts_in,
+               CASE WHEN NOT dup AND q IN (3, 12, 13) THEN NULL ELSE eng_out END AS eng_in FROM lv) WHERE kind = 'record')"""
+
+
+def _dirty_sql(select: str) -> str:
+    stg = """
+stgd AS (
+  SELECT sha256(concat_ws('#', ts_text, eng_out)) AS _airbyte_raw_id, upper(trim(eng_out)) AS engine_id, ts AS reading_timestamp,
+    CASE WHEN p1 < 80 OR p1 > 400 OR f0 < 15 OR f0 > 220 OR t < 1200 OR t > 4500 THEN 'x' END AS anomaly_type
+  FROM (SELECT *, abs(p) AS p1, CASE WHEN f = 0 THEN 0.1 ELSE f END AS f0 FROM lv
+        WHERE kind = 'record' AND status IS NULL) v
+  WHERE eng_out IS NOT NULL AND p1 IS NOT NULL AND f0 IS NOT NULL AND t IS NOT NULL)"""
+    return "WITH " + ",".join([READINGS, LINES, DIRTY, stg, _DIRTY_ROWS]) + select
+
+
+_KNOWN = "('TRE-001', 'TRE-002', 'TRE-003', 'TRE-004', 'TRE-005')"
+_DIRTY_ROWS = f"""
+fails AS (
+  SELECT 'not_null:raw:_airbyte_raw_id' AS test_name, _airbyte_raw_id AS failing, 1 AS n FROM rawd WHERE _airbyte_raw_id IS NULL
+  UNION ALL SELECT 'not_null:raw:engine_id', _airbyte_raw_id, 1 FROM rawd WHERE engine_id IS NULL
+  UNION ALL SELECT 'not_null:raw:timestamp', _airbyte_raw_id, 1 FROM rawd WHERE timestamp IS NULL
+  UNION ALL SELECT 'unique:raw:_airbyte_raw_id', _airbyte_raw_id, count(*) FROM rawd GROUP BY 2 HAVING count(*) > 1
+  UNION ALL SELECT 'unique:staging:_airbyte_raw_id', _airbyte_raw_id, count(*) FROM stgd GROUP BY 2 HAVING count(*) > 1
+  UNION ALL SELECT 'unique_combination:staging:engine_id,reading_timestamp',
+    engine_id || '|' || rtrim(rtrim(strftime(reading_timestamp, '%Y-%m-%d %H:%M:%S.%f'), '0'), '.'), count(*)
+    FROM stgd GROUP BY engine_id, reading_timestamp HAVING count(*) > 1
+  UNION ALL SELECT 'accepted_values:staging:engine_id', engine_id, 1 FROM stgd WHERE engine_id NOT IN {_KNOWN}
+  UNION ALL SELECT 'not_null:staging:anomaly_type', _airbyte_raw_id, 1 FROM stgd WHERE anomaly_type IS NULL
+  UNION ALL SELECT 'grain:staging:_airbyte_raw_id', _airbyte_raw_id, count(*) FROM stgd GROUP BY 2 HAVING count(*) > 1)
+"""
+
+
 # ---------------------------------------------------------------------------- registry
 
 STAGING_SELECT_ALL = """SELECT _airbyte_raw_id, _airbyte_extracted_at, _airbyte_generation_id, engine_id,
@@ -448,12 +491,14 @@ def oracles() -> dict[str, str]:
     o["stream_clean"] = with_lines(clean_sel.replace("AND NOT dup", ""))
     # streaming K4: the daily mart maintained by foreachBatch equals the batch mart of the clean lines
     o["stream_marts"] = lines_daily_mart("SELECT * FROM dt")
-    # streaming K3: hourly windows of the clean lines, emitted once the watermark (latest parsed
-    # event time of any record minus 2 hours) has passed the window end
+    o["stream_engine_mart"] = ("WITH " + ",".join([READINGS, LINES, CLEAN_FROM_LINES, STAGING, ENGINES, FACT, ENGINE_MART])
+                               + f" SELECT {ENGINE_COLS} FROM es")
+    # streaming K3: hourly windows of the clean lines, emitted once the watermark (latest event time
+    # of the valid records minus 2 hours) has passed the window end
     o["stream_hourly_anomalies"] = (
         "WITH " + ",".join([READINGS, LINES, CLEAN_FROM_LINES, STAGING]) + """
         , wm AS (SELECT max(ts) - INTERVAL 2 HOUR AS w FROM lv
-                 WHERE kind = 'record' AND NOT dup AND q NOT IN (5, 12, 13, 14))
+                 WHERE kind = 'record' AND status IS NULL AND part = 0)
         SELECT date_trunc('hour', reading_timestamp) AS window_start,
                date_trunc('hour', reading_timestamp) + INTERVAL 1 HOUR AS window_end,
                CAST(count(CASE WHEN is_anomaly THEN 1 END) AS BIGINT) AS anomaly_count,
@@ -462,6 +507,8 @@ def oracles() -> dict[str, str]:
         HAVING date_trunc('hour', reading_timestamp) + INTERVAL 1 HOUR <= (SELECT w FROM wm)""")
     o["materialize"] = with_fact("""
         SELECT 'fact' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM fact
+        UNION ALL SELECT 'fact_statistics', CAST(count(*) AS BIGINT) FROM fact
+        UNION ALL SELECT 'fact_layout', CAST(count(*) AS BIGINT) FROM fact
         UNION ALL SELECT 'engine_summary', CAST(count(DISTINCT engine_id) AS BIGINT) FROM fact
         UNION ALL SELECT 'daily_trends', CAST(count(DISTINCT CAST(reading_timestamp AS DATE)) AS BIGINT) FROM fact
         UNION ALL SELECT 'engine_summary_from_stored_fact', CAST(count(DISTINCT engine_id) AS BIGINT) FROM fact""")
@@ -520,8 +567,8 @@ def oracles() -> dict[str, str]:
     o["anomaly_type"] = with_staging("SELECT _airbyte_raw_id, anomaly_type FROM stg")
     # ---- fact
     o["dim_engine_current"] = with_fact(
-        "SELECT CAST(engine_key AS INTEGER) AS engine_key, engine_id FROM eng "
-        "WHERE engine_id IN (SELECT engine_id FROM stg)")
+        "SELECT CAST(e.engine_key AS INTEGER) AS engine_key, e.engine_id, CAST(count(f.airbyte_raw_id) AS BIGINT) AS readings "
+        "FROM eng e LEFT JOIN fact f ON e.engine_key = f.engine_key GROUP BY ALL")
     o["fact_engine_lookup"] = with_fact(
         "SELECT airbyte_raw_id, engine_id, CAST(engine_key AS INTEGER) AS engine_key FROM fact")
     o["fact_metric_lookup"] = with_fact("""SELECT airbyte_raw_id,
@@ -619,9 +666,9 @@ def oracles() -> dict[str, str]:
       CAST(performance_score AS DOUBLE) AS performance_score, is_anomaly, anomaly_type, health_status
       FROM fact ORDER BY reading_timestamp DESC, airbyte_raw_id ASC LIMIT 50"""
     o["serve_latest_readings"] = with_fact(latest)
-    o["serve_recent_anomalies"] = with_fact(f""", lt AS ({latest})
+    o["serve_recent_anomalies"] = with_fact(f""", lt AS ({latest.replace("health_status", "health_status, airbyte_raw_id", 1)})
       SELECT reading_timestamp, engine_id, anomaly_type, chamber_pressure_psi, fuel_flow_kg_per_sec,
-        temperature_fahrenheit FROM lt WHERE is_anomaly ORDER BY reading_timestamp DESC LIMIT 10""")
+        temperature_fahrenheit FROM lt WHERE is_anomaly ORDER BY reading_timestamp DESC, airbyte_raw_id ASC LIMIT 10""")
     o["serve_kpis"] = marts("""SELECT
         (SELECT CAST(count(*) AS BIGINT) FROM es) AS total_engines,
         (SELECT CAST(count(*) AS BIGINT) FROM es WHERE health_status IN ('EXCELLENT', 'GOOD')) AS flight_ready_engines,
@@ -632,13 +679,22 @@ def oracles() -> dict[str, str]:
     o["serve_score_band"] = engine_mart("""SELECT engine_id, avg_performance_score,
       CASE WHEN avg_performance_score >= 95 THEN 'green' WHEN avg_performance_score >= 85 THEN 'yellow'
            ELSE 'red' END AS score_band FROM es""")
-    o["serve_series"] = with_fact("""SELECT engine_id, reading_timestamp, metric, value FROM (
-      SELECT engine_id, reading_timestamp, 'chamber_pressure_psi' AS metric, CAST(chamber_pressure_psi AS DOUBLE) AS value FROM fact
-      UNION ALL SELECT engine_id, reading_timestamp, 'fuel_flow_kg_per_sec', CAST(fuel_flow_kg_per_sec AS DOUBLE) FROM fact
-      UNION ALL SELECT engine_id, reading_timestamp, 'temperature_fahrenheit', CAST(temperature_fahrenheit AS DOUBLE) FROM fact)""")
+    o["serve_series"] = with_fact(f""", lt AS ({latest})
+      SELECT engine_id, reading_timestamp, 'chamber_pressure_psi' AS metric, chamber_pressure_psi AS value FROM lt
+      UNION ALL SELECT engine_id, reading_timestamp, 'fuel_flow_kg_per_sec', fuel_flow_kg_per_sec FROM lt
+      UNION ALL SELECT engine_id, reading_timestamp, 'temperature_fahrenheit', temperature_fahrenheit FROM lt""")
     for kind in ("not_null", "unique", "accepted_values", "unique_combination"):
         o[f"dq_{kind}"] = dq_sql([kind])
     o["dq_report"] = dq_sql(["not_null", "unique", "accepted_values", "unique_combination", "grain"])
+    o["dq_failing_rows"] = _dirty_sql("SELECT test_name, failing, CAST(n AS BIGINT) AS n_records FROM fails")
+    o["dq_dirty"] = _dirty_sql("""
+      , names(test_name) AS (VALUES ('not_null:raw:_airbyte_raw_id'), ('not_null:raw:engine_id'), ('not_null:raw:timestamp'),
+        ('unique:raw:_airbyte_raw_id'), ('unique:staging:_airbyte_raw_id'), ('unique_combination:staging:engine_id,reading_timestamp'),
+        ('accepted_values:staging:engine_id'), ('not_null:staging:anomaly_type'), ('grain:staging:_airbyte_raw_id'))
+      SELECT test_name, split_part(test_name, ':', 2) AS model, split_part(test_name, ':', 1) AS test_kind,
+        split_part(test_name, ':', 3) AS column_name, CAST(count(failing) AS BIGINT) AS failures,
+        CASE WHEN count(failing) = 0 THEN 'pass' ELSE 'fail' END AS status
+      FROM names LEFT JOIN fails USING (test_name) GROUP BY test_name""")
     o["dq_fact_grain"] = with_fact("""SELECT airbyte_raw_id, CAST(count(*) AS BIGINT) AS n_records FROM fact
       GROUP BY airbyte_raw_id HAVING count(*) > 1""")
     return o

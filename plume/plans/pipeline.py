@@ -13,15 +13,18 @@ import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plume.operators import ingest, marts
 from plume.operators.fact import fact_unkeyed, with_reading_key
+from plume.operators.keys import global_row_number
 from plume.operators.staging import staging
 from plume.session import shared_dir
 from plume.sources import fixtures
 from plume.sources.raw import raw_load
+from plume.sources.text import read_jsonl
 
-# landed fixture tables per (application, table folder, workdir)
+# landed fixture tables per (application, table folder, workdir, kind)
 _LANDED: dict = {}
 
 # Processing time used by registered queries so results are reproducible.
@@ -32,26 +35,13 @@ _DIMS: dict = {}
 
 
 def _per_app(spark: SparkSession, name: str, build):
-    """One dimension DataFrame per application (its size check then runs once)."""
+    """One dimension DataFrame per application."""
     key = (spark.sparkContext.applicationId, name)
     if key not in _DIMS:
         _DIMS[key] = build(spark)
     return _DIMS[key]
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition an input that has fewer splits than the cluster has cores.
-
-    A single large file with one row group is read by one task; the per-row
-    cleaning work after it would then run on one core. On a cluster reading many
-    files the input already has more splits than cores and nothing is added.
-    """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism, key)
-    return df
-
-
 class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, as_of=AS_OF, workdir: str | None = None):
         self.spark = spark
@@ -65,29 +55,39 @@ class Pipeline:
     # ---------------------------------------------------------------- sources
     @cached_property
     def events(self) -> DataFrame:
-        return spread(self.table("events"), "event_id")
+        return self.table("events")
 
     @cached_property
     def records(self) -> DataFrame:
-        """Cleaner input records derived from ``events``."""
-        return fixtures.records_from_events(self.events)
+        """Cleaner input records derived from ``events``, landed once as a table of many files."""
+        def land(path: str) -> DataFrame:
+            records = fixtures.records_from_events(self.events)
+            records.repartition(self.spark.sparkContext.defaultParallelism).write.parquet(path)
+            return self.spark.read.parquet(path)
+
+        return self._landed("records", land)
 
     @cached_property
     def lines(self) -> DataFrame:
-        """Dirty JSON Lines derived from ``events``, landed once as a table.
+        """Dirty JSON Lines derived from ``events``, landed as text files and scanned by ``read_jsonl``.
 
-        The lines are written to the shared folder and read back, as a landing
-        zone would hold them: ingest then starts from stored text, not from the
-        expression that generated it. They are a pure function of ``events``, so
-        one landing per application and table folder serves every query.
+        ``_ord`` is the line's number over all files in input order (file path, split, place in
+        the split). The text is a pure function of ``events``, so one landing per application and
+        table folder serves every query.
         """
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.workdir)
-        path = _LANDED.get(key)
-        if path is None:
-            path = f"{self.workdir or shared_dir(self.spark)}/plume-lines-{uuid.uuid4().hex}"
-            fixtures.jsonl_from_events(self.events).write.mode("overwrite").parquet(path)
-            _LANDED[key] = path
-        return self.spark.read.parquet(path)
+        def land(path: str) -> DataFrame:
+            lines = fixtures.jsonl_from_events(self.events)
+            lines.orderBy("part", "event_id").select("value").write.text(f"{path}/text")
+            scanned = read_jsonl(self.spark, f"{path}/text")
+            return global_row_number(scanned, ["_ord"], "_n", workdir=path).select("value", F.col("_n").alias("_ord"))
+
+        return self._landed("lines", land)
+
+    def _landed(self, what: str, land) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.workdir, what)
+        if key not in _LANDED:
+            _LANDED[key] = land(f"{self.workdir or shared_dir(self.spark)}/plume-{what}-{uuid.uuid4().hex}")
+        return _LANDED[key]
 
     @cached_property
     def engines(self) -> DataFrame:

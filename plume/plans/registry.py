@@ -136,11 +136,12 @@ def _fact_cols(*cols):
 
 
 def q_dim_engine_current(spark, sf_dir):
-    """the current engine versions the readings resolve to (old versions never match)."""
+    """every current engine version and how many readings resolve to it (old versions never match)."""
     from plume.operators.dims import current_engines
     p = _p(spark, sf_dir)
-    seen = p.staging.select("engine_id").distinct()
-    return current_engines(p.engines).join(seen, "engine_id", "left_semi").select("engine_key", "engine_id")
+    per_key = p.fact_unkeyed.groupBy("engine_key").agg(F.count("airbyte_raw_id").alias("readings"))
+    return current_engines(p.engines).join(per_key, "engine_key", "left").select(
+        "engine_key", "engine_id", F.coalesce("readings", F.lit(0)).cast("bigint").alias("readings"))
 
 
 def q_fact_reading_key(spark, sf_dir):
@@ -201,7 +202,7 @@ def q_serve_latest_readings(spark, sf_dir):
 
 
 def q_serve_recent_anomalies(spark, sf_dir):
-    return serving.recent_anomalies(serving.latest_readings(_p(spark, sf_dir).fact_unkeyed))
+    return serving.recent_anomalies(serving.newest(_p(spark, sf_dir).fact_unkeyed))
 
 
 def q_serve_kpis(spark, sf_dir):
@@ -214,13 +215,14 @@ def q_serve_score_band(spark, sf_dir):
 
 
 def q_serve_series(spark, sf_dir):
-    return serving.series(_p(spark, sf_dir).fact_unkeyed)
+    return serving.series(serving.latest_readings(_p(spark, sf_dir).fact_unkeyed))
 
 
 # ------------------------------------------------------------------ quality (J)
 
-def _models(p: Pipeline) -> dict:
-    """The five tested models, as a scheduled test run sees them: built from stored tables.
+def _models(p: Pipeline, names=None) -> dict:
+    """The tested models (all five, or ``names``), as a scheduled test run sees them: built from
+    stored tables.
 
     The raw table is written once to the shared folder; staging and the fact are
     derived from it (the fact through its written, range-sorted key table) and
@@ -230,16 +232,20 @@ def _models(p: Pipeline) -> dict:
     from plume.operators.fact import fact_unkeyed, with_reading_key
     from plume.operators.marts import daily_trends, engine_summary
     from plume.operators.staging import staging
+    names = set(names or quality.MODELS)
     path = f"{shared_dir(p.spark)}/plume-raw-{uuid.uuid4().hex}"
     p.raw.write.mode("overwrite").parquet(path)
     raw = p.spark.read.parquet(path)
     stg = staging(raw, p.as_of)
-    fact = with_reading_key(fact_unkeyed(stg, p.engines, p.metrics), workdir=p.workdir)
+    # the key table is written only where a test reads the key
+    fact = fact_unkeyed(stg, p.engines, p.metrics)
+    if "fact" in names:
+        fact = with_reading_key(fact, workdir=p.workdir)
     stored = {}
-    for name, mart in (("engine_summary", engine_summary(fact, p.as_of)),
-                       ("daily_trends", daily_trends(fact, p.as_of))):
-        mart.write.mode("overwrite").parquet(f"{path}-{name}")     # one row per engine / per day
-        stored[name] = p.spark.read.parquet(f"{path}-{name}")
+    for name, mart in (("engine_summary", engine_summary), ("daily_trends", daily_trends)):
+        if name in names:
+            mart(fact, p.as_of).write.mode("overwrite").parquet(f"{path}-{name}")     # one row per engine / per day
+            stored[name] = p.spark.read.parquet(f"{path}-{name}")
     return {"raw": raw, "staging": stg, "fact": fact, **stored}
 
 
@@ -250,10 +256,33 @@ def q_dq_report(spark, sf_dir):
 def _dq_kind(kind):
     def q(spark, sf_dir):
         tests = [t for t in quality.DECLARED_TESTS if t.kind == kind]
-        return quality.run_declared_tests(_models(_p(spark, sf_dir)), tests)
+        return quality.run_declared_tests(_models(_p(spark, sf_dir), {t.model for t in tests}), tests)
     return q
 
 
+def _dirty_models(p: Pipeline) -> dict:
+    """What the tests see where nothing was cleaned: every line's record as a raw table, duplicates
+    and rejected records included, and the staging of all valid records before deduplication."""
+    from plume.operators.staging import staging
+    records = ingest.records_from_lines(ingest.classify_lines(p.lines))
+    landed = ingest.emit_rows(records, F.col("_kind") == ingest.RECORD, *rules.CSV_COLUMNS)
+    valid = ingest.emit_rows(ingest.validate(records), F.col("_status").isNull(), *rules.CSV_COLUMNS)
+    stg = staging(raw_load(valid, p.as_of), p.as_of)
+    return {"raw": raw_load(landed, p.as_of), "staging": stg}
+
+
+def q_dq_dirty(spark, sf_dir):
+    """J1-J5 where they fail: raw and staging without dedup, readings graded by a stricter list."""
+    return quality.run_declared_tests(_dirty_models(_p(spark, sf_dir)), quality.DIRTY_TESTS)
+
+
+def q_dq_failing_rows(spark, sf_dir):
+    """The stored failing rows of those tests, as one table."""
+    spark_dir = f"{shared_dir(spark)}/plume-failures-{uuid.uuid4().hex}"
+    paths = quality.store_test_failures(_dirty_models(_p(spark, sf_dir)), spark_dir, quality.DIRTY_TESTS)
+    return quality.stored_failures(spark, paths, quality.DIRTY_TESTS)
+
+
 def q_dq_fact_grain(spark, sf_dir):
     return quality.fact_grain(_p(spark, sf_dir).fact_unkeyed)
 
@@ -339,6 +368,8 @@ _RAW = {
     "dq_unique_combination": _dq_kind("unique_combination"),
     "dq_fact_grain": q_dq_fact_grain,
     "dq_report": q_dq_report,
+    "dq_dirty": q_dq_dirty,
+    "dq_failing_rows": q_dq_failing_rows,
 }
 
 

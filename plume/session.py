@@ -76,3 +76,9 @@ def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
         fallback = tempfile.mkdtemp(prefix="plume-checkpoints-")
     spark.sparkContext.setCheckpointDir(fallback)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote and no longer needs."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

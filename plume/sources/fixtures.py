@@ -50,7 +50,7 @@ def readings_from_events(events: DataFrame) -> DataFrame:
         .when(m == 17, -(_dec(10) + h * _dec("0.02")))
         .when(m == 59, _dec(0))
         .when(burst, _dec(410))
-        .when((d == 10) & (eid % 3 == 0), _dec(450))
+        .when(d.isin(10, 30) & (eid % 3 == 0), _dec(450))
         .when((d == 15) & (eid % 8 == 0), _dec(450))
         .when((e == 1) & (eid % 7).isin(0, 1), _dec(420))
         .when((e == 3) & (eid % 7 == 0), _dec(60))
@@ -105,14 +105,19 @@ def records_from_events(events: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------------------
 # Dirty JSON Lines over events.
-# Line kind by q = event_id % 89 (kinds 0..18); every event with event_id % 25 = 0
-# and q >= 24 gets a second line with the same key and pressure + 1, written after
-# all original lines (input order = _ord).
+# Line kind by q = event_id % 89 (kinds 0..25). Every event with event_id % 25 = 0 and q >= 24,
+# and every second one with a null engine (q = 4), gets a second line with the same key and
+# pressure + 1; every even event adds one line of a single hot key (a third of all lines).
+# Input order is (part, event_id): originals are part 0, second lines 1, hot lines 2.
 # ---------------------------------------------------------------------------
 DIRT_MOD = 89
 DUP_MOD = 25
 DUP_MIN_KIND = 24
-DUP_ORD_OFFSET = 1 << 40
+NULL_ENGINE_KIND = 4
+HOT_LINE = ('{"timestamp": "2024-01-05T00:00:00.000000", "engine_id": "HOT-1", "chamber_pressure": 200, '
+            '"fuel_flow": 100, "temperature": 3000}')
+# an engine id with a line break, quotes, a comma and a backslash, as JSON text
+ODD_ENGINE_JSON = 'TRE-001\\n\\"x\\",\\\\y'
 
 
 def _jfield(name: str, value: Column, quoted: bool) -> Column:
@@ -121,7 +126,7 @@ def _jfield(name: str, value: Column, quoted: bool) -> Column:
 
 
 def jsonl_from_events(events: DataFrame) -> DataFrame:
-    """Text lines ``(value, _ord)`` like ``spark.read.text`` gives, with known dirt.
+    """Text lines ``(value, part, event_id)`` with known dirt, in input order of the last two.
 
     Built in named steps: every intermediate is a column referenced by name, so
     the optimizer never copies a large expression into several places.
@@ -132,7 +137,11 @@ def jsonl_from_events(events: DataFrame) -> DataFrame:
     h = (F.col("_ord") * 7919) % 1000
     steps = (
         r.withColumn("ts_text", F.when(q == 5, F.lit("yesterday"))
-                     .when(q == 6, F.concat(ts, F.lit("Z"))).otherwise(ts))
+                     .when(q == 6, F.concat(ts, F.lit("Z")))
+                     .when(q == 9, F.lit("2999-01-01T00:00:00"))
+                     .when(q == 21, F.concat(ts, F.lit("+0000")))
+                     .when(q == 22, F.concat(ts, F.lit("000")))
+                     .when(q == 23, F.concat(ts, F.lit("+99:99"))).otherwise(ts))
         .withColumn("p_out", F.when(q == 19, F.lit("-1")).otherwise(F.col("chamber_pressure")))
         .withColumn("f_out", F.when(q == 19, F.lit("0")).otherwise(F.col("fuel_flow")))
         .withColumn("t_out", F.when(q == 16, (F.lit(6000) + h).cast("string"))
@@ -142,7 +151,8 @@ def jsonl_from_events(events: DataFrame) -> DataFrame:
         .withColumn("j_ts", F.when(q == 14, F.lit('"timestamp": 5'))
                     .otherwise(_jfield("timestamp", F.col("ts_text"), True)))
         .withColumn("j_eng", F.when(q == 3, F.lit(None).cast("string"))
-                    .when(q == 4, F.lit('"engine_id": null'))
+                    .when(q == NULL_ENGINE_KIND, F.lit('"engine_id": null'))
+                    .when(q == 25, F.lit(f'"engine_id": "{ODD_ENGINE_JSON}"'))
                     .otherwise(_jfield("engine_id", F.col("engine_id"), True)))
         .withColumn("j_p", F.when(q == 7, F.lit('"chamber_pressure": null'))
                     .otherwise(_jfield("chamber_pressure", F.col("p_out"), False)))
@@ -166,16 +176,18 @@ def jsonl_from_events(events: DataFrame) -> DataFrame:
         .when(q == 20, F.concat(F.lit("   "), good, F.lit("  ")))
         .otherwise(good)
     )
-    originals = steps.select(line.alias("value"), F.col("_ord"))
+    originals = steps.select(line.alias("value"), F.lit(0).alias("part"), F.col("_ord").alias("event_id"))
 
-    dups = (steps.where((F.col("_ord") % DUP_MOD == 0) & (q >= DUP_MIN_KIND))
+    again = ((F.col("_ord") % DUP_MOD == 0) & (q >= DUP_MIN_KIND)) | ((q == NULL_ENGINE_KIND) & (F.col("_ord") % 2 == 0))
+    dups = (steps.where(again)
             .withColumn("j_p", _jfield("chamber_pressure",
                                        (F.col("chamber_pressure").cast("decimal(9,3)") + 1).cast("string"),
                                        False))
             .select(F.concat(F.lit("{"), F.concat_ws(", ", "j_ts", "j_eng", "j_p", "j_f", "j_t"),
-                             F.lit("}")).alias("value"),
-                    (F.col("_ord") + DUP_ORD_OFFSET).alias("_ord")))
-    return originals.unionByName(dups)
+                             F.lit("}")).alias("value"), F.lit(1).alias("part"), F.col("_ord").alias("event_id")))
+    hot = events.where(F.col("event_id") % 2 == 0).select(F.lit(HOT_LINE).alias("value"), F.lit(2).alias("part"),
+                                                         "event_id")
+    return originals.unionByName(dups).unionByName(hot)
 
 
 # ---------------------------------------------------------------------------

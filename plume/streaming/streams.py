@@ -4,13 +4,13 @@
   validated by the same stateless functions as the batch path.
 * K2 ``dedup_stream`` — first copy per ``(timestamp, engine_id)`` kept, state
   bounded by an event-time watermark (``dropDuplicatesWithinWatermark``) instead
-  of the batch cleaner's unbounded seen-set.
+  of the batch cleaner's unbounded seen-set. Only valid records move the watermark.
 * K3 ``hourly_anomalies_stream`` — tumbling one-hour windows; a window is
   emitted once the watermark passes its end, later readings are dropped.
 * K4 ``MartRefresher`` — ``foreachBatch``: each micro-batch is appended to a
-  date-partitioned fact table, the per-(engine, date) partial aggregates of the
-  dates it touches are recomputed from that table (partition pruning), and the
-  two marts are rebuilt from the partials — small tables, whatever the fact size.
+  date-partitioned fact table, its per-(engine, date) partial aggregates are merged
+  with the last committed ones, and the two marts are rebuilt from the partials —
+  small tables, whatever the fact size.
 
 Every query checkpoints under the shared folder, so a restarted job resumes
 where it stopped.
@@ -19,13 +19,14 @@ where it stopped.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plume import rules
-from plume.functions.columns import (day_of_week_sun0, engine_health, iso_timestamp_text, ntz_literal,
-                                     pct_half_up, to_double)
+from plume.functions.columns import (day_of_week_sun0, exact_avg, iso_timestamp_text, ntz_literal,
+                                     pct_half_up, to_double, wide_sum)
 from plume.operators import ingest, marts
 from plume.operators.fact import fact_unkeyed
 from plume.operators.staging import staging
@@ -41,10 +42,24 @@ def read_lines_stream(spark: SparkSession, source_dir: str, max_files_per_trigge
     return reader.load(source_dir).select("value", F.lit(0).cast("long").alias("_ord"))
 
 
-def clean_stream(lines: DataFrame) -> DataFrame:
-    """K1: validated records of a line stream (all records, ``_status`` NULL = valid)."""
+#: Status of a valid record that runs further ahead of its arrival than a stream allows.
+AHEAD_OF_ARRIVAL = "ahead_of_arrival"
+
+
+def clean_stream(lines: DataFrame, max_ahead: str | None = None) -> DataFrame:
+    """K1: validated records of a line stream (all records, ``_status`` NULL = valid).
+
+    ``_event_time`` is set for valid records alone: what is rejected must not move a
+    watermark. One valid reading with a clock far in the future would still move it past
+    all others, so ``max_ahead`` (an interval such as ``"1 day"``) rejects readings further
+    ahead of the batch's processing time, with the status ``ahead_of_arrival``.
+    """
     v = ingest.validate(ingest.records_from_lines(ingest.classify_lines(lines)))
-    return v.withColumn("_event_time", iso_timestamp_text(F.col("timestamp")))
+    time = iso_timestamp_text(F.col("timestamp"))
+    if max_ahead:
+        late = time > F.current_timestamp().cast("timestamp_ntz") + F.expr(f"INTERVAL {max_ahead}")
+        v = v.withColumn("_status", F.when(F.col("_status").isNull() & late, AHEAD_OF_ARRIVAL).otherwise(F.col("_status")))
+    return v.withColumn("_event_time", F.when(F.col("_status").isNull(), time))
 
 
 def observe_counts(validated: DataFrame, name: str = "plume_ingest") -> DataFrame:
@@ -73,8 +88,8 @@ def dedup_stream(validated: DataFrame, watermark: str = DEFAULT_WATERMARK) -> Da
 
     Validity is part of the key, so an invalid copy never hides a valid one, and
     the validity filter sits *above* the stateful operator (it is not pushed
-    below it, where it would re-run the parsing). Invalid records whose time did
-    not parse get the epoch as event time and fall behind the watermark at once.
+    below it, where it would re-run the parsing). Invalid records get the epoch as
+    event time: they never move the watermark and fall behind it at once.
     """
     keyed = (validated
              .withColumn("_valid", F.col("_status").isNull())
@@ -133,12 +148,18 @@ def start_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "appen
 class MartRefresher:
     """``foreachBatch`` sink keeping the fact table and both marts current.
 
-    Layout under ``base``: ``fact/`` (parquet, partitioned by ``reading_date``),
-    ``partials/`` (one row per engine and date), ``engine_summary/`` and
-    ``daily_trends/``. Each micro-batch costs work proportional to the batch and
-    to the dates it touches, not to the whole history.
+    Under ``base``: ``fact/`` (parquet, partitioned by ``reading_date``; files are only ever
+    added), ``versions/<batch>-<attempt>/`` with the partials, both marts and the list of
+    committed attempts, and ``commits/<batch>``, a file that names the attempt. A version is
+    complete before its commit file appears (by rename); readers and the next batch take the
+    newest commit. So an attempt that dies anywhere leaves the last version in place, its fact
+    rows belong to no committed attempt and are not read, and the retry starts from the same
+    state. Older versions are removed. A batch costs work in proportion to itself and to the
+    partials (one row per engine and date), not to the history.
     """
 
+    KEEP = 2                        # committed versions that stay
+
     def __init__(self, spark: SparkSession, base: str, engines: DataFrame, metrics: DataFrame, as_of=None):
         self.spark = spark
         self.base = base.rstrip("/")
@@ -150,43 +171,115 @@ class MartRefresher:
     def fact_path(self):
         return f"{self.base}/fact"
 
-    @property
-    def partials_path(self):
-        return f"{self.base}/partials"
-
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _listed(self, folder: str) -> list[str]:
+        fs, p = self._fs(f"{self.base}/{folder}")
+        return [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+
+    def committed(self) -> tuple[int, str] | None:
+        """Newest committed batch and its version folder."""
+        batches = [int(n) for n in self._listed("commits") if n.isdigit()]
+        if not batches:
+            return None
+        newest = max(batches)
+        attempt = self.spark.read.text(f"{self.base}/commits/{newest}").first()[0]
+        return newest, f"{self.base}/versions/{newest}-{attempt}"
+
+    def read(self, name: str) -> DataFrame:
+        """``engine_summary``, ``daily_trends`` or ``partials`` of the newest committed version."""
+        state = self.committed()
+        if state is None:
+            raise LookupError("no batch has been committed yet")
+        return self.spark.read.parquet(f"{state[1]}/{name}")
+
+    def fact(self) -> DataFrame:
+        """Fact rows of committed attempts (one small row per batch says which)."""
+        return (self.spark.read.parquet(self.fact_path)
+                .join(F.broadcast(self.read("attempts")), ["_batch", "_attempt"], "left_semi").drop("_batch", "_attempt"))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        state = self.committed()
+        if state and batch_id <= state[0]:
+            return                              # committed before the stream could say so
         now = self.as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        attempt = uuid.uuid4().hex
         raw = raw_load(batch.select(*rules.CSV_COLUMNS), now)
-        fact = (fact_unkeyed(staging(raw, now), self.engines, self.metrics)
-                .withColumn("reading_date", F.to_date("reading_timestamp"))
-                .withColumn("_batch", F.lit(batch_id)))
-        # (date, batch) partitions replaced dynamically: a retried batch rewrites
-        # its own files instead of appending a second copy
-        (fact.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("reading_date", "_batch").parquet(self.fact_path))
-        # the dates this batch touched: one row per day, joined (not collected)
-        dates = self.spark.read.parquet(self.fact_path).where(F.col("_batch") == batch_id) \
-            .select("reading_date").distinct()
-        stored = self.spark.read.parquet(self.fact_path).join(dates, "reading_date", "left_semi")
-        fresh = partials(stored)
-        if self._exists(self.partials_path):
-            old = self.spark.read.parquet(self.partials_path).join(
-                dates.withColumnRenamed("reading_date", "date_actual"), "date_actual", "left_anti")
-            merged = old.unionByName(fresh)
+        fact = fact_unkeyed(staging(raw, now), self.engines, self.metrics)
+        self._append(fact, batch_id, attempt)
+        mine = (self.spark.read.parquet(self.fact_path)
+                .where((F.col("_batch") == batch_id) & (F.col("_attempt") == attempt)))
+        merged = partials(mine)
+        attempts = self.spark.createDataFrame([(batch_id, attempt)], "_batch long, _attempt string")
+        if state:
+            merged = merge_partials(merged.unionByName(self.spark.read.parquet(f"{state[1]}/partials")))
+            attempts = attempts.unionByName(self.spark.read.parquet(f"{state[1]}/attempts"))
+        version = f"{self.base}/versions/{batch_id}-{attempt}"
+        merged.write.parquet(f"{version}/partials")
+        attempts.coalesce(1).write.parquet(f"{version}/attempts")
+        p = self.spark.read.parquet(f"{version}/partials")
+        engine_summary_from_partials(p, now).write.parquet(f"{version}/engine_summary")
+        daily_trends_from_partials(p, now).write.parquet(f"{version}/daily_trends")
+        self._commit(batch_id, attempt)
+        self._prune()
+
+    def _append(self, fact: DataFrame, batch_id: int, attempt: str) -> None:
+        (fact.withColumn("reading_date", F.to_date("reading_timestamp"))
+         .withColumn("_batch", F.lit(batch_id).cast("long")).withColumn("_attempt", F.lit(attempt))
+         .write.mode("append").partitionBy("reading_date").parquet(self.fact_path))
+
+    def _commit(self, batch_id: int, attempt: str) -> None:
+        fs, tmp = self._fs(f"{self.base}/commits/_{batch_id}-{attempt}")
+        out = fs.create(tmp, True)
+        out.write(bytearray(attempt.encode()))
+        out.close()
+        _, final = self._fs(f"{self.base}/commits/{batch_id}")
+        if not fs.rename(tmp, final):
+            raise RuntimeError(f"batch {batch_id} could not be committed")
+
+    def _prune(self) -> None:
+        """Remove versions and commit files that no reader can take any more."""
+        batches = sorted(int(n) for n in self._listed("commits") if n.isdigit())
+        keep = set(batches[-self.KEEP:])
+        for n in self._listed("versions"):
+            if int(n.split("-")[0]) not in keep:
+                fs, p = self._fs(f"{self.base}/versions/{n}")
+                fs.delete(p, True)
+        for b in batches:
+            if b not in keep:
+                fs, p = self._fs(f"{self.base}/commits/{b}")
+                fs.delete(p, False)
+
+
+def merge_partials(p: DataFrame) -> DataFrame:
+    """One row per (engine, date) from several partials of it: sums add up, extremes and times
+    extend, and means and squared deviations combine pairwise (see ``_merged_stddev``)."""
+    keys = ["engine_id", "date_actual"]
+    tags = ["p", "f", "t", "score"]
+    w = Window.partitionBy(*keys)
+    total = F.sum("n").over(w)
+    means = {t: F.sum(F.col("n") * F.col(f"mean_{t}")).over(w) / total for t in tags}
+    p = p.select("*", *[means[t].alias(f"_all_{t}") for t in tags])
+    p = p.select("*", *[(F.col(f"m2_{t}") + F.col("n") * F.pow(F.col(f"mean_{t}") - F.col(f"_all_{t}"), 2)).alias(f"_dev_{t}")
+                        for t in tags])
+    plain = [c for c in p.columns if c not in keys and not c.startswith("_")]
+    aggs = []
+    for c in plain:
+        if c.startswith("mean_"):
+            aggs.append(F.first(f"_all_{c[5:]}").alias(c))
+        elif c.startswith("m2_"):
+            aggs.append(F.sum(f"_dev_{c[3:]}").alias(c))
+        elif c.startswith(("min_", "first_")):
+            aggs.append(F.min(c).alias(c))
+        elif c.startswith(("max_", "last_")):
+            aggs.append(F.max(c).alias(c))
+        elif c.startswith("sum_") and c != "sum_eff":
+            aggs.append(wide_sum(c, 1 if c == "sum_score" else 3).alias(c))
         else:
-            merged = fresh
-        # write to a new version, then point readers at it (partials are small)
-        version = f"{self.partials_path}-{batch_id}"
-        merged.write.mode("overwrite").parquet(version)
-        self.spark.read.parquet(version).write.mode("overwrite").parquet(self.partials_path)
-        p = self.spark.read.parquet(self.partials_path)
-        engine_summary_from_partials(p).write.mode("overwrite").parquet(f"{self.base}/engine_summary")
-        daily_trends_from_partials(p, now).write.mode("overwrite").parquet(f"{self.base}/daily_trends")
+            aggs.append(F.sum(c).alias(c))
+    return p.groupBy(*keys).agg(*aggs)
 
 
 def _moments(col: str, tag: str):
@@ -210,10 +303,10 @@ def partials(fact: DataFrame) -> DataFrame:
     hs, at = F.col("health_status"), F.col("anomaly_type")
     return fact.groupBy("engine_id", F.to_date("reading_timestamp").alias("date_actual")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(p).alias("sum_p"), F.sum(f).alias("sum_f"), F.sum(t).alias("sum_t"),
+        wide_sum(p).alias("sum_p"), wide_sum(f).alias("sum_f"), wide_sum(t).alias("sum_t"),
         *_moments(p, "p"), *_moments(f, "f"), *_moments(t, "t"),
         F.sum("fuel_efficiency_ratio").alias("sum_eff"), F.count("fuel_efficiency_ratio").alias("n_eff"),
-        F.sum("performance_score").alias("sum_score"),
+        wide_sum("performance_score", 1).alias("sum_score"),
         *_moments("performance_score", "score"),
         F.min(p).alias("min_p"), F.max(p).alias("max_p"), F.min(f).alias("min_f"), F.max(f).alias("max_f"),
         F.min(t).alias("min_t"), F.max(t).alias("max_t"),
@@ -247,33 +340,21 @@ def engine_summary_from_partials(p: DataFrame, as_of=None) -> DataFrame:
         *[F.max(c).alias(c) for c in ("max_p", "max_f", "max_t", "last_created")],
         F.min("date_actual").alias("earliest_reading_date"), F.max("date_actual").alias("latest_reading_date"))
     n = F.col("n")
-    avg = lambda c: (F.col(c) / n)
-    out = g.select(
-        "engine_id", marts.engine_name(F.col("engine_id")).alias("engine_name"),
-        n.cast("bigint").alias("total_readings"),
-        avg("sum_p").alias("avg_chamber_pressure_psi"), avg("sum_f").alias("avg_fuel_flow_kg_per_sec"),
-        avg("sum_t").alias("avg_temperature_fahrenheit"),
+    rows = marts.engine_rows(g.select(
+        "engine_id", n.alias("total_readings"),
+        *[F.col(f"sum_{x}").alias(f"_sum_{y}") for x, y in (("p", "p"), ("f", "f"), ("t", "t"), ("score", "s"))],
+        *[n.alias(f"_n_{x}") for x in ("p", "f", "t", "s")],      # no measure of a fact row is NULL
         (F.col("sum_eff") / F.col("n_eff")).alias("avg_fuel_efficiency_ratio"),
-        avg("sum_score").alias("avg_performance_score"),
         _stddev("n", "_dev_p").alias("stddev_chamber_pressure"),
         _stddev("n", "_dev_f").alias("stddev_fuel_flow"),
         _stddev("n", "_dev_t").alias("stddev_temperature"),
         F.col("min_p").alias("min_chamber_pressure_psi"), F.col("max_p").alias("max_chamber_pressure_psi"),
         F.col("min_f").alias("min_fuel_flow_kg_per_sec"), F.col("max_f").alias("max_fuel_flow_kg_per_sec"),
         F.col("min_t").alias("min_temperature_fahrenheit"), F.col("max_t").alias("max_temperature_fahrenheit"),
-        F.col("anomalies").cast("bigint").alias("anomaly_count"),
-        pct_half_up("anomalies", n).alias("anomaly_rate_percent"),
-        "pressure_anomalies", "fuel_anomalies", "temperature_anomalies",
-        "earliest_reading_date", "latest_reading_date",
-        F.col("with_id").cast("bigint").alias("records_with_source_id"),
-        F.col("first_created").alias("first_processed_at"), F.col("last_created").alias("last_processed_at"))
-    return out.select(
-        "*",
-        F.rank().over(Window.orderBy(F.col("avg_performance_score").desc_nulls_first())).alias("performance_rank"),
-        F.rank().over(Window.orderBy(F.col("anomaly_rate_percent").asc_nulls_last())).alias("reliability_rank"),
-        F.rank().over(Window.orderBy(F.round("avg_fuel_efficiency_ratio", 6).desc_nulls_first()))
-        .alias("efficiency_rank"),
-        engine_health(F.col("anomaly_rate_percent")).alias("health_status"))
+        F.col("anomalies").alias("anomaly_count"), "pressure_anomalies", "fuel_anomalies", "temperature_anomalies",
+        "earliest_reading_date", "latest_reading_date", F.col("with_id").alias("records_with_source_id"),
+        F.col("first_created").alias("first_processed_at"), F.col("last_created").alias("last_processed_at")))
+    return marts.engine_ranks(rows, as_of)
 
 
 def daily_trends_from_partials(p: DataFrame, as_of=None) -> DataFrame:
@@ -284,7 +365,7 @@ def daily_trends_from_partials(p: DataFrame, as_of=None) -> DataFrame:
     p = _merged_stddev(p, "date_actual", "score")
     g = p.groupBy("date_actual").agg(
         F.sum("n").alias("total_readings"), F.sum("anomalies").alias("total_anomalies"),
-        F.sum("sum_score").alias("_ss"), F.sum("_dev_score").alias("_dev"),
+        wide_sum("sum_score", 1).alias("_ss"), F.sum("_dev_score").alias("_dev"),
         F.min("min_score").alias("min_daily_performance_score"),
         F.max("max_score").alias("max_daily_performance_score"),
         F.count_distinct("engine_id").alias("active_engines"),
@@ -292,8 +373,7 @@ def daily_trends_from_partials(p: DataFrame, as_of=None) -> DataFrame:
         F.min("first_created").alias("earliest_processing_time"),
         F.max("last_created").alias("latest_processing_time"))
     n = F.col("total_readings")
-    # AVG of decimal(5,1): exact quotient, half-up at 5 places
-    avg_score = F.round(F.col("_ss").cast("decimal(20,1)") / n.cast("decimal(20,0)"), 5).cast("decimal(9,5)")
+    avg_score = exact_avg("_ss", n, 5, 9, 1)
     d = g.select(
         "date_actual", day_of_week_sun0(F.col("date_actual").cast("timestamp_ntz")).alias("day_of_week"),
         day_of_week_sun0(F.col("date_actual").cast("timestamp_ntz")).isin(0, 6).alias("is_weekend"),

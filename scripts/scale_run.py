@@ -28,7 +28,7 @@ def main() -> None:
     spark = get_spark("plume-scale", master=f"local[{os.environ.get('BENCH_CPUS', '8')}]", shuffle_partitions=64,
                       extra={"spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"})
     from plume.functions.columns import ntz_literal
-    from plume.sources import generator
+    from tests.tools import generator
 
     t = {}
     t0 = time.perf_counter()

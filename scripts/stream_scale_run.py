@@ -27,7 +27,8 @@ def main() -> None:
     from plume.operators import ingest, marts
     from plume.operators.fact import fact_unkeyed
     from plume.operators.staging import staging
-    from plume.sources import fixtures, generator
+    from plume.sources import fixtures
+    from tests.tools import generator
     from plume.sources.raw import raw_load
     from plume.sources.text import read_jsonl
     from plume.streaming import streams

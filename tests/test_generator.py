@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from plume.operators import ingest
-from plume.sources import generator
+from tests.tools import generator
 
 
 def test_deterministic_and_partition_free(spark):
@@ -75,7 +75,7 @@ def test_anomaly_value_ranges(spark):
 
 
 def test_timeline_independent_of_block_size(spark):
-    from plume.sources import generator as g
+    from tests.tools import generator as g
     a = g.generate_readings(spark.range(25000), seed=4).select("_ord", "timestamp")
     b = g.generate_readings(spark.range(25000), seed=4, n=25000 * 100_000).select("_ord", "timestamp")  # 1 block
     diff = a.join(b.withColumnRenamed("timestamp", "t2"), "_ord").where(

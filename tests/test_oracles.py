@@ -12,7 +12,7 @@ from tests.conftest import SF001
 # PLUME_ORACLE_SF=/root/testdata/sf0.1 runs the same gate at a larger scale
 SF_DIR = os.environ.get("PLUME_ORACLE_SF", SF001)
 
-TABLES = ("events",)
+TABLES = ("events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
 
