@@ -43,14 +43,15 @@ def _digest(tokens: list[bytes], seed: int = 0) -> int:
 
 
 def half_keys(tokens: list[bytes]) -> list[int]:
-    """Keys of which two lines at one edit share at least one: for the length of the longer
-    line of a pair (the own one, or one more), its first half and its last half."""
+    """Keys of which two lines at one edit share at least one: about half of the tokens from
+    either end. An edit cannot lie in both ends, so one end is equal in both lines. Ends come
+    in steps of two tokens and follow the shorter line of a pair, which this line may be (its own
+    length) or be one token above; mostly that is the same end, and one key serves both."""
     n, out = len(tokens), []
-    for longer in (n, n + 1):
-        h = longer // 2
-        out.append(_digest(tokens[:h], 2 * longer))
-        out.append(_digest(tokens[n - (longer - h):], 2 * longer + 1))
-    return out
+    for shorter in {n, n - 1}:
+        h = 2 * (shorter // 4) if shorter >= 4 else shorter // 2
+        out += [_digest(tokens[:h], 2 * h), _digest(tokens[n - h:], 2 * h + 1)]
+    return list(dict.fromkeys(out))
 
 
 def variant_keys(tokens: list[bytes]) -> np.ndarray:
@@ -184,7 +185,8 @@ def duplicate_lines(docs: DataFrame, unit: str = "word", min_tokens: int = MIN_T
     shared = stored(keyed.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half"), "halves")
     wanted = (keyed.join(shared, "half", "left_semi").groupBy("doc_id")
               .agg(F.collect_set("line").alias("wanted")))          # at most a document's own lines
-    texts = stored(src.join(wanted, "doc_id").mapInArrow(_pick(unit), "doc_id long, line int, text string")
+    # a merge join at every size: the side of the texts is never small, and the other one grows with it
+    texts = stored(src.join(wanted.hint("merge"), "doc_id").mapInArrow(_pick(unit), "doc_id long, line int, text string")
                    .groupBy("doc_id", "line").agg(F.min("text").alias("text")), "line-texts")
     variants = stored(texts.mapInArrow(_variants(unit), "key long, place int, doc_id long, line int"), "variants")
     at = F.struct("doc_id", "line")
@@ -222,7 +224,7 @@ def drop_duplicate_lines(docs: DataFrame, unit: str = "word", min_tokens: int =
     column exists, the character count renewed. A document may be left with an empty text."""
     gone = stored(duplicate_lines(docs, unit, min_tokens, id_col, text_col).groupBy(F.col("doc_id").alias("__doc"))
                   .agg(F.collect_set("line").alias("__gone")), "gone-lines")
-    out = docs.join(gone, F.col(id_col).cast("long") == F.col("__doc"), "left").drop("__doc")
+    out = docs.join(gone.hint("merge"), F.col(id_col).cast("long") == F.col("__doc"), "left").drop("__doc")
     at, counted = docs.columns.index(text_col), docs.columns.index(count_col) if count_col in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
