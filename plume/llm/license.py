@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plume.llm.license_rules import ANCHORS, LEVELS, rules
+from plume.llm.license_rules import ANCHORS, LEVELS, literals, rules
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words on the text as written: only A-Z is lower-cased, and that changes no boundary.
@@ -75,6 +75,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base=B
     no words and empty labels. Null ids and repeated rows are scanned like any other.
     """
     table = F.array(*[F.struct(F.lit(i).alias("n"), F.lit(level).alias("level"), F.lit(key).alias("key"),
+                               F.array(*[F.lit(x) for x in literals(pattern)]).alias("literals"),
                                F.lit(pattern).alias("pattern"), F.lit(label).alias("label"))
                       for i, (label, level, key, pattern) in enumerate(rules())])
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -89,7 +90,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base=B
     words = F.when(F.col("has_base"), F.regexp_extract_all(ascii_lower, F.lit(_WORD), F.lit(0)))
     norm = F.when(F.col("has_anchor"), F.regexp_replace(ascii_lower, "[^0-9a-z.+/:\\x80-\\x{10FFFF}-]+", " "))
     d = d.select("doc_id", "n_words", words.alias("words"), norm.alias("norm"))
-    tried = F.filter(table, lambda r: F.col("norm").contains(r["key"]))
+    tried = F.filter(table, lambda r: F.col("norm").contains(r["key"])
+                     & F.exists(r["literals"], lambda x: F.col("norm").contains(x)))
     found = F.when(F.col("norm").isNotNull(), F.flatten(F.transform(tried, lambda r: _detections(F.col("norm"), r))))
     d = d.select("doc_id", "n_words", found.alias("found"), F.when(F.col("words").isNotNull(), F.array(
         *[F.struct(F.lit(label).alias("label"), _places(F.col("words"), p).alias("at")) for p, (_, label) in zip(phrases, base)])

@@ -2,12 +2,14 @@
 
 Normalised text is lower-cased (A-Z); every run of characters other than letters, digits,
 ``.``, ``+``, ``/``, ``:`` and ``-`` is one space. Rules are ordered; a rule is
-``(label, level, keyword, pattern)`` and is tried only where its keyword occurs. Levels, from
-weak to strong: 1 a mention, 2 a licence's name, 3 a notice or grant, 4 a machine-readable tag.
+``(label, level, keyword, pattern)`` and is tried only where its keyword and one of the pattern's
+own :func:`literals` occur. Levels, from weak to strong: 1 a mention, 2 a licence's name, 3 a notice or grant, 4 a machine-readable tag.
 """
 
 from __future__ import annotations
 
+from re import _parser
+
 MENTION, NAME, NOTICE, TAG = 1, 2, 3, 4
 LEVELS = 4
 
@@ -253,6 +255,37 @@ _MENTIONS = [
 ]
 
 
+def literals(pattern: str) -> list[str]:
+    """Texts of which every match holds at least one: the most telling run of plain characters
+    that the pattern cannot match without, or one such run for each of its alternatives."""
+    return _required(list(_parser.parse(pattern))) or [""]
+
+
+def _required(items) -> list[str]:
+    best: list[str] = []
+    run = ""
+    for op, arg in [*items, (None, None)]:
+        if op is _parser.LITERAL:
+            run += chr(arg)
+            continue
+        best = _better(best, [run] if run.strip() else [])
+        run = ""
+        if op is _parser.SUBPATTERN:
+            best = _better(best, _required(list(arg[-1])))
+        elif op is _parser.BRANCH:
+            each = [_required(list(x)) for x in arg[1]]
+            best = _better(best, [k for ks in each for k in ks] if all(each) else [])
+        elif op is _parser.MAX_REPEAT and arg[0] > 0:
+            best = _better(best, _required(list(arg[2])))
+    return best
+
+
+def _better(a: list[str], b: list[str]) -> list[str]:
+    """The alternative set whose weakest text is longer; texts that nearly all rules share tell little."""
+    worth = lambda ks: min((len(k.strip()) if "licen" not in k else 1 for k in ks), default=0)
+    return b if worth(b) > worth(a) else a
+
+
 def _word(pattern: str) -> str:
     return f"(?<![0-9a-z])(?:{pattern})(?![0-9a-z])"
 

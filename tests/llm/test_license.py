@@ -79,3 +79,13 @@ def test_every_keyword_is_gated():
         if key:
             assert any(a in key for a in license_rules.ANCHORS), key
     assert len(license_rules.rules()) >= 200
+
+
+def test_literals_are_in_every_match():
+    for label, level, key, pattern in license_rules.rules():
+        for text in TEXTS:
+            norm = NORM.sub(" ", (text or "").lower())
+            for m in re.finditer(pattern, norm):
+                assert any(x in m.group() for x in license_rules.literals(pattern)), (label, pattern)
+    weak = [p for _, _, _, p in license_rules.rules() if license_rules.literals(p) == [""]]
+    assert not weak
