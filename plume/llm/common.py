@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from plume.session import shared_dir
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
