@@ -38,7 +38,7 @@ from plume.sources.text import read_jsonl
 
 
 def run_batch(spark: SparkSession, input_path: str, output: str, engines: DataFrame, metrics: DataFrame, as_of=None,
-              table_prefix: str = "telemetry") -> dict:
+              table_prefix: str = "telemetry", keep_work: bool = False) -> dict:
     output = output.rstrip("/")
     as_of = as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     engines, metrics = checked_engines(engines), checked_metrics(metrics)
@@ -55,7 +55,8 @@ def run_batch(spark: SparkSession, input_path: str, output: str, engines: DataFr
     stg = staging(raw, as_of)
     fact = with_reading_key(fact_unkeyed(stg, engines, metrics), workdir=f"{output}/work")
     stored = materialize_models(spark, fact, as_of, f"{output}/tables", table_prefix)
-    remove(spark, f"{output}/work")             # the keyed rows now live in the fact table
+    if not keep_work:
+        remove(spark, f"{output}/work")         # the keyed rows now live in the fact table
     stored_fact = stored["fact"].drop("reading_date")
     models = {"raw": raw, "staging": stg, "fact": stored_fact,
               "engine_summary": stored["engine_summary"], "daily_trends": stored["daily_trends"]}

@@ -491,6 +491,7 @@ def oracles() -> dict[str, str]:
     o["stream_clean"] = with_lines(clean_sel.replace("AND NOT dup", ""))
     # streaming K4: the daily mart maintained by foreachBatch equals the batch mart of the clean lines
     o["stream_marts"] = lines_daily_mart("SELECT * FROM dt")
+    o["daily_trends_from_lines"] = lines_daily_mart("SELECT * FROM dt")
     o["stream_engine_mart"] = ("WITH " + ",".join([READINGS, LINES, CLEAN_FROM_LINES, STAGING, ENGINES, FACT, ENGINE_MART])
                                + f" SELECT {ENGINE_COLS} FROM es")
     # streaming K3: hourly windows of the clean lines, emitted once the watermark (latest event time

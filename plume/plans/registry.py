@@ -168,6 +168,16 @@ def _daily_cols(*cols):
     return q
 
 
+def q_daily_trends_from_lines(spark, sf_dir):
+    """JSON Lines text to the daily mart in one plan: parse, clean, dedup, stage, fact, mart."""
+    from plume.operators.fact import fact_unkeyed
+    from plume.operators.marts import daily_trends
+    from plume.operators.staging import staging
+    p = _p(spark, sf_dir)
+    raw = raw_load(ingest.clean_lines(p.lines), p.as_of)
+    return daily_trends(fact_unkeyed(staging(raw, p.as_of), p.engines, p.metrics), p.as_of)
+
+
 # ------------------------------------------------------------------ serving (I)
 
 def q_q1(spark, sf_dir):
@@ -334,6 +344,7 @@ _RAW = {
     "engine_health": _engine_cols("anomaly_rate_percent", "health_status"),
     # H: daily mart
     "daily_trends": _daily_cols(),
+    "daily_trends_from_lines": q_daily_trends_from_lines,
     "daily_calendar": _daily_cols("day_of_week", "is_weekend"),
     "daily_anomaly_rate": _daily_cols("total_readings", "total_anomalies", "daily_anomaly_rate_percent"),
     "daily_anomaly_types": _daily_cols(*[a.lower() + "_anomalies" for a in rules.ANOMALY_TYPES]),

@@ -48,8 +48,10 @@ def main() -> None:
     t["generate_and_land"] = time.perf_counter() - t0
 
     from plume.plans.jobs import run_batch
+    from plume.sources import fixtures
     t0 = time.perf_counter()
-    res = run_batch(spark, landing, f"{work}/out", as_of=dt.datetime(2025, 2, 1), table_prefix="scale")
+    res = run_batch(spark, landing, f"{work}/out", fixtures.dim_engines(spark), fixtures.dim_metrics(spark),
+                    as_of=dt.datetime(2025, 2, 1), table_prefix="scale", keep_work=True)
     t["run_batch"] = time.perf_counter() - t0
 
     # reading-key balance: rows per range partition of the F9 key table (the upper

@@ -28,10 +28,10 @@ def main() -> None:
     from plume.operators.fact import fact_unkeyed
     from plume.operators.staging import staging
     from plume.sources import fixtures
-    from tests.tools import generator
     from plume.sources.raw import raw_load
     from plume.sources.text import read_jsonl
     from plume.streaming import streams
+    from tests.tools import generator
 
     lines = generator.generate_jsonl(spark, n, seed=3)
     landing = f"{work}/landing"
@@ -57,7 +57,7 @@ def main() -> None:
     batches = [round(p["durationMs"].get("triggerExecution", 0) / 1000, 1) for p in q.recentProgress
                if p.get("numInputRows", 0) > 0]
 
-    streamed = spark.read.parquet(f"{work}/tables/daily_trends")
+    streamed = refresher.read("daily_trends")
     clean = ingest.clean_lines(read_jsonl(spark, [f"{landing}/f{i:02d}" for i in range(10)]))
     batch = marts.daily_trends(fact_unkeyed(staging(raw_load(clean, as_of), as_of), engines, metrics), as_of)
     cols = ["date_actual", "total_readings", "total_anomalies", "daily_anomaly_rate_percent",
