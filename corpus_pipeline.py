@@ -29,8 +29,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that hold a benchmark item or an excerpt of one go."""
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"), window=decontam.EXCERPT)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

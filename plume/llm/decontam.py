@@ -5,6 +5,10 @@ least ``m + 1 - q * (e + 1)`` character q-grams with it, all within e + 1 neighb
 diagonals (text place minus item place). Shared q-grams are counted in overlapping bands of
 diagonals; bands that reach the bound are kept and verified by a banded alignment. Both
 sides are compared lower-cased with white space collapsed.
+
+With ``window``, regions of that many characters are sought besides whole items, each with its
+own bound and edit budget, so a document that holds only an excerpt is found too. Regions start
+at every ``window // 3`` characters of the item and of each of its lines, and end with them.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from plume.llm.common import text_slices
 
 Q = 16                       # a power of two: q-gram hashes are built by doubling
 RATE = 0.05                  # edits per character of the item
+EXCERPT = 48                 # characters of the regions that the query and the pipeline seek
 BLOCK_BYTES = 4 << 20        # benchmark text that one pass over the documents carries
 _TABLE_BITS = 22
 _GAP = np.uint64(0x110000)   # no character has this code
@@ -47,9 +52,15 @@ def qgrams(codes: np.ndarray, q: int) -> np.ndarray:
 
 @dataclass
 class Items:
-    """Benchmark items with their q-grams, sorted by hash."""
+    """Benchmark items with their q-grams, sorted by hash. Pieces are the items, then their regions:
+    ``item``, ``start`` and ``length`` say what a piece is of its item, ``regions`` sorts the regions."""
     keys: list
     codes: list[np.ndarray]
+    item: np.ndarray
+    start: np.ndarray
+    length: np.ndarray
+    regions: np.ndarray
+    window: int
     edits: np.ndarray
     need: np.ndarray
     band: np.ndarray
@@ -58,13 +69,32 @@ class Items:
     owner: np.ndarray
     place: np.ndarray
 
+    def code(self, piece: int) -> np.ndarray:
+        return self.codes[self.item[piece]][self.start[piece]:self.start[piece] + self.length[piece]]
+
+
+def region_starts(text: str, window: int) -> list[int]:
+    """Where the regions of an item longer than ``window`` start: in the whole of it and in each line."""
+    lines = [n for n in (len(normalised(x)) for x in text.split("\n")) if n]
+    m = sum(lines) + len(lines) - 1
+    if m <= window:
+        return []
+    spans, at = [(0, m)], 0
+    for n in lines:
+        spans.append((at, at + n))
+        at += n + 1
+    return sorted({x for a, b in spans if b - a >= window for x in (*range(a, b - window + 1, max(1, window // 3)), b - window)})
+
 
-def index(items: list[tuple], q: int = Q, rate: float = RATE) -> Items:
+def index(items: list[tuple], q: int = Q, rate: float = RATE, window: int | None = None) -> Items:
     """Items shorter than ``q`` characters are too short to be evidence and are left out."""
-    kept = [(k, c) for k, c in ((k, normalised(t)) for k, t in items) if len(c) >= q]
-    m = np.array([len(c) for _, c in kept], np.int64)
+    kept = [(k, c, t) for k, c, t in ((k, normalised(t), t) for k, t in items) if len(c) >= q]
+    starts = [region_starts(t, window) if window else [] for *_, t in kept]
+    item = np.r_[np.arange(len(kept)), np.repeat(np.arange(len(kept)), [len(x) for x in starts])].astype(np.int64)
+    start = np.r_[np.zeros(len(kept)), [x for xs in starts for x in xs]].astype(np.int64)
+    m = np.r_[[len(c) for _, c, _ in kept], np.full(len(item) - len(kept), window or 0)].astype(np.int64)
     edits = np.minimum(np.floor(m * rate).astype(np.int64), (m - q) // q)
-    grams = [qgrams(c, q) for _, c in kept]
+    grams = [qgrams(c, q) for _, c, _ in kept]
     sizes = np.array([len(g) for g in grams], np.int64)
     owner = np.repeat(np.arange(len(kept)), sizes)
     place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -72,12 +102,14 @@ def index(items: list[tuple], q: int = Q, rate: float = RATE) -> Items:
     order = np.argsort(h, kind="stable")
     table = np.zeros(1 << _TABLE_BITS, bool)
     table[(h >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
-    return Items([k for k, _ in kept], [c for _, c in kept], edits, m + 1 - q * (edits + 1), np.maximum(32, edits),
+    return Items([k for k, *_ in kept], [c for _, c, _ in kept], item, start, m,
+                 (item << 32 | start)[len(kept):], window or 0, edits, m + 1 - q * (edits + 1), np.maximum(32, edits),
                  table, h[order], owner[order], place[order])
 
 
-def matches(texts: list[str | None], it: Items, q: int = Q) -> list[tuple[int, int, int, int]]:
-    """``(text number, item number, edits, end)`` of each item's best region in each text."""
+def matches(texts: list[str | None], it: Items, q: int = Q) -> list[tuple[int, int, int, int, int, int]]:
+    """``(text number, item number, edits, end, start, length)`` of each item's best place in each
+    text: that of the whole item, or else that of the region with the fewest edits."""
     if not it.keys:
         return []
     codes = [normalised(t) for t in texts]
@@ -95,6 +127,13 @@ def matches(texts: list[str | None], it: Items, q: int = Q) -> list[tuple[int, i
     gram = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
     at = np.repeat(at, n)
     item, diagonal = it.owner[gram], at - it.place[gram]
+    # "item" numbers pieces from here on: a hit counts for its item and for the regions that hold its q-gram
+    place = item << 32
+    lo = np.searchsorted(it.regions, place + np.maximum(it.place[gram] + q - it.window, 0))
+    n = np.maximum(np.searchsorted(it.regions, place + it.place[gram], "right") - lo, 0)
+    inside = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum()) + len(it.keys)
+    item, at = np.r_[item, inside], np.r_[at, np.repeat(at, n)]
+    diagonal = np.r_[diagonal, np.repeat(diagonal, n) + it.start[inside]]
     # a band of width w + e starts at every multiple of w; a hit in the overlap counts for both bands
     w = it.band[item]
     doc = np.searchsorted(ends, at, "right")
@@ -109,16 +148,17 @@ def matches(texts: list[str | None], it: Items, q: int = Q) -> list[tuple[int, i
     band, item, doc = band[first], item[first], doc[first]
     keep = count >= it.need[item]
     band, item, doc = band[keep], item[keep], doc[keep]
-    best: dict[tuple[int, int], tuple[int, int]] = {}
+    best: dict[tuple[int, int], tuple] = {}
     for s in range(0, len(band), 1024):
         b, i, d = (x[s:s + 1024] for x in (band, item, doc))
         edits, end = align(whole, b * it.band[i] - it.edits[i], it.band[i] + 3 * it.edits[i], i, it,
                            ends[d] - sizes[d], ends[d] - 1)
         for x, y, e, z in zip(d.tolist(), i.tolist(), edits.tolist(), end.tolist()):
             if e <= it.edits[y]:
-                best[x, y] = min(best.get((x, y), (e, z)), (e, z))
+                k, found = (x, int(it.item[y])), (y >= len(it.keys), e, z, y)
+                best[k] = min(best.get(k, found), found)
     start = ends - sizes
-    return [(x, y, e, z - int(start[x])) for (x, y), (e, z) in best.items()]
+    return [(x, y, e, z - int(start[x]), int(it.start[p]), int(it.length[p])) for (x, y), (_, e, z, p) in best.items()]
 
 
 def align(text: np.ndarray, low: np.ndarray, width: np.ndarray, item: np.ndarray, it: Items, start: np.ndarray,
@@ -126,11 +166,11 @@ def align(text: np.ndarray, low: np.ndarray, width: np.ndarray, item: np.ndarray
     """Least edits of each item against a stretch of the text, over the diagonals from ``low`` on
     (``width`` + 1 of them), and where the best stretch ends. Stretches stay within
     ``start``..``stop``. All candidates advance together, one item character a row."""
-    m = np.array([len(it.codes[i]) for i in item])
+    m = it.length[item]
     most, cols = int(m.max()), np.arange(int(width.max()) + 1)
     pattern = np.zeros((len(item), most), np.uint32)
     for r, i in enumerate(item):
-        pattern[r, :m[r]] = it.codes[i]
+        pattern[r, :m[r]] = it.code(i)
     far = np.int32(1 << 20)
     off = (cols[None, :] > width[:, None])
     at = low[:, None] + cols[None, :]                   # text place after 0 item characters
@@ -169,43 +209,52 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE, id_col: str = "doc_id",
-                 text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``doc_id, item_id, edits, end`` for each item found in each row of ``docs``.
+                 text_col: str = "text", block_bytes: int = BLOCK_BYTES, window: int | None = None) -> DataFrame:
+    """``doc_id, item_id, edits, end, start, length`` for each item found in each row of ``docs``.
 
     An item is found where a stretch of the document lies within ``floor(rate * m)`` edits of
     it, and no more than the lemma can see: ``(m - q) // q``. ``end`` is the place after the
-    stretch in the normalised text. Items shorter than ``q`` characters, null items and null
+    stretch in the normalised text. With ``window`` (at least ``q``), an item also is found where
+    one of its regions of that length lies within the edits that this length allows; a whole
+    item goes before regions. ``start`` and ``length`` say what part of the normalised item was
+    found. Any unedited excerpt of ``window + window // 3 - 1`` characters holds a region, and so
+    does a whole line of ``window`` characters. Items shorter than ``q`` characters, null items and null
     texts match nothing. Rows with a null id, and repeated rows, are judged like any other.
     Benchmarks above ``block_bytes`` of text take one pass over the documents per block.
     """
     if q < 1 or q & (q - 1):
         raise ValueError("q must be a power of two")
+    if window is not None and window < q:
+        raise ValueError("window must be at least q")
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     out = None
     for block in _blocks(benchmark, "item_id", "text", block_bytes):
         def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            it = index(block, q, rate)
+            it = index(block, q, rate, window)
             for batch in batches:
                 for b in text_slices(batch, 1):
                     found = matches(b.column(1).to_pylist(), it, q)
                     yield pa.RecordBatch.from_arrays(
                         [b.column(0).take(pa.array([x for x, *_ in found], pa.int64())),
                          pa.array([it.keys[y] for _, y, *_ in found], pa.int64()),
-                         pa.array([e for *_, e, _ in found], pa.int32()), pa.array([z for *_, z in found], pa.int64())],
-                        ["doc_id", "item_id", "edits", "end"])
+                         pa.array([f[2] for f in found], pa.int32()), pa.array([f[3] for f in found], pa.int64()),
+                         pa.array([f[4] for f in found], pa.int32()), pa.array([f[5] for f in found], pa.int32())],
+                        ["doc_id", "item_id", "edits", "end", "start", "length"])
 
-        part = src.mapInArrow(run, "doc_id long, item_id long, edits int, end long")
+        part = src.mapInArrow(run, "doc_id long, item_id long, edits int, end long, start int, length int")
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE, text_col: str = "text",
-                      block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs``, all columns, without the documents that hold an item. Map only."""
+                      block_bytes: int = BLOCK_BYTES, window: int | None = None) -> DataFrame:
+    """``docs``, all columns, without the documents that hold an item, or with ``window`` a region of one. Map only."""
+    if window is not None and window < q:
+        raise ValueError("window must be at least q")
     at = docs.columns.index(text_col)
     for block in _blocks(benchmark, "item_id", "text", block_bytes):
         def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            it = index(block, q, rate)
+            it = index(block, q, rate, window)
             for batch in batches:
                 for b in text_slices(batch, at):
                     hit = {x for x, *_ in matches(b.column(at).to_pylist(), it, q)}

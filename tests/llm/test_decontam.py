@@ -89,3 +89,33 @@ def test_empty_tables_and_blocks(spark):
     for block in (1, 10 ** 6):
         got = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, bench, block_bytes=block).collect()}
         assert got == {(1, 0), (2, 1)}
+
+
+def test_excerpts_are_found(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    lines = [" ".join(word() for _ in range(n)) for n in (14, 8, 11)]
+    item, w = "\n".join(lines), decontam.EXCERPT
+    flat = " ".join(item.split())
+    pad = " ".join(word() for _ in range(20))
+    texts = [(1, item), (2, f"{pad}\n{lines[0]}\n{lines[2]}\n{pad}"), (3, f"{pad}\n{lines[1]}"), (4, pad + " " + flat[:20]),
+             (5, lines[0][:30] + "Z" + lines[0][31:])]
+    whole = w + w // 3 - 1
+    texts += [(100 + i, f"{pad} {flat[i:i + whole]} {pad}") for i in range(0, len(flat) - whole + 1, 7)]
+    docs, bench = tables(spark, texts, [(1, item), (2, "another item that no document holds at all, in any part")])
+    got = {r.doc_id: r for r in decontam.contaminated(docs, bench, window=w).collect()}
+    assert set(got) == {d for d, _ in texts} - {4}
+    assert (got[1].start, got[1].length, got[1].edits) == (0, len(flat), 0) and got[5].edits <= 1
+    for d, r in got.items():
+        assert edits(flat[r.start:r.start + r.length], dict(texts)[d]) == r.edits
+    clean = decontam.drop_contaminated(docs, bench, window=w)
+    assert [r.doc_id for r in clean.collect()] == [4] and clean.columns == docs.columns
+    assert {r.doc_id for r in decontam.contaminated(docs, bench).collect()} == {1}
+
+
+def test_pipeline_drops_what_line_dedup_left_of_an_item(spark, tmp_dir):
+    import corpus_pipeline
+    a, b = "the first line of the item is the longer one of the two lines", "and here is its second line"
+    docs, bench = tables(spark, [(1, "a page\n" + a + "\nanother page"), (2, "clean")], [(1, f"{a}\n{b}\n{b} again")])
+    bench.write.parquet(f"{tmp_dir}/benchmark.parquet")
+    assert [r.doc_id for r in corpus_pipeline.decontaminate(spark, docs, tmp_dir).collect()] == [2]
