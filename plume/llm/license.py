@@ -19,12 +19,19 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words on the text as written: only A-Z is lower-cased, and that changes no boundary.
 _WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 _SEP = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+_GAP = "[^0-9a-zA-Z.+/:\\x80-\\x{10FFFF}-]+"      # becomes one space in the normalised text
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 WEIGHTS = (0.4, 0.6, 0.8, 1.0)       # by level; a base phrase counts as a mention
 
 
-def _any(text: Column, keys) -> Column:
-    return reduce(lambda a, b: a | b, [text.contains(k) for k in keys])
+def _any(text: Column, low: Column, keys) -> Column:
+    """Whether the normalised text holds any of the keys, told from the text as written and lower-cased."""
+    def has(key: str) -> Column:
+        words = key.split(" ")
+        held = reduce(lambda a, b: a & b, [low.contains(w) for w in words])
+        return held & text.rlike("(?i)" + _GAP.join(words)) if len(words) > 1 else held
+
+    return reduce(lambda a, b: a | b, [has(k) for k in sorted(keys, key=lambda k: " " in k)])
 
 
 def _places(words: Column, phrase: list[str]) -> Column:
@@ -85,7 +92,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base=B
     stems = reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [F.col("low").contains(w) for w in p]) for p in phrases])
     near = F.col("text").rlike("(?i)(?:" + "|".join(_SEP.join(p) for p in phrases) + ")")
     d = d.select("doc_id", "text", F.regexp_count("text", F.lit(_WORD)).cast("long").alias("n_words"),
-                 (stems & near).alias("has_base"), _any(F.col("low"), ANCHORS).alias("has_anchor"))
+                 (stems & near).alias("has_base"), _any(F.col("text"), F.col("low"), ANCHORS).alias("has_anchor"))
     ascii_lower = F.translate("text", _UPPER, _LOWER)
     words = F.when(F.col("has_base"), F.regexp_extract_all(ascii_lower, F.lit(_WORD), F.lit(0)))
     norm = F.when(F.col("has_anchor"), F.regexp_replace(ascii_lower, "[^0-9a-z.+/:\\x80-\\x{10FFFF}-]+", " "))

@@ -13,9 +13,10 @@ from re import _parser
 MENTION, NAME, NOTICE, TAG = 1, 2, 3, 4
 LEVELS = 4
 
-#: Every keyword holds one of these; texts with none of them are not scanned at all.
+#: Every match holds its rule's keyword and one of these; texts with none of them are not scanned at all.
 ANCHORS = ("licen", "copyright", "reserved", "domain", "spdx", "gpl", "warrant", "commons", "redistribut", "permission",
-           "copyleft", "proprietary", "confidential", "cc0", "cc-by", "cc by", "unlicense", "trademark", "wtfpl")
+           "copyleft", "proprietary", "confidential", "cc0", "cc-by", "cc by", "unlicense", "trademark", "wtfpl",
+           "imatix", "mulan", "nasa open source", "may be used for")
 
 # label, how the licence is called, and its SPDX identifiers
 _FAMILIES = [
@@ -223,7 +224,8 @@ _NOTICES = [
     ("proprietary", "proprietary", r"(this (software|document|work)|the information contained) .{0,60}(is )?(proprietary( and| or) confidential|confidential and proprietary)"),
     ("proprietary", "permission", r"no part of this (publication|document|work|book) may be reproduced.{0,200}without( the)?( prior)? (written )?permission"),
     ("proprietary", "licen", r"subject to the terms of (the|a|an) (end user|commercial|proprietary) licen[sc]e( agreement)?"),
-    ("non-commercial", "permission", r"(may be used|permission is granted) for (non-?commercial|personal|educational|research) (use|purposes) only"),
+    ("non-commercial", "may be used for", r"may be used for (non-?commercial|personal|educational|research) (use|purposes) only"),
+    ("non-commercial", "permission", r"permission is granted for (non-?commercial|personal|educational|research) (use|purposes) only"),
     ("public-domain", "domain", r"(released|placed|dedicated|released in)( in)?(to)? the public domain"),
     ("reserved", "reserved", r"copyright( c)?( [0-9]{4}(-[0-9]{2,4})?)? .{0,80}all rights reserved"),
 ]
@@ -294,7 +296,7 @@ def rules() -> list[tuple[str, int, str, str]]:
     """All rules in order: tags, notices, names, mentions."""
     out = [(label, TAG, "spdx", _word(rf"spdx-license-identifier: ?(?:{tag})")) for label, _, tag in _FAMILIES]
     out += [(label, NOTICE, key, _word(pattern)) for label, key, pattern in _NOTICES]
-    keys = {"hpnd": "permission", "wtfpl": "", "cc0": "", "imatix": "", "nasa": ""}
+    keys = {"hpnd": "permission", "wtfpl": "", "cc0": "", "imatix": "imatix", "mulan": "mulan", "nasa": "nasa open source"}
     for label, name, _ in _FAMILIES:
         out.append((label, NAME, keys.get(label, "licen"), _word(name)))
     out += [(label, MENTION, key, _word(pattern)) for label, key, pattern in _MENTIONS]

@@ -89,3 +89,40 @@ def test_literals_are_in_every_match():
                 assert any(x in m.group() for x in license_rules.literals(pattern)), (label, pattern)
     weak = [p for _, _, _, p in license_rules.rules() if license_rules.literals(p) == [""]]
     assert not weak
+
+
+def covering(items):
+    """Texts that match a parsed pattern and between them take each of its alternatives."""
+    p, each = license_rules._parser, []
+    for op, arg in items:
+        if op is p.LITERAL:
+            each.append([chr(arg)])
+        elif op is p.IN:
+            each.append([chr(a if o is p.LITERAL else a[0]) for o, a in arg])
+        elif op is p.SUBPATTERN:
+            each.append(covering(arg[-1]))
+        elif op is p.BRANCH:
+            each.append([t for x in arg[1] for t in covering(x)])
+        elif op is p.MAX_REPEAT:
+            some = [t * max(1, arg[0]) for t in (["x"] if arg[2][0][0] is p.ANY else covering(arg[2]))]
+            each.append(["", *some] if arg[0] == 0 else some)
+    return ["".join(x[min(k, len(x) - 1)] for x in each) for k in range(max(map(len, each), default=1))]
+
+
+def test_every_alternative_is_detected(spark):
+    """No keyword, literal or anchor gate: every regex is tried on a text for each alternative."""
+    texts = sorted({t for *_, pattern in license_rules.rules() for t in covering(license_rules._parser.parse(pattern))})
+    texts += ["This software may be used for educational purposes only.", "may\nbe  used for research use only", "CC\nBY-SA 4.0"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in license.scan(df).collect()}
+    seen = set()
+    for i, text in enumerate(texts):
+        low, norm = text.lower(), NORM.sub(" ", text.lower())
+        words = WORD.findall(low)
+        labels = {label for p, label in BASE if any(words[k:k + len(p)] == p for k in range(len(words)))}
+        found = [(m.start(), -m.end(), -level, n) for n, (_, level, _, p) in enumerate(RULES) for m in p.finditer(norm)]
+        seen |= {d[3] for d in found}
+        kept = [d for k, d in enumerate(sorted(found)) if not any(e[1] <= d[1] and e[2] <= d[2] for e in sorted(found)[:k])]
+        best = max([license.WEIGHTS[-d[2] - 1] for d in kept] + [license.WEIGHTS[0]] * bool(labels) + [0.0])
+        assert got[i] == (",".join(sorted(labels | {RULES[d[3]][0] for d in kept})), best), text
+    assert seen == set(range(len(RULES)))
