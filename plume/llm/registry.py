@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plume.llm import decontam, license, linededup, packing, quality, simhash, tokencount, topk, urlfilter, warc
+from plume.llm import decontam, hardneg, license, linededup, packing, quality, simhash, tokencount, topk, urlfilter, warc
 from plume.llm.common import table
 
 
@@ -55,13 +55,20 @@ def op10_decontam(spark, sf_dir):
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=decontam.EXCERPT)
 
 
+def op13_hardneg(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", F.expr(
+        "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"))
+    vectors = hardneg.quantised(rows)
+    return hardneg.mine(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (op1_simhash, op2_warc, op3_topk, op4_urlfilter, op5_packing, op6_license,
-                                    op7_tokencount, op8_quality, op9_linededup, op10_decontam)}
+                                    op7_tokencount, op8_quality, op9_linededup, op10_decontam, op13_hardneg)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": _WARC_SQL, "op3_topk": _TOPK_SQL, "op4_urlfilter": _URL_SQL}
+    return {"op2_warc": _WARC_SQL, "op3_topk": _TOPK_SQL, "op4_urlfilter": _URL_SQL, "op13_hardneg": _HARD_SQL}
 
 
 _WARC_SQL = """
@@ -102,3 +109,21 @@ WITH u AS (SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '
 SELECT p.page_id, p.host, p.path, m.rule, coalesce(m.verdict, 'allow') AS verdict
 FROM p JOIN m ON m.n = 1 AND m.page_id IS NOT DISTINCT FROM p.page_id AND m.host = p.host AND m.path = p.path
 """
+
+_HARD_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                  list_sum(list_transform(list_zip(a.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+           FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 50 = 0),
+     p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+           QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, s.vec_id AS negative_id, positive_score,
+       s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * positive_score <= 100 * s.score
+     AND 100 * s.score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 3
+"""
