@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plume.llm.blocks import paired
 from plume.llm.common import stored
 
 TILE = 2048        # candidate vectors a block
@@ -70,13 +71,6 @@ def _tiles(rows: DataFrame, size: int, extra: list[str]) -> DataFrame:
     return rows.select("vec_id", "v", *extra).mapInArrow(run, ", ".join(f"{n} binary" for n in names) + ", dim int")
 
 
-def _scored(queries: DataFrame, candidates: DataFrame, extra: list[str]) -> DataFrame:
-    """All pairs of a query block and a candidate block of the same dimension: a stated query
-    set against all rows, in blocks. A pair of blocks is one row; scores stay inside the task."""
-    q = queries.select(*[F.col(c).alias(f"q_{c}") for c in ["ids", "matrix", *extra, "dim"]])
-    return candidates.crossJoin(q).where("dim = q_dim")
-
-
 def _scores(row: dict, extra: list[str]):
     """Scores (queries x candidates) with each query's own rows masked, ids, and the extra columns."""
     dim = row["dim"]
@@ -152,15 +146,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, tile: int = TILE,
     if reach is None or not asked:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     bound = int(reach * widest) + 2
-    blocks = _dealt(_tiles(vectors, tile, []), 4 * max(1, spark.sparkContext.defaultParallelism))
+    parts = 4 * max(1, spark.sparkContext.defaultParallelism)
+    blocks = stored(_tiles(vectors, tile, []), "vector-blocks")
     asked = -(-asked // query_tile)
     # the kth value lies in [lo, lo + width * bins); both are the same for all queries at first
     width = -(-(2 * bound + 1) // bins)
     state = state.select("vec_id", "v", F.lit(-bound).cast("long").alias("lo"))
     while True:
-        tiles = _dealt(_tiles(state.repartition(asked).withColumn("width", F.lit(width).cast("long")), query_tile,
-                              ["lo", "width"]), asked)
-        hist = (_scored(tiles, blocks, ["lo", "width"])
+        tiles = _tiles(state.repartition(asked).withColumn("width", F.lit(width).cast("long")), query_tile, ["lo", "width"])
+        hist = (paired(tiles, blocks, ["ids", "matrix", "lo", "width"], parts)
                 .mapInArrow(_histograms(k, bins), "vec_id long, bin long, n long")
                 .groupBy("vec_id", "bin").agg(F.sum("n").alias("n")))
         over = F.sum("n").over(Window.partitionBy("vec_id").orderBy(F.desc("bin")))
@@ -172,13 +166,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, tile: int = TILE,
         if width == 1:
             break
         width = -(-width // bins)
-    tiles = _dealt(_tiles(state.repartition(asked), query_tile, ["lo"]), asked)
-    found = (_scored(tiles, blocks, ["lo"])
+    tiles = _tiles(state.repartition(asked), query_tile, ["lo"])
+    found = (paired(tiles, blocks, ["ids", "matrix", "lo"], parts)
              .mapInArrow(_survivors(k), "query_id long, vec_id long, score long"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def _dealt(tiles: DataFrame, parts: int) -> DataFrame:
-    """Blocks behind an exchange, so that pairing them with others does not pack them again."""
-    return tiles.repartition(parts)
