@@ -6,17 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def paired(queries: DataFrame, candidates: DataFrame, columns: list[str], parts: int) -> DataFrame:
-    """Every query block beside every candidate block of its dimension, one pair a row.
+def paired(queries: DataFrame, candidates: DataFrame, parts: int, deal: str, same: tuple[str, ...] = ()) -> DataFrame:
+    """Every query block beside every candidate block that agrees with it in ``same``, one pair a row.
 
-    Candidate blocks are dealt over ``parts`` by their ids and each query block is sent to all
-    parts, so the join key is (dim, part): no dimension, however common, meets in one task. The
-    columns of the query block come out as ``q_<column>``.
+    Candidate blocks are dealt over ``parts`` by their column ``deal`` and each query block is sent
+    to all parts, so that no value of ``same``, however common, meets in one task. The columns of
+    the query block come out as ``q_<column>``.
     """
-    c = candidates.withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(parts)).cast("int"))
-    q = queries.select(*[F.col(x).alias(f"q_{x}") for x in columns], F.col("dim").alias("q_dim"),
+    c = candidates.withColumn("part", F.pmod(F.xxhash64(deal), F.lit(parts)).cast("int"))
+    q = queries.select(*[F.col(x).alias(f"q_{x}") for x in queries.columns],
                        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("q_part"))
-    return (c.repartition(parts, "dim", "part")
-            .join(q.repartition(parts, "q_dim", "q_part").hint("merge"),
-                  (F.col("dim") == F.col("q_dim")) & (F.col("part") == F.col("q_part")))
-            .drop("part", "q_part", "q_dim"))
+    on = F.col("part") == F.col("q_part")
+    for x in same:
+        on &= F.col(x) == F.col(f"q_{x}")
+    return (c.repartition(parts, *same, "part")
+            .join(q.repartition(parts, *[f"q_{x}" for x in same], "q_part").hint("merge"), on).drop("part", "q_part"))

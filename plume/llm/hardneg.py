@@ -171,7 +171,7 @@ def mine(vectors: DataFrame, anchors: DataFrame, positives: int = 5, negatives:
     asked = stored(anchors.distinct().withColumn("key", F.xxhash64("vec_id", "label", "v")), "anchors")
     groups = max(1, -(-asked.count() // anchor_tile))
     first = stored(_tiles(asked.repartition(groups), anchor_tile, ["key", "label"]), "anchor-blocks")
-    found = (paired(first, candidates, ["ids", "matrix", "key", "label"], parts)
+    found = (paired(first, candidates, parts, "ids", ("dim",))
              .mapInArrow(_positives(positives), "key long, positive_id long, positive_score long"))
     order = Window.partitionBy("key").orderBy(F.desc("positive_score"), "positive_id")
     best = stored(found.withColumn("n", F.row_number().over(order)).where(F.col("n") <= positives)
@@ -182,7 +182,7 @@ def mine(vectors: DataFrame, anchors: DataFrame, positives: int = 5, negatives:
     ready = asked.join(goals, "key").select("vec_id", "v", "key", "label",
                                             *[F.coalesce(c, F.lit(_EMPTY)).alias(c) for c in goal])
     second = stored(_tiles(ready.repartition(groups), anchor_tile, ["key", "label", *goal]), "anchor-blocks")
-    hits = (paired(second, candidates, ["ids", "matrix", "key", "label", *goal], parts)
+    hits = (paired(second, candidates, parts, "ids", ("dim",))
             .mapInArrow(_negatives(negatives, positives, low, high),
                         "key long, place long, negative_id long, negative_score long"))
     order = Window.partitionBy("key", "place").orderBy(F.desc("negative_score"), "negative_id")

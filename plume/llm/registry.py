@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plume.llm import decontam, hardneg, license, linededup, packing, quality, simhash, tokencount, topk, urlfilter, warc
+from plume.llm import (decontam, hardneg, lexical, license, linededup, packing, quality, simhash, tokencount, topk,
+                       urlfilter, warc)
 from plume.llm.common import table
 
 
@@ -55,6 +56,10 @@ def op10_decontam(spark, sf_dir):
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=decontam.EXCERPT)
 
 
+def op11_lexical(spark, sf_dir):
+    return lexical.search(lexical.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
 def op13_hardneg(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").withColumn("label", F.expr(
         "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"))
@@ -64,11 +69,12 @@ def op13_hardneg(spark, sf_dir):
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_simhash, op2_warc, op3_topk, op4_urlfilter, op5_packing, op6_license,
-                                    op7_tokencount, op8_quality, op9_linededup, op10_decontam, op13_hardneg)}
+                                    op7_tokencount, op8_quality, op9_linededup, op10_decontam, op11_lexical, op13_hardneg)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": _WARC_SQL, "op3_topk": _TOPK_SQL, "op4_urlfilter": _URL_SQL, "op13_hardneg": _HARD_SQL}
+    return {"op2_warc": _WARC_SQL, "op3_topk": _TOPK_SQL, "op4_urlfilter": _URL_SQL, "op11_lexical": _LEXICAL_SQL,
+            "op13_hardneg": _HARD_SQL}
 
 
 _WARC_SQL = """
@@ -110,6 +116,28 @@ SELECT p.page_id, p.host, p.path, m.rule, coalesce(m.verdict, 'allow') AS verdic
 FROM p JOIN m ON m.n = 1 AND m.page_id IS NOT DISTINCT FROM p.page_id AND m.host = p.host AND m.path = p.path
 """
 
+_LEXICAL_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+     n AS (SELECT rid, doc_id, len(t) AS n FROM d WHERE len(t) > 0),
+     corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS tokens FROM n),
+     tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(t) AS term FROM d) GROUP BY rid, term),
+     w AS (SELECT term, floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+           FROM tf, corpus GROUP BY term, docs),
+     q AS (SELECT row_number() OVER () AS qid, * FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+     qt AS (SELECT qid, item_id, term, count(*) AS times FROM (
+                SELECT qid, item_id, unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM q) GROUP BY qid, item_id, term),
+     s AS (SELECT qid, item_id, rid, doc_id, sum(times * w * ((1000000000 * tf) //
+                      (1000 * tf + 12 * (75 + (25 * n * docs) // tokens))))::BIGINT AS score
+           FROM qt JOIN w USING (term) JOIN tf USING (term) JOIN n USING (rid), corpus GROUP BY qid, item_id, rid, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST) <= 20
+"""
+
 _HARD_SQL = """
 WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings

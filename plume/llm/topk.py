@@ -154,7 +154,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, tile: int = TILE,
     state = state.select("vec_id", "v", F.lit(-bound).cast("long").alias("lo"))
     while True:
         tiles = _tiles(state.repartition(asked).withColumn("width", F.lit(width).cast("long")), query_tile, ["lo", "width"])
-        hist = (paired(tiles, blocks, ["ids", "matrix", "lo", "width"], parts)
+        hist = (paired(tiles, blocks, parts, "ids", ("dim",))
                 .mapInArrow(_histograms(k, bins), "vec_id long, bin long, n long")
                 .groupBy("vec_id", "bin").agg(F.sum("n").alias("n")))
         over = F.sum("n").over(Window.partitionBy("vec_id").orderBy(F.desc("bin")))
@@ -167,7 +167,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, tile: int = TILE,
             break
         width = -(-width // bins)
     tiles = _tiles(state.repartition(asked), query_tile, ["lo"])
-    found = (paired(tiles, blocks, ["ids", "matrix", "lo"], parts)
+    found = (paired(tiles, blocks, parts, "ids", ("dim",))
              .mapInArrow(_survivors(k), "query_id long, vec_id long, score long"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

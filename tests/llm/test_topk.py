@@ -59,7 +59,7 @@ def test_no_exchange_on_the_dimension_alone(spark):
     from plume.llm.blocks import paired
     vectors = topk.quantised(spark.range(40).selectExpr("id AS vec_id", "array(1D, double(id)) AS embedding"))
     tiles = topk._tiles(vectors.selectExpr("*", "0L AS lo"), 8, ["lo"])
-    pairs = paired(tiles, topk._tiles(vectors, 8, []), ["ids", "matrix", "lo"], 6)
+    pairs = paired(tiles, topk._tiles(vectors, 8, []), 6, "ids", ("dim",))
     plan = pairs._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "hashpartitioning(dim#" in plan and "part#" in plan
     assert pairs.count() == tiles.count() * topk._tiles(vectors, 8, []).count()
