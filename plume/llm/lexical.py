@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from plume.llm.blocks import paired
 from plume.llm.common import stored, text_slices
 
-SHARD_BYTES = 16 << 20       # text of one shard; a longer document is a shard of its own
+SHARD_BYTES = 4 << 20        # text of one shard; a longer document is a shard of its own
 BLOCK = 128                  # postings a block
 QUERY_BLOCK = 256            # queries a block, of at most QUERY_BYTES of text unless one alone is longer
 QUERY_BYTES = 1 << 20
