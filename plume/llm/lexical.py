@@ -303,10 +303,11 @@ def _query_blocks(queries: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     item = pa.struct([("query", pa.int64()), ("id", pa.int64()), ("terms", pa.list_(pa.binary()))])
     schema = pa.schema([("block", pa.int64()), ("items", pa.list_(item))])
-    rows = (queries.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-            .where("text IS NOT NULL").distinct()
-            .select(F.xxhash64("id", "text").alias("query"), "id", "text"))
-    return stored(rows.mapInArrow(run, "block long, items array<struct<query:long,id:long,terms:array<binary>>>"), "queries")
+    rows = stored(queries.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+                  .where("text IS NOT NULL").distinct()
+                  .select(F.xxhash64("id", "text").alias("query"), "id", "text"), "query-rows")
+    few = max(1, -(-rows.count() // QUERY_BLOCK))            # full blocks: a shard is sent to Python once for each
+    return stored(rows.repartition(few).mapInArrow(run, "block long, items array<struct<query:long,id:long,terms:array<binary>>>"), "queries")
 
 
 def _beside(index: DataFrame, blocks: DataFrame, small: bool) -> DataFrame:
