@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plume.llm import (decontam, hardneg, lexical, license, linededup, packing, quality, simhash, tokencount, topk,
-                       urlfilter, warc)
+from plume.llm import (decontam, hardneg, lexical, license, linededup, packing, quality, simhash, suffixlm,
+                       tokencount, topk, urlfilter, warc)
 from plume.llm.common import table
 
 
@@ -60,6 +60,10 @@ def op11_lexical(spark, sf_dir):
     return lexical.search(lexical.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
 
 
+def op12_suffixlm(spark, sf_dir):
+    return suffixlm.score(table(spark, sf_dir, "documents"))
+
+
 def op13_hardneg(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").withColumn("label", F.expr(
         "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"))
@@ -69,7 +73,8 @@ def op13_hardneg(spark, sf_dir):
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_simhash, op2_warc, op3_topk, op4_urlfilter, op5_packing, op6_license,
-                                    op7_tokencount, op8_quality, op9_linededup, op10_decontam, op11_lexical, op13_hardneg)}
+                                    op7_tokencount, op8_quality, op9_linededup, op10_decontam, op11_lexical, op12_suffixlm,
+                                    op13_hardneg)}
 
 
 def oracle_sql() -> dict[str, str]:
