@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,8 @@ from plume.llm.common import stored, text_slices
 
 CHUNK_BYTES = 8 << 20     # text of one chunk; a longer document is a chunk of its own
 DEPTH = 2                 # words of the longest context
-MIN_COUNT = 128           # training occurrences of a context
+MIN_SHARE = 2e-5          # of the training tokens, those that follow a context
+MIN_COUNT = 16            # training occurrences of a context, at least
 CUT = 2                   # training occurrences of a next word that a node keeps
 DISCOUNT = 0.75           # taken off each kept count
 COST = 4.0                # nats that each kept next word has to gain
@@ -77,7 +79,7 @@ def longer(context: np.ndarray, older: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ chunks
 
-_CHUNK = "chunk long, ids binary, named binary, train binary, sizes binary, n_codes long, codes binary, hashes binary, words binary, word_sizes binary"
+_CHUNK = "chunk long, ids binary, named binary, train binary, sizes binary, codes binary, words binary"
 _COLUMNS = [c.split()[0] for c in _CHUNK.split(", ")]
 
 
@@ -95,13 +97,12 @@ def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
             n = np.bincount(doc, minlength=len(ids))
             coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [
                 None, pa.py_buffer(np.r_[0, np.cumsum(sizes)].astype(np.int64)), pa.py_buffer(data)]).dictionary_encode()
-            words = coded.dictionary.to_pylist()
+            words = coded.dictionary.to_pylist()             # they hold no white space, so a blank can part them
             codes = np.full(len(doc) + len(ids), len(words), np.uint32)
             codes[np.arange(len(doc)) + doc] = coded.indices.to_numpy()
-            hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
             row = [(TaskContext.get().partitionId() << 32) + made, ids.tobytes(), named.tobytes(), train.tobytes(),
-                   (n + 1).astype(np.int64).tobytes(), len(codes), pa.compress(codes.tobytes(), "zstd", asbytes=True),
-                   hashes.tobytes(), b"".join(words), np.array([len(w) for w in words], np.int64).tobytes()]
+                   (n + 1).astype(np.int64).tobytes(), zstandard.compress(codes.tobytes()),
+                   zstandard.compress(b" ".join(words))]
             return pa.RecordBatch.from_arrays([pa.array([v]) for v in row], _COLUMNS)
 
         for batch in batches:
@@ -125,16 +126,19 @@ class Chunk:
 
     def __init__(self, row: dict, corpus: tuple[int, int]):
         self.id = row["chunk"]
-        self.codes = np.frombuffer(pa.decompress(row["codes"], row["n_codes"] * 4, "zstd", asbytes=True), np.uint32).astype(np.int64)
+        self.codes = np.frombuffer(zstandard.decompress(row["codes"]), np.uint32)
         self.sizes = np.frombuffer(row["sizes"], np.int64)
         self.first = np.cumsum(self.sizes) - self.sizes
         self.train = np.repeat(np.frombuffer(row["train"], bool), self.sizes)
-        hashes = np.r_[np.frombuffer(row["hashes"], np.uint64), _END]
-        self.word = hashes[self.codes]
+        self.words = zstandard.decompress(row["words"]).split(b" ")
+        if not self.words[0]:
+            self.words = []
         if corpus is None:
             return
+        hashes = np.array([*map(xxhash.xxh64_intdigest, self.words), int(_END)], np.uint64)
+        self.word = hashes[self.codes]
         count = np.zeros(len(hashes), np.int64)
-        count[np.array([x["code"] for x in row["known"]], np.int64)] = [x["c"] for x in row["known"]]
+        count[[x["code"] for x in row["known"]]] = [x["c"] for x in row["known"]]
         n, v = corpus
         self.count = count[self.codes]
         self.base = (self.count + 0.5) / (n + 0.5 * (v + 1))
@@ -147,46 +151,38 @@ class Chunk:
         self.chance, self.known = self.base, np.ones(len(self.codes), bool)
         self.inside = np.ones(len(self.codes), bool)         # whether so many words precede
 
-    def advance(self, answers: list[dict] | None, min_count: int) -> None:
+    def advance(self, answers: list[dict] | None, least: float, discount: float) -> None:
         """Take in the answers of one depth; the state moves on to the next one."""
-        answers = answers or []
+        answers = answers or [{"key": 0, "n": 0, "left": None}]
         keys = np.array([x["key"] for x in answers], np.int64).view(np.uint64)
-        value = np.array([np.nan if x["value"] is None else x["value"] for x in answers], np.float64)
         total = np.array([x["n"] for x in answers], np.int64)
+        left = np.array([np.nan if x["left"] is None else x["left"] for x in answers], np.float64)
         order = np.argsort(keys)
-        keys, value, total = keys[order], value[order], total[order]
-
-        def look(wanted):
-            if not len(keys):
-                return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64)
-            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-            return keys[at] == wanted, at
-
-        asked = self.asked(min_count)
-        node, where = look(self.context)
-        node &= asked
-        hit, at = look(pair_keys(self.context, self.word))
-        hit &= asked
-        if len(keys):
-            kept = np.where(hit & node, np.nan_to_num(value[at]), 0)
-            self.chance = np.where(node, kept + value[where] * self.chance, self.chance)
-        pair = np.where(hit, total[at] if len(keys) else 0, 0)
+        keys, total, left = keys[order], total[order], left[order]
+        asked = self.asked(least)
+        at = np.minimum(np.searchsorted(keys, self.context), len(keys) - 1)
+        node = asked & (keys[at] == self.context) & ~np.isnan(left[at])
+        pair = pair_keys(self.context, self.word)
+        to = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
+        n = np.where(asked & (keys[to] == pair), total[to], 0)
+        own = np.maximum(n - discount, 0) / np.maximum(self.seen, 1)
+        self.chance = np.where(node, own + left[at] * self.chance, self.chance)
         self.known = node
         self.older = np.r_[_BEGIN, self.older[:-1]]
-        shifted = np.r_[False, self.inside[:-1]]
-        shifted[self.first] = False
-        self.inside = shifted
+        inside = np.r_[False, self.inside[:-1]]
+        inside[self.first] = False
+        self.inside = inside
         self.context = longer(self.context, self.older)
-        self.seen = np.r_[0, pair[:-1]]
+        self.seen = np.r_[0, n[:-1]]
 
-    def asked(self, min_count: int) -> np.ndarray:
-        return self.known & self.inside & (self.seen >= min_count)
+    def asked(self, least: float) -> np.ndarray:
+        return self.known & self.inside & (self.seen >= least)
 
 
-def _opened(row: dict, corpus, depth: int, min_count: int) -> Chunk:
+def _opened(row: dict, corpus, depth: int, least: float, discount: float) -> Chunk:
     c = Chunk(row, corpus)
     for d in range(1, depth):
-        c.advance(row[f"known{d}"], min_count)
+        c.advance(row[f"known{d}"], least, discount)
     return c
 
 
@@ -203,35 +199,32 @@ def _rows(f, schema: str):
 
 def _word_counts(row: dict):
     c = Chunk(row, None)
-    sizes = np.frombuffer(row["word_sizes"], np.int64)
-    words = pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [
-        None, pa.py_buffer(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.py_buffer(row["words"])])
-    n = np.bincount(c.codes[c.train], minlength=len(sizes) + 1)
-    return (np.full(len(n), c.id), np.arange(len(n)), pa.concat_arrays([words, pa.array([b""], pa.binary())]), n)
+    n = np.bincount(c.codes[c.train], minlength=len(c.words) + 1)
+    return np.full(len(n), c.id), np.arange(len(n)), pa.array([*c.words, b""], pa.binary()), n
 
 
-def _pair_counts(corpus, depth: int, min_count: int):
+def _pair_counts(*how):
     def f(row):
-        c = _opened(row, corpus, depth, min_count)
-        at = np.flatnonzero(c.asked(min_count) & c.train)
+        c = _opened(row, *how)
+        at = np.flatnonzero(c.asked(how[2]) & c.train)
         keys, first, n = np.unique(pair_keys(c.context[at], c.word[at]), return_index=True, return_counts=True)
         at = at[first]
         return c.context[at].view(np.int64), keys.view(np.int64), n, c.seen[at], c.chance[at].astype(np.float32)
     return f
 
 
-def _wanted(corpus, depth: int, min_count: int):
+def _wanted(*how):
     def f(row):
-        c = _opened(row, corpus, depth, min_count)
-        at = np.flatnonzero(c.asked(min_count))
-        keys = np.unique(np.r_[c.context[at], pair_keys(c.context[at], c.word[at])]).view(np.int64)
+        c = _opened(row, *how)
+        at = np.flatnonzero(c.asked(how[2]))
+        keys = np.unique(np.r_[np.unique(c.context[at]), pair_keys(c.context[at], c.word[at])]).view(np.int64)
         return np.full(len(keys), c.id), keys
     return f
 
 
-def _scores(corpus, depth: int, min_count: int):
+def _scores(*how):
     def f(row):
-        c = _opened(row, corpus, depth + 1, min_count)
+        c = _opened(row, *how)
         ids, named = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["named"], bool)
 
         def total(v):
@@ -243,10 +236,10 @@ def _scores(corpus, depth: int, min_count: int):
 
 # ------------------------------------------------------------------ the tree
 
-def _nodes(pairs: DataFrame, min_count: int, cut: int, discount: float, cost: float) -> DataFrame:
-    """``key, value, n``: the nodes of one depth (their share that is left to the suffix, their count) and
-    their kept next words (discounted share, count). Words of contexts that are not kept come with a
-    null value where they are frequent enough to be part of a longer context."""
+def _nodes(pairs: DataFrame, least: float, cut: int, discount: float, cost: float) -> DataFrame:
+    """``key, n, left``: the nodes of one depth (their count, the share that is left to the suffix) and
+    their kept next words (their count). Words of contexts that are not kept come too where they are
+    frequent enough to be part of a longer context."""
     some = stored(pairs.groupBy("context", "pair").agg(F.sum("n").alias("n"), F.max("total").alias("total"),
                                                        F.max("chance").cast("double").alias("chance"))
                   .where(F.col("n") >= cut), "pairs")
@@ -257,15 +250,15 @@ def _nodes(pairs: DataFrame, min_count: int, cut: int, discount: float, cost: fl
     rest = F.col("total") - F.col("s")
     gain = F.col("gain") + F.when(rest > 0, rest * F.log(rest / F.col("total") / F.greatest(1 - F.col("p"), F.lit(1e-12)))).otherwise(0)
     nodes = stored(sums.where(gain >= cost * (F.col("kept") + 1)).select(
-        "context", ((rest + discount * F.col("kept")) / F.col("total")).alias("left"), "total"), "nodes")
-    kept = some.join(nodes.select("context", F.lit(True).alias("node")), "context", "left").where(
-        F.col("node") | (F.col("n") >= min_count)).select(
-        F.col("pair").alias("key"), F.when(F.col("node"), (F.col("n") - discount) / F.col("total")).alias("value"), "n")
-    return kept.unionByName(nodes.select(F.col("context").alias("key"), F.col("left").alias("value"), F.col("total").alias("n")))
+        F.col("context").alias("key"), F.col("total").alias("n"),
+        ((rest + discount * F.col("kept")) / F.col("total")).alias("left")), "nodes")
+    kept = some.join(nodes.select(F.col("key").alias("context"), F.lit(True).alias("node")), "context", "left").where(
+        F.col("node") | (F.col("n") >= least)).select(F.col("pair").alias("key"), "n", F.lit(None).cast("double").alias("left"))
+    return kept.unionByName(nodes)
 
 
-def score(docs: DataFrame, fold: int = 5, held: int = 1, depth: int = DEPTH, min_count: int = MIN_COUNT, cut: int = CUT,
-          discount: float = DISCOUNT, cost: float = COST, id_col: str = "doc_id", text_col: str = "text",
+def score(docs: DataFrame, fold: int = 5, held: int = 1, depth: int = DEPTH, min_share: float = MIN_SHARE,
+          min_count: int = MIN_COUNT, cut: int = CUT, discount: float = DISCOUNT, cost: float = COST, id_col: str = "doc_id", text_col: str = "text",
           chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row of ``docs``.
 
@@ -280,27 +273,27 @@ def score(docs: DataFrame, fold: int = 5, held: int = 1, depth: int = DEPTH, min
     chunks = _chunks(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                                  out.alias("held_out")), chunk_bytes)
     word_rows = "chunk long, code long, word binary, n long"
-    words = chunks.select("chunk", "sizes", "train", "n_codes", "codes", "hashes", "words", "word_sizes").mapInArrow(
+    words = chunks.select("chunk", "sizes", "train", "codes", "words").mapInArrow(
         _rows(_word_counts, word_rows), word_rows)
     totals = stored(words.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "words")
     n, v = totals.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     # a chunk's own words come back to it: no more than it holds
     known = stored(words.select("chunk", "code", "word").join(totals, "word").groupBy("chunk")
                    .agg(F.collect_list(F.struct("code", "c")).alias("known")), "known-words")
-    text = chunks.select("chunk", "ids", "named", "sizes", "train", "n_codes", "codes", "hashes")
+    least = max(min_count, min_share * n)
     answered = known
     for d in range(1, depth + 1):
         # all chunks are asked again at each depth, those without any answer too
-        state = text.join(answered, "chunk", "left").withColumn("known", F.coalesce("known", F.array()))
+        state = chunks.join(answered, "chunk", "left").withColumn("known", F.coalesce("known", F.array()))
         columns = "context long, pair long, n long, total long, chance float"
-        nodes = stored(_nodes(state.mapInArrow(_rows(_pair_counts((n, v), d, min_count), columns), columns),
-                              min_count, cut, discount, cost), "tree")
+        nodes = stored(_nodes(state.mapInArrow(_rows(_pair_counts((n, v), d, least, discount), columns), columns),
+                              least, cut, discount, cost), "tree")
         columns = "chunk long, key long"
-        wanted = state.mapInArrow(_rows(_wanted((n, v), d, min_count), columns), columns)
+        wanted = state.mapInArrow(_rows(_wanted((n, v), d, least, discount), columns), columns)
         answers = stored(wanted.join(nodes, "key").groupBy("chunk")
-                         .agg(F.collect_list(F.struct("key", "value", "n")).alias(f"known{d}")), "answers")
+                         .agg(F.collect_list(F.struct("key", "n", "left")).alias(f"known{d}")), "answers")
         answered = answered.join(answers, "chunk", "left")
     columns = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    return (text.join(answered, "chunk", "left").withColumn("known", F.coalesce("known", F.array()))
-            .mapInArrow(_rows(_scores((n, v), depth, min_count), columns), columns)
+    return (chunks.join(answered, "chunk", "left").withColumn("known", F.coalesce("known", F.array()))
+            .mapInArrow(_rows(_scores((n, v), depth + 1, least, discount), columns), columns)
             .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score"))

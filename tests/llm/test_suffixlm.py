@@ -11,7 +11,7 @@ import pytest
 from plume.llm import suffixlm
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-HOW = dict(depth=3, min_count=4, cut=2, discount=0.75, cost=0.5)
+HOW = dict(depth=3, min_share=0.0, min_count=4, cut=2, discount=0.75, cost=0.5)
 
 
 def words(text):
@@ -25,7 +25,7 @@ def held(i):
 class Tree:
     """The same model by plain dictionaries of words. None is the end, 0 the start of a document."""
 
-    def __init__(self, docs, depth, min_count, cut, discount, cost):
+    def __init__(self, docs, depth, min_share, min_count, cut, discount, cost):
         train = [words(t) for i, t in docs if not held(i)]
         self.count = Counter(w for t in train for w in t)
         self.n, self.v = sum(self.count.values()), len(self.count)
@@ -39,7 +39,7 @@ class Tree:
             grown = set()
             for s, c in after.items():
                 total = sum(c.values())
-                if total < min_count or (d > 1 and (s[1:] not in self.nodes or s[:-1] not in considered)):
+                if total < max(min_count, min_share * self.n) or (d > 1 and (s[1:] not in self.nodes or s[:-1] not in considered)):
                     continue
                 grown.add(s)
                 kept = {w: m for w, m in c.items() if m >= cut}
@@ -136,7 +136,7 @@ def test_every_node_is_a_distribution():
 def test_nulls_repeats_long_and_empty_texts(spark):
     docs = [(i % 40, t) for i, t in corpus(random.Random(4), 120)]
     docs += [(None, "a b c"), (None, None), (200, None), (201, ""), (202, " \n\t "), (203, "a b " * 30000), (204, "w" * 300000), (205, "é É")]
-    how = dict(HOW, depth=2)
+    how = dict(HOW, depth=2, min_share=0.001)
     check(run(spark, docs, chunk_bytes=500, **how), docs, **how)
 
 
