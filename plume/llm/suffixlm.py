@@ -27,10 +27,9 @@ from pyspark.sql import functions as F
 
 from plume.llm.common import stored, text_slices
 
-CHUNK_BYTES = 8 << 20     # text of one chunk; a longer document is a chunk of its own
+CHUNK_BYTES = 4 << 20     # text of one chunk; a longer document is a chunk of its own
 DEPTH = 2                 # words of the longest context
-MIN_SHARE = 2e-5          # of the training tokens, those that follow a context
-MIN_COUNT = 16            # training occurrences of a context, at least
+MIN_COUNT = 128           # training occurrences of a context
 CUT = 2                   # training occurrences of a next word that a node keeps
 DISCOUNT = 0.75           # taken off each kept count
 COST = 4.0                # nats that each kept next word has to gain
@@ -151,7 +150,7 @@ class Chunk:
         self.chance, self.known = self.base, np.ones(len(self.codes), bool)
         self.inside = np.ones(len(self.codes), bool)         # whether so many words precede
 
-    def advance(self, answers: list[dict] | None, least: float, discount: float) -> None:
+    def advance(self, answers: list[dict] | None, min_count: int, discount: float) -> None:
         """Take in the answers of one depth; the state moves on to the next one."""
         answers = answers or [{"key": 0, "n": 0, "left": None}]
         keys = np.array([x["key"] for x in answers], np.int64).view(np.uint64)
@@ -159,7 +158,7 @@ class Chunk:
         left = np.array([np.nan if x["left"] is None else x["left"] for x in answers], np.float64)
         order = np.argsort(keys)
         keys, total, left = keys[order], total[order], left[order]
-        asked = self.asked(least)
+        asked = self.asked(min_count)
         at = np.minimum(np.searchsorted(keys, self.context), len(keys) - 1)
         node = asked & (keys[at] == self.context) & ~np.isnan(left[at])
         pair = pair_keys(self.context, self.word)
@@ -175,14 +174,14 @@ class Chunk:
         self.context = longer(self.context, self.older)
         self.seen = np.r_[0, n[:-1]]
 
-    def asked(self, least: float) -> np.ndarray:
-        return self.known & self.inside & (self.seen >= least)
+    def asked(self, min_count: int) -> np.ndarray:
+        return self.known & self.inside & (self.seen >= min_count)
 
 
-def _opened(row: dict, corpus, depth: int, least: float, discount: float) -> Chunk:
+def _opened(row: dict, corpus, depth: int, min_count: int, cut: int, discount: float) -> Chunk:
     c = Chunk(row, corpus)
     for d in range(1, depth):
-        c.advance(row[f"known{d}"], least, discount)
+        c.advance(row[f"known{d}"], min_count, discount)
     return c
 
 
@@ -203,21 +202,22 @@ def _word_counts(row: dict):
     return np.full(len(n), c.id), np.arange(len(n)), pa.array([*c.words, b""], pa.binary()), n
 
 
-def _pair_counts(*how):
+def _pair_counts(corpus, depth: int, min_count: int, cut: int, discount: float):
     def f(row):
-        c = _opened(row, *how)
-        at = np.flatnonzero(c.asked(how[2]) & c.train)
+        c = _opened(row, corpus, depth, min_count, cut, discount)
+        at = np.flatnonzero(c.asked(min_count) & c.train & (c.count >= cut))     # rarer words follow nothing so often
         keys, first, n = np.unique(pair_keys(c.context[at], c.word[at]), return_index=True, return_counts=True)
         at = at[first]
         return c.context[at].view(np.int64), keys.view(np.int64), n, c.seen[at], c.chance[at].astype(np.float32)
     return f
 
 
-def _wanted(*how):
+def _wanted(corpus, depth: int, min_count: int, cut: int, discount: float):
     def f(row):
-        c = _opened(row, *how)
-        at = np.flatnonzero(c.asked(how[2]))
-        keys = np.unique(np.r_[np.unique(c.context[at]), pair_keys(c.context[at], c.word[at])]).view(np.int64)
+        c = _opened(row, corpus, depth, min_count, cut, discount)
+        asked = c.asked(min_count)
+        at = np.flatnonzero(asked & (c.count >= cut))
+        keys = np.r_[np.unique(c.context[asked]), np.unique(pair_keys(c.context[at], c.word[at]))].view(np.int64)
         return np.full(len(keys), c.id), keys
     return f
 
@@ -236,7 +236,7 @@ def _scores(*how):
 
 # ------------------------------------------------------------------ the tree
 
-def _nodes(pairs: DataFrame, least: float, cut: int, discount: float, cost: float) -> DataFrame:
+def _nodes(pairs: DataFrame, min_count: int, cut: int, discount: float, cost: float) -> DataFrame:
     """``key, n, left``: the nodes of one depth (their count, the share that is left to the suffix) and
     their kept next words (their count). Words of contexts that are not kept come too where they are
     frequent enough to be part of a longer context."""
@@ -253,12 +253,11 @@ def _nodes(pairs: DataFrame, least: float, cut: int, discount: float, cost: floa
         F.col("context").alias("key"), F.col("total").alias("n"),
         ((rest + discount * F.col("kept")) / F.col("total")).alias("left")), "nodes")
     kept = some.join(nodes.select(F.col("key").alias("context"), F.lit(True).alias("node")), "context", "left").where(
-        F.col("node") | (F.col("n") >= least)).select(F.col("pair").alias("key"), "n", F.lit(None).cast("double").alias("left"))
+        F.col("node") | (F.col("n") >= min_count)).select(F.col("pair").alias("key"), "n", F.lit(None).cast("double").alias("left"))
     return kept.unionByName(nodes)
 
 
-def score(docs: DataFrame, fold: int = 5, held: int = 1, depth: int = DEPTH, min_share: float = MIN_SHARE,
-          min_count: int = MIN_COUNT, cut: int = CUT, discount: float = DISCOUNT, cost: float = COST, id_col: str = "doc_id", text_col: str = "text",
+def score(docs: DataFrame, fold: int = 5, held: int = 1, depth: int = DEPTH, min_count: int = MIN_COUNT, cut: int = CUT, discount: float = DISCOUNT, cost: float = COST, id_col: str = "doc_id", text_col: str = "text",
           chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row of ``docs``.
 
@@ -280,20 +279,19 @@ def score(docs: DataFrame, fold: int = 5, held: int = 1, depth: int = DEPTH, min
     # a chunk's own words come back to it: no more than it holds
     known = stored(words.select("chunk", "code", "word").join(totals, "word").groupBy("chunk")
                    .agg(F.collect_list(F.struct("code", "c")).alias("known")), "known-words")
-    least = max(min_count, min_share * n)
     answered = known
     for d in range(1, depth + 1):
         # all chunks are asked again at each depth, those without any answer too
         state = chunks.join(answered, "chunk", "left").withColumn("known", F.coalesce("known", F.array()))
         columns = "context long, pair long, n long, total long, chance float"
-        nodes = stored(_nodes(state.mapInArrow(_rows(_pair_counts((n, v), d, least, discount), columns), columns),
-                              least, cut, discount, cost), "tree")
+        nodes = stored(_nodes(state.mapInArrow(_rows(_pair_counts((n, v), d, min_count, cut, discount), columns), columns),
+                              min_count, cut, discount, cost), "tree")
         columns = "chunk long, key long"
-        wanted = state.mapInArrow(_rows(_wanted((n, v), d, least, discount), columns), columns)
+        wanted = state.mapInArrow(_rows(_wanted((n, v), d, min_count, cut, discount), columns), columns)
         answers = stored(wanted.join(nodes, "key").groupBy("chunk")
                          .agg(F.collect_list(F.struct("key", "n", "left")).alias(f"known{d}")), "answers")
         answered = answered.join(answers, "chunk", "left")
     columns = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     return (chunks.join(answered, "chunk", "left").withColumn("known", F.coalesce("known", F.array()))
-            .mapInArrow(_rows(_scores((n, v), depth + 1, least, discount), columns), columns)
+            .mapInArrow(_rows(_scores((n, v), depth + 1, min_count, cut, discount), columns), columns)
             .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score"))
