@@ -1,9 +1,9 @@
 """G1-G14 (per-engine summary) and H1-H15 (daily trends).
 
 Both marts are one hash aggregation over the fact table (partial aggregation on
-the map side, so a hot engine or a hot day is combined before the shuffle),
-followed by un-partitioned windows over the *aggregated* rows — one row per
-engine or per day, a small bounded input.
+the map side, so a hot engine or a hot day is combined before the shuffle).
+Engine ranks are global ranks over range partitions (``plume.operators.keys``); the
+daily mart's windows run un-partitioned over one row per day, a small bounded input.
 
 Numbers stay exact: averages of ``decimal`` measures are exact ``decimal``
 averages, percentages are exact half-up roundings, and trend tests compare
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from plume import rules
 from plume.functions.columns import (day_of_week_sun0, engine_health, exact_avg, ntz_literal, pct_half_up, ratio_half_up,
                                      to_double, wide_sum)
+from plume.operators.keys import global_ranks, written
 
 
 def _now(as_of) -> Column:
@@ -116,27 +117,23 @@ def engine_rows(agg: DataFrame) -> DataFrame:
 def engine_summary(fact: DataFrame, as_of=None) -> DataFrame:
     """``engine_performance_summary``, ordered by performance rank.
 
-    G12 ranks need a total order over all engines: the window has no partition,
-    which is right here because its input is one row per engine.
+    Unknown engine ids keep their own text, so the number of engines has no bound: the ranks
+    (G12) are global ranks over range partitions, no task sees all engines, and the rows are
+    written once to the shared folder before they are ranked.
     DESC ranks put NULLs first (the warehouse default); the efficiency average is
     a double, so it is ranked on its value rounded to 6 places.
     """
     return engine_ranks(engine_aggregates(fact), as_of)
 
 
-def engine_ranks(agg: DataFrame, as_of=None) -> DataFrame:
+def engine_ranks(agg: DataFrame, as_of=None, workdir: str | None = None) -> DataFrame:
     """G12-G14 over the rows of :func:`engine_rows`."""
-    eff6 = F.round("avg_fuel_efficiency_ratio", 6)
-    out = agg.select(
-        "*",
-        F.rank().over(Window.orderBy(F.col("avg_performance_score").desc_nulls_first()))
-        .alias("performance_rank"),
-        F.rank().over(Window.orderBy(F.col("anomaly_rate_percent").asc_nulls_last()))
-        .alias("reliability_rank"),
-        F.rank().over(Window.orderBy(eff6.desc_nulls_first())).alias("efficiency_rank"),
-        engine_health(F.col("anomaly_rate_percent")).alias("health_status"),
-        _now(as_of).alias("report_generated_at"),
-    )
+    ranked = global_ranks(written(agg, "engines", workdir), [
+        ("performance_rank", "avg_performance_score", True),
+        ("reliability_rank", "anomaly_rate_percent", False),
+        ("efficiency_rank", F.round("avg_fuel_efficiency_ratio", 6), True)], workdir=workdir)
+    out = ranked.select("*", engine_health(F.col("anomaly_rate_percent")).alias("health_status"),
+                        _now(as_of).alias("report_generated_at"))
     return out.orderBy("performance_rank", "engine_id")
 
 

@@ -182,6 +182,14 @@ def failing_rows(df: DataFrame, t: Test) -> DataFrame:
     return unique_combination(df, t.column.split(","))
 
 
+def row_failures(df: DataFrame, model: str, tests=DECLARED_TESTS) -> DataFrame:
+    """The rows of ``df`` that break row-level tests of ``model``, once per broken test, which
+    ``test_name`` names. One pass for all tests."""
+    broken = [F.when(F.col(t.column).isNull() if t.kind == "not_null" else ~F.col(t.column).isin(*t.values), t.name)
+              for t in tests if t.model == model and t.kind in ("not_null", "accepted_values")]
+    return df.withColumn("test_name", F.explode(F.filter(F.array(*broken), lambda x: x.isNotNull())))
+
+
 def stored_failures(spark, paths: dict, tests) -> DataFrame:
     """The stored failing rows of ``tests`` as ``test_name, failing, n_records``: the offending
     value (the row id for NULLs) and, for duplicates, how often it occurs."""

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plume import rules
-from plume.operators import marts
+from plume.operators import marts, quality
 from plume.operators.materialize import materialize_models
 from plume.plans.pipeline import Pipeline
 from plume.session import shared_dir
@@ -21,6 +21,7 @@ from plume.streaming import streams
 
 # event time spanned by the driver's events (30 days) fits inside this watermark
 STREAM_WATERMARK = "40 days"
+_MEASURES = ("chamber_pressure_psi", "fuel_flow_kg_per_sec", "temperature_fahrenheit")
 
 
 def _work(spark: SparkSession, what: str) -> str:
@@ -91,7 +92,7 @@ def q_stream_hourly_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
         split_batches=True)
 
 
-def _streamed(spark: SparkSession, sf_dir: str, mart: str) -> DataFrame:
+def _refreshed(spark: SparkSession, sf_dir: str) -> streams.MartRefresher:
     base = _work(spark, "marts")
     landing, n_first = _land(spark, sf_dir, base)
     p = Pipeline(spark, sf_dir)
@@ -103,17 +104,31 @@ def _streamed(spark: SparkSession, sf_dir: str, mart: str) -> DataFrame:
     q = (deduped.writeStream.foreachBatch(refresher)
          .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    return refresher.read(mart)
+    return refresher
 
 
 def q_stream_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: daily mart kept current by ``foreachBatch``."""
-    return _streamed(spark, sf_dir, "daily_trends")
+    return _refreshed(spark, sf_dir).read("daily_trends")
 
 
 def q_stream_engine_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: engine mart kept current by ``foreachBatch``, with all columns of the batch mart."""
-    return _streamed(spark, sf_dir, "engine_summary")
+    return _refreshed(spark, sf_dir).read("engine_summary")
+
+
+def q_stream_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact that the stream has committed, keys 1..N."""
+    return _refreshed(spark, sf_dir).fact().select(
+        "reading_key", "engine_key", "time_key", "airbyte_raw_id", "reading_timestamp", "engine_id", *_MEASURES,
+        "performance_score", "is_anomaly", "anomaly_type", "health_status")
+
+
+def q_stream_dq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J over K4: the declared tests of the fact and both marts, on the streamed tables."""
+    r = _refreshed(spark, sf_dir)
+    return quality.run_declared_tests({"fact": r.fact(), "engine_summary": r.read("engine_summary"),
+                                       "daily_trends": r.read("daily_trends")})
 
 
 def q_materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,5 +165,7 @@ def queries() -> dict:
         "stream_hourly_anomalies": q_stream_hourly_anomalies,
         "stream_marts": q_stream_marts,
         "stream_engine_mart": q_stream_engine_mart,
+        "stream_fact": q_stream_fact,
+        "stream_dq": q_stream_dq,
         "materialize": q_materialize,
     }

@@ -391,12 +391,12 @@ def _dq_parts(kind: str) -> list[str]:
     return parts
 
 
-def dq_sql(kinds) -> str:
+def dq_sql(kinds, clean=(CLEAN,), where: str = "TRUE") -> str:
     parts = [p for k in kinds for p in _dq_parts(k)]
     body = " UNION ALL ".join(parts)
-    ctes = ",".join([READINGS, CLEAN, STAGING, ENGINES, FACT, ENGINE_MART, DAILY_MART, RAW_FROM_CLEAN])
+    ctes = ",".join([READINGS, *clean, STAGING, ENGINES, FACT, ENGINE_MART, DAILY_MART, RAW_FROM_CLEAN])
     return (f"WITH {ctes}\nSELECT test_name, model, test_kind, column_name, failures, "
-            f"CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({body})")
+            f"CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({body}) WHERE {where}")
 
 
 # records as they arrive: raw of every record line, staging of every valid one, nothing deduplicated
@@ -438,6 +438,35 @@ fails AS (
 
 # ---------------------------------------------------------------------------- registry
 
+#: Three deliveries of the engine dimension; a version is a run of equal attributes.
+_VERSIONS = """,
+day AS (SELECT unnest([DATE '2024-01-11', DATE '2024-01-21', DATE '2024-01-31']) AS d),
+del AS (
+  SELECT d, engine_id, CASE WHEN count(CASE WHEN is_anomaly THEN 1 END) % 2 = 0 THEN 'ACTIVE' ELSE 'MAINTENANCE' END AS st,
+    CAST(floor(max(chamber_pressure_psi) / 100) * 100 AS INTEGER) AS mp
+  FROM stg JOIN day ON CAST(reading_timestamp AS DATE) < d AND CAST(reading_timestamp AS DATE) >= d - 10
+  GROUP BY d, engine_id),
+chg AS (SELECT *, lag(st) OVER w AS pst, lag(mp) OVER w AS pmp FROM del WINDOW w AS (PARTITION BY engine_id ORDER BY d)),
+ver AS (
+  SELECT engine_id, st AS operational_status, mp AS max_chamber_pressure_psi, d AS effective_from_date,
+    coalesce(CAST(lead(d) OVER w - 1 AS DATE), DATE '2999-12-31') AS effective_to_date, lead(d) OVER w IS NULL AS is_current
+  FROM chg WHERE pst IS DISTINCT FROM st OR pmp IS DISTINCT FROM mp
+  WINDOW w AS (PARTITION BY engine_id ORDER BY d))"""
+
+
+def _times_factor(measure: str, metric: int) -> str:
+    """The measure in thousandths times the factor in ten-thousandths, rounded half-up to thousandths (no measure is negative)."""
+    factor = f"(CASE WHEN f.engine_key < 0 OR (f.engine_key + {metric}) % 7 = 0 THEN 10000 ELSE 10000 + (c.n * {metric}) % 97 END)"
+    thousandths = f"CAST(f.{measure} * 1000 AS BIGINT)"
+    return (f"CAST(sign({thousandths}) * ((abs({thousandths}) * {factor} * 2 + 10000) // 20000) AS DOUBLE) / 1000.0 "
+            f"AS calibrated_{measure}")
+
+
+_CALIBRATED = f"""
+SELECT f.airbyte_raw_id, CAST(f.engine_key AS INTEGER) AS engine_key, {_times_factor('chamber_pressure_psi', 1)},
+  {_times_factor('fuel_flow_kg_per_sec', 2)}, {_times_factor('temperature_fahrenheit', 3)}
+FROM fact f LEFT JOIN (SELECT engine_key, count(*) AS n FROM fact GROUP BY engine_key) c ON c.engine_key = f.engine_key"""
+
 STAGING_SELECT_ALL = """SELECT _airbyte_raw_id, _airbyte_extracted_at, _airbyte_generation_id, engine_id,
   reading_timestamp, CAST(chamber_pressure_psi AS DOUBLE) AS chamber_pressure_psi,
   CAST(fuel_flow_kg_per_sec AS DOUBLE) AS fuel_flow_kg_per_sec,
@@ -491,6 +520,23 @@ def oracles() -> dict[str, str]:
     o["stream_clean"] = with_lines(clean_sel.replace("AND NOT dup", ""))
     # streaming K4: the daily mart maintained by foreachBatch equals the batch mart of the clean lines
     o["stream_marts"] = lines_daily_mart("SELECT * FROM dt")
+    o["stream_dq"] = dq_sql(("not_null", "unique", "accepted_values", "unique_combination", "grain"),
+                            (LINES, CLEAN_FROM_LINES), "model IN ('fact', 'engine_summary', 'daily_trends')")
+    # the hot key's one reading comes in a later batch than all others
+    o["stream_fact"] = lines_daily_mart("""SELECT ROW_NUMBER() OVER (ORDER BY engine_id = 'HOT-1', reading_key) AS reading_key,
+      CAST(engine_key AS INTEGER) AS engine_key, time_key,
+      airbyte_raw_id, reading_timestamp, engine_id, CAST(chamber_pressure_psi AS DOUBLE) AS chamber_pressure_psi,
+      CAST(fuel_flow_kg_per_sec AS DOUBLE) AS fuel_flow_kg_per_sec,
+      CAST(temperature_fahrenheit AS DOUBLE) AS temperature_fahrenheit,
+      CAST(performance_score AS DOUBLE) AS performance_score, is_anomaly, anomaly_type, health_status FROM fact""")
+    o["dim_engine_history"] = with_staging(_VERSIONS + """
+SELECT engine_id, operational_status, max_chamber_pressure_psi, effective_from_date, effective_to_date, is_current FROM ver""")
+    o["fact_engine_version"] = with_staging(_VERSIONS + """
+SELECT s._airbyte_raw_id, s.engine_id, s.reading_timestamp, v.operational_status, v.max_chamber_pressure_psi,
+  v.effective_from_date
+FROM stg s LEFT JOIN ver v ON v.engine_id = s.engine_id
+  AND CAST(s.reading_timestamp AS DATE) BETWEEN v.effective_from_date AND v.effective_to_date""")
+    o["fact_calibrated"] = with_fact(_CALIBRATED)
     o["daily_trends_from_lines"] = lines_daily_mart("SELECT * FROM dt")
     o["stream_engine_mart"] = ("WITH " + ",".join([READINGS, LINES, CLEAN_FROM_LINES, STAGING, ENGINES, FACT, ENGINE_MART])
                                + f" SELECT {ENGINE_COLS} FROM es")

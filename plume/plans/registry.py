@@ -16,10 +16,15 @@ from pyspark.sql import types as T
 
 from plume import rules
 from plume.operators import ingest, quality, serving
+from plume.operators.history import calibrated, merge_versions, valid_at
+from plume.operators.keys import written
 from plume.plans.pipeline import AS_OF, Pipeline
+from plume.schemas import DIM_ENGINES_SCHEMA
 from plume.session import shared_dir
+from plume.sources import fixtures
 from plume.sources.csv import read_clean_csv, write_clean_csv
 from plume.sources.raw import raw_load
+from plume.streaming.streams import kpis_from_partials, partials
 
 ROUND4 = {
     "avg_fuel_efficiency_ratio", "stddev_chamber_pressure", "stddev_fuel_flow", "stddev_temperature",
@@ -152,6 +157,39 @@ def q_fact_telemetry(spark, sf_dir):
     return _p(spark, sf_dir).fact()
 
 
+def _engine_history(p):
+    history = fixtures.empty_like(p.spark, DIM_ENGINES_SCHEMA)
+    stg = written(p.staging, "staged", p.workdir)
+    for day in fixtures.DELIVERY_DAYS:
+        history = merge_versions(history, fixtures.engine_delivery(stg, day), day, workdir=p.workdir)
+    return stg, history
+
+
+def q_dim_engine_history(spark, sf_dir):
+    """A10: the engine dimension after three deliveries, one row per version."""
+    _, history = _engine_history(_p(spark, sf_dir))
+    return history.select("engine_id", "operational_status", "max_chamber_pressure_psi", "effective_from_date",
+                          "effective_to_date", "is_current")
+
+
+def q_fact_engine_version(spark, sf_dir):
+    """F1 over the history: each reading with the engine version that was valid on its date."""
+    stg, history = _engine_history(_p(spark, sf_dir))
+    return valid_at(stg, history, ("operational_status", "max_chamber_pressure_psi", "effective_from_date")).select(
+        "_airbyte_raw_id", "engine_id", "reading_timestamp", "operational_status", "max_chamber_pressure_psi",
+        "effective_from_date")
+
+
+def q_fact_calibrated(spark, sf_dir):
+    """A10: every reading's measures, calibrated by the bridge."""
+    p = _p(spark, sf_dir)
+    fact = p.fact_unkeyed
+    bridge = written(fixtures.bridge_from_readings(fact, p.metrics), "bridge", p.workdir)
+    return calibrated(fact, bridge, p.metrics).select(
+        "airbyte_raw_id", "engine_key", "calibrated_chamber_pressure_psi", "calibrated_fuel_flow_kg_per_sec",
+        "calibrated_temperature_fahrenheit")
+
+
 # ------------------------------------------------------------------ marts (G, H)
 
 def _engine_cols(*cols):
@@ -217,7 +255,7 @@ def q_serve_recent_anomalies(spark, sf_dir):
 
 def q_serve_kpis(spark, sf_dir):
     p = _p(spark, sf_dir)
-    return serving.kpis(p.engine_summary, p.daily_trends, p.fact_unkeyed)
+    return kpis_from_partials(written(partials(p.fact_unkeyed), "partials", p.workdir))
 
 
 def q_serve_score_band(spark, sf_dir):
@@ -325,6 +363,9 @@ _RAW = {
     "fact_health_status": _fact_cols("health_status"),
     "fact_reading_key": q_fact_reading_key,
     "fact_telemetry": q_fact_telemetry,
+    "dim_engine_history": q_dim_engine_history,
+    "fact_engine_version": q_fact_engine_version,
+    "fact_calibrated": q_fact_calibrated,
     # G: engine mart
     "engine_summary": _engine_cols(),
     "engine_averages": _engine_cols("total_readings", "avg_chamber_pressure_psi", "avg_fuel_flow_kg_per_sec",

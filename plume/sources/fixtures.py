@@ -244,5 +244,33 @@ def bridge_engine_metrics(engines: DataFrame, metrics: DataFrame) -> DataFrame:
     ).select(*[F.col(f.name).cast(f.dataType) for f in BRIDGE_SCHEMA.fields])
 
 
+#: Days on which the engine dimension is delivered anew, and how long a delivery looks back.
+DELIVERY_DAYS = (_dt.date(2024, 1, 11), _dt.date(2024, 1, 21), _dt.date(2024, 1, 31))
+DELIVERY_SPAN = 10
+
+
+def engine_delivery(stg: DataFrame, day: _dt.date) -> DataFrame:
+    """The engine dimension as of ``day``, derived from the staged readings of the ten days before:
+    engines with readings, their status by whether the number of anomalies is even, and their pressure
+    limit by the highest pressure in whole hundreds."""
+    seen = stg.where((F.to_date("reading_timestamp") < F.lit(day))
+                     & (F.to_date("reading_timestamp") >= F.lit(day - _dt.timedelta(days=DELIVERY_SPAN))))
+    return seen.groupBy("engine_id").agg(
+        F.when(F.count_if("is_anomaly") % 2 == 0, "ACTIVE").otherwise("MAINTENANCE").alias("operational_status"),
+        (F.floor(F.max("chamber_pressure_psi") / 100) * 100).cast("int").alias("max_chamber_pressure_psi"))
+
+
+def bridge_from_readings(fact: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Calibration factors derived from the fact: 1 + ((readings * metric_key) mod 97) / 10000 for each known
+    engine and metric, without the pairs whose keys add up to a multiple of seven."""
+    n = fact.where("engine_key > 0").groupBy("engine_key").agg(F.count(F.lit(1)).alias("n"))
+    pairs = n.select("engine_key", "n", F.explode(F.array(*[F.lit(k) for k, *_ in METRICS])).alias("metric_key"))
+    return (pairs.join(metrics.select("metric_key", "metric_name"), "metric_key")
+            .where((F.col("engine_key") + F.col("metric_key")) % 7 != 0)
+            .select("engine_key", "metric_key",
+                    (1 + ((F.col("n") * F.col("metric_key")) % 97).cast("decimal(8,0)") / 10000).cast("decimal(8,6)").alias("calibration_factor"),
+                    F.concat_ws("-", "engine_key", "metric_name").alias("sensor_id")))
+
+
 def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)

@@ -25,11 +25,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plume import rules
-from plume.functions.columns import (day_of_week_sun0, exact_avg, iso_timestamp_text, ntz_literal,
+from plume.functions.columns import (day_of_week_sun0, engine_health, exact_avg, iso_timestamp_text, ntz_literal,
                                      pct_half_up, to_double, wide_sum)
-from plume.operators import ingest, marts
-from plume.operators.fact import fact_unkeyed
+from plume.operators import ingest, marts, quality, serving
+from plume.operators.fact import fact_unkeyed, with_reading_key
 from plume.operators.staging import staging
+from plume.session import remove
 from plume.sources.raw import raw_load
 
 DEFAULT_WATERMARK = "1 hour"
@@ -156,12 +157,22 @@ class MartRefresher:
     rows belong to no committed attempt and are not read, and the retry starts from the same
     state. Older versions are removed. A batch costs work in proportion to itself and to the
     partials (one row per engine and date), not to the history.
+
+    ``reading_key`` is dense inside a batch and goes on from the last key that the newest commit
+    names, so the keys of committed batches are 1..N, whatever attempts died in between.
+
+    With ``gate``, a batch whose rows break a declared test of the fact, or repeat a raw id of the
+    batch or of committed rows, is held back: its failing rows go to ``held/<batch>`` with the test
+    that each one breaks, nothing of it is committed, and the next batch goes on from the last
+    version. A raw id's copies share their reading's date, so only the batch's own dates are read.
     """
 
     KEEP = 2                        # committed versions that stay
 
-    def __init__(self, spark: SparkSession, base: str, engines: DataFrame, metrics: DataFrame, as_of=None):
+    def __init__(self, spark: SparkSession, base: str, engines: DataFrame, metrics: DataFrame, as_of=None,
+                 gate: bool = False):
         self.spark = spark
+        self.gate = gate
         self.base = base.rstrip("/")
         self.engines = engines
         self.metrics = metrics
@@ -197,8 +208,30 @@ class MartRefresher:
 
     def fact(self) -> DataFrame:
         """Fact rows of committed attempts (one small row per batch says which)."""
+        return self._committed_rows().drop("_batch", "_attempt")
+
+    def _committed_rows(self) -> DataFrame:
         return (self.spark.read.parquet(self.fact_path)
-                .join(F.broadcast(self.read("attempts")), ["_batch", "_attempt"], "left_semi").drop("_batch", "_attempt"))
+                .join(self.read("attempts").select("_batch", "_attempt"), ["_batch", "_attempt"], "left_semi"))
+
+    def held(self) -> DataFrame:
+        """Failing rows of the batches that the gate held back: test, batch and the fact's columns."""
+        return self.spark.read.parquet(f"{self.base}/held/*")
+
+    def _held(self, mine: DataFrame, earlier: bool, batch_id: int) -> bool:
+        again = mine.groupBy("airbyte_raw_id").count().where("count > 1").select("airbyte_raw_id")
+        if earlier:
+            key = ["reading_date", "airbyte_raw_id"]
+            again = again.unionByName(mine.select(*key).join(self._committed_rows().select(*key), key, "left_semi")
+                                      .select("airbyte_raw_id"))
+        failing = quality.row_failures(mine, "fact").unionByName(
+            mine.join(again.distinct(), "airbyte_raw_id", "left_semi").withColumn("test_name", F.lit("grain:fact:airbyte_raw_id")))
+        path = f"{self.base}/held/{batch_id}"
+        failing.withColumnRenamed("_batch", "batch").drop("_attempt").write.mode("overwrite").parquet(path)
+        if self.spark.read.parquet(path).isEmpty():
+            remove(self.spark, path)
+            return False
+        return True
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         state = self.committed()
@@ -207,12 +240,18 @@ class MartRefresher:
         now = self.as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         attempt = uuid.uuid4().hex
         raw = raw_load(batch.select(*rules.CSV_COLUMNS), now)
-        fact = fact_unkeyed(staging(raw, now), self.engines, self.metrics)
-        self._append(fact, batch_id, attempt)
+        work = f"{self.base}/work/{batch_id}-{attempt}"
+        last = (self.spark.read.parquet(f"{state[1]}/attempts").agg(F.max("_last_key")).first()[0] if state else 0)
+        fact = with_reading_key(fact_unkeyed(staging(raw, now), self.engines, self.metrics), workdir=work)
+        self._append(fact.withColumn("reading_key", F.col("reading_key") + F.lit(last)), batch_id, attempt)
         mine = (self.spark.read.parquet(self.fact_path)
                 .where((F.col("_batch") == batch_id) & (F.col("_attempt") == attempt)))
+        if self.gate and self._held(mine, state is not None, batch_id):
+            self._prune()
+            return
         merged = partials(mine)
-        attempts = self.spark.createDataFrame([(batch_id, attempt)], "_batch long, _attempt string")
+        attempts = self.spark.createDataFrame([(batch_id, attempt, last + mine.count())],
+                                              "_batch long, _attempt string, _last_key long")
         if state:
             merged = merge_partials(merged.unionByName(self.spark.read.parquet(f"{state[1]}/partials")))
             attempts = attempts.unionByName(self.spark.read.parquet(f"{state[1]}/attempts"))
@@ -220,7 +259,7 @@ class MartRefresher:
         merged.write.parquet(f"{version}/partials")
         attempts.coalesce(1).write.parquet(f"{version}/attempts")
         p = self.spark.read.parquet(f"{version}/partials")
-        engine_summary_from_partials(p, now).write.parquet(f"{version}/engine_summary")
+        engine_summary_from_partials(p, now, work).write.parquet(f"{version}/engine_summary")
         daily_trends_from_partials(p, now).write.parquet(f"{version}/daily_trends")
         self._commit(batch_id, attempt)
         self._prune()
@@ -251,6 +290,7 @@ class MartRefresher:
             if b not in keep:
                 fs, p = self._fs(f"{self.base}/commits/{b}")
                 fs.delete(p, False)
+        remove(self.spark, f"{self.base}/work")          # tables that only an attempt reads
 
 
 def merge_partials(p: DataFrame) -> DataFrame:
@@ -319,6 +359,7 @@ def partials(fact: DataFrame) -> DataFrame:
         *[F.count_if(hs == h).alias(h.lower() + "_readings") for h in rules.READING_HEALTH_VALUES],
         F.count("airbyte_raw_id").alias("with_id"),
         F.min("created_at").alias("first_created"), F.max("created_at").alias("last_created"),
+        F.max("reading_timestamp").alias("last_reading"),
     )
 
 
@@ -328,7 +369,7 @@ def _stddev(n: str, dev: str):
     return F.when(n > 1, F.sqrt(F.greatest(dev / (n - 1), F.lit(0.0))))
 
 
-def engine_summary_from_partials(p: DataFrame, as_of=None) -> DataFrame:
+def engine_summary_from_partials(p: DataFrame, as_of=None, workdir: str | None = None) -> DataFrame:
     """The engine mart rebuilt from partials (no pass over the fact table)."""
     for tag in ("p", "f", "t"):
         p = _merged_stddev(p, "engine_id", tag)
@@ -354,7 +395,15 @@ def engine_summary_from_partials(p: DataFrame, as_of=None) -> DataFrame:
         F.col("anomalies").alias("anomaly_count"), "pressure_anomalies", "fuel_anomalies", "temperature_anomalies",
         "earliest_reading_date", "latest_reading_date", F.col("with_id").alias("records_with_source_id"),
         F.col("first_created").alias("first_processed_at"), F.col("last_created").alias("last_processed_at")))
-    return marts.engine_ranks(rows, as_of)
+    return marts.engine_ranks(rows, as_of, workdir)
+
+
+def kpis_from_partials(p: DataFrame) -> DataFrame:
+    """I7 from partials: engines, flight-ready engines, the latest day and reading, without the fact table."""
+    engines = p.groupBy("engine_id").agg(F.sum("anomalies").alias("a"), F.sum("n").alias("n")).select(
+        engine_health(pct_half_up("a", F.col("n"))).alias("health_status"))
+    return serving.kpis(engines, daily_trends_from_partials(p),
+                        p.select(F.col("last_reading").alias("reading_timestamp")))
 
 
 def daily_trends_from_partials(p: DataFrame, as_of=None) -> DataFrame:

@@ -166,6 +166,7 @@ def test_a_crash_at_any_step_loses_no_history(spark, tmp_dir, monkeypatch):
             else:
                 raise AssertionError(step)
         r(_batch(spark, [3, 4]), 1)           # the retry
+        assert [x[0] for x in r.fact().select("reading_key").orderBy("reading_key").collect()] == list(range(1, 61)), step
         assert r.fact().count() == 60, step
         daily = {x.date_actual.day: x.total_readings for x in r.read("daily_trends").collect()}
         assert daily == {1: 10, 2: 10, 3: 25, 4: 15}, step
@@ -220,3 +221,22 @@ def test_readings_ahead_of_arrival_are_reported(spark, tmp_dir):
     assert spark.read.parquet(os.path.join(tmp_dir, "o")).count() == 6
     batch = streams.clean_stream(spark.read.text(src).select("value", F.lit(0).cast("long").alias("_ord")), max_ahead="1 day")
     assert [r[0] for r in batch.where("_status IS NOT NULL").select("_status").collect()] == [streams.AHEAD_OF_ARRIVAL]
+
+
+def test_a_poisoned_batch_is_held_back(spark, tmp_dir):
+    import datetime as dt
+    base = os.path.join(tmp_dir, "m")
+    r = streams.MartRefresher(spark, base, fixtures.dim_engines(spark), fixtures.dim_metrics(spark), dt.datetime(2025, 2, 1), gate=True)
+    r(_batch(spark, [1]).dropDuplicates(["timestamp", "engine_id"]), 0)
+    first = r.fact().count()
+    r(_batch(spark, [1, 2]).dropDuplicates(["timestamp", "engine_id"]), 1)     # day 1 was committed before
+    assert r.committed()[0] == 0 and r.fact().count() == first
+    held = r.held().groupBy("test_name", "batch").count().collect()
+    assert [(x.test_name, x.batch) for x in held] == [("grain:fact:airbyte_raw_id", 1)]
+    assert 0 < held[0]["count"] == r.held().select("airbyte_raw_id").distinct().count() <= first
+    good = _batch(spark, [2]).dropDuplicates(["timestamp", "engine_id"])
+    r(good, 2)
+    assert r.committed()[0] == 2 and r.fact().count() == first + good.count()
+    keys = [x[0] for x in r.fact().select("reading_key").orderBy("reading_key").collect()]
+    assert keys == list(range(1, len(keys) + 1))
+    assert not os.path.exists(os.path.join(base, "work"))
