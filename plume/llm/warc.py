@@ -5,9 +5,10 @@ chunks; a block above ``segment_bytes`` becomes a first segment plus continuatio
 Later copies of a payload become revisit records. Files go to any folder Spark can write,
 through Spark's own text writer, so tasks commit atomically.
 
-Reading: archives are cut at the version line by Spark's text reader, one record per row,
-so no file is ever held whole. Continuations are grouped by origin id, ordered by segment
-number, checked against the total length, and the chunks are decoded.
+Reading: archives of WARC/1.0 and 1.1 are cut at the version mark by Spark's text reader, so no
+file is ever held whole. A record whose declared length reaches beyond the next mark (its block
+holds one) takes in the pieces that follow. Continuations are grouped by origin id, ordered by
+segment number, checked against the total length, and the chunks are decoded.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from plume.llm.common import scratch, stored
 
 VERSION = b"WARC/1.1"
+MARK = b"WARC/1."
 SEGMENT_BYTES = 32 << 10
 CHUNK_BYTES = 8 << 10
 DATE = "1970-01-01T00:00:00Z"
@@ -34,9 +36,9 @@ def base32_sha1(payload: bytes) -> str:
 
 
 def chunked(payload: bytes, size: int) -> bytes:
-    """Chunked transfer framing. A chunk also ends inside every version line that the
+    """Chunked transfer framing. A chunk also ends inside every version mark that the
     payload holds, so that the mark between records never occurs in a block."""
-    cuts = set(range(0, len(payload), size)) | {m.start() + 4 for m in re.finditer(re.escape(VERSION), payload)}
+    cuts = set(range(0, len(payload), size)) | {m.start() + 4 for m in re.finditer(re.escape(MARK), payload)}
     cuts = [*sorted(cuts - {0}), len(payload)] if payload else []
     out, start = [], 0
     for end in cuts:
@@ -46,11 +48,15 @@ def chunked(payload: bytes, size: int) -> bytes:
 
 
 def dechunked(body: bytes) -> bytes:
-    """Undo chunked framing; chunk extensions and trailers are skipped. Raises ValueError if it is cut short."""
+    """Undo chunked framing; chunk extensions and trailers are skipped. Raises ValueError if it is cut short
+    or a chunk size is not a hexadecimal number."""
     out, at = [], 0
     while True:
         end = body.index(b"\r\n", at)
-        n = int(body[at:end].split(b";")[0], 16)
+        size = re.fullmatch(rb"[ \t]*([0-9A-Fa-f]{1,15})[ \t]*(?:;.*)?", body[at:end], re.S)
+        if not size:
+            raise ValueError("no chunk size")
+        n = int(size[1], 16)
         if n == 0:
             return b"".join(out)
         chunk = body[end + 2:end + 2 + n]
@@ -69,7 +75,7 @@ def _uri(url: str | None) -> str | None:
     """Control characters, and a slash that would complete the version line, are percent-encoded."""
     if url is None:
         return None
-    return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url).replace("WARC/1.1", "WARC%2F1.1")
+    return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url).replace("WARC/1.", "WARC%2F1.")
 
 
 def records(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None,
@@ -169,33 +175,105 @@ def _payload(block: bytes, declared: str | None) -> tuple[bytes | None, str]:
 
 def _parse(keep_payload: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = [r for v in b.column(0) if (r := parse_record(v.as_py(), keep_payload))]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), _ARROW)] if rows
-                                             else [pa.array([], f.type) for f in _ARROW], schema=_ARROW)
+        pieces = ((v.as_py(), where) for b in batches for v, where in
+                  zip(b.column(0), zip(b.column(1).to_pylist(), b.column(2).to_pylist())))
+        rows, size = [], 0
+        for raw in whole_records(pieces):
+            rows.append(parse_record(raw, keep_payload))
+            size += len(raw)
+            if len(rows) >= 2000 or size > 8 << 20:
+                yield _batch(rows)
+                rows, size = [], 0
+        yield _batch(rows)
     return run
 
 
-def parse_record(raw: bytes | None, keep_payload: bool) -> tuple | None:
-    """One row of ``_FIELDS`` from what follows a version line; None for the text before the first one."""
-    if not raw or not raw.startswith(b"\r\n") and b"\r\n\r\n" not in raw:
-        return None
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), _ARROW)] if rows
+                                      else [pa.array([], f.type) for f in _ARROW], schema=_ARROW)
+
+
+def whole_records(pieces: Iterator[tuple[bytes, object]]) -> Iterator[bytes]:
+    """Records from what lies between version marks, each with the split it was read from, in order.
+
+    A record begins with the rest of its version line. While its block is shorter than its head
+    declares it takes in the pieces of its split that follow, with the marks between them; where that
+    ends in nothing but line ends, the length was right and the marks were part of the block. Else
+    the record was cut short: it stands alone, and the pieces are looked at again. A piece that begins
+    no record (text before the first one, padding) is skipped. No more than a declared length, or one
+    split, is held.
+    """
+    def settled(held: list[bytes], need: int) -> tuple[bytes, list[bytes]]:
+        """The first record of ``held``, and the pieces that are not part of it."""
+        whole = MARK.join(held)
+        if len(whole) >= need and not whole[need:].strip(b"\r\n"):
+            return whole, []
+        return held[0], held[1:]
+
+    def starts(piece: bytes) -> bool:
+        return re.match(rb"\d\r?\n", piece) is not None
+
+    def taken(held: list[bytes], last: bool) -> Iterator[bytes]:
+        """Records that can be told from ``held``; what is left stays in it."""
+        while held:
+            if not starts(held[0]):
+                del held[0]
+                continue
+            need = _declared(held[0])
+            if len(held[0]) < need and not last and sum(map(len, held)) + len(MARK) * (len(held) - 1) < need:
+                return
+            upto, have = 1, len(held[0])
+            while have < need and upto < len(held):
+                have += len(MARK) + len(held[upto])
+                upto += 1
+            record, rest = settled(held[:upto], need)
+            yield record
+            held[:upto] = rest
+
+    held: list[bytes] = []
+    of = None
+    for piece, where in pieces:
+        if where != of:
+            yield from taken(held, True)
+            of = where
+        held.append(piece or b"")
+        yield from taken(held, False)
+    yield from taken(held, True)
+
+
+def _declared(piece: bytes) -> int:
+    """How long a record is by its head; as long as it is where the head does not say."""
+    head, end, _ = piece.partition(b"\r\n\r\n")
+    n = _number(_fields(head).get("content-length"))
+    return len(head) + len(end) + n if end and n and n > 0 else 0
+
+
+def _number(text: str | None) -> int | None:
+    """A plain decimal number of up to 18 digits; None for anything else."""
+    return int(text) if text and re.fullmatch(r"-?[0-9]{1,18}", text) else None
+
+
+def parse_record(raw: bytes, keep_payload: bool) -> tuple:
+    """One row of ``_FIELDS`` from a record, from the rest of its version line on."""
     head, _, rest = raw.partition(b"\r\n\r\n")
     f = _fields(head)
-    n = int(f.get("content-length", 0))
-    block, kind, declared = rest[:n], f.get("warc-type"), f.get("warc-payload-digest")
-    segment = int(f["warc-segment-number"]) if "warc-segment-number" in f else None
-    page = int(f["x-page-id"]) if "x-page-id" in f else None
-    row = [page, f.get("warc-target-uri"), f.get("warc-record-id"), kind, segment, None, None, None,
-           declared.removeprefix("sha1:") if declared else None, None, "ok" if len(block) == n else "truncated", None]
-    if segment is not None:
+    numbers = {k: _number(f.get(k)) for k in ("content-length", "x-page-id", "warc-segment-number", "warc-segment-total-length")}
+    n = numbers["content-length"]
+    bad = any(k in f and (v is None or v < 0 and k != "x-page-id") for k, v in numbers.items())
+    block, kind, declared = rest[:n or 0], f.get("warc-type"), f.get("warc-payload-digest")
+    segment = numbers["warc-segment-number"]
+    row = [numbers["x-page-id"], f.get("warc-target-uri"), f.get("warc-record-id"), kind, None, None, None, None,
+           declared.removeprefix("sha1:") if declared else None, None, "ok" if len(block) == (n or 0) else "truncated", None]
+    if bad:
+        row[10] = "bad head"
+    elif segment is not None:
+        row[4] = segment
         row[5] = f.get("warc-segment-origin-id", row[2])
-        row[6] = int(f["warc-segment-total-length"]) if "warc-segment-total-length" in f else None
+        row[6] = numbers["warc-segment-total-length"]
         row[11] = block
     elif kind == "revisit":
         row[9] = _page_of(f.get("warc-refers-to"))
-        length = _fields(block.partition(b"\r\n\r\n")[0]).get("content-length")
-        row[7] = int(length) if length else None
+        row[7] = _number(_fields(block.partition(b"\r\n\r\n")[0]).get("content-length"))
     elif kind == "response" and row[10] == "ok":
         body, row[10] = _payload(block, declared)
         if body is not None:
@@ -228,14 +306,18 @@ def read_archives(spark: SparkSession, path: str, keep_payload: bool = True) ->
 
     Columns: page_id, target_uri, record_type (response or revisit), payload_bytes,
     payload_digest, refers_to, status, payload. Status is ``ok``, ``truncated`` (a block or a
-    reassembled record is shorter than declared, or a segment is missing), ``bad chunks`` or
-    ``bad digest``; such rows stay, with null length and payload. A revisit's length and
+    reassembled record is shorter than declared, or a segment is missing), ``bad head`` (a length, page id
+    or segment number that is no number), ``bad chunks`` or
+    ``bad digest``; such rows stay, with null length and payload. A block that holds a version mark is
+    read whole within its split of the file; where a plain file is split inside such a block, the
+    record comes out as ``truncated`` (compressed files are not split). A revisit's length and
     digest are those of the payload it stands for. Identical records that occur more than
     once come out as often. An archive without records gives no rows.
     """
-    raw = (spark.read.option("lineSep", VERSION.decode() + "\r\n").text(path)
-           .select(F.col("value").cast("binary").alias("value")).mapInArrow(_parse(keep_payload), _FIELDS))
-    whole = raw.where("segment IS NULL AND kind IN ('response', 'revisit')")
+    raw = (spark.read.option("lineSep", MARK.decode()).text(path)
+           .select(F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file"),
+                   F.col("_metadata.file_block_start").alias("start")).mapInArrow(_parse(keep_payload), _FIELDS))
+    whole = raw.where("segment IS NULL AND (kind IN ('response', 'revisit') OR status = 'bad head')")
     parts = raw.where("segment IS NOT NULL")
     # copies of one segment collapse before its record is gathered: the group is one record
     single = parts.groupBy("origin", "segment").agg(

@@ -100,3 +100,49 @@ def test_chunk_framing(size):
         assert b"WARC/1.1" not in framed
     with pytest.raises(ValueError):
         warc.dechunked(b"5\r\nab")
+
+
+def _foreign(spark, version, records, compression="none"):
+    path = scratch(spark, "t")
+    raw = b"".join(version + b"\r\n" + r + b"\r\n\r\n" for r in records)
+    spark.createDataFrame([(raw,)], "v binary").selectExpr("cast(v as string) v").coalesce(1).write.option(
+        "lineSep", "\n").option("compression", compression).text(path)
+    return sorted(((r.page_id, r.status, r.payload_bytes) for r in warc.read_archives(spark, path).collect()),
+                  key=lambda r: (r[0] is None, r))
+
+
+def _response(page, body, length=None, **extra):
+    block = b"HTTP/1.1 200 OK\r\n\r\n" + body
+    head = {"WARC-Type": "response", "X-Page-ID": page, "Content-Length": len(block) if length is None else length} | extra
+    return "".join(f"{k}: {v}\r\n" for k, v in head.items()).encode() + b"\r\n" + block
+
+
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+@pytest.mark.parametrize("version", [b"WARC/1.0", b"WARC/1.1"])
+def test_archives_of_either_version(spark, version, compression):
+    inner = b"\r\n\r\n".join([b"WARC/1.0\r\n" + _response(9, b"inner"), b"WARC/1.", b"WARC/1.1\r\n", b"end"])
+    recs = [_response(1, b"one"), _response(2, inner), _response(3, b"x WARC/1.1\r\n y"), _response(4, b"")]
+    assert _foreign(spark, version, recs, compression) == [(1, "ok", 3), (2, "ok", len(inner)), (3, "ok", 14), (4, "ok", 0)]
+
+
+def test_damage_loses_no_other_record(spark):
+    good = [_response(i, b"body %d" % i) for i in (1, 9)]
+    cut = [_response(2, b"short", 4000), _response(3, b"longer than said", 25)]
+    got = _foreign(spark, b"WARC/1.0", [good[0], *cut, good[1]])
+    assert got == [(1, "ok", 6), (2, "truncated", None), (3, "ok", 6), (9, "ok", 6)]
+    heads = [_response(2, b"a", "many"), _response(3, b"b", -5), _response("x7", b"c"), _response(4, b"d", **{"WARC-Segment-Number": "one"}),
+             _response(5, b"e", "9" * 5000)]
+    got = _foreign(spark, b"WARC/1.1", [good[0], *heads, good[1]])
+    assert got == [(1, "ok", 6), *[(i, "bad head", None) for i in (2, 3, 4, 5)], (9, "ok", 6), (None, "bad head", None)]
+    frames = [b"-6\r\nab\r\n0\r\n\r\n", b"1_0\r\n", b"+3\r\nabc\r\n0\r\n\r\n", b"\r\n", b"fffffffffffffff\r\nab", b"zz"]
+    recs = []
+    for i, f in enumerate(frames):
+        block = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + f
+        recs.append(b"WARC-Type: response\r\nX-Page-ID: %d\r\nContent-Length: %d\r\n\r\n" % (i, len(block)) + block)
+    assert _foreign(spark, b"WARC/1.1", recs) == [(i, "bad chunks", None) for i in range(len(frames))]
+
+
+def test_pieces_of_other_splits_stay_apart():
+    whole = _response(1, b"ab")
+    pieces = [(b"junk", 0), (b"1\r\n" + _response(1, b"ab", 5000), 0), (b"1\r\n" + whole, 1), (b"no start", 1), (None, 1)]
+    assert [r[:3] for r in warc.whole_records(iter(pieces))] == [b"1\r\n"] * 2
