@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plume.llm.common import stored, text_slices
+from plume.llm.common import fresh, stored, text_slices
 
 MIN_TOKENS = 8
 
@@ -222,9 +222,10 @@ def drop_duplicate_lines(docs: DataFrame, unit: str = "word", min_tokens: int =
                          text_col: str = "text", count_col: str | None = "n_chars") -> DataFrame:
     """``docs``, all rows and columns, with redundant lines taken out of the text and, where the
     column exists, the character count renewed. A document may be left with an empty text."""
-    gone = stored(duplicate_lines(docs, unit, min_tokens, id_col, text_col).groupBy(F.col("doc_id").alias("__doc"))
-                  .agg(F.collect_set("line").alias("__gone")), "gone-lines")
-    out = docs.join(gone.hint("merge"), F.col(id_col).cast("long") == F.col("__doc"), "left").drop("__doc")
+    doc, lines = fresh(docs, "gone_doc"), fresh(docs, "gone_lines")
+    gone = stored(duplicate_lines(docs, unit, min_tokens, id_col, text_col).groupBy(F.col("doc_id").alias(doc))
+                  .agg(F.collect_set("line").alias(lines)), "gone-lines")
+    out = docs.join(gone.hint("merge"), F.col(id_col).cast("long") == F.col(doc), "left").drop(doc)
     at, counted = docs.columns.index(text_col), docs.columns.index(count_col) if count_col in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,6 @@ from plume.llm.common import text_slices
 PASSAGE = 64               # words a passage
 HASHED = 32                # buckets of word hashes
 MAX_TRAIN = 4000           # labelled documents the model is fitted on
-MAX_TRAIN_PASSAGES = 64    # passages of one document used in fitting, evenly spread (scoring uses all)
 KEEP = 0.7
 
 _LOWER, _UPPER, _DIGIT, _SPACE, _BREAK, _STOP, _COMMA, _CALL, _SIGN, _BAR, _OTHER, _HIGH = range(12)
@@ -144,6 +143,20 @@ def _forward(weights, x, doc_of):
     return p, h, t, g, alpha, z
 
 
+def _gradients(weights, x: np.ndarray, doc_of: np.ndarray, y: np.ndarray) -> list:
+    """Gradients of the mean log loss over the documents."""
+    w, b, v, u, a, c, bias = weights
+    p, h, t, g, alpha, z = _forward(weights, x, doc_of)
+    dz_out = (p - y) / len(y)
+    dz = dz_out[:, None] * c
+    dalpha = (dz[doc_of] * h).sum(axis=1)
+    mid = np.bincount(doc_of, alpha * dalpha, len(y))
+    de = alpha * (dalpha - mid[doc_of])
+    dt, dg = de[:, None] * a * g * (1 - t ** 2), de[:, None] * a * t * g * (1 - g)
+    dh = (alpha[:, None] * dz[doc_of] + dt @ v.T + dg @ u.T) * (1 - h ** 2)
+    return [x.T @ dh, dh.sum(axis=0), h.T @ dt, h.T @ dg, (t * g).T @ de, z.T @ dz_out, dz_out.sum()]
+
+
 def fit(x: np.ndarray, doc_of: np.ndarray, y: np.ndarray, hidden: int = 16, gate: int = 8, steps: int = 800,
         batch: int = 256, rate: float = 0.01, decay: float = 1e-3, seed: int = 7) -> Model:
     """Adam on the log loss of document labels. ``doc_of`` runs 0, 0, .., 1, .. without gaps."""
@@ -164,16 +177,7 @@ def fit(x: np.ndarray, doc_of: np.ndarray, y: np.ndarray, hidden: int = 16, gate
             of = np.repeat(np.arange(len(pick)), n)
             rows = np.repeat(starts[pick] - (np.cumsum(n) - n), n) + np.arange(n.sum())
             xb = x[rows]
-            w, b, v, u, a, c, bias = weights
-            p, h, t, g, alpha, z = _forward(weights, xb, of)
-            dz_out = (p - y[pick]) / len(pick)
-            dz = dz_out[:, None] * c
-            dalpha = (dz[of] * h).sum(axis=1)
-            mid = np.bincount(of, alpha * dalpha, len(pick))
-            de = alpha * (dalpha - mid[of])
-            dt, dg = de[:, None] * a * g * (1 - t ** 2), de[:, None] * a * t * g * (1 - g)
-            dh = (alpha[:, None] * dz[of] + dt @ v.T + dg @ u.T) * (1 - h ** 2)
-            grads = [xb.T @ dh, dh.sum(axis=0), h.T @ dt, h.T @ dg, (t * g).T @ de, z.T @ dz_out, dz_out.sum()]
+            grads = _gradients(weights, xb, of, y[pick])
             step += 1
             for i, grad in enumerate(grads):
                 grad = grad + decay * weights[i]
@@ -192,7 +196,7 @@ def held_out(id_col: str = "doc_id"):
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN, id_col: str = "doc_id",
           text_col: str = "text", label_col: str = "quality") -> Model | None:
     """Fit on at most ``max_docs`` labelled documents outside the held-out fold, those with the
-    smallest id hashes, ``MAX_TRAIN_PASSAGES`` passages of each.
+    smallest id hashes, with all their passages.
 
     A document's label is the smallest of its label rows; labels other than 0 and 1 and null
     ids are ignored. Returns None where not a single labelled document can be read.
@@ -205,13 +209,9 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN, id_col:
         for batch in batches:
             for b in text_slices(batch, 1):
                 x, doc_of = features([(t.as_py() or "").encode() for t in b.column(1)])
-                rank = np.arange(len(x)) - np.searchsorted(doc_of, doc_of)
-                n = np.bincount(doc_of)[doc_of]
-                keep = np.unique(np.r_[np.flatnonzero(n <= MAX_TRAIN_PASSAGES), np.flatnonzero(
-                    (rank + 1) * MAX_TRAIN_PASSAGES // n > rank * MAX_TRAIN_PASSAGES // n)])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(doc_of[keep])), b.column(2).take(pa.array(doc_of[keep])),
-                     pa.array([r.tobytes() for r in x[keep]], pa.binary())], ["doc_id", "y", "x"])
+                    [b.column(0).take(pa.array(doc_of)), b.column(2).take(pa.array(doc_of)),
+                     pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "y", "x"])
 
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
             .join(F.broadcast(sample), "doc_id").select("doc_id", "text", "y")     # at most max_docs rows

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plume.llm.common import stored
+from plume.llm.common import fresh, stored
 from plume.llm.components import components
 
 SEED = 42
@@ -63,15 +63,19 @@ def _majority(h: np.ndarray) -> int:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` (the unsigned fingerprint's bits as a long). A null text has no words."""
+def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text", extra: dict | None = None) -> DataFrame:
+    """``doc_id, fp`` (the unsigned fingerprint's bits as a long) and the long columns ``extra``, by name.
+    A null text has no words."""
+    names = list(extra or {})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]], ["doc_id", "fp", *names])
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, fp long"))
+    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                        *[c.alias(n) for n, c in (extra or {}).items()])
+            .mapInArrow(run, ", ".join(f"{n} long" for n in ["doc_id", "fp", *names])))
 
 
 # ------------------------------------------------------------------ the index
@@ -221,23 +225,48 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col
     come out as often as they went in. An empty table gives an empty result.
     """
     fps = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    codes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "codes")
-    comps = components(links(codes.select("fp"), max_bits))
-    rooted = stored(codes.join(comps.withColumnRenamed("node", "fp"), "fp", "left")
-                    .select("fp", F.coalesce("root", "fp").alias("root"), "least"), "rooted")
+    rooted = _rooted(fps, max_bits)
     least = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     named = stored(rooted.join(least, "root").select("fp", "component_id"), "named")
     return fps.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _rooted(fps: DataFrame, max_bits: int) -> DataFrame:
+    """``fp, root, least``: each fingerprint's component, named by a fingerprint, and its smallest id."""
+    codes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "codes")
+    comps = components(links(codes.select("fp"), max_bits))
+    return stored(codes.join(comps.withColumnRenamed("node", "fp"), "fp", "left")
+                  .select("fp", F.coalesce("root", "fp").alias("root"), "least"), "rooted")
+
+
 def drop_near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents whose component has a smaller id.
+    """``docs``, all columns, with one row of each component: that with the smallest id, rows without an id last.
 
-    Rows with a null id cannot be named as copies and stay.
+    Of rows that share that id one stays, by the hash of their columns; rows that are equal in all
+    columns count as one. Column names may clash with none of ours.
     """
-    copies = stored(near_duplicates(docs, shingle, max_bits, id_col, text_col)
-                    .where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__copy")).distinct(),
-                    "copies")
-    return docs.join(copies, F.col(id_col).cast("long") == F.col("__copy"), "left_anti")
+    parts = [x for c in docs.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`").cast("string"))]
+    hashes = {"row_a": F.xxhash64(*parts), "row_b": F.xxhash64(F.lit(1), *parts)}
+    fps = stored(fingerprints(docs, shingle, id_col, text_col, hashes), "fingerprints")
+    key = ["doc_id", "row_a", "row_b"]
+    rows = fps.join(_rooted(fps, max_bits).select("fp", "root"), "fp").groupBy("root", *key).agg(F.count("*").alias("n"))
+    order = F.struct(F.col("doc_id").isNull(), *key)
+    rows = stored(rows.select("root", *key, "n", order.alias("place")), "rows")
+    first = rows.groupBy("root").agg(F.min("place").alias("first"))
+    marked = stored(rows.join(first, "root").select(*key, (F.col("place") != F.col("first")).alias("goes"), "n"), "verdicts")
+    names = {k: fresh(docs, k) for k in ["row_id", "row_a", "row_b"]}
+    out = docs.withColumns({names["row_id"]: F.col(id_col).cast("long"), names["row_a"]: hashes["row_a"], names["row_b"]: hashes["row_b"]})
+
+    theirs = {k: fresh(out, f"kept_{k}") for k in names}
+
+    def joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        right = right.select(*[F.col(c).alias(theirs[k]) for k, c in zip(names, key)])
+        return left.join(right, [F.col(names[k]).eqNullSafe(F.col(theirs[k])) for k in names], how)
+
+    out = joined(out, marked.where("goes"), "left_anti")
+    again = marked.where("NOT goes AND n > 1")
+    if not again.isEmpty():                       # equal rows: only these meet by their key
+        out = joined(out, again, "left_anti").unionByName(joined(out, again, "left_semi").dropDuplicates(list(names.values())))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

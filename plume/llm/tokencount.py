@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plume.llm import tokens
+from plume.llm.common import stored
 
 SPAN = 256     # lengths per block of the two-level prefix sums
 
@@ -76,4 +77,4 @@ def at_limits(sums: DataFrame, limits: DataFrame) -> DataFrame:
 
 
 def count_tokens(docs: DataFrame, name: str = tokens.VOCABULARY, text_col: str = "text") -> DataFrame:
-    return suffix_sums(histogram(docs, name, text_col))
+    return suffix_sums(stored(histogram(docs, name, text_col), "lengths"))     # texts are encoded once

@@ -134,3 +134,12 @@ def test_variant_keys_meet_exactly_at_one_edit():
             assert linededup.within_one(x, y) == (edit(x, y) if edit(x, y) <= 1 else None)
             if edit(x, y) == 1:
                 assert set(linededup.half_keys(x)) & set(linededup.half_keys(y))
+
+
+def test_clashing_columns(spark):
+    line = "one two three four five six seven eight nine"
+    docs = spark.createDataFrame([(1, line, "a", 1, 2), (2, f"own line here\n{line}", "b", 3, 4)],
+                                 "doc_id long, text string, __gone string, gone_doc int, gone_lines int")
+    got = linededup.drop_duplicate_lines(docs)
+    assert got.columns == docs.columns
+    assert [tuple(r) for r in got.orderBy("doc_id").collect()] == [(1, line, "a", 1, 2), (2, "own line here", "b", 3, 4)]

@@ -80,3 +80,72 @@ def test_gradients():
 def test_the_training_bound_holds(spark, max_docs):
     docs, labels = made(spark)
     assert quality.train(docs, labels, max_docs) is not None
+
+
+def _bags(seed=0):
+    rng = np.random.default_rng(seed)
+    doc_of = np.repeat(np.arange(5), [1, 4, 2, 7, 3])
+    x = rng.normal(size=(len(doc_of), 6))
+    weights = [rng.normal(size=s) for s in ((6, 4), 4, (4, 3), (4, 3), 3, 4)] + [np.float64(0.3)]
+    return weights, x, doc_of, np.array([0.0, 1, 1, 0, 1])
+
+
+def _naive(weights, x, doc_of):
+    w, b, v, u, a, c, bias = weights
+    out = []
+    for d in range(doc_of.max() + 1):
+        codes, marks = [], []
+        for row in x[doc_of == d]:
+            h = [np.tanh(sum(row[i] * w[i, j] for i in range(len(row))) + b[j]) for j in range(len(b))]
+            t = [np.tanh(sum(h[i] * v[i, j] for i in range(len(h)))) for j in range(len(a))]
+            g = [1 / (1 + np.exp(-sum(h[i] * u[i, j] for i in range(len(h))))) for j in range(len(a))]
+            codes.append(h)
+            marks.append(np.exp(sum(t[j] * g[j] * a[j] for j in range(len(a)))))
+        z = [sum(m * h[j] for m, h in zip(marks, codes)) / sum(marks) for j in range(len(c))]
+        out.append(1 / (1 + np.exp(-(sum(z[j] * c[j] for j in range(len(c))) + bias))))
+    return np.array(out)
+
+
+def test_forward_equals_a_plain_attention_loop():
+    weights, x, doc_of, _ = _bags()
+    assert quality._forward(weights, x, doc_of)[0] == pytest.approx(_naive(weights, x, doc_of), rel=1e-12)
+
+
+def test_gradients_equal_finite_differences():
+    weights, x, doc_of, y = _bags(1)
+
+    def loss():
+        p = quality._forward(weights, x, doc_of)[0]
+        return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
+
+    for k, grad in enumerate(quality._gradients(weights, x, doc_of, y)):
+        for at in np.ndindex(np.shape(weights[k])):
+            value, ends = weights[k][at] if at else weights[k], []
+            for step in (1e-6, -1e-6):
+                if at:
+                    weights[k][at] = value + step
+                else:
+                    weights[k] = value + step
+                ends.append(loss())
+            if at:
+                weights[k][at] = value
+            else:
+                weights[k] = value
+            assert grad[at] == pytest.approx((ends[0] - ends[1]) / 2e-6, rel=1e-5, abs=1e-8)
+
+
+def test_every_passage_of_a_long_document_is_learned_from(spark, monkeypatch):
+    docs, labels = made(spark)
+    seen = {}
+
+    def fitted(x, doc_of, y):
+        seen["passages"] = len(x)
+        return None
+
+    monkeypatch.setattr(quality, "fit", fitted)
+    quality.train(docs, labels)
+    short = seen["passages"]
+    long_id = next(i for i in range(200, 300) if zlib.crc32(str(i).encode()) % 4 != 2)
+    quality.train(docs.unionByName(spark.createDataFrame([(long_id, "word " * (quality.PASSAGE * 300), "", 0.0)], docs.schema)),
+                  labels.unionByName(spark.createDataFrame([(long_id, 1, 0)], labels.schema)))
+    assert seen["passages"] == short + 300
