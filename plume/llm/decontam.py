@@ -26,8 +26,11 @@ from plume.llm.common import text_slices
 Q = 16                       # a power of two: q-gram hashes are built by doubling
 RATE = 0.05                  # edits per character of the item
 EXCERPT = 48                 # characters of the regions that the query and the pipeline seek
-BLOCK_BYTES = 4 << 20        # benchmark text that one pass over the documents carries
+BLOCK_BYTES = 1 << 20        # benchmark text that one pass over the documents carries
 _TABLE_BITS = 22
+_HITS = 1 << 20              # bands that are expanded at a time
+_DIAGONALS = 1 << 15         # diagonals of a run of bands
+_CELLS = 1 << 18             # diagonals of the alignments that are made at a time
 _GAP = np.uint64(0x110000)   # no character has this code
 _BASE = 0x9E3779B97F4A7C15
 
@@ -53,21 +56,25 @@ def qgrams(codes: np.ndarray, q: int) -> np.ndarray:
 @dataclass
 class Items:
     """Benchmark items with their q-grams, sorted by hash. Pieces are the items, then their regions:
-    ``item``, ``start`` and ``length`` say what a piece is of its item, ``regions`` sorts the regions."""
+    ``item``, ``start`` and ``length`` say what a piece is of its item. An entry is a run of places that
+    a q-gram has in a ``piece``, from ``first`` to ``last`` and never further apart than the piece's band is
+    wide: at any text place it hits every band between the two, so a gram that repeats costs bands, not places.
+    ``short`` items have fewer than q characters; their numbers follow those of the others in ``keys``."""
     keys: list
+    short: list[str]
     codes: list[np.ndarray]
     item: np.ndarray
     start: np.ndarray
     length: np.ndarray
-    regions: np.ndarray
-    window: int
     edits: np.ndarray
     need: np.ndarray
     band: np.ndarray
     table: np.ndarray
     grams: np.ndarray
-    owner: np.ndarray
-    place: np.ndarray
+    piece: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    cost: np.ndarray
 
     def code(self, piece: int) -> np.ndarray:
         return self.codes[self.item[piece]][self.start[piece]:self.start[piece] + self.length[piece]]
@@ -87,24 +94,90 @@ def region_starts(text: str, window: int) -> list[int]:
 
 
 def index(items: list[tuple], q: int = Q, rate: float = RATE, window: int | None = None) -> Items:
-    """Items shorter than ``q`` characters are too short to be evidence and are left out."""
-    kept = [(k, c, t) for k, c, t in ((k, normalised(t), t) for k, t in items) if len(c) >= q]
+    """Items shorter than ``q`` characters have no q-grams; they are kept apart."""
+    every = [(k, normalised(t), t) for k, t in items]
+    kept = [x for x in every if len(x[1]) >= q]
+    short = [(k, _flat(t)) for k, c, t in every if 0 < len(c) < q]
     starts = [region_starts(t, window) if window else [] for *_, t in kept]
     item = np.r_[np.arange(len(kept)), np.repeat(np.arange(len(kept)), [len(x) for x in starts])].astype(np.int64)
     start = np.r_[np.zeros(len(kept)), [x for xs in starts for x in xs]].astype(np.int64)
     m = np.r_[[len(c) for _, c, _ in kept], np.full(len(item) - len(kept), window or 0)].astype(np.int64)
     edits = np.minimum(np.floor(m * rate).astype(np.int64), (m - q) // q)
+    band = np.maximum(32, edits)
     grams = [qgrams(c, q) for _, c, _ in kept]
     sizes = np.array([len(g) for g in grams], np.int64)
     owner = np.repeat(np.arange(len(kept)), sizes)
     place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     h = np.concatenate(grams) if grams else np.empty(0, np.uint64)
-    order = np.argsort(h, kind="stable")
+    # each q-gram place counts for its item and for the regions that hold it
+    regions = (item << 32 | start)[len(kept):]
+    lo = np.searchsorted(regions, (owner << 32) + np.maximum(place + q - (window or 0), 0))
+    n = np.maximum(np.searchsorted(regions, (owner << 32) + place, "right") - lo, 0)
+    inside = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum()) + len(kept)
+    piece, h = np.r_[owner, inside].astype(np.int64), np.r_[h, np.repeat(h, n)]
+    place = np.r_[place, np.repeat(place, n) - start[inside]]
+    order = np.lexsort((place, piece, h))
+    h, piece, place = h[order], piece[order], place[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (piece[1:] != piece[:-1]) | (place[1:] - place[:-1] > band[piece[1:]])
+    begin = np.flatnonzero(new)
+    first, last, piece = place[begin], place[np.r_[begin[1:], len(h)] - 1] if len(h) else place, piece[begin]
     table = np.zeros(1 << _TABLE_BITS, bool)
     table[(h >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
-    return Items([k for k, *_ in kept], [c for _, c, _ in kept], item, start, m,
-                 (item << 32 | start)[len(kept):], window or 0, edits, m + 1 - q * (edits + 1), np.maximum(32, edits),
-                 table, h[order], owner[order], place[order])
+    return Items([k for k, *_ in kept] + [k for k, _ in short], [t for _, t in short], [c for _, c, _ in kept], item, start, m,
+                 edits, m + 1 - q * (edits + 1), band, table, h[begin], piece, first, last,
+                 np.r_[0, np.cumsum((last - first) // band[piece] + 3)])
+
+
+def _flat(text: str | None) -> str:
+    return " ".join((text or "").lower().split())
+
+
+def _candidates(whole: np.ndarray, ends: np.ndarray, it: Items, q: int) -> tuple[np.ndarray, ...]:
+    """Text, piece, first and last band of every run of bands in which enough places of the text share a
+    q-gram with the piece, in that order. Hits are expanded a bounded number at a time and counted."""
+    h = qgrams(whole, q)
+    at = np.flatnonzero(it.table[h >> np.uint64(64 - _TABLE_BITS)])
+    lo, hi = np.searchsorted(it.grams, h[at]), np.searchsorted(it.grams, h[at], "right")
+    at, lo, hi = at[hi > lo], lo[hi > lo], hi[hi > lo]
+    total = np.cumsum(it.cost[hi] - it.cost[lo])
+    cuts = np.r_[0, np.searchsorted(total, np.arange(_HITS, total[-1] if len(total) else 0, _HITS)), len(at)]
+    counted: list[np.ndarray] = []
+    for x, y in zip(cuts[:-1], cuts[1:]):
+        n = hi[x:y] - lo[x:y]
+        entry = np.repeat(lo[x:y] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        place, piece = np.repeat(at[x:y], n), it.piece[entry]
+        # a band of width w + e starts at every multiple of w; a hit in the overlap counts for both bands
+        w = it.band[piece]
+        low = np.floor_divide(place - it.last[entry] - it.edits[piece] - 1, w)
+        n = np.floor_divide(place - it.first[entry], w) - low + 1
+        band = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        counted.append(_counted(np.repeat(np.searchsorted(ends, place, "right"), n), np.repeat(piece, n), band,
+                                np.ones(len(band), np.int64)))
+        if len(counted) == 16:
+            counted = [_counted(*np.concatenate(counted, axis=1))]
+    if not counted:
+        return (np.empty(0, np.int64),) * 4
+    doc, piece, band, count = _counted(*np.concatenate(counted, axis=1))
+    keep = count >= it.need[piece]
+    doc, piece, band = doc[keep], piece[keep], band[keep]
+    # neighbouring bands overlap: they are verified together, up to a bounded number of diagonals
+    alone = np.ones(len(doc), bool)
+    alone[1:] = (doc[1:] != doc[:-1]) | (piece[1:] != piece[:-1]) | (band[1:] != band[:-1] + 1)
+    run = np.flatnonzero(alone)
+    place = np.arange(len(doc)) - np.repeat(run, np.diff(np.r_[run, len(doc)]))
+    first = np.flatnonzero(place % np.maximum(1, _DIAGONALS // it.band[piece]) == 0)
+    last = np.r_[first[1:], len(doc)] - 1 if len(first) else first
+    return doc[first], piece[first], band[first], band[last]
+
+
+def _counted(doc: np.ndarray, piece: np.ndarray, band: np.ndarray, count: np.ndarray) -> np.ndarray:
+    order = np.lexsort((band, piece, doc))
+    doc, piece, band, count = doc[order], piece[order], band[order], count[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (band[1:] != band[:-1]) | (piece[1:] != piece[:-1]) | (doc[1:] != doc[:-1])
+    first = np.flatnonzero(new)
+    return np.stack([doc[first], piece[first], band[first], np.add.reduceat(count, first) if len(first) else count])
 
 
 def matches(texts: list[str | None], it: Items, q: int = Q) -> list[tuple[int, int, int, int, int, int]]:
@@ -112,53 +185,49 @@ def matches(texts: list[str | None], it: Items, q: int = Q) -> list[tuple[int, i
     text: that of the whole item, or else that of the region with the fewest edits."""
     if not it.keys:
         return []
+    out = []
+    if it.short:
+        for x, t in enumerate(texts):
+            t = f" {_flat(t)} "
+            for y, item in enumerate(it.short, len(it.codes)):
+                place = t.find(f" {item} ")
+                if place >= 0:
+                    out.append((x, y, 0, place + len(item), 0, len(item)))
     codes = [normalised(t) for t in texts]
     gap = np.array([_GAP], "<u4")
     sizes = np.array([len(c) + 1 for c in codes])
     ends = np.cumsum(sizes)
     whole = np.concatenate([x for c in codes for x in (c, gap)])
-    h = qgrams(whole, q)
-    at = np.flatnonzero(it.table[h >> np.uint64(64 - _TABLE_BITS)])
-    lo, hi = np.searchsorted(it.grams, h[at]), np.searchsorted(it.grams, h[at], "right")
-    n = hi - lo
-    at, lo, n = at[n > 0], lo[n > 0], n[n > 0]
-    if not len(at):
-        return []
-    gram = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    at = np.repeat(at, n)
-    item, diagonal = it.owner[gram], at - it.place[gram]
-    # "item" numbers pieces from here on: a hit counts for its item and for the regions that hold its q-gram
-    place = item << 32
-    lo = np.searchsorted(it.regions, place + np.maximum(it.place[gram] + q - it.window, 0))
-    n = np.maximum(np.searchsorted(it.regions, place + it.place[gram], "right") - lo, 0)
-    inside = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum()) + len(it.keys)
-    item, at = np.r_[item, inside], np.r_[at, np.repeat(at, n)]
-    diagonal = np.r_[diagonal, np.repeat(diagonal, n) + it.start[inside]]
-    # a band of width w + e starts at every multiple of w; a hit in the overlap counts for both bands
-    w = it.band[item]
-    doc = np.searchsorted(ends, at, "right")
-    home = np.floor_divide(diagonal, w)
-    also = (diagonal - home * w) <= it.edits[item]
-    band = np.r_[home, home[also] - 1]
-    item, doc = np.r_[item, item[also]], np.r_[doc, doc[also]]
-    order = np.lexsort((band, item, doc))
-    band, item, doc = band[order], item[order], doc[order]
-    first = np.flatnonzero(np.r_[True, (band[1:] != band[:-1]) | (item[1:] != item[:-1]) | (doc[1:] != doc[:-1])])
-    count = np.diff(np.r_[first, len(band)])
-    band, item, doc = band[first], item[first], doc[first]
-    keep = count >= it.need[item]
-    band, item, doc = band[keep], item[keep], doc[keep]
+    doc, piece, band, upto = _candidates(whole, ends, it, q)
+    width = (upto - band + 1) * it.band[piece] + 3 * it.edits[piece]
+    # candidates are verified in order; a piece found without edits needs none of its later bands in that text,
+    # and an item found whole none of its regions
+    group = np.cumsum(np.r_[True, (doc[1:] != doc[:-1]) | (piece[1:] != piece[:-1])]) - 1 if len(doc) else doc
+    done = np.zeros(group[-1] + 1 if len(doc) else 0, bool)
     best: dict[tuple[int, int], tuple] = {}
-    for s in range(0, len(band), 1024):
-        b, i, d = (x[s:s + 1024] for x in (band, item, doc))
-        edits, end = align(whole, b * it.band[i] - it.edits[i], it.band[i] + 3 * it.edits[i], i, it,
+    s = 0
+    while s < len(doc):
+        near = s + np.flatnonzero(~done[group[s:s + 65536]])
+        near = [k for k in near[:1024].tolist()
+                if piece[k] < len(it.codes) or best.get((int(doc[k]), int(it.item[piece[k]])), (True,))[0]]
+        if not near:
+            s += 65536 if done[group[s:s + 65536]].all() else 1024
+            continue
+        near = np.array(near)
+        near = near[:int(np.argmin(np.r_[it.length[piece[near]] == it.length[piece[near[0]]], False]))]    # of one length
+        cells = np.arange(1, len(near) + 1) * np.maximum.accumulate(width[near])
+        near = near[:max(1, int(np.searchsorted(cells, _CELLS)))]
+        b, i, d = band[near], piece[near], doc[near]
+        edits, end = align(whole, b * it.band[i] - it.edits[i], width[near], i, it,
                            ends[d] - sizes[d], ends[d] - 1)
-        for x, y, e, z in zip(d.tolist(), i.tolist(), edits.tolist(), end.tolist()):
+        for x, y, e, z, g in zip(d.tolist(), i.tolist(), edits.tolist(), end.tolist(), group[near].tolist()):
             if e <= it.edits[y]:
-                k, found = (x, int(it.item[y])), (y >= len(it.keys), e, z, y)
+                k, found = (x, int(it.item[y])), (y >= len(it.codes), e, z, y)
                 best[k] = min(best.get(k, found), found)
+                done[g] |= e == 0
+        s = int(near[-1]) + 1
     start = ends - sizes
-    return [(x, y, e, z - int(start[x]), int(it.start[p]), int(it.length[p])) for (x, y), (_, e, z, p) in best.items()]
+    return out + [(x, y, e, z - int(start[x]), int(it.start[p]), int(it.length[p])) for (x, y), (_, e, z, p) in best.items()]
 
 
 def align(text: np.ndarray, low: np.ndarray, width: np.ndarray, item: np.ndarray, it: Items, start: np.ndarray,
@@ -193,9 +262,11 @@ def align(text: np.ndarray, low: np.ndarray, width: np.ndarray, item: np.ndarray
     return edits, end
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list[list[tuple]]:
-    """Distinct items, in blocks of bounded size, each for one pass over the documents."""
-    rows = (benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text"))
+def _blocks(benchmark: DataFrame, id_col: str | None, text_col: str, block_bytes: int) -> list[list[tuple]]:
+    """Distinct items, in blocks of bounded size, each for one pass over the documents. Without an id column
+    items are told apart by their texts."""
+    key = F.lit(0) if id_col is None else F.col(id_col)
+    rows = (benchmark.select(key.cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text"))
             .where("item_id IS NOT NULL AND text IS NOT NULL").distinct().orderBy("item_id", "text"))
     blocks: list[list[tuple]] = [[]]
     size = 0
@@ -218,8 +289,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float
     one of its regions of that length lies within the edits that this length allows; a whole
     item goes before regions. ``start`` and ``length`` say what part of the normalised item was
     found. Any unedited excerpt of ``window + window // 3 - 1`` characters holds a region, and so
-    does a whole line of ``window`` characters. Items shorter than ``q`` characters, null items and null
-    texts match nothing. Rows with a null id, and repeated rows, are judged like any other.
+    does a whole line of ``window`` characters. Items shorter than ``q`` characters are found only where
+    they occur unedited, as whole words. Null and blank items, items with a null id and null texts match nothing. Rows with a null id, and repeated rows, are judged like any other.
     Benchmarks above ``block_bytes`` of text take one pass over the documents per block.
     """
     if q < 1 or q & (q - 1):
@@ -248,11 +319,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE, text_col: str = "text",
                       block_bytes: int = BLOCK_BYTES, window: int | None = None) -> DataFrame:
-    """``docs``, all columns, without the documents that hold an item, or with ``window`` a region of one. Map only."""
+    """``docs``, all columns, without the documents that hold an item, or with ``window`` a region of one. Map only.
+    Items need no id."""
     if window is not None and window < q:
         raise ValueError("window must be at least q")
     at = docs.columns.index(text_col)
-    for block in _blocks(benchmark, "item_id", "text", block_bytes):
+    for block in _blocks(benchmark, None, "text", block_bytes):
         def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             it = index(block, q, rate, window)
             for batch in batches:

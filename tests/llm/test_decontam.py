@@ -18,6 +18,10 @@ def edits(item, text):
     return int(v.min())
 
 
+def flat(text):
+    return " ".join(text.lower().split())
+
+
 def budget(item, q=decontam.Q, rate=decontam.RATE):
     m = len(decontam.normalised(item))
     return -1 if m < q else min(int(m * rate), (m - q) // q)
@@ -33,7 +37,8 @@ def check(spark, texts, items, **how):
     got = sorted((r.doc_id, r.item_id, r.edits) for r in decontam.contaminated(docs, bench, **how).collect())
     q, rate = how.get("q", decontam.Q), how.get("rate", decontam.RATE)
     want = sorted((d, i, edits(b, t)) for d, t in texts for i, b in items
-                  if d is not None and i is not None and b and t and edits(b, t) <= budget(b, q, rate))
+                  if d is not None and i is not None and b and t and (
+                      edits(b, t) <= budget(b, q, rate) or budget(b, q, rate) < 0 and f" {flat(b)} " in f" {flat(t)} "))
     assert got == want
     clean = decontam.drop_contaminated(docs, bench, q, rate)
     assert clean.columns == docs.columns
@@ -71,7 +76,7 @@ def test_whole_table_finds_every_exact_passage(spark):
 
 def test_odd_rows(spark):
     item = "this is the benchmark passage that leaked"
-    texts = [(1, None), (2, ""), (3, item), (4, item.upper().replace(" ", "\n\t")), (5, "x " * 60_000 + item + " y" * 60_000),
+    texts = [(9, "in SHORT,"), (10, "a\nShort  one"), (11, "shorter"), (1, None), (2, ""), (3, item), (4, item.upper().replace(" ", "\n\t")), (5, "x " * 60_000 + item + " y" * 60_000),
              (6, item[:20]), (7, (item + " ") * 500), (8, "汉" * 100)]
     items = [(1, item), (2, "short"), (3, None), (4, ""), (9, item), (5, "sixteen chars ok")]
     check(spark, texts, items)
@@ -79,6 +84,28 @@ def test_odd_rows(spark):
     assert sorted((r.doc_id is None, r.item_id) for r in decontam.contaminated(docs, bench).collect()) == [
         (False, 1), (False, 1), (True, 1), (True, 1)]
     assert decontam.drop_contaminated(docs, bench).collect() == []
+    nameless = bench.where("item_id IS NULL")
+    assert decontam.contaminated(docs, nameless).collect() == [] and decontam.drop_contaminated(docs, nameless).collect() == []
+
+
+def test_repetitive_texts_take_bounded_memory():
+    import resource
+    rng = random.Random(1)
+    item = "ha " * 666 + "ho"
+    other = "ab" * 300 + " middle " + "ab" * 300
+    it = decontam.index([(1, item), (2, other), (3, "ha " * 40)], window=decontam.EXCERPT)
+    near = item[:700] + "X" + item[700:1300] + item[1303:]
+    texts = ["ha " * 100_000, "ab" * 10_000, "ha " * 3000 + near, "".join(rng.choice("ah ") for _ in range(5_000))]
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    got = sorted((x, y, e) for x, y, e, *_ in decontam.matches(texts, it))
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500_000            # kB
+    plain = decontam.index([(1, item), (2, other), (3, "ha " * 40)])
+    for x, t in enumerate(texts[1:], 1):
+        for y, b in enumerate((item, other, "ha " * 40)):
+            if edits(b, t) <= budget(b):
+                assert (0, y, edits(b, t)) in [(0, *m[1:3]) for m in decontam.matches([t], plain)]
+                assert (x, y, edits(b, t)) in got
+    assert (0, 2, 0) in got and {(x, y) for x, y, _ in got} >= {(2, 0), (2, 2), (1, 1)}
 
 
 def test_empty_tables_and_blocks(spark):
