@@ -21,6 +21,7 @@ _WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 _SEP = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 _GAP = "[^0-9a-zA-Z.+/:\\x80-\\x{10FFFF}-]+"      # becomes one space in the normalised text
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
+BLOCK = 256                           # matches whose places are summed at a time
 WEIGHTS = (0.4, 0.6, 0.8, 1.0)       # by level; a base phrase counts as a mention
 
 
@@ -42,32 +43,57 @@ def _places(words: Column, phrase: list[str]) -> Column:
         F.array().cast("array<int>"))
 
 
+def _let(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def _detections(norm: Column, rule: Column) -> Column:
-    """Intervals of one rule's matches: lengths of what lies between and of the matches add up to places."""
+    """Intervals of one rule's matches: lengths of what lies between and of the matches add up to places.
+
+    Appending copies what is there already, so sums run over blocks of ``BLOCK`` matches first and
+    over the blocks' totals then: the work stays in proportion to the matches."""
     found = F.regexp_extract_all(norm, rule["pattern"], F.lit(0))
-    between = F.slice(F.split(norm, rule["pattern"], -1), 1, F.size(found))
-    steps = F.zip_with(between, found, lambda b, m: F.struct(F.length(b).alias("gap"), F.length(m).alias("len")))
-    empty = F.array().cast("array<struct<start:int,end:int>>")
-    walked = F.aggregate(steps, F.struct(F.lit(0).alias("at"), empty.alias("out")), lambda acc, s: F.struct(
-        (acc["at"] + s["gap"] + s["len"]).alias("at"),
-        F.array_append(acc["out"], F.struct((acc["at"] + s["gap"]).alias("start"),
-                                            (acc["at"] + s["gap"] + s["len"]).alias("end"))).alias("out")))
-    return F.transform(walked["out"], lambda x: F.struct(
+    between = F.split(norm, rule["pattern"], -1)
+    steps = F.arrays_zip(F.transform(between, lambda b: F.length(b)).alias("gap"),
+                         F.transform(found, lambda m: F.length(m)).alias("len"))      # one gap more than matches
+    spans = "array<struct<start:int,end:int>>"
+
+    def walk(part: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(spans).alias("out"))
+        return F.aggregate(part, start, lambda acc, s: F.struct(
+            (acc["at"] + s["gap"] + F.coalesce(s["len"], F.lit(0))).alias("at"),
+            F.when(s["len"].isNull(), acc["out"]).otherwise(F.array_append(acc["out"], F.struct(
+                (acc["at"] + s["gap"]).alias("start"), (acc["at"] + s["gap"] + s["len"]).alias("end")))).alias("out")))
+
+    def shifted(out: Column, by: Column) -> Column:
+        return F.transform(out, lambda x: F.struct((x["start"] + by).alias("start"), (x["end"] + by).alias("end")))
+
+    def joined(parts: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{spans}>").alias("out"))
+        return F.flatten(F.aggregate(parts, start, lambda acc, p: F.struct(
+            (acc["at"] + p["at"]).alias("at"), F.array_append(acc["out"], shifted(p["out"], acc["at"])).alias("out")))["out"])
+
+    walked = _let(steps, lambda all_: joined(F.transform(
+        F.sequence(F.lit(1), F.size(all_), F.lit(BLOCK)), lambda i: walk(F.slice(all_, i, F.lit(BLOCK))))))
+    return F.transform(walked, lambda x: F.struct(
         x["start"].alias("start"), (-x["end"]).alias("back"), (-rule["level"]).alias("rank"), rule["n"].alias("n"),
         rule["label"].alias("label")))
 
 
 def _resolved(found: Column) -> Column:
-    """Detections not contained in another of at least their level (of equal ones, the first rule's stays)."""
+    """Labels and levels of the detections not contained in another of at least their level (of equal
+    ones, the first rule's stays); each label and level once."""
     kept = F.array().cast("array<struct<label:string,level:int>>")
     ends = F.array(*[F.lit(-1)] * LEVELS)            # furthest end so far of detections of each level or above
 
     def step(acc: Column, d: Column) -> Column:
         level, end = -d["rank"], -d["back"]
+        this = F.struct(d["label"].alias("label"), level.alias("level"))
         return F.struct(
             F.transform(acc["ends"], lambda e, q: F.when(q < level, F.greatest(e, end)).otherwise(e)).alias("ends"),
-            F.when(F.get(acc["ends"], level - 1) >= end, acc["kept"]).otherwise(
-                F.array_append(acc["kept"], F.struct(d["label"].alias("label"), level.alias("level")))).alias("kept"))
+            F.when((F.get(acc["ends"], level - 1) >= end) | F.array_contains(acc["kept"], this), acc["kept"])
+            .otherwise(F.array_append(acc["kept"], this)).alias("kept"))
 
     return F.aggregate(F.array_sort(found), F.struct(ends.alias("ends"), kept.alias("kept")), step)["kept"]
 

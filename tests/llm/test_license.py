@@ -60,6 +60,12 @@ def test_random_license_soup(spark):
     check(spark, [" ".join(rng.choice(parts) for _ in range(rng.randrange(1, 80))) for _ in range(120)])
 
 
+def test_many_mentions(spark):
+    """More matches of one rule than a block, and about as many as whole blocks."""
+    one = "GPL-2.0 or cc by 4.0, "
+    check(spark, [one * n for n in (1, license.BLOCK - 1, license.BLOCK, license.BLOCK + 1, 3 * license.BLOCK + 7)])
+
+
 def test_whole_table(spark):
     check(spark, [r.text for r in spark.read.parquet(f"{SF001}/documents.parquet").orderBy("doc_id").collect()])
 
