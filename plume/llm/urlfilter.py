@@ -1,7 +1,7 @@
 """URL filters on a sorted digest array.
 
 A list's rules are keyed by their 64-bit XXH64 digests, sorted and laid out in one flat file
-image: digests, string offsets, verdicts, then the strings. Every worker memory-maps that
+image: lengths, digests, string offsets, verdicts, then the strings. Every worker memory-maps that
 image, probes a batch of URLs with one vectorised binary search, and confirms each hit
 against the stored string, so a digest collision cannot decide anything.
 """
@@ -37,9 +37,10 @@ def pack_rules(rules: Iterable[tuple[str, str, str]]) -> bytes:
     names = [names[i] for i in order]
     offsets = np.cumsum([0, *map(len, names)]).astype("<u8")
     blocked = np.array([verdicts[n.decode()] == "block" for n in names], np.uint8)
-    # what may precede a path in a rule: the lengths worth probing
+    # the lengths worth probing, of hosts and of paths
+    hosts = np.unique([len(h) for _, h, _ in rules]).astype("<u8")
     lengths = np.unique([len(p) for _, _, p in rules]).astype("<u8")
-    return b"".join([_MAGIC, np.array([len(names), len(lengths)], "<u8").tobytes(), lengths.tobytes(),
+    return b"".join([_MAGIC, np.array([len(names), len(hosts), len(lengths)], "<u8").tobytes(), hosts.tobytes(), lengths.tobytes(),
                      digest[order].astype("<u8").tobytes(), offsets.tobytes(), blocked.tobytes(), *names])
 
 
@@ -50,8 +51,10 @@ class Rules:
         m = np.memmap(path, np.uint8, "r")
         if bytes(m[:8]) != _MAGIC:
             raise ValueError("not a rule image")
-        n, k = (int(x) for x in m[8:24].view("<u8"))
-        at = 24
+        n, h, k = (int(x) for x in m[8:32].view("<u8"))
+        at = 32
+        self.hosts = m[at:at + 8 * h].view("<u8").tolist()
+        at += 8 * h
         self.lengths = m[at:at + 8 * k].view("<u8").tolist()
         at += 8 * k
         self.digests = m[at:at + 8 * n].view("<u8")
@@ -100,14 +103,13 @@ def split_url(url: str | None) -> tuple[str, str]:
     return _lower(rest[:end]), path[:next((i for i, c in enumerate(path) if c in "?#"), len(path))]
 
 
-def candidates(host: str, path: str, lengths: list[int]) -> list[str]:
-    """Keys of all rules that would fit: the host and its parent domains, with every prefix of
-    the path that has the length of some rule's path. Longest first; ties in text order."""
-    hosts, rest = [host], host
-    while "." in rest:
-        rest = rest.partition(".")[2]
-        hosts.append(rest)
-    keys = {h + path[:n] for h in hosts for n in lengths if n <= len(path)}
+def candidates(host: str, path: str, hosts: list[int], lengths: list[int]) -> list[str]:
+    """Keys of all rules that would fit: of the host and its parent domains those that have the length of
+    some rule's host, with every prefix of the path that has the length of some rule's path. Longest
+    first; ties in text order. As many as the rules have lengths, whatever the URL holds."""
+    n = len(host)
+    fit = [host[n - k:] for k in hosts if k == n or (k < n and host[n - k - 1] == ".")]
+    keys = {h + path[:n] for h in fit for n in lengths if n <= len(path)}
     return sorted(keys, key=lambda k: (-len(k), k))
 
 
@@ -118,7 +120,7 @@ def _judge(image, digest: str, default: str):
             parts = [split_url(u.as_py()) for u in b.column(1)]
             keys, first = [], [0]
             for host, path in parts:
-                keys += [k.encode() for k in candidates(host, path, rules.lengths)]
+                keys += [k.encode() for k in candidates(host, path, rules.hosts, rules.lengths)]
                 first.append(len(keys))
             at = rules.find(keys)
             rule, verdict = [], []
@@ -157,14 +159,15 @@ def judge_by_join(pages: DataFrame, rules: DataFrame, default: str = "allow", id
                   url_col: str = "url") -> DataFrame:
     """As :func:`judge`, for lists of any size (``verdict, host, path``): distinct hosts and paths
     are expanded to candidate keys, and these join the list."""
-    lengths = [r[0] for r in rules.select(F.length("path")).distinct().collect()]    # lengths of paths: few numbers
+    # few numbers: a host has at most 255 characters, a path some thousand
+    hosts, lengths = ([r[0] for r in rules.select(F.length(c)).distinct().collect()] for c in ("host", "path"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             parts = [split_url(u.as_py()) for u in b.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([h for h, _ in parts], pa.string()), pa.array([p for _, p in parts], pa.string()),
-                 pa.array([candidates(h, p, lengths) for h, p in parts], pa.list_(pa.string()))],
+                 pa.array([candidates(h, p, hosts, lengths) for h, p in parts], pa.list_(pa.string()))],
                 ["page_id", "host", "path", "keys"])
 
     urls = (pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"))

@@ -35,6 +35,16 @@ def test_both_ways_equal_brute_force(spark):
     assert {r.page_id: tuple(r)[1:] for r in urlfilter.judge_by_join(rows, rules).collect()} == want
 
 
+def test_a_host_of_many_dots_gives_few_keys(spark):
+    hosts = sorted({len(h) for _, h, _ in URL_RULES})
+    paths = sorted({len(p) for _, _, p in URL_RULES})
+    keys = urlfilter.candidates("a." * 50_000 + "net", "/es/x", hosts, paths)
+    assert len(keys) <= len(hosts) * len(paths) and keys[-1] == "net/" and "net/es/" in keys
+    assert urlfilter.candidates("a.", "/", [0, 1, 2], [1]) == ["a./", "/"] and urlfilter.candidates("xcom", "/", [3], [1]) == []
+    rows = pages(spark, ["http://" + "a." * 50_000 + "net/es/", "http://" + "." * 50_000 + "com/"])
+    assert [r.rule for r in urlfilter.judge(rows, URL_RULES).orderBy("page_id").collect()] == ["net/es/", "com/"]
+
+
 def test_collisions_cannot_decide(tmp_path):
     with mock.patch.object(xxhash, "xxh64_intdigest", lambda b: 7):
         image = tmp_path / "r"
