@@ -8,15 +8,21 @@ leaves the rest to its suffix, down to the smoothed word frequencies at the root
 at the longest suffix of what precedes it that is a node.
 
 Neither counts nor model ever meet in one place. Documents are tokenised once into chunks of
-bounded size. For each depth every chunk sends its own aggregated counts to the global aggregate,
-then the distinct keys it needs to a join with the nodes of that depth, and gets back those that exist.
+bounded size. Words, and then the (context, word) pairs of each depth, are dealt over buckets; each
+chunk sends every bucket its own aggregated counts as one compressed run of sorted keys, the bucket
+adds them up and numbers what it keeps, and the chunk gets its keys' counts and numbers back, in its
+own order. A context's pairs lie in several buckets where it has many; its sums are added up by a
+plain aggregate. Chunks and answers are stored bucketed by chunk, so putting them together moves nothing.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -25,9 +31,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plume.llm.common import stored, text_slices
+from plume.llm.common import scratch, stored, text_slices
 
-CHUNK_BYTES = 4 << 20     # text of one chunk; a longer document is a chunk of its own
+BUCKET_KEYS = 1 << 20     # keys of all chunks that a bucket gets
+SALT_CHUNKS = 1 << 18     # chunks whose keys meet in one group
+CHUNK_BYTES = 8 << 20     # text of one chunk; a longer document is a chunk of its own
 DEPTH = 2                 # words of the longest context
 MIN_COUNT = 128           # training occurrences of a context
 CUT = 2                   # training occurrences of a next word that a node keeps
@@ -38,8 +46,7 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[ord("A"):ord("Z") + 1] += 32
 _WORD = np.ones(256, bool)
 _WORD[[0x20, *range(0x09, 0x0E)]] = False
-_END, _BEGIN = np.uint64(0x51ED270B9F1C3A77), np.uint64(0xC6BC279692B5C323)
-_A, _B, _C, _D = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
+_A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9))
 
 
 def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -60,28 +67,47 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             np.searchsorted(ends - ends[0], start, "right") - 1)
 
 
-def _mixed(a: np.ndarray, b: np.ndarray, x: np.uint64, y: np.uint64) -> np.ndarray:
-    h = a * x + b * y
+def bucket_of(keys: np.ndarray, bits: int, buckets: int) -> np.ndarray:
+    """Buckets of (context, word) keys: a context's words of neighbouring numbers stay together."""
+    k = keys.view(np.uint64)
+    h = (k >> np.uint64(bits)) * _A + ((k & np.uint64((1 << bits) - 1)) >> np.uint64(16)) * _B
     h ^= h >> np.uint64(31)
     h *= _C
-    return h ^ (h >> np.uint64(29))
+    return ((h ^ (h >> np.uint64(29))) % np.uint64(buckets)).astype(np.int64)
 
 
-def pair_keys(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return _mixed(context, word, _A, _B)
+def packed(a: np.ndarray) -> bytes:
+    """Non-negative whole numbers in the narrowest type, compressed."""
+    a = a.astype(np.min_scalar_type(int(a.max(initial=0))))
+    return a.dtype.char.encode() + zstandard.compress(a.tobytes())
 
 
-def longer(context: np.ndarray, older: np.ndarray) -> np.ndarray:
-    """Keys of contexts that begin with one more word."""
-    return _mixed(context, older, _D, _A) + np.uint64(1)
+def unpacked(b: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(b[1:]), np.dtype(chr(b[0]))).astype(np.int64)
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    return packed(np.diff(keys, prepend=0))
+
+
+def unpacked_keys(b: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(b))
 
 
 # ------------------------------------------------------------------ chunks
 
-_CHUNK = "chunk long, ids binary, named binary, train binary, sizes binary, codes binary, words binary"
+_CHUNK = "chunk long, n_words long, n_tokens long, ids binary, named binary, train binary, sizes binary, codes binary, words binary"
 _COLUMNS = [c.split()[0] for c in _CHUNK.split(", ")]
 
 
+def _by_chunk(df: DataFrame, tag: str) -> DataFrame:
+    """As ``stored``, bucketed by chunk: tables of the same session join without an exchange."""
+    spark, name = df.sparkSession, f"plume_llm_{uuid.uuid4().hex}"
+    (df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk")
+     .option("path", scratch(spark, tag)).saveAsTable(name, format="parquet"))
+    return spark.table(name)
+
+
 def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
     """Documents as runs of word numbers, each ended by the number after the last word's. Map only."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +125,7 @@ def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
             words = coded.dictionary.to_pylist()             # they hold no white space, so a blank can part them
             codes = np.full(len(doc) + len(ids), len(words), np.uint32)
             codes[np.arange(len(doc)) + doc] = coded.indices.to_numpy()
-            row = [(TaskContext.get().partitionId() << 32) + made, ids.tobytes(), named.tobytes(), train.tobytes(),
+            row = [(TaskContext.get().partitionId() << 32) + made, len(words) + 1, len(codes), ids.tobytes(), named.tobytes(), train.tobytes(),
                    (n + 1).astype(np.int64).tobytes(), zstandard.compress(codes.tobytes()),
                    zstandard.compress(b" ".join(words))]
             return pa.RecordBatch.from_arrays([pa.array([v]) for v in row], _COLUMNS)
@@ -117,71 +143,104 @@ def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
             yield close()
 
     rows = docs.select(F.col("doc_id"), F.col("text"), ~F.col("held_out"))
-    return stored(rows.mapInArrow(run, _CHUNK), "word-chunks")
+    return _by_chunk(rows.mapInArrow(run, _CHUNK), "word-chunks")
 
 
 class Chunk:
     """One chunk's row with the answers it has got so far."""
 
-    def __init__(self, row: dict, corpus: tuple[int, int]):
+    def __init__(self, row: dict):
         self.id = row["chunk"]
         self.codes = np.frombuffer(zstandard.decompress(row["codes"]), np.uint32)
         self.sizes = np.frombuffer(row["sizes"], np.int64)
         self.first = np.cumsum(self.sizes) - self.sizes
         self.train = np.repeat(np.frombuffer(row["train"], bool), self.sizes)
-        self.words = zstandard.decompress(row["words"]).split(b" ")
-        if not self.words[0]:
-            self.words = []
-        if corpus is None:
-            return
-        hashes = np.array([*map(xxhash.xxh64_intdigest, self.words), int(_END)], np.uint64)
-        self.word = hashes[self.codes]
-        count = np.zeros(len(hashes), np.int64)
-        count[[x["code"] for x in row["known"]]] = [x["c"] for x in row["known"]]
-        n, v = corpus
-        self.count = count[self.codes]
-        self.base = (self.count + 0.5) / (n + 0.5 * (v + 1))
-        # the state at depth 1: contexts of one word, a mark at the start of a document
-        self.older = np.r_[_BEGIN, self.word[:-1]]
-        self.older[self.first] = _BEGIN
-        self.context = self.older.copy()
+        words = zstandard.decompress(row["words"])
+        self.words = [*(words.split(b" ") if words else []), b""]      # the end is the word without a byte
+
+    def word_buckets(self, buckets: int) -> list[np.ndarray]:
+        """Codes of each bucket."""
+        at = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words)) % np.uint64(buckets)
+        order = np.argsort(at, kind="stable")
+        return np.split(order, np.searchsorted(at[order], np.arange(1, buckets, dtype=np.uint64)))
+
+    def know(self, answers: list[dict], how: How) -> None:
+        """Counts and numbers of the words; the state at depth 1: contexts of one word, 0 at the start of a document."""
+        count, number = np.zeros(len(self.words), np.int64), np.zeros(len(self.words), np.int64)
+        parts = self.word_buckets(how.word_buckets)
+        for x in answers:
+            count[parts[x["bucket"]]], number[parts[x["bucket"]]] = unpacked(x["n"]), unpacked(x["number"])
+        self.count, self.word = count[self.codes], number[self.codes]
+        self.base = (self.count + 0.5) / (how.n + 0.5 * (how.v + 1))
+        self.context = np.r_[0, self.word[:-1]]
+        self.context[self.first] = 0
         self.seen = np.r_[0, self.count[:-1]]
         self.seen[self.first] = count[-1]                    # as many starts as ends
         self.chance, self.known = self.base, np.ones(len(self.codes), bool)
         self.inside = np.ones(len(self.codes), bool)         # whether so many words precede
 
-    def advance(self, answers: list[dict] | None, min_count: int, discount: float) -> None:
+    def asked(self, how: How) -> tuple[np.ndarray, np.ndarray]:
+        """Places whose context may be a node, and those of them whose word may be a next word of it."""
+        asked = self.known & self.inside & (self.seen >= how.min_count)
+        return asked, asked & (self.count >= how.cut)        # rarer words follow nothing so often
+
+    def keys(self, at: np.ndarray, bits: int) -> np.ndarray:
+        return (self.context[at] << bits) | self.word[at]
+
+    def asks(self, how: How) -> tuple[np.ndarray, np.ndarray]:
+        """All keys this chunk wants, by bucket and key, and their buckets: pairs, and contexts (with word 0)."""
+        asked, pair = self.asked(how)
+        keys = np.r_[np.unique(self.context[asked]) << how.bits, np.unique(self.keys(pair, how.bits))]
+        at = bucket_of(keys, how.bits, how.buckets)
+        order = np.lexsort((keys, at))
+        return keys[order], at[order]
+
+    def advance(self, answers: list[dict], how: How) -> None:
         """Take in the answers of one depth; the state moves on to the next one."""
-        answers = answers or [{"key": 0, "n": 0, "left": None}]
-        keys = np.array([x["key"] for x in answers], np.int64).view(np.uint64)
-        total = np.array([x["n"] for x in answers], np.int64)
-        left = np.array([np.nan if x["left"] is None else x["left"] for x in answers], np.float64)
+        keys, at = self.asks(how)
+        n, number, left = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64), np.full(len(keys), np.nan)
+        start = np.searchsorted(at, np.arange(how.buckets + 1))
+        for x in answers:
+            part = slice(start[x["bucket"]], start[x["bucket"] + 1])
+            n[part], number[part] = unpacked(x["n"]), unpacked(x["number"])
+            left[part] = np.frombuffer(zstandard.decompress(x["left"]), np.float64)
         order = np.argsort(keys)
-        keys, total, left = keys[order], total[order], left[order]
-        asked = self.asked(min_count)
-        at = np.minimum(np.searchsorted(keys, self.context), len(keys) - 1)
-        node = asked & (keys[at] == self.context) & ~np.isnan(left[at])
-        pair = pair_keys(self.context, self.word)
-        to = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
-        n = np.where(asked & (keys[to] == pair), total[to], 0)
-        own = np.maximum(n - discount, 0) / np.maximum(self.seen, 1)
-        self.chance = np.where(node, own + left[at] * self.chance, self.chance)
+        keys, n, number, left = keys[order], n[order], number[order], left[order]
+        asked, pair = self.asked(how)
+        remainder, own, nxt = np.full(len(self.codes), np.nan), np.zeros(len(self.codes), np.int64), np.zeros(len(self.codes), np.int64)
+        remainder[asked] = left[np.searchsorted(keys, self.context[asked] << how.bits)]
+        to = np.searchsorted(keys, self.keys(pair, how.bits))
+        own[pair], nxt[pair] = n[to], number[to]
+        node = ~np.isnan(remainder)
+        share = np.maximum(own - how.discount, 0) / np.maximum(self.seen, 1)
+        self.chance = np.where(node, share + remainder * self.chance, self.chance)
         self.known = node
-        self.older = np.r_[_BEGIN, self.older[:-1]]
         inside = np.r_[False, self.inside[:-1]]
         inside[self.first] = False
         self.inside = inside
-        self.context = longer(self.context, self.older)
-        self.seen = np.r_[0, n[:-1]]
+        self.context, self.seen = np.r_[0, nxt[:-1]], np.r_[0, own[:-1]]
+
+
+@dataclass(frozen=True)
+class How:
+    """The model's parameters, and what the corpus says of itself."""
 
-    def asked(self, min_count: int) -> np.ndarray:
-        return self.known & self.inside & (self.seen >= min_count)
+    min_count: int
+    cut: int
+    discount: float
+    cost: float
+    n: int = 0
+    v: int = 0
+    word_buckets: int = 1
+    bits: int = 1                          # of a word's number
+    buckets: int = 1                       # of pairs
 
 
-def _opened(row: dict, corpus, depth: int, min_count: int, cut: int, discount: float) -> Chunk:
-    c = Chunk(row, corpus)
+def _opened(row: dict, how: How, depth: int) -> Chunk:
+    c = Chunk(row)
+    c.know(row["known0"] or [], how)
     for d in range(1, depth):
-        c.advance(row[f"known{d}"], min_count, discount)
+        c.advance(row[f"known{d}"] or [], how)
     return c
 
 
@@ -192,39 +251,59 @@ def _rows(f, schema: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in f(b.slice(i, 1).to_pylist()[0])], names)
+                made = [pa.array(c) for c in f(b.slice(i, 1).to_pylist()[0])]
+                if len(made[0]):
+                    yield pa.RecordBatch.from_arrays(made, names)
     return run
 
 
-def _word_counts(row: dict):
-    c = Chunk(row, None)
-    n = np.bincount(c.codes[c.train], minlength=len(c.words) + 1)
-    return np.full(len(n), c.id), np.arange(len(n)), pa.array([*c.words, b""], pa.binary()), n
+def _split(at: np.ndarray, buckets: int):
+    """Runs of equal buckets in a sorted array, the empty ones left out."""
+    edge = np.searchsorted(at, np.arange(buckets + 1))
+    return [(b, slice(edge[b], edge[b + 1])) for b in np.unique(at).tolist()]
 
 
-def _pair_counts(corpus, depth: int, min_count: int, cut: int, discount: float):
+_ASK = "bucket long, chunk long, keys binary, n binary, total binary, chance binary"
+
+
+def _word_asks(buckets: int):
+    def f(row):
+        c = Chunk(row)
+        n = np.bincount(c.codes[c.train], minlength=len(c.words))
+        parts = [(b, p) for b, p in enumerate(c.word_buckets(buckets)) if len(p)]
+        none = [None] * len(parts)
+        return ([b for b, _ in parts], [c.id] * len(parts), [zstandard.compress(b" ".join([c.words[i] for i in p.tolist()])) for _, p in parts],
+                [packed(n[p]) for _, p in parts], pa.array(none, pa.binary()), pa.array(none, pa.binary()))
+    return f
+
+
+def _counts(how: How, depth: int):
+    """A chunk's pairs of its training documents: key, count, the context's count, the suffix's chance of the word."""
     def f(row):
-        c = _opened(row, corpus, depth, min_count, cut, discount)
-        at = np.flatnonzero(c.asked(min_count) & c.train & (c.count >= cut))     # rarer words follow nothing so often
-        keys, first, n = np.unique(pair_keys(c.context[at], c.word[at]), return_index=True, return_counts=True)
-        at = at[first]
-        return c.context[at].view(np.int64), keys.view(np.int64), n, c.seen[at], c.chance[at].astype(np.float32)
+        c = _opened(row, how, depth)
+        at = np.flatnonzero(c.asked(how)[1] & c.train)
+        keys, first, n = np.unique(c.keys(at, how.bits), return_index=True, return_counts=True)
+        to = bucket_of(keys, how.bits, how.buckets)
+        order = np.argsort(to, kind="stable")
+        keys, n, at, to = keys[order], n[order], at[first][order], to[order]
+        total, chance, runs = c.seen[at], c.chance[at].astype(np.float32), _split(to, how.buckets)
+        return ([b for b, _ in runs], [c.id] * len(runs), [packed_keys(keys[s]) for _, s in runs], [packed(n[s]) for _, s in runs],
+                [packed(total[s]) for _, s in runs], [zstandard.compress(chance[s].view(np.uint8).reshape(-1, 4).T.tobytes()) for _, s in runs])
     return f
 
 
-def _wanted(corpus, depth: int, min_count: int, cut: int, discount: float):
+def _asks(how: How, depth: int):
     def f(row):
-        c = _opened(row, corpus, depth, min_count, cut, discount)
-        asked = c.asked(min_count)
-        at = np.flatnonzero(asked & (c.count >= cut))
-        keys = np.r_[np.unique(c.context[asked]), np.unique(pair_keys(c.context[at], c.word[at]))].view(np.int64)
-        return np.full(len(keys), c.id), keys
+        c = _opened(row, how, depth)
+        keys, at = c.asks(how)
+        runs = _split(at, how.buckets)
+        return [b for b, _ in runs], [c.id] * len(runs), [packed_keys(keys[s]) for _, s in runs]
     return f
 
 
-def _scores(*how):
+def _scores(how: How, depth: int):
     def f(row):
-        c = _opened(row, *how)
+        c = _opened(row, how, depth)
         ids, named = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["named"], bool)
 
         def total(v):
@@ -234,64 +313,192 @@ def _scores(*how):
     return f
 
 
-# ------------------------------------------------------------------ the tree
+# ------------------------------------------------------------------ buckets
+
+def _words(blob: bytes) -> list[bytes]:
+    return zstandard.decompress(blob).split(b" ")
+
+
+def _added_words(rows: pd.DataFrame) -> tuple[list[bytes], np.ndarray]:
+    coded = pa.array([w for b in rows["keys"] for w in _words(b)], pa.binary()).dictionary_encode()
+    n = np.bincount(coded.indices.to_numpy(), weights=np.concatenate([unpacked(x) for x in rows["n"]]), minlength=len(coded.dictionary))
+    return coded.dictionary.to_pylist(), n.astype(np.int64)
 
-def _nodes(pairs: DataFrame, min_count: int, cut: int, discount: float, cost: float) -> DataFrame:
-    """``key, n, left``: the nodes of one depth (their count, the share that is left to the suffix) and
-    their kept next words (their count). Words of contexts that are not kept come too where they are
-    frequent enough to be part of a longer context."""
-    some = stored(pairs.groupBy("context", "pair").agg(F.sum("n").alias("n"), F.max("total").alias("total"),
-                                                       F.max("chance").cast("double").alias("chance"))
-                  .where(F.col("n") >= cut), "pairs")
-    share = F.col("n") / F.col("total")
-    sums = some.groupBy("context").agg(
-        F.count("*").alias("kept"), F.sum("n").alias("s"), F.sum("chance").alias("p"), F.max("total").alias("total"),
-        F.sum(F.col("n") * F.log(share / F.col("chance"))).alias("gain"))
-    rest = F.col("total") - F.col("s")
-    gain = F.col("gain") + F.when(rest > 0, rest * F.log(rest / F.col("total") / F.greatest(1 - F.col("p"), F.lit(1e-12)))).otherwise(0)
-    nodes = stored(sums.where(gain >= cost * (F.col("kept") + 1)).select(
-        F.col("context").alias("key"), F.col("total").alias("n"),
-        ((rest + discount * F.col("kept")) / F.col("total")).alias("left")), "nodes")
-    kept = some.join(nodes.select(F.col("key").alias("context"), F.lit(True).alias("node")), "context", "left").where(
-        F.col("node") | (F.col("n") >= min_count)).select(F.col("pair").alias("key"), "n", F.lit(None).cast("double").alias("left"))
-    return kept.unionByName(nodes)
 
+def _added_pairs(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    chance = [np.frombuffer(zstandard.decompress(x), np.uint8).reshape(4, -1).T.copy().view(np.float32).ravel() for x in rows["chance"]]
+    keys, first, to = np.unique(np.concatenate([unpacked_keys(x) for x in rows["keys"]]), return_index=True, return_inverse=True)
+    n = np.bincount(to, weights=np.concatenate([unpacked(x) for x in rows["n"]]), minlength=len(keys)).astype(np.int64)
+    return keys, n, np.concatenate([unpacked(x) for x in rows["total"]])[first], np.concatenate(chance)[first]
 
-def score(docs: DataFrame, fold: int = 5, held: int = 1, depth: int = DEPTH, min_count: int = MIN_COUNT, cut: int = CUT, discount: float = DISCOUNT, cost: float = COST, id_col: str = "doc_id", text_col: str = "text",
-          chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+
+def _merged_words(rows: pd.DataFrame) -> pd.DataFrame:
+    words, n = _added_words(rows)
+    return pd.DataFrame({"bucket": rows["bucket"].iloc[:1].to_numpy(), "chunk": [0], "keys": [zstandard.compress(b" ".join(words))], "n": [packed(n)],
+                         "total": [None], "chance": [None]})
+
+
+def _merged_pairs(rows: pd.DataFrame) -> pd.DataFrame:
+    keys, n, total, chance = _added_pairs(rows)
+    return pd.DataFrame({"bucket": rows["bucket"].iloc[:1].to_numpy(), "chunk": [0], "keys": [packed_keys(keys)], "n": [packed(n)], "total": [packed(total)],
+                         "chance": [zstandard.compress(chance.view(np.uint8).reshape(-1, 4).T.tobytes())]})
+
+
+def _gathered(rows: DataFrame, merge, salts: int) -> DataFrame:
+    """Where there are very many chunks, groups of them are added up first."""
+    if salts == 1:
+        return rows
+    return rows.groupBy("bucket", F.pmod(F.xxhash64("chunk"), F.lit(salts)).alias("salt")).applyInPandas(merge, _ASK)
+
+
+def _numbered(order: np.ndarray, keep: np.ndarray, bucket: int, buckets: int) -> np.ndarray:
+    """Numbers from 1 that no other bucket gives to what is kept, in the given order; 0 for the rest."""
+    number = np.zeros(len(keep), np.int64)
+    at = order[keep[order]]
+    number[at] = np.arange(len(at)) * buckets + bucket + 1
+    return number
+
+
+def _word_model(buckets: int, least: int):
+    def f(rows):
+        words, n = _added_words(rows)
+        bucket = int(rows["bucket"].iloc[0])
+        order = np.array(sorted(range(len(words)), key=lambda i: (-n[i], words[i])), np.int64)
+        number = _numbered(order, n >= least, bucket, buckets)
+        return pd.DataFrame({"bucket": [bucket], "keys": [zstandard.compress(b" ".join(words))], "n": [packed(n)], "number": [packed(number)],
+                             "left": [None], "tokens": [int(n.sum())], "types": [int((n > 0).sum())], "top": [int(number.max(initial=0))]})
+    return f
+
+
+_MODEL = "bucket long, keys binary, n binary, number binary, left binary"
+_SUMS = ", contexts binary, homes binary, sums binary, top long"
+
+
+def _pair_model(how: How):
+    """The bucket's pairs that are frequent enough, and what they add to their contexts' sums."""
+    def f(rows):
+        keys, n, total, chance = _added_pairs(rows)
+        keep = n >= how.cut
+        keys, n, total, chance = keys[keep], n[keep], total[keep], chance[keep].astype(np.float64)
+        number = _numbered(np.arange(len(keys)), n >= how.min_count, int(rows["bucket"].iloc[0]), how.buckets)
+        context, first, to = np.unique(keys >> how.bits, return_index=True, return_inverse=True)
+
+        def added(x):
+            return np.bincount(to, weights=x, minlength=len(context))
+        sums = np.stack([added(np.ones(len(keys))), added(n), added(chance), total[first].astype(np.float64),
+                         added(n * np.log(n / total / chance))], 1) if len(keys) else np.empty((0, 5))
+        return pd.DataFrame({"bucket": rows["bucket"].iloc[:1].to_numpy(), "keys": [packed_keys(keys)], "n": [packed(n)], "number": [packed(number)], "left": [None],
+                             "contexts": [packed_keys(context)], "homes": [packed(bucket_of(context << how.bits, how.bits, how.buckets))],
+                             "sums": [zstandard.compress(sums.tobytes())], "top": [int(number.max(initial=0))]})
+    return f
+
+
+def _sums(row: dict):
+    sums = np.frombuffer(zstandard.decompress(row["sums"]), np.float64).reshape(-1, 5)
+    return (unpacked_keys(row["contexts"]), unpacked(row["homes"]), *sums.T)
+
+
+def _nodes(pairs: DataFrame, how: How) -> DataFrame:
+    """The nodes of one depth, by the bucket in which they are asked for: the share each leaves to its suffix."""
+    columns = "context long, home long, kept double, s double, p double, total double, gain double"
+    sums = pairs.select("contexts", "homes", "sums").mapInArrow(_rows(_sums, columns), columns).groupBy("context", "home").agg(
+        *[F.sum(c).alias(c) for c in ("kept", "s", "p", "gain")], F.max("total").alias("total"))
+    rest = F.col("total") - F.col("s")
+    gain = F.col("gain") + F.when(rest > 0, rest * F.log(rest / F.col("total") / F.greatest(1 - F.col("p"), F.lit(1e-12)))).otherwise(0)
+    kept = sums.where(gain >= how.cost * (F.col("kept") + 1)).select(
+        "home", "context", ((rest + how.discount * F.col("kept")) / F.col("total")).alias("left"))
+
+    def together(rows):
+        rows = rows.sort_values("context")
+        return pd.DataFrame({"bucket": rows["home"].iloc[:1].to_numpy(), "keys": [packed_keys(rows["context"].to_numpy() << how.bits)], "n": [None],
+                             "number": [None], "left": [zstandard.compress(rows["left"].to_numpy(np.float64).tobytes())]})
+    return kept.groupBy("home").applyInPandas(together, _MODEL)
+
+
+_ANSWER = "chunk long, bucket long, n binary, number binary, left binary"
+
+
+def _answered(asks: DataFrame, model: DataFrame, salts: int, answer, tag: str) -> DataFrame:
+    """Every chunk's answers, stored by chunk. A bucket's model goes to each group of chunks that asks it."""
+    asks = asks.withColumn("salt", F.pmod(F.xxhash64("chunk"), F.lit(salts)))
+    model = model.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumn("salt", F.col("salt").cast("long"))
+    rows = asks.groupBy("bucket", "salt").cogroup(model.groupBy("bucket", "salt")).applyInPandas(answer, _ANSWER)
+    return _by_chunk(rows.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "n", "number", "left")).alias(tag)), tag)
+
+
+def _word_answers(asks: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+    if not len(asks):
+        return pd.DataFrame({c.split()[0]: [] for c in _ANSWER.split(", ")})
+    m = model.iloc[0]
+    place = pa.array(_words(m["keys"]), pa.binary())
+    n, number = unpacked(m["n"]), unpacked(m["number"])
+    at = [pc.index_in(pa.array(_words(k), pa.binary()), value_set=place).to_numpy() for k in asks["keys"]]
+    return pd.DataFrame({"chunk": asks["chunk"].to_numpy(), "bucket": asks["bucket"].to_numpy(), "n": [packed(n[a]) for a in at],
+                         "number": [packed(number[a]) for a in at], "left": [None] * len(at)})
+
+
+def _pair_answers(asks: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+    if not len(asks) or not len(model):
+        return pd.DataFrame({c.split()[0]: [] for c in _ANSWER.split(", ")})
+    keys, n, number, left = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
+    for m in model.to_dict("records"):
+        k = unpacked_keys(m["keys"])
+        pair = m["n"] is not None
+        keys.append(k)
+        n.append(unpacked(m["n"]) if pair else np.zeros(len(k), np.int64))
+        number.append(unpacked(m["number"]) if pair else np.zeros(len(k), np.int64))
+        left.append(np.full(len(k), np.nan) if pair else np.frombuffer(zstandard.decompress(m["left"]), np.float64))
+    keys, n, number, left = (np.concatenate(x) for x in (keys, n, number, left))
+    order = np.argsort(keys)
+    keys, n, number, left = (np.r_[x[order], x.dtype.type(e)] for x, e in ((keys, -1), (n, 0), (number, 0), (left, np.nan)))
+    out = []
+    for chunk, bucket, blob in zip(asks["chunk"], asks["bucket"], asks["keys"]):
+        k = unpacked_keys(blob)
+        at = np.searchsorted(keys[:-1], k)
+        at[keys[at] != k] = len(keys) - 1
+        out.append((chunk, bucket, packed(n[at]), packed(number[at]), zstandard.compress(left[at].tobytes())))
+    return pd.DataFrame(out, columns=[c.split()[0] for c in _ANSWER.split(", ")])
+
+
+def score(docs: DataFrame, fold: int = 5, held: int = 1, depth: int = DEPTH, min_count: int = MIN_COUNT, cut: int = CUT,
+          discount: float = DISCOUNT, cost: float = COST, id_col: str = "doc_id", text_col: str = "text",
+          chunk_bytes: int = CHUNK_BYTES, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row of ``docs``.
 
     The model learns from the rows whose crc32 of the id as text, modulo ``fold``, is not ``held``;
     rows with a null id are learned from. ``base_score`` is the log10 probability under the root
     alone, ``score`` that under the tree. A null, empty or blank text is its end mark only. Repeated
     rows are counted and scored as often as they occur. Without training rows every probability is
-    the root's (one). An empty table gives an empty result. Words meet by their bytes, contexts by
-    64-bit hashes.
+    the root's (one). An empty table gives an empty result. Words and contexts are told apart exactly;
+    a corpus whose numbers of frequent words and contexts take over 63 bits together raises OverflowError.
+    A bucket gets about ``bucket_keys`` keys; more chunks than ``SALT_CHUNKS`` are added up in groups first.
     """
     out = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % fold == held, F.lit(False))
     chunks = _chunks(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                                  out.alias("held_out")), chunk_bytes)
-    word_rows = "chunk long, code long, word binary, n long"
-    words = chunks.select("chunk", "sizes", "train", "codes", "words").mapInArrow(
-        _rows(_word_counts, word_rows), word_rows)
-    totals = stored(words.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "words")
-    n, v = totals.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    # a chunk's own words come back to it: no more than it holds
-    known = stored(words.select("chunk", "code", "word").join(totals, "word").groupBy("chunk")
-                   .agg(F.collect_list(F.struct("code", "c")).alias("known")), "known-words")
-    answered = known
+    n_chunks, n_words, n_tokens = chunks.agg(F.count("*"), *[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_words", "n_tokens")]).first()
+    salts, word_buckets = -(-max(n_chunks, 1) // SALT_CHUNKS), -(-max(n_words, 1) // bucket_keys)
+    buckets = -(-max(n_tokens, 1) // (2 * bucket_keys))             # at most every other place is its chunk's first of a key
+    how = How(min_count, cut, discount, cost, word_buckets=word_buckets, buckets=buckets)
+    # ---- words
+    words = chunks.select("chunk", "sizes", "train", "codes", "words").mapInArrow(_rows(_word_asks(word_buckets), _ASK), _ASK)
+    model = stored(_gathered(words, _merged_words, salts).groupBy("bucket").applyInPandas(
+        _word_model(word_buckets, min(cut, min_count)), _MODEL + ", tokens long, types long, top long"), "words")
+    n, v, top = model.agg(*[F.coalesce(f(c), F.lit(0)) for f, c in ((F.sum, "tokens"), (F.sum, "types"), (F.max, "top"))]).first()
+    how = replace(how, n=n, v=v, bits=max(top.bit_length(), 1))
+    state = chunks.join(_answered(words.select("bucket", "chunk", "keys"), model.drop("tokens", "types", "top"), salts, _word_answers, "known0"),
+                        "chunk", "left")
+    # ---- the tree, one depth after the other
     for d in range(1, depth + 1):
-        # all chunks are asked again at each depth, those without any answer too
-        state = chunks.join(answered, "chunk", "left").withColumn("known", F.coalesce("known", F.array()))
-        columns = "context long, pair long, n long, total long, chance float"
-        nodes = stored(_nodes(state.mapInArrow(_rows(_pair_counts((n, v), d, min_count, cut, discount), columns), columns),
-                              min_count, cut, discount, cost), "tree")
-        columns = "chunk long, key long"
-        wanted = state.mapInArrow(_rows(_wanted((n, v), d, min_count, cut, discount), columns), columns)
-        answers = stored(wanted.join(nodes, "key").groupBy("chunk")
-                         .agg(F.collect_list(F.struct("key", "n", "left")).alias(f"known{d}")), "answers")
-        answered = answered.join(answers, "chunk", "left")
+        if top.bit_length() + how.bits > 63:
+            raise OverflowError(f"{top} contexts and words of {how.bits} bits do not fit a key")
+        pairs = stored(_gathered(state.mapInArrow(_rows(_counts(how, d), _ASK), _ASK), _merged_pairs, salts)
+                       .groupBy("bucket").applyInPandas(_pair_model(how), _MODEL + _SUMS), "pairs")
+        columns = "bucket long, chunk long, keys binary"
+        asks = state.mapInArrow(_rows(_asks(how, d), columns), columns)
+        top = pairs.agg(F.coalesce(F.max("top"), F.lit(0))).first()[0]
+        answers = _answered(asks, pairs.drop("contexts", "homes", "sums", "top").unionByName(_nodes(pairs, how)), salts, _pair_answers, f"known{d}")
+        state = state.join(answers, "chunk", "left")
     columns = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    return (chunks.join(answered, "chunk", "left").withColumn("known", F.coalesce("known", F.array()))
-            .mapInArrow(_rows(_scores((n, v), depth + 1, min_count, cut, discount), columns), columns)
+    return (state.mapInArrow(_rows(_scores(how, depth + 1), columns), columns)
             .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score"))

@@ -3,6 +3,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from unittest import mock
 
 import numpy as np
 import pyarrow as pa
@@ -125,6 +126,8 @@ def test_equals_the_plain_tree(spark):
     out = [r for r in got if r[1]]
     assert sum(r[6] for r in out) > sum(r[5] for r in out)              # better than the root on documents not learned from
     check(run(spark, docs, **HOW), docs, **HOW)
+    with mock.patch.object(suffixlm, "SALT_CHUNKS", 4):
+        check(run(spark, docs, chunk_bytes=2000, bucket_keys=300, **HOW), docs, **HOW)
 
 
 def test_every_node_is_a_distribution():
