@@ -94,6 +94,21 @@ def unpacked_keys(b: bytes) -> np.ndarray:
     return np.cumsum(unpacked(b))
 
 
+def distinct(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct values, a place of each, each place's value number, and how often each occurs."""
+    order = np.argsort(a)
+    v = a[order]
+    new = np.r_[np.ones(min(len(v), 1), bool), v[1:] != v[:-1]]
+    number = np.empty(len(v), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return v[new], order[new], number, np.diff(np.r_[np.flatnonzero(new), len(v)])
+
+
+def by_bucket(at: np.ndarray, buckets: int) -> np.ndarray:
+    """Stable order by bucket."""
+    return np.argsort(at.astype(np.min_scalar_type(buckets)), kind="stable")
+
+
 # ------------------------------------------------------------------ chunks
 
 _CHUNK = "chunk long, n_words long, n_tokens long, ids binary, named binary, train binary, sizes binary, codes binary, words binary"
@@ -155,23 +170,12 @@ class Chunk:
         self.sizes = np.frombuffer(row["sizes"], np.int64)
         self.first = np.cumsum(self.sizes) - self.sizes
         self.train = np.repeat(np.frombuffer(row["train"], bool), self.sizes)
-        words = zstandard.decompress(row["words"])
-        self.words = [*(words.split(b" ") if words else []), b""]      # the end is the word without a byte
 
-    def word_buckets(self, buckets: int) -> list[np.ndarray]:
-        """Codes of each bucket."""
-        at = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words)) % np.uint64(buckets)
-        order = np.argsort(at, kind="stable")
-        return np.split(order, np.searchsorted(at[order], np.arange(1, buckets, dtype=np.uint64)))
-
-    def know(self, answers: list[dict], how: How) -> None:
+    def know(self, row: dict, how: How) -> None:
         """Counts and numbers of the words; the state at depth 1: contexts of one word, 0 at the start of a document."""
-        count, number = np.zeros(len(self.words), np.int64), np.zeros(len(self.words), np.int64)
-        parts = self.word_buckets(how.word_buckets)
-        for x in answers:
-            count[parts[x["bucket"]]], number[parts[x["bucket"]]] = unpacked(x["n"]), unpacked(x["number"])
-        self.count, self.word = count[self.codes], number[self.codes]
-        self.base = (self.count + 0.5) / (how.n + 0.5 * (how.v + 1))
+        count = unpacked(row["counts"])
+        self.count, self.word = count[self.codes], unpacked(row["numbers"])[self.codes]
+        self.base = ((count + 0.5) / (how.n + 0.5 * (how.v + 1)))[self.codes]
         self.context = np.r_[0, self.word[:-1]]
         self.context[self.first] = 0
         self.seen = np.r_[0, self.count[:-1]]
@@ -187,30 +191,31 @@ class Chunk:
     def keys(self, at: np.ndarray, bits: int) -> np.ndarray:
         return (self.context[at] << bits) | self.word[at]
 
-    def asks(self, how: How) -> tuple[np.ndarray, np.ndarray]:
-        """All keys this chunk wants, by bucket and key, and their buckets: pairs, and contexts (with word 0)."""
-        asked, pair = self.asked(how)
-        keys = np.r_[np.unique(self.context[asked]) << how.bits, np.unique(self.keys(pair, how.bits))]
+    def asks(self, how: How):
+        """All keys this chunk wants, by bucket and key, and their buckets: contexts (with word 0), then pairs;
+        the places that want them, and the key of each such place."""
+        asked, pair = (np.flatnonzero(x) for x in self.asked(how))
+        context, _, of, _ = distinct(self.context[asked])
+        keys, _, to, _ = distinct(self.keys(pair, how.bits))
+        keys = np.r_[context << how.bits, keys]
         at = bucket_of(keys, how.bits, how.buckets)
-        order = np.lexsort((keys, at))
-        return keys[order], at[order]
+        order = np.argsort(keys)
+        order = order[by_bucket(at[order], how.buckets)]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        return keys[order], at[order], (asked, place[of]), (pair, place[len(context):][to])
 
     def advance(self, answers: list[dict], how: How) -> None:
         """Take in the answers of one depth; the state moves on to the next one."""
-        keys, at = self.asks(how)
+        keys, at, (asked, of), (pair, to) = self.asks(how)
         n, number, left = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64), np.full(len(keys), np.nan)
         start = np.searchsorted(at, np.arange(how.buckets + 1))
         for x in answers:
             part = slice(start[x["bucket"]], start[x["bucket"] + 1])
             n[part], number[part] = unpacked(x["n"]), unpacked(x["number"])
             left[part] = np.frombuffer(zstandard.decompress(x["left"]), np.float64)
-        order = np.argsort(keys)
-        keys, n, number, left = keys[order], n[order], number[order], left[order]
-        asked, pair = self.asked(how)
         remainder, own, nxt = np.full(len(self.codes), np.nan), np.zeros(len(self.codes), np.int64), np.zeros(len(self.codes), np.int64)
-        remainder[asked] = left[np.searchsorted(keys, self.context[asked] << how.bits)]
-        to = np.searchsorted(keys, self.keys(pair, how.bits))
-        own[pair], nxt[pair] = n[to], number[to]
+        remainder[asked], own[pair], nxt[pair] = left[of], n[to], number[to]
         node = ~np.isnan(remainder)
         share = np.maximum(own - how.discount, 0) / np.maximum(self.seen, 1)
         self.chance = np.where(node, share + remainder * self.chance, self.chance)
@@ -238,7 +243,7 @@ class How:
 
 def _opened(row: dict, how: How, depth: int) -> Chunk:
     c = Chunk(row)
-    c.know(row["known0"] or [], how)
+    c.know(row, how)
     for d in range(1, depth):
         c.advance(row[f"known{d}"] or [], how)
     return c
@@ -266,25 +271,46 @@ def _split(at: np.ndarray, buckets: int):
 _ASK = "bucket long, chunk long, keys binary, n binary, total binary, chance binary"
 
 
+def _words_by_bucket(row: dict, buckets: int) -> tuple[list[bytes], list[np.ndarray]]:
+    """The chunk's words by code, and the codes of each bucket. The end is the word without a byte."""
+    words = zstandard.decompress(row["words"])
+    words = [*(words.split(b" ") if words else []), b""]
+    at = (np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)) % np.uint64(buckets)).astype(np.int64)
+    order = by_bucket(at, buckets)
+    return words, np.split(order, np.searchsorted(at[order], np.arange(1, buckets)))
+
+
 def _word_asks(buckets: int):
     def f(row):
         c = Chunk(row)
-        n = np.bincount(c.codes[c.train], minlength=len(c.words))
-        parts = [(b, p) for b, p in enumerate(c.word_buckets(buckets)) if len(p)]
+        words, parts = _words_by_bucket(row, buckets)
+        n = np.bincount(c.codes[c.train], minlength=len(words))
+        parts = [(b, p) for b, p in enumerate(parts) if len(p)]
         none = [None] * len(parts)
-        return ([b for b, _ in parts], [c.id] * len(parts), [zstandard.compress(b" ".join([c.words[i] for i in p.tolist()])) for _, p in parts],
+        return ([b for b, _ in parts], [c.id] * len(parts), [zstandard.compress(b" ".join([words[i] for i in p.tolist()])) for _, p in parts],
                 [packed(n[p]) for _, p in parts], pa.array(none, pa.binary()), pa.array(none, pa.binary()))
     return f
 
 
+def _by_code(buckets: int):
+    """The answers about a chunk's words in the order of their codes."""
+    def f(row):
+        words, parts = _words_by_bucket(row, buckets)
+        count, number = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        for x in row["known0"] or []:
+            count[parts[x["bucket"]]], number[parts[x["bucket"]]] = unpacked(x["n"]), unpacked(x["number"])
+        return [row["chunk"]], [packed(count)], [packed(number)]
+    return f
+
+
 def _counts(how: How, depth: int):
     """A chunk's pairs of its training documents: key, count, the context's count, the suffix's chance of the word."""
     def f(row):
         c = _opened(row, how, depth)
         at = np.flatnonzero(c.asked(how)[1] & c.train)
-        keys, first, n = np.unique(c.keys(at, how.bits), return_index=True, return_counts=True)
+        keys, first, _, n = distinct(c.keys(at, how.bits))
         to = bucket_of(keys, how.bits, how.buckets)
-        order = np.argsort(to, kind="stable")
+        order = by_bucket(to, how.buckets)
         keys, n, at, to = keys[order], n[order], at[first][order], to[order]
         total, chance, runs = c.seen[at], c.chance[at].astype(np.float32), _split(to, how.buckets)
         return ([b for b, _ in runs], [c.id] * len(runs), [packed_keys(keys[s]) for _, s in runs], [packed(n[s]) for _, s in runs],
@@ -295,7 +321,7 @@ def _counts(how: How, depth: int):
 def _asks(how: How, depth: int):
     def f(row):
         c = _opened(row, how, depth)
-        keys, at = c.asks(how)
+        keys, at = c.asks(how)[:2]
         runs = _split(at, how.buckets)
         return [b for b, _ in runs], [c.id] * len(runs), [packed_keys(keys[s]) for _, s in runs]
     return f
@@ -327,7 +353,7 @@ def _added_words(rows: pd.DataFrame) -> tuple[list[bytes], np.ndarray]:
 
 def _added_pairs(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
     chance = [np.frombuffer(zstandard.decompress(x), np.uint8).reshape(4, -1).T.copy().view(np.float32).ravel() for x in rows["chance"]]
-    keys, first, to = np.unique(np.concatenate([unpacked_keys(x) for x in rows["keys"]]), return_index=True, return_inverse=True)
+    keys, first, to, _ = distinct(np.concatenate([unpacked_keys(x) for x in rows["keys"]]))
     n = np.bincount(to, weights=np.concatenate([unpacked(x) for x in rows["n"]]), minlength=len(keys)).astype(np.int64)
     return keys, n, np.concatenate([unpacked(x) for x in rows["total"]])[first], np.concatenate(chance)[first]
 
@@ -486,8 +512,10 @@ def score(docs: DataFrame, fold: int = 5, held: int = 1, depth: int = DEPTH, min
         _word_model(word_buckets, min(cut, min_count)), _MODEL + ", tokens long, types long, top long"), "words")
     n, v, top = model.agg(*[F.coalesce(f(c), F.lit(0)) for f, c in ((F.sum, "tokens"), (F.sum, "types"), (F.max, "top"))]).first()
     how = replace(how, n=n, v=v, bits=max(top.bit_length(), 1))
-    state = chunks.join(_answered(words.select("bucket", "chunk", "keys"), model.drop("tokens", "types", "top"), salts, _word_answers, "known0"),
-                        "chunk", "left")
+    known = _answered(words.select("bucket", "chunk", "keys"), model.drop("tokens", "types", "top"), salts, _word_answers, "known0")
+    columns = "chunk long, counts binary, numbers binary"
+    state = chunks.drop("words").join(_by_chunk(chunks.select("chunk", "words").join(known, "chunk").mapInArrow(
+        _rows(_by_code(word_buckets), columns), columns), "by-code"), "chunk")
     # ---- the tree, one depth after the other
     for d in range(1, depth + 1):
         if top.bit_length() + how.bits > 63:
