@@ -31,7 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plume.llm.common import scratch, stored, text_slices
+from plume.llm.common import scratch, text_slices
+from plume.session import remove
 
 BUCKET_KEYS = 1 << 20     # keys of all chunks that a bucket gets
 SALT_CHUNKS = 1 << 18     # chunks whose keys meet in one group
@@ -115,14 +116,21 @@ _CHUNK = "chunk long, n_words long, n_tokens long, ids binary, named binary, tra
 _COLUMNS = [c.split()[0] for c in _CHUNK.split(", ")]
 
 
-def _by_chunk(df: DataFrame, tag: str) -> DataFrame:
+def _by_chunk(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
     """As ``stored``, bucketed by chunk: tables of the same session join without an exchange."""
     spark, name = df.sparkSession, f"plume_llm_{uuid.uuid4().hex}"
     (df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk")
-     .option("path", scratch(spark, tag)).saveAsTable(name, format="parquet"))
+     .option("path", path or scratch(spark, tag)).saveAsTable(name, format="parquet"))
     return spark.table(name)
 
 
+def _for_now(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """As ``stored``, with the folder, for a table that nothing reads after the next one is written."""
+    path = scratch(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
     """Documents as runs of word numbers, each ended by the number after the last word's. Map only."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -444,12 +452,12 @@ def _nodes(pairs: DataFrame, how: How) -> DataFrame:
 _ANSWER = "chunk long, bucket long, n binary, number binary, left binary"
 
 
-def _answered(asks: DataFrame, model: DataFrame, salts: int, answer, tag: str) -> DataFrame:
+def _answered(asks: DataFrame, model: DataFrame, salts: int, answer, tag: str, path: str | None = None) -> DataFrame:
     """Every chunk's answers, stored by chunk. A bucket's model goes to each group of chunks that asks it."""
     asks = asks.withColumn("salt", F.pmod(F.xxhash64("chunk"), F.lit(salts)))
     model = model.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumn("salt", F.col("salt").cast("long"))
     rows = asks.groupBy("bucket", "salt").cogroup(model.groupBy("bucket", "salt")).applyInPandas(answer, _ANSWER)
-    return _by_chunk(rows.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "n", "number", "left")).alias(tag)), tag)
+    return _by_chunk(rows.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "n", "number", "left")).alias(tag)), tag, path)
 
 
 def _word_answers(asks: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
@@ -500,6 +508,7 @@ def score(docs: DataFrame, fold: int = 5, held: int = 1, depth: int = DEPTH, min
     A bucket gets about ``bucket_keys`` keys; more chunks than ``SALT_CHUNKS`` are added up in groups first.
     """
     out = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % fold == held, F.lit(False))
+    spark = docs.sparkSession
     chunks = _chunks(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                                  out.alias("held_out")), chunk_bytes)
     n_chunks, n_words, n_tokens = chunks.agg(F.count("*"), *[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_words", "n_tokens")]).first()
@@ -508,24 +517,28 @@ def score(docs: DataFrame, fold: int = 5, held: int = 1, depth: int = DEPTH, min
     how = How(min_count, cut, discount, cost, word_buckets=word_buckets, buckets=buckets)
     # ---- words
     words = chunks.select("chunk", "sizes", "train", "codes", "words").mapInArrow(_rows(_word_asks(word_buckets), _ASK), _ASK)
-    model = stored(_gathered(words, _merged_words, salts).groupBy("bucket").applyInPandas(
+    model, words_at = _for_now(_gathered(words, _merged_words, salts).groupBy("bucket").applyInPandas(
         _word_model(word_buckets, min(cut, min_count)), _MODEL + ", tokens long, types long, top long"), "words")
     n, v, top = model.agg(*[F.coalesce(f(c), F.lit(0)) for f, c in ((F.sum, "tokens"), (F.sum, "types"), (F.max, "top"))]).first()
     how = replace(how, n=n, v=v, bits=max(top.bit_length(), 1))
-    known = _answered(words.select("bucket", "chunk", "keys"), model.drop("tokens", "types", "top"), salts, _word_answers, "known0")
+    answers_at = scratch(spark, "known0")
+    known = _answered(words.select("bucket", "chunk", "keys"), model.drop("tokens", "types", "top"), salts, _word_answers, "known0", answers_at)
     columns = "chunk long, counts binary, numbers binary"
     state = chunks.drop("words").join(_by_chunk(chunks.select("chunk", "words").join(known, "chunk").mapInArrow(
         _rows(_by_code(word_buckets), columns), columns), "by-code"), "chunk")
+    remove(spark, words_at)
+    remove(spark, answers_at)
     # ---- the tree, one depth after the other
     for d in range(1, depth + 1):
         if top.bit_length() + how.bits > 63:
             raise OverflowError(f"{top} contexts and words of {how.bits} bits do not fit a key")
-        pairs = stored(_gathered(state.mapInArrow(_rows(_counts(how, d), _ASK), _ASK), _merged_pairs, salts)
+        pairs, pairs_at = _for_now(_gathered(state.mapInArrow(_rows(_counts(how, d), _ASK), _ASK), _merged_pairs, salts)
                        .groupBy("bucket").applyInPandas(_pair_model(how), _MODEL + _SUMS), "pairs")
         columns = "bucket long, chunk long, keys binary"
         asks = state.mapInArrow(_rows(_asks(how, d), columns), columns)
         top = pairs.agg(F.coalesce(F.max("top"), F.lit(0))).first()[0]
         answers = _answered(asks, pairs.drop("contexts", "homes", "sums", "top").unionByName(_nodes(pairs, how)), salts, _pair_answers, f"known{d}")
+        remove(spark, pairs_at)
         state = state.join(answers, "chunk", "left")
     columns = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     return (state.mapInArrow(_rows(_scores(how, depth + 1), columns), columns)
