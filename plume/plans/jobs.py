@@ -32,7 +32,7 @@ from plume.operators.fact import fact_unkeyed, with_reading_key
 from plume.operators.materialize import materialize_models
 from plume.operators.staging import staging
 from plume.session import remove
-from plume.sources.csv import write_clean_csv
+from plume.sources.csv import publish_clean_csv
 from plume.sources.raw import raw_load
 from plume.sources.text import read_jsonl
 
@@ -47,7 +47,7 @@ def run_batch(spark: SparkSession, input_path: str, output: str, engines: DataFr
     raw_path = f"{output}/raw"
     raw_load(ingest.clean_lines(lines), as_of).write.mode("overwrite").parquet(raw_path)
     raw = spark.read.parquet(raw_path)
-    write_clean_csv(raw, f"{output}/clean_csv")
+    publish_clean_csv(raw, f"{output}/clean_csv")
     # counted in an aggregate of its own: counters that ride along a write may count a rerun task twice
     summary = ingest.summary_from_lines(lines).first().asDict()
     if summary["unique_records"] != raw.count():

@@ -7,11 +7,14 @@ or ``\\r`` and read back as it was; quotes, commas and all other characters foll
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plume import rules
 from plume.schemas import CLEAN_SCHEMA
+from plume.session import remove
 
 
 def _encoded(c: str) -> Column:
@@ -56,3 +59,36 @@ def read_clean_csv(spark: SparkSession, path: str) -> DataFrame:
             .schema(CLEAN_SCHEMA)
             .csv(path))
     return text.select(*[_decoded(c) for c in rules.CSV_COLUMNS])
+
+
+def publish_clean_csv(clean: DataFrame, path: str) -> int:
+    """Replace the export at ``path`` as a whole; the number of records written.
+
+    The files are written beside it, counted as read back, and renamed into place; the former export
+    stays until then, so a write that fails or is killed leaves it as it was. Between the two renames
+    it is kept as ``<path>.former``, which the next publication puts back. Without any record nothing
+    is written and the former export stays. One writer at a time; the file system renames folders.
+    """
+    spark, path = clean.sparkSession, path.rstrip("/")
+    staged, former = f"{path}.staged-{uuid.uuid4().hex}", f"{path}.former"
+    at, old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, former, staged))
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def rename(a, b):
+        if not fs.rename(a, b):
+            raise OSError(f"cannot rename {a} to {b}")
+
+    if not fs.exists(at) and fs.exists(old):
+        rename(old, at)
+    remove(spark, former)
+    try:
+        write_clean_csv(clean, staged, mode="error")
+        n = read_clean_csv(spark, staged).count()
+        if n:
+            if fs.exists(at):
+                rename(at, old)
+            rename(new, at)
+            remove(spark, former)
+    finally:
+        remove(spark, staged)
+    return n

@@ -3,8 +3,11 @@
 import json
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from plume.operators import ingest
-from plume.sources.csv import read_clean_csv, write_clean_csv
+from plume.sources.csv import publish_clean_csv, read_clean_csv, write_clean_csv
 from plume.sources.text import read_jsonl
 
 ODD = ["a\nb", "a\r\nb", 'say "x"', "x,y", "\\", "\\n", "\\\\n\\", "\\\n", "tail\\", " lead", "tab\t", "é,\"\n\\r", "\\r\\n", "''"]
@@ -21,6 +24,28 @@ def test_round_trip_and_one_line_per_record(spark, tmp_dir):
     assert not any("\r" in t for t in texts)
 
 
+def test_publication_is_whole_or_not_at_all(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "out", "csv")
+    schema = "timestamp string, engine_id string, chamber_pressure string, fuel_flow string, temperature string"
+
+    def rows(*ids):
+        return spark.createDataFrame([("2025-01-01T00:00:00", i, "1", None, "3") for i in ids], schema)
+
+    def held():
+        assert os.listdir(os.path.dirname(path)) == ["csv"]
+        return sorted(r.engine_id for r in read_clean_csv(spark, path).collect())
+
+    assert publish_clean_csv(rows(), path) == 0 and not os.path.exists(path)        # no record: nothing is written
+    assert publish_clean_csv(rows("a", "b"), path) == 2 and held() == ["a", "b"]
+    assert publish_clean_csv(rows("c"), path) == 1 and held() == ["c"]
+    assert publish_clean_csv(rows(), path) == 0 and held() == ["c"]
+    with pytest.raises(Exception):
+        publish_clean_csv(rows("d").withColumn("engine_id", F.raise_error(F.lit("lost"))), path)
+    assert held() == ["c"]
+    os.rename(path, path + ".former")                                               # killed between its renames
+    assert publish_clean_csv(rows(), path) == 0 and held() == ["c"]
+
+
 def test_batch_job_with_odd_values(spark, tmp_dir):
     from plume.plans.jobs import run_batch
     src = os.path.join(tmp_dir, "in")
