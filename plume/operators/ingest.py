@@ -1,7 +1,9 @@
 """Ingest and cleaning of JSON Lines readings (parse, validate, correct, audit, dedup).
 
-Everything here is a lazy ``DataFrame -> DataFrame`` function built from Catalyst
-expressions; the only shuffle is the deduplication aggregate.
+Everything here but :func:`land_outputs` is a lazy ``DataFrame -> DataFrame`` function built from
+Catalyst expressions; the only shuffle is the deduplication aggregate. ``land_outputs`` parses the
+lines once and writes what they are (valid, dropped, broken, logged events) as partitions of one
+table, from which :class:`Outputs` answers the cleaner, the audit log and the statistics.
 
 Input shapes
 ------------
@@ -17,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plume import rules
+from plume.schemas import ingest_schema
 from plume.functions.columns import iso_timestamp_text, measure_text_value
 
 _BLANKS = " \t\r\n\f\u000b"
@@ -198,14 +201,10 @@ def _event(cond: Column, step: int, rule: str, field: str | None, old: Column |
         (new if new is not None else F.lit(None)).cast("string").alias("new_value")))
 
 
-def audit_records(records: DataFrame) -> DataFrame:
-    """C11 for records: one row per logged event, in the cleaner's order.
-
-    Columns: ``_ord, step, rule, field, old_value, new_value`` and, where the input carries its
-    line (``_line``), ``record``: the offending text. Events after the rule that drops a record
-    are not logged (the cleaner returns at the drop).
-    """
-    line = ["_line"] if "_line" in records.columns else []
+def _with_events(records: DataFrame) -> DataFrame:
+    """``validate`` and ``_events``: an array of the events that the cleaner logs for each record, in its order,
+    with NULL in the place of those that did not occur (filtered inside the generators that read it,
+    where Catalyst cannot copy the parse into it)."""
     df = validate(with_raw_measures(records))
     s = F.col("_status")
     vp, vf, vt = F.col("_v_chamber_pressure"), F.col("_v_fuel_flow"), F.col("_v_temperature")
@@ -236,8 +235,18 @@ def audit_records(records: DataFrame) -> DataFrame:
         with_raw = with_raw.withColumn(
             "_events", F.when(F.col("_kind") == RECORD, F.col("_events"))
             .when(F.col("_kind") == PARSE_ERROR, parse_error))
-    out = (with_raw.select("_ord", *line, F.explode(F.filter("_events", lambda x: x.isNotNull())).alias("e"))
-           .select("_ord", "e.*", *line))
+    return with_raw
+
+
+def audit_records(records: DataFrame) -> DataFrame:
+    """C11 for records: one row per logged event, in the cleaner's order.
+
+    Columns: ``_ord, step, rule, field, old_value, new_value`` and, where the input carries its
+    line (``_line``), ``record``: the offending text. Events after the rule that drops a record
+    are not logged (the cleaner returns at the drop).
+    """
+    line = ["_line"] if "_line" in records.columns else []
+    out = _with_events(records).select("_ord", *line, F.explode(F.filter("_events", lambda x: x.isNotNull())).alias("e")).select("_ord", "e.*", *line)
     return out.withColumnRenamed("_line", "record")
 
 
@@ -250,17 +259,19 @@ def audit(lines: DataFrame) -> DataFrame:
     """C11: the full audit log of a lines input: parse errors, record events, duplicates.
 
     Parse errors and record events come from one pass over the lines; the
-    duplicates need the dedup grouping (a second pass).
+    duplicates need the dedup grouping (a second pass). ``Outputs.audit`` gives the
+    same rows without parsing again.
     """
     records = records_from_lines(classify_lines(lines), keep_line=True)
-    events = audit_records(records)
-    dups = duplicate_rows(validate(records))
-    dup_events = dups.select("_ord", F.lit(10).alias("step"), F.lit(DUPLICATE_REMOVED).alias("rule"),
-                             F.lit(None).cast("string").alias("field"),
-                             F.concat_ws(" - ", "timestamp", "engine_id").alias("old_value"),
-                             F.lit(None).cast("string").alias("new_value"),
-                             F.lit(None).cast("string").alias("record"))
-    return events.unionByName(dup_events)
+    return audit_records(records).unionByName(_duplicate_events(duplicate_rows(validate(records))))
+
+
+def _duplicate_events(dups: DataFrame) -> DataFrame:
+    return dups.select("_ord", F.lit(10).alias("step"), F.lit(DUPLICATE_REMOVED).alias("rule"),
+                       F.lit(None).cast("string").alias("field"),
+                       F.concat_ws(" - ", "timestamp", "engine_id").alias("old_value"),
+                       F.lit(None).cast("string").alias("new_value"),
+                       F.lit(None).cast("string").alias("record"))
 
 
 def duplicate_rows(validated: DataFrame) -> DataFrame:
@@ -271,7 +282,10 @@ def duplicate_rows(validated: DataFrame) -> DataFrame:
     equal; the others are then told apart by their place in the input. That place is unique,
     so a key with a third of all lines does not meet in one task.
     """
-    valid = emit_rows(validated, F.col("_status").isNull(), "timestamp", "engine_id", "_ord")
+    return _later_copies(emit_rows(validated, F.col("_status").isNull(), "timestamp", "engine_id", "_ord"))
+
+
+def _later_copies(valid: DataFrame) -> DataFrame:
     firsts = valid.groupBy("timestamp", "engine_id").agg(F.min("_ord").alias("_ord")).select("_ord")
     return valid.join(firsts, "_ord", "left_anti").select("timestamp", "engine_id", "_ord")
 
@@ -338,6 +352,89 @@ def drop_reasons(lines: DataFrame) -> DataFrame:
                      "_ord", F.col("_status").alias("reason"))
 
 
+# ------------------------------------------------------------------ one parse, all outputs
+
+# Partitions of the table that ``land_outputs`` writes
+VALID, DROPPED, BROKEN, EVENT = "valid", "dropped", "broken", "event"
+
+
+def classified_rows(lines: DataFrame) -> DataFrame:
+    """Every row that a lines input gives, from one parse (``schemas.ingest_schema``), told apart by ``output``:
+
+    * ``valid``: a valid record, corrected, with ``corrected``; duplicates still in;
+    * ``dropped``: a rejected record with its rule and its line;
+    * ``broken``: the logged event of a line that does not parse;
+    * ``event``: any other event the cleaner logs for a record (C11), but the removed duplicates.
+
+    Blank and comment lines give none. A record gives one ``valid`` or ``dropped`` row and a row per event.
+    """
+    df = _with_events(records_from_lines(classify_lines(lines), keep_line=True))
+    types = {f.name: f.dataType for f in ingest_schema(lines.schema["_ord"].dataType).fields}
+
+    def row(**cols) -> Column:
+        return F.struct(*[cols.get(n, F.lit(None)).cast(t).alias(n) for n, t in types.items()])
+
+    record, valid = F.col("_kind") == RECORD, F.col("_status").isNull()
+    kept = F.array(F.when(record & valid, row(output=F.lit(VALID), _ord=F.col("_ord"), corrected=F.col("_corrected"),
+                                              **{c: F.col(c) for c in rules.CSV_COLUMNS}))
+                   .when(record, row(output=F.lit(DROPPED), _ord=F.col("_ord"), rule=F.col("_status"), record=F.col("_line"))))
+    logged = F.transform(F.filter("_events", lambda x: x.isNotNull()), lambda e: row(
+        output=F.when(e["rule"] == PARSE_ERROR, BROKEN).otherwise(EVENT), _ord=F.col("_ord"), record=F.col("_line"),
+        **{c: e[c] for c in ("step", "rule", "field", "old_value", "new_value")}))
+    return df.select(F.inline(F.concat(F.filter(kept, lambda x: x.isNotNull()), logged)))
+
+
+def land_outputs(lines: DataFrame, path: str) -> "Outputs":
+    """Parse ``lines`` once and write ``classified_rows`` to ``path``, a folder per ``output``."""
+    classified_rows(lines).write.mode("overwrite").partitionBy("output").parquet(path)
+    return Outputs(lines.sparkSession, path, lines.schema["_ord"].dataType)
+
+
+class Outputs:
+    """The cleaner, the audit log and the statistics of lines that were parsed once.
+
+    Each method reads the partitions and columns that it needs of the table at ``path`` (in the
+    shared folder, so a lost executor costs a read and not a parse) and gives the rows of the
+    function of the same name over lines. ``ord_type`` is the type of the lines' ``_ord``.
+    """
+
+    def __init__(self, spark, path: str, ord_type):
+        self.rows = spark.read.schema(ingest_schema(ord_type)).parquet(path)
+
+    def _of(self, *outputs: str) -> DataFrame:
+        return self.rows.where(F.col("output").isin(*outputs))
+
+    def deduplicated(self) -> DataFrame:
+        """The first valid record per key, with ``_ord`` and ``_copies``."""
+        return dedup_first(self._of(VALID).select("_ord", *rules.CSV_COLUMNS))
+
+    def clean(self) -> DataFrame:
+        """The cleaned, deduplicated CSV-shaped rows (``clean_lines``)."""
+        return clean_output(self.deduplicated())
+
+    def drop_reasons(self) -> DataFrame:
+        return self._of(DROPPED).select("_ord", F.col("rule").alias("reason"))
+
+    def dropped(self) -> DataFrame:
+        """The rejected lines with the rule that rejected each."""
+        return self._of(DROPPED).select("_ord", F.col("rule").alias("reason"), "record")
+
+    def parse_errors(self) -> DataFrame:
+        return self._of(BROKEN).select("_ord", F.col("rule").alias("kind"))
+
+    def audit(self) -> DataFrame:
+        """C11: parse errors, record events and removed duplicates."""
+        events = self._of(EVENT, BROKEN).select("_ord", "step", "rule", "field", "old_value", "new_value", "record")
+        return events.unionByName(_duplicate_events(_later_copies(self._of(VALID).select("timestamp", "engine_id", "_ord"))))
+
+    def summary(self) -> DataFrame:
+        """One row of run statistics (``summary_from_lines``)."""
+        valid = F.col("output") == VALID
+        return _summary(self._of(VALID, DROPPED, BROKEN).select(
+            "timestamp", "engine_id", F.when(F.col("output") == BROKEN, PARSE_ERROR).otherwise(RECORD).alias("_kind"),
+            F.when(~valid, F.col("output")).alias("_status"), F.coalesce("corrected", F.lit(False)).alias("_corrected")))
+
+
 def observed_clean(lines: DataFrame):
     """C13 without an extra pass: the cleaned rows plus two ``Observation``s.
 

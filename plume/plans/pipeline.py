@@ -83,6 +83,11 @@ class Pipeline:
 
         return self._landed("lines", land)
 
+    @cached_property
+    def outputs(self) -> ingest.Outputs:
+        """The lines, parsed once per application and table folder for every query over them."""
+        return self._landed("outputs", lambda path: ingest.land_outputs(self.lines, path))
+
     def _landed(self, what: str, land) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, self.workdir, what)
         if key not in _LANDED:

@@ -52,6 +52,10 @@ def _lines(spark, sf_dir) -> DataFrame:
     return _p(spark, sf_dir).lines
 
 
+def _outputs(spark, sf_dir) -> ingest.Outputs:
+    return _p(spark, sf_dir).outputs
+
+
 def _measures_double(df: DataFrame) -> DataFrame:
     for c in rules.MEASURE_FIELDS:
         df = df.withColumn(c, F.trim(c).cast("double"))
@@ -67,12 +71,11 @@ def q_ingest_scan(spark, sf_dir):
 
 
 def q_ingest_parse_errors(spark, sf_dir):
-    c = ingest.classify_lines(_lines(spark, sf_dir))
-    return ingest.emit_rows(c, F.col("kind") == ingest.PARSE_ERROR, F.col("_ord").alias("ord"), "kind")
+    return _outputs(spark, sf_dir).parse_errors().select(F.col("_ord").alias("ord"), "kind")
 
 
 def _reasons(spark, sf_dir, cond):
-    r = ingest.drop_reasons(_lines(spark, sf_dir))
+    r = _outputs(spark, sf_dir).drop_reasons()
     return r.where(cond(F.col("reason"))).select(F.col("_ord").alias("ord"), "reason")
 
 
@@ -89,22 +92,21 @@ def q_ingest_bad_numeric(spark, sf_dir):
 
 
 def q_clean_readings(spark, sf_dir):
-    return _measures_double(ingest.clean_lines(_lines(spark, sf_dir)))
+    return _measures_double(_outputs(spark, sf_dir).clean())
 
 
 def q_clean_csv_roundtrip(spark, sf_dir):
     path = f"{shared_dir(spark)}/plume-clean-csv-{uuid.uuid4().hex}"
-    write_clean_csv(ingest.clean_lines(_lines(spark, sf_dir)), path)
+    write_clean_csv(_outputs(spark, sf_dir).clean(), path)
     return _measures_double(read_clean_csv(spark, path))
 
 
 def q_raw_load(spark, sf_dir):
-    return _measures_double(raw_load(ingest.clean_lines(_lines(spark, sf_dir)), AS_OF))
+    return _measures_double(raw_load(_outputs(spark, sf_dir).clean(), AS_OF))
 
 
 def q_dedup_first(spark, sf_dir):
-    recs = ingest.records_from_lines(ingest.classify_lines(_lines(spark, sf_dir)))
-    d = ingest.dedup_first(ingest.validate(recs))
+    d = _outputs(spark, sf_dir).deduplicated()
     return d.where(F.col("_copies") > 1).select(
         "timestamp", "engine_id", F.col("_ord").alias("kept_ord"),
         F.col("_copies").cast("bigint").alias("copies"),
@@ -112,12 +114,12 @@ def q_dedup_first(spark, sf_dir):
 
 
 def q_clean_audit(spark, sf_dir):
-    return ingest.audit(_lines(spark, sf_dir)).select(
+    return _outputs(spark, sf_dir).audit().select(
         F.col("_ord").alias("ord"), "step", "rule", "field")
 
 
 def q_ingest_summary(spark, sf_dir):
-    return ingest.summary_from_lines(_lines(spark, sf_dir))
+    return _outputs(spark, sf_dir).summary()
 
 
 # ------------------------------------------------------------------ staging

@@ -15,6 +15,16 @@ CLEAN_SCHEMA = T.StructType([
     T.StructField("temperature", T.StringType()),
 ])
 
+def ingest_schema(ord_type: T.DataType) -> T.StructType:
+    """What one parse of the lines gives (``operators.ingest.classified_rows``)."""
+    text = ("step", "rule", "field", "old_value", "new_value", "record")
+    return T.StructType([
+        T.StructField("_ord", ord_type), *CLEAN_SCHEMA.fields, T.StructField("corrected", T.BooleanType()),
+        *[T.StructField(c, T.IntegerType() if c == "step" else T.StringType()) for c in text],
+        T.StructField("output", T.StringType()),
+    ])
+
+
 # Raw warehouse table: the 5 text columns plus load metadata.
 RAW_SCHEMA = T.StructType([
     T.StructField("_airbyte_raw_id", T.StringType(), False),

@@ -266,3 +266,44 @@ def test_diagnostics_parse_each_line_once(spark):
     assert parses(ingest.drop_reasons(df).where(F.col("reason") == "bad_timestamp")) == 1
     assert parses(ingest.audit(df)) <= 3
     assert sorted(r["reason"] for r in ingest.drop_reasons(df).collect()) == ["bad_numeric_fuel_flow"]
+
+
+def test_one_parse_gives_what_separate_parses_give(spark, tmp_dir):
+    """Cleaner, audit log, statistics and rejects from one landed parse; every rule, NULL keys and repeats included."""
+    lines = ["", "# c", "{bad", "5", "[1]", "{} {}", obj(0), obj(0), obj(0, temperature=9), obj(1, engine_id=None), obj(1, engine_id=None),
+             obj(2, timestamp="x"), obj(3, engine_id=...), obj(4, chamber_pressure="x"), obj(5, chamber_pressure=-3, fuel_flow="x"),
+             obj(6, chamber_pressure=-3, fuel_flow=0, temperature=7000), obj(7, temperature="x", fuel_flow=0),
+             obj(8, temperature=-300), obj(9, chamber_pressure=None), obj(9, fuel_flow=...)]
+    df = lines_df(spark, lines)
+    out = ingest.land_outputs(df, os.path.join(tmp_dir, "o"))
+
+    def rows(d):
+        return sorted(map(repr, map(tuple, d.select(*sorted(d.columns)).collect())))
+
+    assert rows(out.clean()) == rows(ingest.clean_lines(df))
+    assert rows(out.audit()) == rows(ingest.audit(df))
+    assert rows(out.summary()) == rows(ingest.summary_from_lines(df))
+    assert rows(out.drop_reasons()) == rows(ingest.drop_reasons(df))
+    assert {r["record"] for r in out.dropped().collect()} <= set(lines)
+    assert [r["_ord"] for r in out.parse_errors().orderBy("_ord").collect()] == [2, 5]
+
+    def parses(d):
+        return d._jdf.queryExecution().optimizedPlan().toString().count("from_json")
+
+    assert parses(ingest.classified_rows(df)) == 1
+    assert [parses(d) for d in (out.clean(), out.audit(), out.summary(), out.drop_reasons())] == [0] * 4
+
+
+def test_one_parse_of_nothing_and_of_files(spark, tmp_dir):
+    empty = ingest.land_outputs(lines_df(spark, [""]).limit(0), os.path.join(tmp_dir, "e"))
+    assert empty.clean().count() == empty.audit().count() == 0
+    assert empty.summary().first()["total_records"] == 0
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    for name in "ab":
+        with open(os.path.join(src, f"{name}.jsonl"), "w") as f:
+            f.write("\n".join([obj(0, temperature=1 + ord(name)), "{bad", obj(1)]) + "\n")
+    lines = read_jsonl(spark, src)
+    out = ingest.land_outputs(lines, os.path.join(tmp_dir, "f"))
+    assert sorted(out.clean().collect()) == sorted(ingest.clean_lines(lines).collect())
+    assert out.audit().groupBy("rule").count().orderBy("rule").collect() == ingest.audit(lines).groupBy("rule").count().orderBy("rule").collect()
