@@ -6,6 +6,7 @@ Each one reads ``events`` and writes only under the shared folder
 
 from __future__ import annotations
 
+import datetime as _dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,7 +18,10 @@ from plume.operators.materialize import materialize_models
 from plume.plans.pipeline import Pipeline
 from plume.session import shared_dir
 from plume.sources import fixtures
+from plume.sources.generations import RawTable
+from plume.sources.raw import raw_load
 from plume.streaming import streams
+from plume.streaming.ledger import DUPLICATE, LATE, ON_TIME, ReadingLedger
 
 # event time spanned by the driver's events (30 days) fits inside this watermark
 STREAM_WATERMARK = "40 days"
@@ -92,6 +96,42 @@ def q_stream_hourly_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
         split_batches=True)
 
 
+def q_stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2, K3: what became of the stream's valid readings, late ones with their lateness."""
+    base = _work(spark, "ledger")
+    landing, n_first = _land(spark, sf_dir, base)
+    ledger = ReadingLedger(spark, f"{base}/ledger", "2 hours")
+    lines = (spark.readStream.format("text").option("recursiveFileLookup", "true")
+             .option("maxFilesPerTrigger", max(n_first, 1)).load(landing)
+             .select("value", F.lit(0).cast("long").alias("_ord")))
+    q = (streams.clean_stream(lines).writeStream.foreachBatch(ledger)
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    on_time, repeated, late = (ledger.rows(x).select("timestamp", "engine_id", F.lit(x).alias("outcome"), "copies", "lateness_us")
+                               for x in (ON_TIME, DUPLICATE, LATE))
+    removed = on_time.unionByName(repeated).where("copies > 0").withColumn("outcome", F.lit(DUPLICATE))
+    one = F.lit(1).cast("bigint")
+    return (on_time.withColumn("copies", one).unionByName(removed).unionByName(late.withColumn("copies", one))
+            .groupBy("timestamp", "engine_id", "outcome")
+            .agg(F.sum("copies").alias("readings"), F.max("lateness_us").alias("lateness_us")))
+
+
+def q_raw_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: the raw table after two full refreshes, a partial delivery and a stale one."""
+    p = Pipeline(spark, sf_dir)
+    table = RawTable(spark, _work(spark, "raw"))
+    clean = p.outputs.clean()
+
+    def delivery(generation: int, rows: DataFrame) -> DataFrame:
+        return raw_load(rows, p.as_of + _dt.timedelta(days=generation - 1), generation)
+
+    table.load(delivery(1, clean), full=True)
+    table.load(delivery(2, clean.where("NOT engine_id <=> 'TRE-004'")), full=True)
+    table.load(delivery(3, clean.where("engine_id = 'TRE-002'").withColumn("temperature", F.lit("3500"))))
+    table.load(delivery(1, clean.where("engine_id IN ('TRE-003', 'TRE-004')").withColumn("temperature", F.lit("1"))))
+    return _measures_double(table.rows())
+
+
 def _refreshed(spark: SparkSession, sf_dir: str) -> streams.MartRefresher:
     base = _work(spark, "marts")
     landing, n_first = _land(spark, sf_dir, base)
@@ -162,6 +202,8 @@ def queries() -> dict:
     return {
         "stream_clean": q_stream_clean,
         "stream_dedup": q_stream_dedup,
+        "stream_ledger": q_stream_ledger,
+        "raw_generations": q_raw_generations,
         "stream_hourly_anomalies": q_stream_hourly_anomalies,
         "stream_marts": q_stream_marts,
         "stream_engine_mart": q_stream_engine_mart,

@@ -516,6 +516,25 @@ def oracles() -> dict[str, str]:
     o["clean_readings"] = with_lines(clean_sel)
     # streaming K2 keeps the same rows as the batch cleaner (duplicates arrive in a later micro-batch)
     o["stream_dedup"] = with_lines(clean_sel)
+    # late: at or before the watermark that the originals leave (whole milliseconds, less 2 hours)
+    o["stream_ledger"] = with_lines("""
+      , v AS (SELECT * FROM lv WHERE kind = 'record' AND status IS NULL),
+      wm AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 2 HOUR AS w FROM v WHERE part = 0),
+      a AS (SELECT ts_text, eng_out, ts, part > 0 AND ts <= w AS late, w, ord FROM v, wm),
+      n AS (SELECT *, CASE WHEN NOT late THEN row_number() OVER (PARTITION BY ts_text, eng_out, late ORDER BY ord) END AS copy FROM a)
+      SELECT ts_text AS timestamp, eng_out AS engine_id,
+        CASE WHEN late THEN 'late' WHEN copy = 1 THEN 'on_time' ELSE 'duplicate' END AS outcome,
+        CAST(count(*) AS BIGINT) AS readings,
+        CAST(max(CASE WHEN late THEN epoch_us(w) - epoch_us(ts) END) AS BIGINT) AS lateness_us
+      FROM n GROUP BY 1, 2, 3""")
+    o["raw_generations"] = with_lines(f"""SELECT sha256(concat_ws('#', ts_text, eng_out)) AS _airbyte_raw_id,
+      {AS_OF_SQL} + CASE WHEN eng_out = 'TRE-002' THEN INTERVAL 2 DAY ELSE INTERVAL 1 DAY END AS _airbyte_extracted_at,
+      CAST(CASE WHEN eng_out = 'TRE-002' THEN 3 ELSE 2 END AS BIGINT) AS _airbyte_generation_id,
+      eng_out AS engine_id, ts_text AS timestamp,
+      CAST(abs(p) AS DOUBLE) AS chamber_pressure,
+      CASE WHEN f = 0 THEN 0.1 ELSE CAST(f AS DOUBLE) END AS fuel_flow,
+      CASE WHEN eng_out = 'TRE-002' THEN 3500 ELSE CAST(t AS DOUBLE) END AS temperature
+    FROM lv WHERE kind = 'record' AND status IS NULL AND NOT dup AND eng_out IS DISTINCT FROM 'TRE-004'""")
     # streaming K1: every valid record, duplicates included
     o["stream_clean"] = with_lines(clean_sel.replace("AND NOT dup", ""))
     # streaming K4: the daily mart maintained by foreachBatch equals the batch mart of the clean lines

@@ -30,6 +30,7 @@ from plume.functions.columns import (day_of_week_sun0, engine_health, exact_avg,
 from plume.operators import ingest, marts, quality, serving
 from plume.operators.fact import fact_unkeyed, with_reading_key
 from plume.operators.staging import staging
+from plume.operators.versions import Committed
 from plume.session import remove
 from plume.sources.raw import raw_load
 
@@ -146,14 +147,14 @@ def start_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "appen
 
 # ---------------------------------------------------------------------------- K4
 
-class MartRefresher:
+class MartRefresher(Committed):
     """``foreachBatch`` sink keeping the fact table and both marts current.
 
     Under ``base``: ``fact/`` (parquet, partitioned by ``reading_date``; files are only ever
     added), ``versions/<batch>-<attempt>/`` with the partials, both marts and the list of
     committed attempts, and ``commits/<batch>``, a file that names the attempt. A version is
     complete before its commit file appears (by rename); readers and the next batch take the
-    newest commit. So an attempt that dies anywhere leaves the last version in place, its fact
+    newest commit (``read``: ``engine_summary``, ``daily_trends``, ``partials``). So an attempt that dies anywhere leaves the last version in place, its fact
     rows belong to no committed attempt and are not read, and the retry starts from the same
     state. Older versions are removed. A batch costs work in proportion to itself and to the
     partials (one row per engine and date), not to the history.
@@ -167,13 +168,10 @@ class MartRefresher:
     version. A raw id's copies share their reading's date, so only the batch's own dates are read.
     """
 
-    KEEP = 2                        # committed versions that stay
-
     def __init__(self, spark: SparkSession, base: str, engines: DataFrame, metrics: DataFrame, as_of=None,
                  gate: bool = False):
-        self.spark = spark
+        super().__init__(spark, base)
         self.gate = gate
-        self.base = base.rstrip("/")
         self.engines = engines
         self.metrics = metrics
         self.as_of = as_of          # processing time; None = the time each batch runs
@@ -182,30 +180,6 @@ class MartRefresher:
     def fact_path(self):
         return f"{self.base}/fact"
 
-    def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
-    def _listed(self, folder: str) -> list[str]:
-        fs, p = self._fs(f"{self.base}/{folder}")
-        return [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
-
-    def committed(self) -> tuple[int, str] | None:
-        """Newest committed batch and its version folder."""
-        batches = [int(n) for n in self._listed("commits") if n.isdigit()]
-        if not batches:
-            return None
-        newest = max(batches)
-        attempt = self.spark.read.text(f"{self.base}/commits/{newest}").first()[0]
-        return newest, f"{self.base}/versions/{newest}-{attempt}"
-
-    def read(self, name: str) -> DataFrame:
-        """``engine_summary``, ``daily_trends`` or ``partials`` of the newest committed version."""
-        state = self.committed()
-        if state is None:
-            raise LookupError("no batch has been committed yet")
-        return self.spark.read.parquet(f"{state[1]}/{name}")
-
     def fact(self) -> DataFrame:
         """Fact rows of committed attempts (one small row per batch says which)."""
         return self._committed_rows().drop("_batch", "_attempt")
@@ -269,29 +243,6 @@ class MartRefresher:
          .withColumn("_batch", F.lit(batch_id).cast("long")).withColumn("_attempt", F.lit(attempt))
          .write.mode("append").partitionBy("reading_date").parquet(self.fact_path))
 
-    def _commit(self, batch_id: int, attempt: str) -> None:
-        fs, tmp = self._fs(f"{self.base}/commits/_{batch_id}-{attempt}")
-        out = fs.create(tmp, True)
-        out.write(bytearray(attempt.encode()))
-        out.close()
-        _, final = self._fs(f"{self.base}/commits/{batch_id}")
-        if not fs.rename(tmp, final):
-            raise RuntimeError(f"batch {batch_id} could not be committed")
-
-    def _prune(self) -> None:
-        """Remove versions and commit files that no reader can take any more."""
-        batches = sorted(int(n) for n in self._listed("commits") if n.isdigit())
-        keep = set(batches[-self.KEEP:])
-        for n in self._listed("versions"):
-            if int(n.split("-")[0]) not in keep:
-                fs, p = self._fs(f"{self.base}/versions/{n}")
-                fs.delete(p, True)
-        for b in batches:
-            if b not in keep:
-                fs, p = self._fs(f"{self.base}/commits/{b}")
-                fs.delete(p, False)
-        remove(self.spark, f"{self.base}/work")          # tables that only an attempt reads
-
 
 def merge_partials(p: DataFrame) -> DataFrame:
     """One row per (engine, date) from several partials of it: sums add up, extremes and times
