@@ -312,13 +312,16 @@ def _dq_kind(kind):
 
 def _dirty_models(p: Pipeline) -> dict:
     """What the tests see where nothing was cleaned: every line's record as a raw table, duplicates
-    and rejected records included, and the staging of all valid records before deduplication."""
+    and rejected records included, and the staging of all valid records before deduplication. The
+    lines are parsed once, the records staged once, and both written; every test reads them from there."""
     from plume.operators.staging import staging
-    records = ingest.records_from_lines(ingest.classify_lines(p.lines))
-    landed = ingest.emit_rows(records, F.col("_kind") == ingest.RECORD, *rules.CSV_COLUMNS)
-    valid = ingest.emit_rows(ingest.validate(records), F.col("_status").isNull(), *rules.CSV_COLUMNS)
-    stg = staging(raw_load(valid, p.as_of), p.as_of)
-    return {"raw": raw_load(landed, p.as_of), "staging": stg}
+    records = ingest.with_raw_measures(ingest.records_from_lines(ingest.classify_lines(p.lines)))
+    stored = written(ingest.emit_rows(ingest.validate(records), F.col("_kind") == ingest.RECORD, *rules.CSV_COLUMNS,
+                                      "_raw_p", "_raw_f", F.col("_status").isNull().alias("_valid")), "records", p.workdir)
+    landed = stored.select("timestamp", "engine_id", F.col("_raw_p").alias("chamber_pressure"),
+                           F.col("_raw_f").alias("fuel_flow"), "temperature")
+    stg = staging(raw_load(stored.where("_valid").select(*rules.CSV_COLUMNS), p.as_of), p.as_of)
+    return {"raw": raw_load(landed, p.as_of), "staging": written(stg, "staging", p.workdir)}
 
 
 def q_dq_dirty(spark, sf_dir):
