@@ -29,6 +29,7 @@ from plume.functions.columns import (day_of_week_sun0, engine_health, exact_avg,
                                      pct_half_up, to_double, wide_sum)
 from plume.operators import ingest, marts, quality, serving
 from plume.operators.fact import fact_unkeyed, with_reading_key
+from plume.operators.keys import written
 from plume.operators.staging import staging
 from plume.operators.versions import Committed
 from plume.session import remove
@@ -213,10 +214,12 @@ class MartRefresher(Committed):
             return                              # committed before the stream could say so
         now = self.as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         attempt = uuid.uuid4().hex
-        raw = raw_load(batch.select(*rules.CSV_COLUMNS), now)
         work = f"{self.base}/work/{batch_id}-{attempt}"
+        raw = raw_load(batch.select(*rules.CSV_COLUMNS), now)
         last = (self.spark.read.parquet(f"{state[1]}/attempts").agg(F.max("_last_key")).first()[0] if state else 0)
-        fact = with_reading_key(fact_unkeyed(staging(raw, now), self.engines, self.metrics), workdir=work)
+        # parsed, deduplicated and staged once: the range partitioning of the key reads its rows twice
+        unkeyed = written(fact_unkeyed(staging(raw, now), self.engines, self.metrics), "batch", work)
+        fact = with_reading_key(unkeyed, workdir=work)
         self._append(fact.withColumn("reading_key", F.col("reading_key") + F.lit(last)), batch_id, attempt)
         mine = (self.spark.read.parquet(self.fact_path)
                 .where((F.col("_batch") == batch_id) & (F.col("_attempt") == attempt)))
