@@ -204,7 +204,7 @@ def _event(cond: Column, step: int, rule: str, field: str | None, old: Column |
 def _with_events(records: DataFrame) -> DataFrame:
     """``validate`` and ``_events``: an array of the events that the cleaner logs for each record, in its order,
     with NULL in the place of those that did not occur (filtered inside the generators that read it,
-    where Catalyst cannot copy the parse into it)."""
+    where Catalyst cannot copy the parse into it). The array is NULL for a record that logs nothing, as most do."""
     df = validate(with_raw_measures(records))
     s = F.col("_status")
     vp, vf, vt = F.col("_v_chamber_pressure"), F.col("_v_fuel_flow"), F.col("_v_temperature")
@@ -228,6 +228,8 @@ def _with_events(records: DataFrame) -> DataFrame:
         _event(reached_t & (vt > rules.HIGH_TEMPERATURE_WARNING), 9, HIGH_TEMPERATURE,
                "temperature", F.col("temperature"), None),
     )
+    logs = s.isNotNull() | (vp < 0) | (vf == 0) | (vt > rules.HIGH_TEMPERATURE_WARNING)
+    events = F.when(logs, events)
     with_raw = df.withColumn("_events", events)
     if "_kind" in df.columns:
         parse_error = F.array(_event(F.lit(True), 0, PARSE_ERROR, None,
@@ -375,13 +377,14 @@ def classified_rows(lines: DataFrame) -> DataFrame:
         return F.struct(*[cols.get(n, F.lit(None)).cast(t).alias(n) for n, t in types.items()])
 
     record, valid = F.col("_kind") == RECORD, F.col("_status").isNull()
-    kept = F.array(F.when(record & valid, row(output=F.lit(VALID), _ord=F.col("_ord"), corrected=F.col("_corrected"),
-                                              **{c: F.col(c) for c in rules.CSV_COLUMNS}))
-                   .when(record, row(output=F.lit(DROPPED), _ord=F.col("_ord"), rule=F.col("_status"), record=F.col("_line"))))
+    kept = F.when(record, F.array(
+        F.when(valid, row(output=F.lit(VALID), _ord=F.col("_ord"), corrected=F.col("_corrected"),
+                          **{c: F.col(c) for c in rules.CSV_COLUMNS}))
+        .otherwise(row(output=F.lit(DROPPED), _ord=F.col("_ord"), rule=F.col("_status"), record=F.col("_line")))))
     logged = F.transform(F.filter("_events", lambda x: x.isNotNull()), lambda e: row(
         output=F.when(e["rule"] == PARSE_ERROR, BROKEN).otherwise(EVENT), _ord=F.col("_ord"), record=F.col("_line"),
         **{c: e[c] for c in ("step", "rule", "field", "old_value", "new_value")}))
-    return df.select(F.inline(F.concat(F.filter(kept, lambda x: x.isNotNull()), logged)))
+    return df.select(F.inline(F.when(F.col("_events").isNull(), kept).when(record, F.concat(kept, logged)).otherwise(logged)))
 
 
 def land_outputs(lines: DataFrame, path: str) -> "Outputs":

@@ -17,12 +17,11 @@ from pyspark.sql import functions as F
 
 from plume.operators import ingest, marts
 from plume.operators.fact import fact_unkeyed, with_reading_key
-from plume.operators.keys import global_row_number
 from plume.operators.staging import staging
 from plume.session import shared_dir
 from plume.sources import fixtures
 from plume.sources.raw import raw_load
-from plume.sources.text import read_jsonl
+from plume.sources.text import numbered_lines, read_jsonl
 
 # landed fixture tables per (application, table folder, workdir, kind)
 _LANDED: dict = {}
@@ -72,14 +71,16 @@ class Pipeline:
         """Dirty JSON Lines derived from ``events``, landed as text files and scanned by ``read_jsonl``.
 
         ``_ord`` is the line's number over all files in input order (file path, split, place in
-        the split). The text is a pure function of ``events``, so one landing per application and
+        the split; see ``numbered_lines``). The text is a pure function of ``events``, so one landing per application and
         table folder serves every query.
         """
         def land(path: str) -> DataFrame:
-            lines = fixtures.jsonl_from_events(self.events)
-            lines.orderBy("part", "event_id").select("value").write.text(f"{path}/text")
-            scanned = read_jsonl(self.spark, f"{path}/text")
-            return global_row_number(scanned, ["_ord"], "_n", workdir=path).select("value", F.col("_n").alias("_ord"))
+            # a folder per part, each in the order of its events: the events are sorted, not the text
+            lines = fixtures.jsonl_from_events(self.events.orderBy("event_id"))
+            folders = [f"{path}/text/{part}" for part in range(fixtures.LINE_PARTS)]
+            for part, folder in enumerate(folders):
+                lines.where(F.col("part") == part).select("value").write.text(folder)
+            return numbered_lines(read_jsonl(self.spark, folders), path)
 
         return self._landed("lines", land)
 
