@@ -10,15 +10,18 @@ at the longest suffix of what precedes it that is a node.
 Neither counts nor model ever meet in one place. Documents are tokenised once into chunks of
 bounded size. Words, and then the (context, word) pairs of each depth, are dealt over buckets; each
 chunk sends every bucket its own aggregated counts as one compressed run of sorted keys, the bucket
-adds them up and numbers what it keeps, and the chunk gets its keys' counts and numbers back, in its
-own order. A context's pairs lie in several buckets where it has many; its sums are added up by a
-plain aggregate. Chunks and answers are stored bucketed by chunk, so putting them together moves nothing.
+adds them up, numbers what it keeps and answers the chunk's run in the same order. What a pair adds
+to its context is worked out by one of the chunks that have it, which knows the context's count and
+the suffix's chance of the word already; contexts are then dealt over buckets likewise, which add up
+the chunks' sums, choose the nodes and answer every chunk that has the context. Nothing is sent
+twice. Chunks and answers are stored bucketed by chunk, so putting them together moves nothing.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -28,7 +31,7 @@ import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plume.llm.common import scratch, text_slices
@@ -77,14 +80,24 @@ def bucket_of(keys: np.ndarray, bits: int, buckets: int) -> np.ndarray:
     return ((h ^ (h >> np.uint64(29))) % np.uint64(buckets)).astype(np.int64)
 
 
+def planes(a: np.ndarray) -> bytes:
+    """Compressed: all first bytes, then all second ones and so on, as the high ones are mostly equal."""
+    return zstandard.compress(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes())
+
+
+def unplaned(b: bytes, kind) -> np.ndarray:
+    kind = np.dtype(kind)
+    return np.frombuffer(zstandard.decompress(b), np.uint8).reshape(kind.itemsize, -1).T.copy().view(kind).ravel()
+
+
 def packed(a: np.ndarray) -> bytes:
     """Non-negative whole numbers in the narrowest type, compressed."""
     a = a.astype(np.min_scalar_type(int(a.max(initial=0))))
-    return a.dtype.char.encode() + zstandard.compress(a.tobytes())
+    return a.dtype.char.encode() + planes(a)
 
 
 def unpacked(b: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(b[1:]), np.dtype(chr(b[0]))).astype(np.int64)
+    return unplaned(b[1:], chr(b[0])).astype(np.int64)
 
 
 def packed_keys(keys: np.ndarray) -> bytes:
@@ -95,6 +108,21 @@ def unpacked_keys(b: bytes) -> np.ndarray:
     return np.cumsum(unpacked(b))
 
 
+def packed_pairs(keys: np.ndarray, bits: int) -> bytes:
+    """Sorted (context, word) keys: steps from context to context, and from word to word within one."""
+    context, word = keys >> bits, keys & ((1 << bits) - 1)
+    step = np.diff(context, prepend=0)
+    steps = packed(step)
+    return len(steps).to_bytes(4, "little") + steps + packed(np.where(step > 0, word, np.diff(word, prepend=0)))
+
+
+def unpacked_pairs(b: bytes, bits: int) -> np.ndarray:
+    size = 4 + int.from_bytes(b[:4], "little")
+    step, word = unpacked(b[4:size]), unpacked(b[size:])
+    total, start = np.cumsum(word), np.maximum.accumulate(np.where(step > 0, np.arange(len(step)), 0))
+    return (np.cumsum(step) << bits) | (total - total[start] + word[start])
+
+
 def distinct(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct values, a place of each, each place's value number, and how often each occurs."""
     order = np.argsort(a)
@@ -112,29 +140,55 @@ def by_bucket(at: np.ndarray, buckets: int) -> np.ndarray:
 
 # ------------------------------------------------------------------ chunks
 
-_CHUNK = "chunk long, n_words long, n_tokens long, ids binary, named binary, train binary, sizes binary, codes binary, words binary"
+_CHUNK = ("chunk long, n_words long, n_tokens long, n_train long, ids binary, named binary, train binary, sizes binary, codes binary,"
+          " words binary, part string")
+_REMOVE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _COLUMNS = [c.split()[0] for c in _CHUNK.split(", ")]
 
 
-def _by_chunk(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
+def _by_chunk(df: DataFrame, tag: str, path: str | None = None, part: tuple[str, ...] = ()) -> DataFrame:
     """As ``stored``, bucketed by chunk: tables of the same session join without an exchange."""
     spark, name = df.sparkSession, f"plume_llm_{uuid.uuid4().hex}"
-    (df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk")
-     .option("path", path or scratch(spark, tag)).saveAsTable(name, format="parquet"))
+    with _shuffles_removed(spark):
+        (df.write.partitionBy(*part).bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk")
+         .option("path", path or scratch(spark, tag)).saveAsTable(name, format="parquet"))
     return spark.table(name)
 
 
 def _for_now(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """As ``stored``, with the folder, for a table that nothing reads after the next one is written."""
-    path = scratch(df.sparkSession, tag)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
-
-
-def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
-    """Documents as runs of word numbers, each ended by the number after the last word's. Map only."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, tag)
+    with _shuffles_removed(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def _told(df: DataFrame, **columns):
+    """Of a table, sums or largest values of columns, 0 without a row."""
+    with _shuffles_removed(df.sparkSession):
+        return df.agg(*[F.coalesce(f(c), F.lit(0)) for c, f in columns.items()]).first()
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What runs here leaves no shuffle files: Spark removes them as a job ends, not when the driver collects its garbage."""
+    before = spark.conf.get(_REMOVE, None)
+    spark.conf.set(_REMOVE, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_REMOVE)
+        else:
+            spark.conf.set(_REMOVE, before)
+
+
+def _chunks(docs: DataFrame, chunk_bytes: int, path: str) -> DataFrame:
+    """Documents as runs of word numbers, each ended by the number after the last word's; in a part of their own, which
+    goes before the rest does, the words. Map only."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, held, total = 0, [], 0
+        kinds = [{"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}[c.split()[1]] for c in _CHUNK.split(", ")]
 
         def close():
             nonlocal made
@@ -145,13 +199,19 @@ def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
             n = np.bincount(doc, minlength=len(ids))
             coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [
                 None, pa.py_buffer(np.r_[0, np.cumsum(sizes)].astype(np.int64)), pa.py_buffer(data)]).dictionary_encode()
-            words = coded.dictionary.to_pylist()             # they hold no white space, so a blank can part them
+            of = coded.indices.to_numpy()
+            table = pa.table({"n": np.bincount(of, minlength=len(coded.dictionary)), "word": coded.dictionary})
+            order = pc.sort_indices(table, [("n", "descending"), ("word", "ascending")])
+            code = np.empty(len(order), np.uint32)
+            code[order.to_numpy()] = np.arange(len(order))   # frequent words first, the many rare ones by text: both compress
+            words = coded.dictionary.take(order).to_pylist()  # they hold no white space, so a blank can part them
             codes = np.full(len(doc) + len(ids), len(words), np.uint32)
-            codes[np.arange(len(doc)) + doc] = coded.indices.to_numpy()
-            row = [(TaskContext.get().partitionId() << 32) + made, len(words) + 1, len(codes), ids.tobytes(), named.tobytes(), train.tobytes(),
-                   (n + 1).astype(np.int64).tobytes(), zstandard.compress(codes.tobytes()),
-                   zstandard.compress(b" ".join(words))]
-            return pa.RecordBatch.from_arrays([pa.array([v]) for v in row], _COLUMNS)
+            codes[np.arange(len(doc)) + doc] = code[of]
+            chunk = (TaskContext.get().partitionId() << 32) + made
+            row = [chunk, len(words) + 1, len(codes), int(n[train].sum() + train.sum()), ids.tobytes(), named.tobytes(), train.tobytes(),
+                   (n + 1).astype(np.int64).tobytes(), planes(codes), None, "codes"]
+            text = [chunk, *[None] * 8, _texts(words), "words"]
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(row, text), kinds)], _COLUMNS)
 
         for batch in batches:
             for b in text_slices(batch, 1):
@@ -166,7 +226,7 @@ def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
             yield close()
 
     rows = docs.select(F.col("doc_id"), F.col("text"), ~F.col("held_out"))
-    return _by_chunk(rows.mapInArrow(run, _CHUNK), "word-chunks")
+    return _by_chunk(rows.mapInArrow(run, _CHUNK), "word-chunks", path, ("part",))
 
 
 class Chunk:
@@ -174,7 +234,7 @@ class Chunk:
 
     def __init__(self, row: dict):
         self.id = row["chunk"]
-        self.codes = np.frombuffer(zstandard.decompress(row["codes"]), np.uint32)
+        self.codes = unplaned(row["codes"], np.uint32)
         self.sizes = np.frombuffer(row["sizes"], np.int64)
         self.first = np.cumsum(self.sizes) - self.sizes
         self.train = np.repeat(np.frombuffer(row["train"], bool), self.sizes)
@@ -199,34 +259,48 @@ class Chunk:
     def keys(self, at: np.ndarray, bits: int) -> np.ndarray:
         return (self.context[at] << bits) | self.word[at]
 
-    def asks(self, how: How):
-        """All keys this chunk wants, by bucket and key, and their buckets: contexts (with word 0), then pairs;
-        the places that want them, and the key of each such place."""
-        asked, pair = (np.flatnonzero(x) for x in self.asked(how))
-        context, _, of, _ = distinct(self.context[asked])
-        keys, _, to, _ = distinct(self.keys(pair, how.bits))
-        keys = np.r_[context << how.bits, keys]
-        at = bucket_of(keys, how.bits, how.buckets)
-        order = np.argsort(keys)
-        order = order[by_bucket(at[order], how.buckets)]
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        return keys[order], at[order], (asked, place[of]), (pair, place[len(context):][to])
-
-    def advance(self, answers: list[dict], how: How) -> None:
-        """Take in the answers of one depth; the state moves on to the next one."""
-        keys, at, (asked, of), (pair, to) = self.asks(how)
-        n, number, left = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64), np.full(len(keys), np.nan)
-        start = np.searchsorted(at, np.arange(how.buckets + 1))
+    def pairs(self, how: How) -> tuple[np.ndarray, ...]:
+        """The pairs this chunk asks for, by bucket and key, and their buckets; the places that ask, and the pair of each."""
+        at = np.flatnonzero(self.asked(how)[1])
+        keys, _, of, _ = distinct(self.keys(at, how.bits))
+        return _dealt(keys, bucket_of(keys, how.bits, how.buckets), how.buckets, at, of)
+
+    def contexts(self, how: How, depth: int) -> tuple[np.ndarray, ...]:
+        """Likewise the contexts."""
+        at, homes = np.flatnonzero(self.asked(how)[0]), how.homes[depth - 1]
+        keys, _, of, _ = distinct(self.context[at])
+        return _dealt(keys, bucket_of(keys << how.bits, how.bits, homes), homes, at, of)
+
+    def counted(self, answers: list[dict], how: How) -> tuple[np.ndarray, ...]:
+        """What the buckets say of the pairs: counts, numbers as contexts of the next depth, which this chunk adds up; and as ``pairs``."""
+        keys, to, at, of = self.pairs(how)
+        n, number, own = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        start = np.searchsorted(to, np.arange(how.buckets + 1))
         for x in answers:
             part = slice(start[x["bucket"]], start[x["bucket"] + 1])
-            n[part], number[part] = unpacked(x["n"]), unpacked(x["number"])
-            left[part] = np.frombuffer(zstandard.decompress(x["left"]), np.float64)
-        remainder, own, nxt = np.full(len(self.codes), np.nan), np.zeros(len(self.codes), np.int64), np.zeros(len(self.codes), np.int64)
-        remainder[asked], own[pair], nxt[pair] = left[of], n[to], number[to]
-        node = ~np.isnan(remainder)
+            n[part] = unpacked(x["n"])
+            own[part] = np.unpackbits(unpacked(x["own"]).astype(np.uint8), count=len(n[part]))
+            if x["number"] is not None:
+                number[part][n[part] >= how.least] = unpacked_keys(x["number"]) * how.buckets + x["bucket"] + 1
+        return n, number, own, keys, at, of
+
+    def advance(self, row: dict, depth: int, how: How) -> None:
+        """Take in the answers of one depth; the state moves on to the next one."""
+        n, number, _, _, pair, to = self.counted(row[f"pairs{depth}"] or [], how)
+        keys, at, asked, of = self.contexts(how, depth)
+        kept, s = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        start = np.searchsorted(at, np.arange(how.homes[depth - 1] + 1))
+        for x in row[f"nodes{depth}"] or []:
+            part = slice(start[x["bucket"]], start[x["bucket"] + 1])
+            kept[part], s[part] = unpacked(x["kept"]), unpacked(x["s"])
+        own, nxt = np.zeros(len(self.codes), np.int64), np.zeros(len(self.codes), np.int64)
+        own[pair], nxt[pair] = n[to], number[to]
+        node = np.zeros(len(self.codes), bool)
+        node[asked] = kept[of] > 0
+        left = np.ones(len(self.codes))
+        left[asked] = (self.seen[asked] - s[of] + how.discount * kept[of]) / self.seen[asked]
         share = np.maximum(own - how.discount, 0) / np.maximum(self.seen, 1)
-        self.chance = np.where(node, share + remainder * self.chance, self.chance)
+        self.chance = np.where(node, share + left * self.chance, self.chance)
         self.known = node
         inside = np.r_[False, self.inside[:-1]]
         inside[self.first] = False
@@ -234,6 +308,14 @@ class Chunk:
         self.context, self.seen = np.r_[0, nxt[:-1]], np.r_[0, own[:-1]]
 
 
+def _dealt(keys: np.ndarray, to: np.ndarray, buckets: int, at: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sorted keys and their buckets by bucket; the places, and the key of each in the new order."""
+    order = by_bucket(to, buckets)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return keys[order], to[order], at, place[of]
+
+
 @dataclass(frozen=True)
 class How:
     """The model's parameters, and what the corpus says of itself."""
@@ -247,13 +329,19 @@ class How:
     word_buckets: int = 1
     bits: int = 1                          # of a word's number
     buckets: int = 1                       # of pairs
+    homes: tuple[int, ...] = ()            # buckets of contexts, by depth
+
+    @property
+    def least(self) -> int:
+        """Training occurrences of a pair that may be a context."""
+        return max(self.min_count, self.cut)
 
 
 def _opened(row: dict, how: How, depth: int) -> Chunk:
     c = Chunk(row)
     c.know(row, how)
     for d in range(1, depth):
-        c.advance(row[f"known{d}"] or [], how)
+        c.advance(row, d, how)
     return c
 
 
@@ -276,7 +364,8 @@ def _split(at: np.ndarray, buckets: int):
     return [(b, slice(edge[b], edge[b + 1])) for b in np.unique(at).tolist()]
 
 
-_ASK = "bucket long, chunk long, keys binary, n binary, total binary, chance binary"
+_ASK = "bucket long, chunk long, keys binary, n binary, own binary, contexts long"
+_SUMS = "bucket long, chunk long, keys binary, kept binary, s binary, total binary, p binary, gain binary"
 
 
 def _words_by_bucket(row: dict, buckets: int) -> tuple[list[bytes], list[np.ndarray]]:
@@ -294,44 +383,63 @@ def _word_asks(buckets: int):
         words, parts = _words_by_bucket(row, buckets)
         n = np.bincount(c.codes[c.train], minlength=len(words))
         parts = [(b, p) for b, p in enumerate(parts) if len(p)]
-        none = [None] * len(parts)
-        return ([b for b, _ in parts], [c.id] * len(parts), [zstandard.compress(b" ".join([words[i] for i in p.tolist()])) for _, p in parts],
-                [packed(n[p]) for _, p in parts], pa.array(none, pa.binary()), pa.array(none, pa.binary()))
+        return ([b for b, _ in parts], [c.id] * len(parts), [_texts([words[i] for i in p.tolist()]) for _, p in parts],
+                [packed(n[p]) for _, p in parts], pa.array([None] * len(parts), pa.binary()), [0] * len(parts))
     return f
 
 
-def _by_code(buckets: int):
-    """The answers about a chunk's words in the order of their codes."""
+def _word_order(words: list[bytes], n: np.ndarray) -> np.ndarray:
+    """Words by the bits of their counts, frequent ones first, then by text: a chunk can tell the order of those it has."""
+    return pc.sort_indices(pa.table({"n": np.frexp(n)[1], "word": pa.array(words, pa.binary())}), [("n", "descending"), ("word", "ascending")]).to_numpy()
+
+
+def _by_code(buckets: int, least: int):
+    """The answers about a chunk's words in the order of their codes: counts, and numbers from 1 that no two buckets give, 0 for words
+    rarer than ``least``; how many words are this chunk's to count, and the largest number."""
     def f(row):
         words, parts = _words_by_bucket(row, buckets)
         count, number = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        for x in row["known0"] or []:
-            count[parts[x["bucket"]]], number[parts[x["bucket"]]] = unpacked(x["n"]), unpacked(x["number"])
-        return [row["chunk"]], [packed(count)], [packed(number)]
+        for x in row["known"]:
+            part, n = parts[x["bucket"]], unpacked(x["n"])
+            count[part], keep = n, part[n >= least]
+            number[keep[_word_order([words[i] for i in keep.tolist()], count[keep])]] = unpacked_keys(x["number"]) * buckets + x["bucket"] + 1
+        return [row["chunk"]], [packed(count)], [packed(number)], [sum(x["types"] for x in row["known"])], [int(number.max(initial=0))]
     return f
 
 
-def _counts(how: How, depth: int):
-    """A chunk's pairs of its training documents: key, count, the context's count, the suffix's chance of the word."""
+def _asks(how: How, depth: int):
+    """A chunk's pairs with their counts in its training documents, and how many contexts it will ask for."""
     def f(row):
         c = _opened(row, how, depth)
-        at = np.flatnonzero(c.asked(how)[1] & c.train)
-        keys, first, _, n = distinct(c.keys(at, how.bits))
-        to = bucket_of(keys, how.bits, how.buckets)
-        order = by_bucket(to, how.buckets)
-        keys, n, at, to = keys[order], n[order], at[first][order], to[order]
-        total, chance, runs = c.seen[at], c.chance[at].astype(np.float32), _split(to, how.buckets)
-        return ([b for b, _ in runs], [c.id] * len(runs), [packed_keys(keys[s]) for _, s in runs], [packed(n[s]) for _, s in runs],
-                [packed(total[s]) for _, s in runs], [zstandard.compress(chance[s].view(np.uint8).reshape(-1, 4).T.tobytes()) for _, s in runs])
+        keys, to, at, of = c.pairs(how)
+        n = np.bincount(of[c.train[at]], minlength=len(keys))
+        runs = _split(to, how.buckets)
+        contexts = [len(np.unique(c.context[c.asked(how)[0]])), *[0] * len(runs)][:len(runs)]
+        return ([b for b, _ in runs], [c.id] * len(runs), [packed_pairs(keys[s], how.bits) for _, s in runs], [packed(n[s]) for _, s in runs],
+                pa.array([None] * len(runs), pa.binary()), contexts)
     return f
 
 
-def _asks(how: How, depth: int):
+def _sums(how: How, depth: int):
+    """A chunk's contexts, and what the pairs that it adds up say of them: how many, their counts, the suffix's chances, the gain."""
     def f(row):
         c = _opened(row, how, depth)
-        keys, at = c.asks(how)[:2]
-        runs = _split(at, how.buckets)
-        return [b for b, _ in runs], [c.id] * len(runs), [packed_keys(keys[s]) for _, s in runs]
+        n, _, own, _, at, of = c.counted(row[f"pairs{depth}"] or [], how)
+        keys, to, asked, home = c.contexts(how, depth)
+        place, of_place = np.empty(len(n), np.int64), np.zeros(len(c.codes), np.int64)
+        place[of], of_place[asked] = at, home
+        own &= n >= how.cut
+        n, place = n[own], place[own]
+        total, chance = c.seen[place], c.chance[place].astype(np.float32).astype(np.float64)
+
+        def added(x):
+            return np.bincount(of_place[place], weights=x, minlength=len(keys))
+        kept, s, p, gain = added(np.ones(len(n))), added(n), added(chance), added(n * np.log(n / total / chance))
+        most = np.zeros(len(keys), np.int64)
+        most[of_place[place]] = total
+        runs = _split(to, how.homes[depth - 1])
+        return ([b for b, _ in runs], [c.id] * len(runs), [packed_keys(keys[r]) for _, r in runs],
+                *[[packed(x[r].astype(np.int64)) for _, r in runs] for x in (kept, s, most)], *[[planes(x[r]) for _, r in runs] for x in (p, gain)])
     return f
 
 
@@ -349,149 +457,133 @@ def _scores(how: How, depth: int):
 
 # ------------------------------------------------------------------ buckets
 
-def _words(blob: bytes) -> list[bytes]:
-    return zstandard.decompress(blob).split(b" ")
-
-
-def _added_words(rows: pd.DataFrame) -> tuple[list[bytes], np.ndarray]:
-    coded = pa.array([w for b in rows["keys"] for w in _words(b)], pa.binary()).dictionary_encode()
-    n = np.bincount(coded.indices.to_numpy(), weights=np.concatenate([unpacked(x) for x in rows["n"]]), minlength=len(coded.dictionary))
-    return coded.dictionary.to_pylist(), n.astype(np.int64)
+def _texts(words: list[bytes]) -> bytes:
+    return zstandard.compress(b" ".join(words), 6)
 
 
-def _added_pairs(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
-    chance = [np.frombuffer(zstandard.decompress(x), np.uint8).reshape(4, -1).T.copy().view(np.float32).ravel() for x in rows["chance"]]
-    keys, first, to, _ = distinct(np.concatenate([unpacked_keys(x) for x in rows["keys"]]))
-    n = np.bincount(to, weights=np.concatenate([unpacked(x) for x in rows["n"]]), minlength=len(keys)).astype(np.int64)
-    return keys, n, np.concatenate([unpacked(x) for x in rows["total"]])[first], np.concatenate(chance)[first]
+def _words(blob: bytes) -> list[bytes]:
+    return zstandard.decompress(blob).split(b" ")
 
 
-def _merged_words(rows: pd.DataFrame) -> pd.DataFrame:
-    words, n = _added_words(rows)
-    return pd.DataFrame({"bucket": rows["bucket"].iloc[:1].to_numpy(), "chunk": [0], "keys": [zstandard.compress(b" ".join(words))], "n": [packed(n)],
-                         "total": [None], "chance": [None]})
+def _first(of: np.ndarray, n: int) -> np.ndarray:
+    """The first place of each of ``n`` numbers."""
+    first = np.empty(n, np.int64)
+    first[of[::-1]] = np.arange(len(of))[::-1]
+    return first
 
 
-def _merged_pairs(rows: pd.DataFrame) -> pd.DataFrame:
-    keys, n, total, chance = _added_pairs(rows)
-    return pd.DataFrame({"bucket": rows["bucket"].iloc[:1].to_numpy(), "chunk": [0], "keys": [packed_keys(keys)], "n": [packed(n)], "total": [packed(total)],
-                         "chance": [zstandard.compress(chance.view(np.uint8).reshape(-1, 4).T.tobytes())]})
+def _owners(rows: pd.DataFrame, sizes: list[int]) -> np.ndarray:
+    """The chunk that has each key, or what is packed of it where groups of chunks are added up."""
+    return np.concatenate([np.full(n, c) if own is None else unpacked(own) for c, own, n in zip(rows["chunk"], rows["own"], sizes)])
 
 
-def _gathered(rows: DataFrame, merge, salts: int) -> DataFrame:
-    """Where there are very many chunks, groups of them are added up first."""
-    if salts == 1:
-        return rows
-    return rows.groupBy("bucket", F.pmod(F.xxhash64("chunk"), F.lit(salts)).alias("salt")).applyInPandas(merge, _ASK)
+def _one(rows: pd.DataFrame, **columns) -> pd.DataFrame:
+    return pd.DataFrame({"bucket": rows["bucket"].iloc[:1].to_numpy(), "chunk": [int(rows["chunk"].iloc[0])], **{k: [v] for k, v in columns.items()}})
 
 
-def _numbered(order: np.ndarray, keep: np.ndarray, bucket: int, buckets: int) -> np.ndarray:
-    """Numbers from 1 that no other bucket gives to what is kept, in the given order; 0 for the rest."""
-    number = np.zeros(len(keep), np.int64)
-    at = order[keep[order]]
-    number[at] = np.arange(len(at)) * buckets + bucket + 1
-    return number
+def _merged_words(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.sort_values("chunk")
+    words = [_words(b) for b in rows["keys"]]
+    coded = pa.array([w for x in words for w in x], pa.binary()).dictionary_encode()
+    of, k = coded.indices.to_numpy(), len(coded.dictionary)
+    n = np.bincount(of, weights=np.concatenate([unpacked(x) for x in rows["n"]]), minlength=k).astype(np.int64)
+    return _one(rows, keys=_texts(coded.dictionary.to_pylist()), n=packed(n),
+                own=packed(_owners(rows, [len(x) for x in words])[_first(of, k)]), contexts=0)
 
 
-def _word_model(buckets: int, least: int):
+def _merged_pairs(bits: int):
     def f(rows):
-        words, n = _added_words(rows)
-        bucket = int(rows["bucket"].iloc[0])
-        order = np.array(sorted(range(len(words)), key=lambda i: (-n[i], words[i])), np.int64)
-        number = _numbered(order, n >= least, bucket, buckets)
-        return pd.DataFrame({"bucket": [bucket], "keys": [zstandard.compress(b" ".join(words))], "n": [packed(n)], "number": [packed(number)],
-                             "left": [None], "tokens": [int(n.sum())], "types": [int((n > 0).sum())], "top": [int(number.max(initial=0))]})
+        rows = rows.sort_values("chunk")
+        runs = [unpacked_pairs(x, bits) for x in rows["keys"]]
+        keys, _, of, _ = distinct(np.concatenate(runs))
+        n = np.bincount(of, weights=np.concatenate([unpacked(x) for x in rows["n"]]), minlength=len(keys)).astype(np.int64)
+        return _one(rows, keys=packed_pairs(keys, bits), n=packed(n), own=packed(_owners(rows, [len(x) for x in runs])[_first(of, len(keys))]), contexts=0)
     return f
 
 
-_MODEL = "bucket long, keys binary, n binary, number binary, left binary"
-_SUMS = ", contexts binary, homes binary, sums binary, top long"
+def _merged_sums(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.sort_values("chunk")
+    keys, _, of, _ = distinct(np.concatenate([unpacked_keys(x) for x in rows["keys"]]))
 
+    def added(x):
+        return np.bincount(of, weights=np.concatenate(x), minlength=len(keys))
+    kept, s = (added([unpacked(x) for x in rows[c]]).astype(np.int64) for c in ("kept", "s"))
+    total = np.zeros(len(keys), np.int64)
+    np.maximum.at(total, of, np.concatenate([unpacked(x) for x in rows["total"]]))
+    p, gain = (added([unplaned(x, np.float64) for x in rows[c]]) for c in ("p", "gain"))
+    return _one(rows, keys=packed_keys(keys), kept=packed(kept), s=packed(s), total=packed(total), p=planes(p), gain=planes(gain))
 
-def _pair_model(how: How):
-    """The bucket's pairs that are frequent enough, and what they add to their contexts' sums."""
-    def f(rows):
-        keys, n, total, chance = _added_pairs(rows)
-        keep = n >= how.cut
-        keys, n, total, chance = keys[keep], n[keep], total[keep], chance[keep].astype(np.float64)
-        number = _numbered(np.arange(len(keys)), n >= how.min_count, int(rows["bucket"].iloc[0]), how.buckets)
-        context, first, to = np.unique(keys >> how.bits, return_index=True, return_inverse=True)
 
-        def added(x):
-            return np.bincount(to, weights=x, minlength=len(context))
-        sums = np.stack([added(np.ones(len(keys))), added(n), added(chance), total[first].astype(np.float64),
-                         added(n * np.log(n / total / chance))], 1) if len(keys) else np.empty((0, 5))
-        return pd.DataFrame({"bucket": rows["bucket"].iloc[:1].to_numpy(), "keys": [packed_keys(keys)], "n": [packed(n)], "number": [packed(number)], "left": [None],
-                             "contexts": [packed_keys(context)], "homes": [packed(bucket_of(context << how.bits, how.bits, how.buckets))],
-                             "sums": [zstandard.compress(sums.tobytes())], "top": [int(number.max(initial=0))]})
-    return f
+_ANSWER = "chunk long, bucket long, n binary, number binary, own binary, types long, top long, contexts long"
+_NODES = "chunk long, bucket long, kept binary, s binary"
 
 
-def _sums(row: dict):
-    sums = np.frombuffer(zstandard.decompress(row["sums"]), np.float64).reshape(-1, 5)
-    return (unpacked_keys(row["contexts"]), unpacked(row["homes"]), *sums.T)
+def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
 
-def _nodes(pairs: DataFrame, how: How) -> DataFrame:
-    """The nodes of one depth, by the bucket in which they are asked for: the share each leaves to its suffix."""
-    columns = "context long, home long, kept double, s double, p double, total double, gain double"
-    sums = pairs.select("contexts", "homes", "sums").mapInArrow(_rows(_sums, columns), columns).groupBy("context", "home").agg(
-        *[F.sum(c).alias(c) for c in ("kept", "s", "p", "gain")], F.max("total").alias("total"))
-    rest = F.col("total") - F.col("s")
-    gain = F.col("gain") + F.when(rest > 0, rest * F.log(rest / F.col("total") / F.greatest(1 - F.col("p"), F.lit(1e-12)))).otherwise(0)
-    kept = sums.where(gain >= how.cost * (F.col("kept") + 1)).select(
-        "home", "context", ((rest + how.discount * F.col("kept")) / F.col("total")).alias("left"))
+def _word_answers(least: int):
+    """Counts, and the places in ``_word_order`` of the words that occur ``least`` times or more, in that order."""
+    def f(asks, model):
+        out = []
+        for m in model.to_dict("records"):
+            words, n, own = _words(m["keys"]), unpacked(m["n"]), unpacked(m["own"])
+            keep = np.flatnonzero(n >= least)
+            number = np.zeros(len(n), np.int64)
+            number[keep[_word_order([words[i] for i in keep.tolist()], n[keep])]] = np.arange(len(keep))
+            asked = [_words(x) for x in asks["keys"]]
+            place = pc.index_in(pa.array([w for x in asked for w in x], pa.binary()), value_set=pa.array(words, pa.binary())).to_numpy()
+            for chunk, at in zip(asks["chunk"], np.split(place, np.cumsum([len(x) for x in asked])[:-1])):
+                out.append((chunk, m["bucket"], packed(n[at]), packed_keys(np.sort(number[at[n[at] >= least]])), None, int(((own[at] == chunk) & (n[at] > 0)).sum()), 0, 0))
+        return _frame(out, _ANSWER)
+    return f
 
-    def together(rows):
-        rows = rows.sort_values("context")
-        return pd.DataFrame({"bucket": rows["home"].iloc[:1].to_numpy(), "keys": [packed_keys(rows["context"].to_numpy() << how.bits)], "n": [None],
-                             "number": [None], "left": [zstandard.compress(rows["left"].to_numpy(np.float64).tobytes())]})
-    return kept.groupBy("home").applyInPandas(together, _MODEL)
 
+def _pair_answers(how: How, last: bool):
+    """Counts of the pairs that are frequent enough, 0 for the others; which of them the chunk adds up; the places in the bucket's order,
+    which make their numbers, of those that may be contexts."""
+    def f(asks, model):
+        out = []
+        for m in model.to_dict("records"):
+            keys, n, own = unpacked_pairs(m["keys"], how.bits), unpacked(m["n"]), unpacked(m["own"])
+            n[n < how.cut] = 0
+            number = np.cumsum(n >= how.least) - 1
+            top = int((number[-1] * how.buckets + m["bucket"] + 1) if len(number) and number[-1] >= 0 else 0)
+            for chunk, blob, contexts in zip(asks["chunk"], asks["keys"], asks["contexts"]):
+                at = np.searchsorted(keys, unpacked_pairs(blob, how.bits))
+                out.append((chunk, m["bucket"], packed(n[at]), None if last else packed_keys(number[at[n[at] >= how.least]]),
+                            packed(np.packbits((own[at] == chunk) & (n[at] > 0))), 0, top, contexts))
+        return _frame(out, _ANSWER)
+    return f
 
-_ANSWER = "chunk long, bucket long, n binary, number binary, left binary"
 
+def _node_answers(how: How):
+    """How many next words each context keeps, 0 where it is no node, and how often it is followed by them."""
+    def f(asks, model):
+        out = []
+        for m in model.to_dict("records"):
+            keys, kept, s, total = unpacked_keys(m["keys"]), *(unpacked(m[c]) for c in ("kept", "s", "total"))
+            p, gain = (unplaned(m[c], np.float64) for c in ("p", "gain"))
+            rest, some = total - s, total > s
+            gain[some] += rest[some] * np.log(rest[some] / total[some] / np.maximum(1 - p[some], 1e-12))
+            kept[gain < how.cost * (kept + 1)] = 0
+            s[kept == 0] = 0
+            for chunk, blob in zip(asks["chunk"], asks["keys"]):
+                at = np.searchsorted(keys, unpacked_keys(blob))
+                out.append((chunk, m["bucket"], packed(kept[at]), packed(s[at])))
+        return _frame(out, _NODES)
+    return f
 
-def _answered(asks: DataFrame, model: DataFrame, salts: int, answer, tag: str, path: str | None = None) -> DataFrame:
-    """Every chunk's answers, stored by chunk. A bucket's model goes to each group of chunks that asks it."""
+
+def _answered(asks: DataFrame, schema: str, merge, answer, answers: str, salts: int, tag: str) -> tuple[DataFrame, str]:
+    """A bucket adds up what its chunks send and answers each. Where there are very many chunks, groups of them are added up
+    first, and the sums go to each group. Written, with the folder: what was sent goes before the answers are dealt by chunk."""
+    if salts == 1:
+        return _for_now(asks.groupBy("bucket").applyInPandas(lambda rows: answer(rows, merge(rows)), answers), tag)
     asks = asks.withColumn("salt", F.pmod(F.xxhash64("chunk"), F.lit(salts)))
-    model = model.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumn("salt", F.col("salt").cast("long"))
-    rows = asks.groupBy("bucket", "salt").cogroup(model.groupBy("bucket", "salt")).applyInPandas(answer, _ANSWER)
-    return _by_chunk(rows.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "n", "number", "left")).alias(tag)), tag, path)
-
-
-def _word_answers(asks: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
-    if not len(asks):
-        return pd.DataFrame({c.split()[0]: [] for c in _ANSWER.split(", ")})
-    m = model.iloc[0]
-    place = pa.array(_words(m["keys"]), pa.binary())
-    n, number = unpacked(m["n"]), unpacked(m["number"])
-    at = [pc.index_in(pa.array(_words(k), pa.binary()), value_set=place).to_numpy() for k in asks["keys"]]
-    return pd.DataFrame({"chunk": asks["chunk"].to_numpy(), "bucket": asks["bucket"].to_numpy(), "n": [packed(n[a]) for a in at],
-                         "number": [packed(number[a]) for a in at], "left": [None] * len(at)})
-
-
-def _pair_answers(asks: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
-    if not len(asks) or not len(model):
-        return pd.DataFrame({c.split()[0]: [] for c in _ANSWER.split(", ")})
-    keys, n, number, left = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
-    for m in model.to_dict("records"):
-        k = unpacked_keys(m["keys"])
-        pair = m["n"] is not None
-        keys.append(k)
-        n.append(unpacked(m["n"]) if pair else np.zeros(len(k), np.int64))
-        number.append(unpacked(m["number"]) if pair else np.zeros(len(k), np.int64))
-        left.append(np.full(len(k), np.nan) if pair else np.frombuffer(zstandard.decompress(m["left"]), np.float64))
-    keys, n, number, left = (np.concatenate(x) for x in (keys, n, number, left))
-    order = np.argsort(keys)
-    keys, n, number, left = (np.r_[x[order], x.dtype.type(e)] for x, e in ((keys, -1), (n, 0), (number, 0), (left, np.nan)))
-    out = []
-    for chunk, bucket, blob in zip(asks["chunk"], asks["bucket"], asks["keys"]):
-        k = unpacked_keys(blob)
-        at = np.searchsorted(keys[:-1], k)
-        at[keys[at] != k] = len(keys) - 1
-        out.append((chunk, bucket, packed(n[at]), packed(number[at]), zstandard.compress(left[at].tobytes())))
-    return pd.DataFrame(out, columns=[c.split()[0] for c in _ANSWER.split(", ")])
+    model = (asks.groupBy("bucket", "salt").applyInPandas(merge, schema).groupBy("bucket").applyInPandas(merge, schema)
+             .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumn("salt", F.col("salt").cast("long")))
+    return _for_now(asks.groupBy("bucket", "salt").cogroup(model.groupBy("bucket", "salt")).applyInPandas(answer, answers), tag)
 
 
 def score(docs: DataFrame, fold: int = 5, held: int = 1, depth: int = DEPTH, min_count: int = MIN_COUNT, cut: int = CUT,
@@ -509,37 +601,44 @@ def score(docs: DataFrame, fold: int = 5, held: int = 1, depth: int = DEPTH, min
     """
     out = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % fold == held, F.lit(False))
     spark = docs.sparkSession
-    chunks = _chunks(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                                 out.alias("held_out")), chunk_bytes)
-    n_chunks, n_words, n_tokens = chunks.agg(F.count("*"), *[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_words", "n_tokens")]).first()
+    chunks_at = scratch(spark, "word-chunks")
+    stored = _chunks(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                                 out.alias("held_out")), chunk_bytes, chunks_at)
+    chunks, texts = stored.where("part = 'codes'").drop("part", "words"), stored.where("part = 'words'").select("chunk", "words")
+    n_chunks, n_words, n_tokens, n = _told(chunks, chunk=F.count, n_words=F.sum, n_tokens=F.sum, n_train=F.sum)
     salts, word_buckets = -(-max(n_chunks, 1) // SALT_CHUNKS), -(-max(n_words, 1) // bucket_keys)
+    least = min(cut, min_count)
     buckets = -(-max(n_tokens, 1) // (2 * bucket_keys))             # at most every other place is its chunk's first of a key
-    how = How(min_count, cut, discount, cost, word_buckets=word_buckets, buckets=buckets)
+    how = How(min_count, cut, discount, cost, n, word_buckets=word_buckets, buckets=buckets)
     # ---- words
-    words = chunks.select("chunk", "sizes", "train", "codes", "words").mapInArrow(_rows(_word_asks(word_buckets), _ASK), _ASK)
-    model, words_at = _for_now(_gathered(words, _merged_words, salts).groupBy("bucket").applyInPandas(
-        _word_model(word_buckets, min(cut, min_count)), _MODEL + ", tokens long, types long, top long"), "words")
-    n, v, top = model.agg(*[F.coalesce(f(c), F.lit(0)) for f, c in ((F.sum, "tokens"), (F.sum, "types"), (F.max, "top"))]).first()
-    how = replace(how, n=n, v=v, bits=max(top.bit_length(), 1))
-    answers_at = scratch(spark, "known0")
-    known = _answered(words.select("bucket", "chunk", "keys"), model.drop("tokens", "types", "top"), salts, _word_answers, "known0", answers_at)
-    columns = "chunk long, counts binary, numbers binary"
-    state = chunks.drop("words").join(_by_chunk(chunks.select("chunk", "words").join(known, "chunk").mapInArrow(
-        _rows(_by_code(word_buckets), columns), columns), "by-code"), "chunk")
-    remove(spark, words_at)
+    asks = chunks.select("chunk", "sizes", "train", "codes").join(texts, "chunk").mapInArrow(_rows(_word_asks(word_buckets), _ASK), _ASK)
+    answers, answers_at = _answered(asks, _ASK, _merged_words, _word_answers(least), _ANSWER, salts, "word-answers")
+    known = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "n", "number", "types")).alias("known"))
+    columns = "chunk long, counts binary, numbers binary, types long, top long"
+    words = _by_chunk(texts.join(known, "chunk").mapInArrow(_rows(_by_code(word_buckets, least), columns), columns), "words")
+    v, top = _told(words, types=F.sum, top=F.max)
+    how = replace(how, v=v, bits=max(top.bit_length(), 1))
+    state = chunks.join(words.drop("types", "top"), "chunk")
     remove(spark, answers_at)
+    remove(spark, f"{chunks_at}/part=words")
     # ---- the tree, one depth after the other
     for d in range(1, depth + 1):
         if top.bit_length() + how.bits > 63:
             raise OverflowError(f"{top} contexts and words of {how.bits} bits do not fit a key")
-        pairs, pairs_at = _for_now(_gathered(state.mapInArrow(_rows(_counts(how, d), _ASK), _ASK), _merged_pairs, salts)
-                       .groupBy("bucket").applyInPandas(_pair_model(how), _MODEL + _SUMS), "pairs")
-        columns = "bucket long, chunk long, keys binary"
-        asks = state.mapInArrow(_rows(_asks(how, d), columns), columns)
-        top = pairs.agg(F.coalesce(F.max("top"), F.lit(0))).first()[0]
-        answers = _answered(asks, pairs.drop("contexts", "homes", "sums", "top").unionByName(_nodes(pairs, how)), salts, _pair_answers, f"known{d}")
-        remove(spark, pairs_at)
-        state = state.join(answers, "chunk", "left")
+        asks = state.mapInArrow(_rows(_asks(how, d), _ASK), _ASK)
+        answers, answers_at = _answered(asks, _ASK, _merged_pairs(how.bits), _pair_answers(how, d == depth), _ANSWER, salts, "pair-answers")
+        pairs = _by_chunk(answers.groupBy("chunk").agg(
+            F.collect_list(F.struct("bucket", "n", "number", "own")).alias(f"pairs{d}"), F.max("top").alias("top"),
+            F.sum("contexts").alias("contexts")), f"pairs{d}")
+        top, contexts = _told(pairs, top=F.max, contexts=F.sum)
+        how = replace(how, homes=(*how.homes, -(-max(contexts, 1) // bucket_keys)))
+        remove(spark, answers_at)
+        state = state.join(pairs.drop("top", "contexts"), "chunk", "left")
+        sums = state.mapInArrow(_rows(_sums(how, d), _SUMS), _SUMS)
+        answers, answers_at = _answered(sums, _SUMS, _merged_sums, _node_answers(how), _NODES, salts, "node-answers")
+        nodes = _by_chunk(answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "kept", "s")).alias(f"nodes{d}")), f"nodes{d}")
+        remove(spark, answers_at)
+        state = state.join(nodes, "chunk", "left")
     columns = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     return (state.mapInArrow(_rows(_scores(how, depth + 1), columns), columns)
             .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score"))

@@ -1,8 +1,10 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 from unittest import mock
 
 import numpy as np
@@ -147,3 +149,45 @@ def test_empty_table_and_no_training_rows(spark):
     assert run(spark, [], **HOW) == []
     alone = [next((i, "a b") for i in range(100) if held(i))]
     assert run(spark, alone, **HOW) == [(alone[0][0], True, 3, 0, 0, 0.0, 0.0)]
+
+
+def test_pair_keys_travel_as_steps():
+    rng = np.random.default_rng(5)
+    for bits in (1, 9, 21):
+        for contexts in (1, 3, 1 << 40):
+            keys = np.unique((rng.integers(0, contexts, 500) << bits) | rng.integers(0, 1 << bits, 500))
+            assert suffixlm.unpacked_pairs(suffixlm.packed_pairs(keys, bits), bits).tolist() == keys.tolist()
+    assert suffixlm.unpacked_pairs(suffixlm.packed_pairs(np.empty(0, np.int64), 3), 3).tolist() == []
+
+
+def test_scoring_leaves_no_shuffle_files(spark):
+    def shuffles():
+        dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for d in dirs for f in Path(d).rglob("shuffle_*")}
+
+    docs = corpus(random.Random(6), 200)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3).localCheckpoint()
+    setting = spark.conf.get(suffixlm._REMOVE)
+    before = shuffles()
+    scored = suffixlm.score(df, chunk_bytes=2000, **HOW)
+    for _ in range(20):                                      # they are removed in the background
+        if not (left := shuffles() - before):
+            break
+        time.sleep(0.5)
+    assert not left and spark.conf.get(suffixlm._REMOVE) == setting
+    check(sorted((tuple(r) for r in scored.collect()), key=repr), docs, **HOW)
+
+
+def test_a_pair_is_sent_once_a_chunk(spark):
+    """Counts, questions and answers of a depth travel in one exchange each way: words, pairs and contexts of two depths."""
+    docs = corpus(random.Random(7), 200)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3).localCheckpoint()
+    sent, answered = [], suffixlm._answered
+
+    def spy(asks, *rest):
+        sent.append(asks.count() - asks.select("bucket", "chunk").distinct().count())
+        return answered(asks, *rest)
+    with mock.patch.object(suffixlm, "_answered", spy):
+        check(sorted((tuple(r) for r in suffixlm.score(df, chunk_bytes=2000, bucket_keys=300, **dict(HOW, depth=2)).collect()), key=repr),
+              docs, **dict(HOW, depth=2))
+    assert sent == [0] * 5
