@@ -128,7 +128,7 @@ def distinct(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     order = np.argsort(a)
     v = a[order]
     new = np.r_[np.ones(min(len(v), 1), bool), v[1:] != v[:-1]]
-    number = np.empty(len(v), np.int64)
+    number = np.empty(len(v), np.int32)
     number[order] = np.cumsum(new) - 1
     return v[new], order[new], number, np.diff(np.r_[np.flatnonzero(new), len(v)])
 
@@ -249,25 +249,26 @@ class Chunk:
         self.seen = np.r_[0, self.count[:-1]]
         self.seen[self.first] = count[-1]                    # as many starts as ends
         self.chance, self.known = self.base, np.ones(len(self.codes), bool)
+        self.own = self.count                                # of the word after the context of the depth before
         self.inside = np.ones(len(self.codes), bool)         # whether so many words precede
 
     def asked(self, how: How) -> tuple[np.ndarray, np.ndarray]:
         """Places whose context may be a node, and those of them whose word may be a next word of it."""
         asked = self.known & self.inside & (self.seen >= how.min_count)
-        return asked, asked & (self.count >= how.cut)        # rarer words follow nothing so often
+        return asked, asked & (self.own >= how.cut)          # a word follows no context more often than that one's suffix
 
     def keys(self, at: np.ndarray, bits: int) -> np.ndarray:
         return (self.context[at] << bits) | self.word[at]
 
     def pairs(self, how: How) -> tuple[np.ndarray, ...]:
         """The pairs this chunk asks for, by bucket and key, and their buckets; the places that ask, and the pair of each."""
-        at = np.flatnonzero(self.asked(how)[1])
+        at = np.flatnonzero(self.asked(how)[1]).astype(np.int32)
         keys, _, of, _ = distinct(self.keys(at, how.bits))
         return _dealt(keys, bucket_of(keys, how.bits, how.buckets), how.buckets, at, of)
 
     def contexts(self, how: How, depth: int) -> tuple[np.ndarray, ...]:
         """Likewise the contexts."""
-        at, homes = np.flatnonzero(self.asked(how)[0]), how.homes[depth - 1]
+        at, homes = np.flatnonzero(self.asked(how)[0]).astype(np.int32), how.homes[depth - 1]
         keys, _, of, _ = distinct(self.context[at])
         return _dealt(keys, bucket_of(keys << how.bits, how.bits, homes), homes, at, of)
 
@@ -286,32 +287,33 @@ class Chunk:
 
     def advance(self, row: dict, depth: int, how: How) -> None:
         """Take in the answers of one depth; the state moves on to the next one."""
-        n, number, _, _, pair, to = self.counted(row[f"pairs{depth}"] or [], how)
-        keys, at, asked, of = self.contexts(how, depth)
+        own, nxt = np.zeros(len(self.codes), np.int64), np.zeros(len(self.codes), np.int64)
+        n, number, _, _, at, of = self.counted(row[f"pairs{depth}"] or [], how)
+        own[at], nxt[at] = n[of], number[of]
+        keys, to, at, of = self.contexts(how, depth)
         kept, s = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-        start = np.searchsorted(at, np.arange(how.homes[depth - 1] + 1))
+        start = np.searchsorted(to, np.arange(how.homes[depth - 1] + 1))
         for x in row[f"nodes{depth}"] or []:
             part = slice(start[x["bucket"]], start[x["bucket"] + 1])
-            kept[part], s[part] = unpacked(x["kept"]), unpacked(x["s"])
-        own, nxt = np.zeros(len(self.codes), np.int64), np.zeros(len(self.codes), np.int64)
-        own[pair], nxt[pair] = n[to], number[to]
+            kept[part] = unpacked(x["kept"])
+            s[part][kept[part] > 0] = unpacked(x["s"])
         node = np.zeros(len(self.codes), bool)
-        node[asked] = kept[of] > 0
+        node[at] = kept[of] > 0
         left = np.ones(len(self.codes))
-        left[asked] = (self.seen[asked] - s[of] + how.discount * kept[of]) / self.seen[asked]
+        left[at] = (self.seen[at] - s[of] + how.discount * kept[of]) / self.seen[at]
         share = np.maximum(own - how.discount, 0) / np.maximum(self.seen, 1)
         self.chance = np.where(node, share + left * self.chance, self.chance)
         self.known = node
         inside = np.r_[False, self.inside[:-1]]
         inside[self.first] = False
         self.inside = inside
-        self.context, self.seen = np.r_[0, nxt[:-1]], np.r_[0, own[:-1]]
+        self.context, self.seen, self.own = np.r_[0, nxt[:-1]], np.r_[0, own[:-1]], own
 
 
 def _dealt(keys: np.ndarray, to: np.ndarray, buckets: int, at: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, ...]:
     """Sorted keys and their buckets by bucket; the places, and the key of each in the new order."""
     order = by_bucket(to, buckets)
-    place = np.empty(len(order), np.int64)
+    place = np.empty(len(order), np.int32)
     place[order] = np.arange(len(order))
     return keys[order], to[order], at, place[of]
 
@@ -426,7 +428,7 @@ def _sums(how: How, depth: int):
         c = _opened(row, how, depth)
         n, _, own, _, at, of = c.counted(row[f"pairs{depth}"] or [], how)
         keys, to, asked, home = c.contexts(how, depth)
-        place, of_place = np.empty(len(n), np.int64), np.zeros(len(c.codes), np.int64)
+        place, of_place = np.empty(len(n), np.int32), np.zeros(len(c.codes), np.int32)
         place[of], of_place[asked] = at, home
         own &= n >= how.cut
         n, place = n[own], place[own]
@@ -438,8 +440,10 @@ def _sums(how: How, depth: int):
         most = np.zeros(len(keys), np.int64)
         most[of_place[place]] = total
         runs = _split(to, how.homes[depth - 1])
-        return ([b for b, _ in runs], [c.id] * len(runs), [packed_keys(keys[r]) for _, r in runs],
-                *[[packed(x[r].astype(np.int64)) for _, r in runs] for x in (kept, s, most)], *[[planes(x[r]) for _, r in runs] for x in (p, gain)])
+        some = [kept[r] > 0 for _, r in runs]
+        return ([b for b, _ in runs], [c.id] * len(runs), [packed_keys(keys[r]) for _, r in runs], [packed(kept[r].astype(np.int64)) for _, r in runs],
+                *[[packed(x[r][m].astype(np.int64)) for m, (_, r) in zip(some, runs)] for x in (s, most)],
+                *[[planes(x[r][m]) for m, (_, r) in zip(some, runs)] for x in (p, gain)])
     return f
 
 
@@ -504,14 +508,17 @@ def _merged_pairs(bits: int):
 def _merged_sums(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("chunk")
     keys, _, of, _ = distinct(np.concatenate([unpacked_keys(x) for x in rows["keys"]]))
+    some = np.concatenate([unpacked(x) for x in rows["kept"]])
+    of, some = of[some > 0], some[some > 0]                  # the other sums are of these only
 
     def added(x):
-        return np.bincount(of, weights=np.concatenate(x), minlength=len(keys))
-    kept, s = (added([unpacked(x) for x in rows[c]]).astype(np.int64) for c in ("kept", "s"))
-    total = np.zeros(len(keys), np.int64)
-    np.maximum.at(total, of, np.concatenate([unpacked(x) for x in rows["total"]]))
-    p, gain = (added([unplaned(x, np.float64) for x in rows[c]]) for c in ("p", "gain"))
-    return _one(rows, keys=packed_keys(keys), kept=packed(kept), s=packed(s), total=packed(total), p=planes(p), gain=planes(gain))
+        return np.bincount(of, weights=x, minlength=len(keys))
+    s, total = (np.concatenate([unpacked(x) for x in rows[c]]) for c in ("s", "total"))
+    p, gain = (added(np.concatenate([unplaned(x, np.float64) for x in rows[c]])) for c in ("p", "gain"))
+    kept, s, most = added(some).astype(np.int64), added(s).astype(np.int64), np.zeros(len(keys), np.int64)
+    most[of] = total                                         # the same in every chunk
+    m = kept > 0
+    return _one(rows, keys=packed_keys(keys), kept=packed(kept), s=packed(s[m]), total=packed(most[m]), p=planes(p[m]), gain=planes(gain[m]))
 
 
 _ANSWER = "chunk long, bucket long, n binary, number binary, own binary, types long, top long, contexts long"
@@ -562,15 +569,15 @@ def _node_answers(how: How):
     def f(asks, model):
         out = []
         for m in model.to_dict("records"):
-            keys, kept, s, total = unpacked_keys(m["keys"]), *(unpacked(m[c]) for c in ("kept", "s", "total"))
+            keys, kept, follow, total = unpacked_keys(m["keys"]), *(unpacked(m[c]) for c in ("kept", "s", "total"))
             p, gain = (unplaned(m[c], np.float64) for c in ("p", "gain"))
-            rest, some = total - s, total > s
+            rest, some, s = total - follow, total > follow, np.zeros(len(keys), np.int64)
             gain[some] += rest[some] * np.log(rest[some] / total[some] / np.maximum(1 - p[some], 1e-12))
-            kept[gain < how.cost * (kept + 1)] = 0
-            s[kept == 0] = 0
+            s[kept > 0] = follow
+            kept[kept > 0] *= gain >= how.cost * (kept[kept > 0] + 1)
             for chunk, blob in zip(asks["chunk"], asks["keys"]):
                 at = np.searchsorted(keys, unpacked_keys(blob))
-                out.append((chunk, m["bucket"], packed(kept[at]), packed(s[at])))
+                out.append((chunk, m["bucket"], packed(kept[at]), packed(s[at][kept[at] > 0])))
         return _frame(out, _NODES)
     return f
 
